@@ -1,13 +1,148 @@
 """DuckDB SQL oracles, written from the base tables (never by replaying the
-operator's own steps). Column names equal the Spark query's."""
+operator's own steps). Column names and types equal the Spark query's."""
 
 from __future__ import annotations
 
-ORACLE = {}
+ORACLE: dict[str, str] = {}
+
+_SEGMENTS = "(VALUES ('AUTOMOBILE'), ('BUILDING'), ('FURNITURE'), ('HOUSEHOLD'), ('MACHINERY')) s(seg)"
+_PRIORITIES = "(VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW')) p(pri)"
+_PLACED = """orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 ORACLE["unpivot_measures"] = """
-SELECT l_orderkey, l_linenumber, 'l_quantity' AS measure, l_quantity AS value FROM lineitem
-UNION ALL SELECT l_orderkey, l_linenumber, 'l_extendedprice', l_extendedprice FROM lineitem
-UNION ALL SELECT l_orderkey, l_linenumber, 'l_discount', l_discount FROM lineitem
-UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', l_tax FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_quantity' AS measure, l_quantity AS value FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_extendedprice', l_extendedprice FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_discount', l_discount FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_tax', l_tax FROM lineitem
+"""
+
+# ISO year 1996 = [1996-01-01, 1996-12-30), 52 weeks; empty cells are NULL in both columns.
+ORACLE["unpivot_paired_weeks"] = f"""
+WITH j AS (SELECT n_name, c_mktsegment, o_totalprice, o_orderdate FROM {_PLACED}
+           WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-12-30'),
+g AS (SELECT DISTINCT n_name, c_mktsegment FROM j),
+w AS (SELECT range AS wk FROM range(1, 53)),
+a AS (SELECT n_name, c_mktsegment, week(o_orderdate) AS wk, count(*) AS u,
+             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v
+      FROM j GROUP BY ALL)
+SELECT g.n_name, g.c_mktsegment, '1996_' || lpad(CAST(w.wk AS VARCHAR), 2, '0') AS WeekOfYear,
+       a.u AS Unit, a.v AS Value
+FROM g CROSS JOIN w
+LEFT JOIN a ON a.n_name = g.n_name AND a.c_mktsegment = g.c_mktsegment AND a.wk = w.wk
+"""
+
+ORACLE["unpivot_month_labels"] = """
+WITH o AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2002-01-01'),
+g AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM o),
+m AS (SELECT range AS k FROM range(0, 84)),
+a AS (SELECT o_orderpriority, o_orderstatus, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k,
+             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v
+      FROM o GROUP BY ALL)
+SELECT g.o_orderpriority, g.o_orderstatus,
+       CAST(1995 + m.k // 12 AS VARCHAR) || '/' || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS YearMonth,
+       a.v AS Value
+FROM g CROSS JOIN m
+LEFT JOIN a ON a.o_orderpriority = g.o_orderpriority AND a.o_orderstatus = g.o_orderstatus AND a.k = m.k
+"""
+
+ORACLE["unpivot_week_sequence"] = """
+WITH o AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-12-30'),
+g AS (SELECT DISTINCT o_orderstatus, o_orderpriority FROM o),
+w AS (SELECT range AS k FROM range(0, 52)),
+a AS (SELECT o_orderstatus, o_orderpriority, date_diff('day', DATE '1996-01-01', CAST(o_orderdate AS DATE)) // 7 AS k,
+             count(*) AS n FROM o GROUP BY ALL)
+SELECT g.o_orderstatus, g.o_orderpriority,
+       strftime(DATE '1996-01-01' + CAST(7 * w.k AS INTEGER), '%Y-%m-%d') AS Date,
+       CASE WHEN a.n = 1 THEN NULL ELSE CAST(a.n AS VARCHAR) END AS Value
+FROM g CROSS JOIN w
+LEFT JOIN a ON a.o_orderstatus = g.o_orderstatus AND a.o_orderpriority = g.o_orderpriority AND a.k = w.k
+WHERE a.n IS NOT NULL
+"""
+
+# Third region block = region 2; months 1995-01 .. 2000-12 (cut-off 200012); zero counts are empty cells -> NULL.
+ORACLE["unpivot_region_block"] = f"""
+WITH a AS (SELECT (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k, c_mktsegment AS seg, count(*) AS n
+           FROM {_PLACED} WHERE n_regionkey = 2 GROUP BY ALL),
+m AS (SELECT range AS k FROM range(0, 72))
+SELECT 'ASIA' AS Country,
+       CAST(1995 + m.k // 12 AS VARCHAR) || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS Date,
+       s.seg AS Visit_Purpose, a.n AS Visitors
+FROM m CROSS JOIN {_SEGMENTS}
+LEFT JOIN a ON a.k = m.k AND a.seg = s.seg
+"""
+
+ORACLE["unpivot_ragged"] = f"""
+WITH a AS (SELECT n_name, c_mktsegment, o_orderpriority, count(*) AS n FROM {_PLACED} GROUP BY ALL),
+g AS (SELECT DISTINCT n_name, c_mktsegment FROM a)
+SELECT g.n_name, g.c_mktsegment, p.pri AS o_orderpriority, a.n AS n_orders
+FROM g CROSS JOIN {_PRIORITIES}
+LEFT JOIN a ON a.n_name = g.n_name AND a.c_mktsegment = g.c_mktsegment AND a.o_orderpriority = p.pri
+"""
+
+ORACLE["pair_by_position"] = """
+WITH r AS (SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INTEGER) AS pos,
+                  l_linenumber AS left_linenumber, l_quantity AS left_quantity FROM lineitem WHERE l_returnflag = 'R'),
+a AS (SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INTEGER) AS pos,
+             l_linenumber AS right_linenumber, l_quantity AS right_quantity FROM lineitem WHERE l_returnflag = 'A')
+SELECT r.l_orderkey, r.pos, left_linenumber, left_quantity, right_linenumber, right_quantity
+FROM r JOIN a ON r.l_orderkey = a.l_orderkey AND r.pos = a.pos
+"""
+
+ORACLE["pivot_back"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
+"""
+
+ORACLE["drop_placeholder"] = """
+SELECT event_id, user_id, event_type,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS value_text
+FROM events WHERE event_type <> 'error'
+"""
+
+ORACLE["truncate_after_first"] = """
+WITH e AS (SELECT event_id, user_id, ts, event_type,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+c AS (SELECT *, min(CASE WHEN event_type = 'error' THEN rn END) OVER (PARTITION BY user_id) AS cut FROM e)
+SELECT event_id, user_id, ts, event_type FROM c WHERE cut IS NULL OR rn <= cut
+"""
+
+ORACLE["header_occurrence"] = """
+WITH x AS (SELECT l_orderkey, l_returnflag AS label,
+                  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER) AS col_no
+           FROM lineitem)
+SELECT l_orderkey, col_no, label,
+       CAST(row_number() OVER (PARTITION BY l_orderkey, label ORDER BY col_no) AS INTEGER) AS occurrence FROM x
+UNION ALL
+SELECT l_orderkey, CAST(count(*) AS INTEGER) AS col_no, '' AS label, 1 AS occurrence FROM lineitem GROUP BY l_orderkey
+"""
+
+ORACLE["flatten_two_level"] = """
+WITH n AS (SELECT r_name, n_name, n_nationkey,
+                  CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER) AS k
+           FROM nation JOIN region ON n_regionkey = r_regionkey),
+r AS (SELECT DISTINCT r_name FROM n)
+SELECT r_name, 0 AS col_no, 'Place Country' AS column_name FROM r
+UNION ALL SELECT r_name, 1, 'Place Week' FROM r
+UNION ALL SELECT r_name, 2 * k, n_name || ' ' || CASE WHEN n_nationkey % 2 = 0 THEN 'Cases' ELSE 'Geospread' END FROM n
+UNION ALL SELECT r_name, 2 * k + 1, n_name || ' Deaths' FROM n
+"""
+
+ORACLE["kv_text"] = """
+SELECT o_orderkey,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'URGENT-' || o_orderstatus ELSE o_orderstatus END AS status,
+       o_orderpriority AS priority,
+       'total: ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS note
+FROM orders
+"""
+
+ORACLE["report_filter"] = f"""
+SELECT o_orderkey, o_orderdate, n_name, c_mktsegment FROM {_PLACED}
+WHERE isoyear(o_orderdate) * 100 + week(o_orderdate) BETWEEN 199610 AND 199720
+  AND lower(n_name) = 'nation_7' AND lower(c_mktsegment) = 'building'
+"""
+
+ORACLE["ragged_rejects"] = """
+SELECT o_orderkey,
+       CASE o_orderpriority WHEN '5-LOW' THEN 3 WHEN '1-URGENT' THEN 5 ELSE 4 END AS n_cells,
+       CASE o_orderpriority WHEN '5-LOW' THEN 'short_row' WHEN '1-URGENT' THEN 'long_row' END AS reject_reason
+FROM orders
 """

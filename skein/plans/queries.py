@@ -8,21 +8,190 @@ columns match the oracle SQL in ``skein.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.operators import unpivot_wide
+from skein.functions.labels import entry_value, kv_entries
+from skein.operators import concat_by_position, pivot_back, unpivot_wide
+from skein.operators.filters import drop_placeholder as _drop_placeholder
+from skein.operators.filters import report_filter as _report_filter
+from skein.operators.filters import truncate_after_first as _truncate_after_first
+from skein.operators.headers import drop_first_empty, flatten_two_level, occurrences
+from skein.operators.panel import CN, JP, JP2, MX, unpivot_panel
+from skein.operators.rows import ragged_reason, unpivot_rows
+from skein.plans import inputs as I
 from skein.plans.tables import table
 
+LINEITEM_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LINEITEM_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def unpivot_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UNP1 on lineitem: four measures to (measure, value), nulls kept."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINEITEM_MEASURES)
-    return unpivot_wide(li, ["l_orderkey", "l_linenumber"], LINEITEM_MEASURES, "measure", "value")
+    li = table(spark, sf_dir, "lineitem").select(*LINEITEM_IDS, *LINEITEM_MEASURES)
+    return unpivot_wide(li, LINEITEM_IDS, LINEITEM_MEASURES, "measure", "value")
+
+
+def unpivot_paired_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MX layout (UNP2, PRJ1, PRJ5, SCA1, SCA4) over a weekly nation x segment panel."""
+    return unpivot_panel(I.weekly_paired_panel(spark, sf_dir), MX)
+
+
+def unpivot_month_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JP layout (PRJ2, SCA2, SCA3, SCA10, UNP1) over a monthly priority x status panel."""
+    return unpivot_panel(I.monthly_panel(spark, sf_dir), JP)
+
+
+def unpivot_week_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JP2 layout (PRJ3, PRJ6, SCA5, SCA6, SCA9, WIN2, FLT1) over a weekly text panel."""
+    return unpivot_panel(I.weekly_text_panel(spark, sf_dir), JP2, source=I.WEEKLY_TEXT_SOURCE)
+
+
+REGION_BLOCK_SPEC = CN.replace(value_names=I.SEGMENTS, cutoff="200012", country="ASIA", value_type="bigint")
+
+
+def unpivot_region_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CN layout (PRJ4, PRJ7-10, SCA7-9, WIN3, FLT2, UNP3, SRT1) on ragged rows:
+    third block of repeated headers, dates +1 month per row, cut after 200012."""
+    rows = I.region_block_rows(spark, sf_dir)
+    return unpivot_panel(rows, REGION_BLOCK_SPEC, keys=["source"]).drop("source")
+
+
+def unpivot_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON2 + UNP1: one job over tables whose headers differ (order) per nation."""
+    rows = I.ragged_nation_rows(spark, sf_dir)
+    long = unpivot_rows(rows, ["source"], ["segment"], header_row=0)
+    return long.select(F.col("source").alias("n_name"), F.col("segment").alias("c_mktsegment"),
+                       F.col("label").alias("o_orderpriority"), F.col("value").cast("bigint").alias("n_orders"))
+
+
+def pair_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON1: n-th returned ('R') line of an order beside its n-th accepted ('A')
+    line; the longer side's tail is dropped (positional inner concat)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                 "l_quantity", "l_returnflag")
+    # Position inside an order: a window over one order's lines (bounded group).
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+
+    def side(flag, tag):
+        s = li.filter(F.col("l_returnflag") == flag)
+        return s.select("l_orderkey", F.row_number().over(w).cast("int").alias("pos"),
+                        F.col("l_linenumber").alias(f"{tag}_linenumber"), F.col("l_quantity").alias(f"{tag}_quantity"))
+
+    return concat_by_position(side("R", "left"), side("A", "right"), ["l_orderkey"], "pos")
+
+
+def pivot_back_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UNP5: the melted measures pivoted back per line (round trip)."""
+    return pivot_back(unpivot_measures(spark, sf_dir), LINEITEM_IDS, "measure", "value", LINEITEM_MEASURES)
+
+
+def _events_text(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    txt = (F.when(F.col("event_type") == "error", F.lit("-"))
+           .when(F.col("event_type") == "signup", F.lit(None).cast("string"))
+           .otherwise(F.col("value").cast("decimal(18,2)").cast("string")))
+    return ev.select("event_id", "user_id", "event_type", txt.alias("value_text"))
+
+
+def drop_placeholder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT1: '-' placeholders go, NULLs stay."""
+    return _drop_placeholder(_events_text(spark, sf_dir), "value_text", "-")
+
+
+def truncate_after_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT2: each user's events up to and including the first error by (ts, event_id)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    return _truncate_after_first(ev, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error",
+                                 on_missing="all")
+
+
+def header_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ4 + PRJ11: header per order = '' + line flags (by line) + ''; the first
+    empty cell is dropped, then each cell gets the occurrence number of its label."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")))
+    hdr = li.groupBy("l_orderkey").agg(lines.alias("lines")).select(
+        "l_orderkey",
+        F.concat(F.array(F.lit("")), F.transform("lines", lambda x: x["l_returnflag"]), F.array(F.lit(""))).alias("hdr"))
+    return hdr.select("l_orderkey", F.inline(occurrences(drop_first_empty("hdr"))))
+
+
+def flatten_two_level_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ15 + WIN1: per region, upper = Place + nation names, lower = Country,
+    Week, then (Cases|Geospread, Deaths) per nation; flattened by running count."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    nat = F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))
+    per = n.groupBy("n_regionkey").agg(nat.alias("nat")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    upper = F.concat(F.array(F.lit("Place")), F.transform("nat", lambda x: x["n_name"]))
+    lower = F.concat(F.array(F.lit("Country"), F.lit("Week")), F.flatten(F.transform("nat", lambda x: F.array(
+        F.when(x["n_nationkey"] % 2 == 0, F.lit("Cases")).otherwise(F.lit("Geospread")), F.lit("Deaths")))))
+    return per.select("r_name", F.posexplode(flatten_two_level(upper, lower)).alias("col_no", "column_name"))
+
+
+def kv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCA13: 'Key: value' text blocks per order; blank lines skipped, a repeated
+    key keeps the last value, a second ': ' stays in the value."""
+    o = table(spark, sf_dir, "orders")
+    block = F.concat(
+        F.lit("Order: "), F.col("o_orderkey").cast("string"), F.lit("\n"),
+        F.lit("Status: "), F.col("o_orderstatus"), F.lit("\n\n"),
+        F.lit("Priority: "), F.col("o_orderpriority"), F.lit("\n"),
+        F.lit("Note: total: "), F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
+        F.when(F.col("o_orderpriority") == "1-URGENT",
+               F.concat(F.lit("\nStatus: URGENT-"), F.col("o_orderstatus"))).otherwise(F.lit("")))
+    e = o.select(kv_entries(block).alias("e"))
+    return e.select(entry_value("e", "Order").cast("bigint").alias("o_orderkey"),
+                    entry_value("e", "Status").alias("status"),
+                    entry_value("e", "Priority").alias("priority"),
+                    entry_value("e", "Note").alias("note"))
+
+
+REPORT_START, REPORT_END = (1996, 10), (1997, 20)
+REPORT_OPTIONS = {"n_name": "  nation_7\t", "c_mktsegment": "Building "}
+
+
+def report_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT9 + FLT10 + SCA11: ISO week range 1996-W10 .. 1997-W20 (pushed to the
+    scan as a date range) and options matched ignoring case and outer blanks."""
+    o = _report_filter(table(spark, sf_dir, "orders"), date_col="o_orderdate", start=REPORT_START, end=REPORT_END)
+    j = I.orders_placed(spark, sf_dir, o)
+    j = _report_filter(j, options=REPORT_OPTIONS)
+    return j.select("o_orderkey", "o_orderdate", "n_name", "c_mktsegment")
+
+
+ORDER_HEADER = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
+
+
+def ragged_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT11: rows whose length differs from the header get a reject reason
+    ('5-LOW' rows lost their last cell, '1-URGENT' rows carry an extra one)."""
+    o = table(spark, sf_dir, "orders")
+    full = F.array(F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority",
+                   F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    cells = (F.when(F.col("o_orderpriority") == "5-LOW", F.slice(full, 1, 3))
+             .when(F.col("o_orderpriority") == "1-URGENT", F.concat(full, F.array(F.lit("x"))))
+             .otherwise(full))
+    hdr = F.array(*[F.lit(h) for h in ORDER_HEADER])
+    rows = o.select("o_orderkey", cells.alias("cells"))
+    return rows.select("o_orderkey", F.size("cells").alias("n_cells"), ragged_reason(hdr, F.col("cells")).alias("reject_reason"))
 
 
 QUERIES = {
     "unpivot_measures": unpivot_measures,
+    "unpivot_paired_weeks": unpivot_paired_weeks,
+    "unpivot_month_labels": unpivot_month_labels,
+    "unpivot_week_sequence": unpivot_week_sequence,
+    "unpivot_region_block": unpivot_region_block,
+    "unpivot_ragged": unpivot_ragged,
+    "pair_by_position": pair_by_position,
+    "pivot_back": pivot_back_measures,
+    "drop_placeholder": drop_placeholder,
+    "truncate_after_first": truncate_after_first,
+    "header_occurrence": header_occurrence,
+    "flatten_two_level": flatten_two_level_header,
+    "kv_text": kv_text,
+    "report_filter": report_filter,
+    "ragged_rejects": ragged_rejects,
 }
