@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from skein.functions import labels as L
 from skein.operators.filters import drop_placeholder
 from skein.operators.headers import contains_rule, group_columns, pick_occurrence
-from skein.operators.rows import split_header
 from skein.operators.unpivot import pair_groups, unpivot_paired, unpivot_wide
 
 
@@ -151,17 +150,20 @@ def _week_sequence(df: DataFrame, spec: PanelSpec, source) -> DataFrame:
 
 
 def _region_block(rows: DataFrame, spec: PanelSpec, keys: list[str]) -> DataFrame:
-    header, body = split_header(rows, keys, spec.header_row)
-    block = header.select(*keys, pick_occurrence("hdr", spec.occurrence).alias("_blk"))
-    # Per-table scalars by partial aggregation (skew-safe), one row per table.
-    first = body.groupBy(*keys).agg(
-        F.min("row_no").alias("_r0"), F.max("row_no").alias("_r1"),
-        F.min_by(F.get(F.col("cells"), spec.date_pos), F.col("row_no")).alias("_d0"))
-    info = block.join(first, keys).withColumn("_m0", L.parse_year_month(F.col("_d0")))
+    # One pass over the rows gives every per-table scalar (header, first/last
+    # body row, first date cell): a map-side partial aggregate, skew-safe.
+    is_body = F.col("row_no") > spec.header_row
+    body_no = F.when(is_body, F.col("row_no"))
+    info = rows.groupBy(*keys).agg(
+        F.first(F.when(F.col("row_no") == spec.header_row, F.col("cells")), ignorenulls=True).alias("_hdr"),
+        F.min(body_no).alias("_r0"), F.max(body_no).alias("_r1"),
+        F.min_by(F.get(F.col("cells"), spec.date_pos), body_no).alias("_d0"))
+    info = info.select(*keys, pick_occurrence("_hdr", spec.occurrence).alias("_blk"), "_r0", "_r1",
+                       L.parse_year_month(F.col("_d0")).alias("_m0"))
     if spec.cutoff is not None:
         cut = F.to_date(F.lit(spec.cutoff), "yyyyMM")
         info = info.withColumn("_kcut", F.months_between(cut, F.col("_m0")).cast("int"))
-    j = body.join(info, keys)
+    j = rows.filter(is_body).join(info, keys)
     k = F.col("row_no") - F.col("_r0")
     if spec.cutoff is not None:
         present = (F.col("_kcut") >= 0) & (F.col("_kcut") <= F.col("_r1") - F.col("_r0"))

@@ -125,3 +125,21 @@ def split_rejects(df: DataFrame, reason: Column, reason_col: str = "reject_reaso
     lazy filters of one plan; cache or write the input once if both are used."""
     tagged = df.withColumn(reason_col, reason)
     return tagged.filter(F.col(reason_col).isNull()).drop(reason_col), tagged.filter(F.col(reason_col).isNotNull())
+
+
+# ---- tables with nested rows (one row per table, as the HTML source emits) -------------------
+
+def nested_row(rows, index: int) -> Column:
+    """Row ``index`` (0-based) of a nested rows array, NULL when absent."""
+    return F.get(_c(rows), index)
+
+
+def explode_body(tables: DataFrame, keep: Sequence[str], body_from: int, rows: str = "rows",
+                 extra: dict | None = None) -> DataFrame:
+    """One output row per nested row at position >= ``body_from`` (FLT3/FLT4),
+    carrying ``keep`` columns and per-table ``extra`` expressions (e.g. the
+    header); row-local, no shuffle."""
+    extra = extra or {}
+    body = F.filter(_c(rows), lambda r: r["row_no"] >= body_from)
+    return tables.select(*keep, *[v.alias(k) for k, v in extra.items()], F.explode(body).alias("_row")) \
+        .select(*keep, *extra.keys(), "_row.*")

@@ -146,3 +146,56 @@ SELECT o_orderkey,
        CASE o_orderpriority WHEN '5-LOW' THEN 'short_row' WHEN '1-URGENT' THEN 'long_row' END AS reject_reason
 FROM orders
 """
+
+ORACLE["html_records"] = """
+SELECT n_name, c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""
+
+ORACLE["html_table_by_attr"] = """
+SELECT p_brand, p_partkey, p_name, p_type, p_size, CAST(p_retailprice AS DECIMAL(18,2)) AS p_retailprice FROM part
+"""
+
+# Row numbers: 0 banner (dropped), 1-2 headers, then nations of the region in key order (3, 4, ...).
+ORACLE["html_classify_rows"] = """
+WITH n AS (SELECT DISTINCT n_regionkey, n_nationkey, n_name FROM nation JOIN customer ON c_nationkey = n_nationkey),
+r AS (SELECT DISTINCT n_regionkey FROM n)
+SELECT CAST(n_regionkey AS BIGINT) AS page_id, 1 AS row_no, 'header' AS row_kind, 6 AS n_cells, 'Place' AS first_cell FROM r
+UNION ALL SELECT CAST(n_regionkey AS BIGINT), 2, 'header', 12, 'Country' FROM r
+UNION ALL SELECT CAST(n_regionkey AS BIGINT),
+       CAST(2 + row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER), 'body', 12, n_name FROM n
+"""
+
+
+def _matrix_sql():
+    segs = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    cols = []
+    for s in segs:
+        for m, cond in (("Cases", "TRUE"), ("Deaths", "c_acctbal < 0")):
+            cols.append(f"""CASE WHEN count(*) FILTER (WHERE c_mktsegment = '{s}' AND {cond}) = 0 THEN ''
+             ELSE CAST(count(*) FILTER (WHERE c_mktsegment = '{s}' AND {cond}) AS VARCHAR) END AS "{s} {m}" """)
+    return ("SELECT n_name AS \"Place Country\", r_name AS \"Place Region\", " + ", ".join(cols) +
+            " FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+            " GROUP BY n_name, r_name")
+
+
+ORACLE["html_report_matrix"] = _matrix_sql()
+
+ORACLE["page_list_items"] = """
+SELECT page_id, CAST(i - 1 AS INTEGER) AS item_no, regexp_replace(x, '<[^>]*>', '', 'g') AS text
+FROM pages, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) WITH ORDINALITY AS t(x, i)
+"""
+
+ORACLE["form_fields"] = """
+SELECT page_id, '__VIEWSTATE' AS field, 1 AS n, 'vs-' || page_id AS value, 'ok' AS status FROM pages
+UNION ALL
+SELECT page_id, '__VIEWSTATEGENERATOR',
+       CASE WHEN url LIKE '%/de/%' THEN 0 ELSE 1 END,
+       CASE WHEN url LIKE '%/de/%' THEN NULL ELSE 'gen-' || page_id END,
+       CASE WHEN url LIKE '%/de/%' THEN 'missing' ELSE 'ok' END FROM pages
+UNION ALL
+SELECT page_id, '__EVENTVALIDATION',
+       CASE WHEN url LIKE 'https:%' THEN 2 ELSE 1 END,
+       CASE WHEN url LIKE 'https:%' THEN NULL ELSE 'ev-' || page_id END,
+       CASE WHEN url LIKE 'https:%' THEN 'duplicate' ELSE 'ok' END FROM pages
+"""

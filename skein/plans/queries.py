@@ -195,3 +195,109 @@ QUERIES = {
     "report_filter": report_filter,
     "ragged_rejects": ragged_rejects,
 }
+
+
+# ---- HTML ------------------------------------------------------------------------------------
+
+from skein.functions.labels import NBSP  # noqa: E402
+from skein.operators.headers import classify_row  # noqa: E402
+from skein.operators.rows import blank_cells, compact_cells, explode_body, nested_row, zip_record  # noqa: E402
+from skein.operators.rows import record_get  # noqa: E402
+from skein.plans import html_inputs as H  # noqa: E402
+from skein.sources.html import parse_elements, parse_inputs, parse_tables  # noqa: E402
+
+
+def html_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7 + FLT3-5 + PRJ12/13: the inner table (5th row of a table nested four
+    deep) of each page; rows 1-2 skipped (row 1 gives the nation), row 3 is the
+    header, empty cells removed (compact mode), header zipped with each row."""
+    t = parse_tables(H.customer_pages(spark, sf_dir), min_depth=5, parent_row_pos=5)
+    hdr = compact_cells(nested_row("rows", 2)["cells"])
+    body = explode_body(t, ["page_id"], 3, extra={"title": nested_row("rows", 0)["cells"][0], "hdr": hdr})
+    rec = body.select("title", zip_record("hdr", compact_cells("cells")).alias("r"))
+    return rec.select(F.col("title").alias("n_name"),
+                      record_get("r", "Key").cast("bigint").alias("c_custkey"),
+                      record_get("r", "Name").alias("c_name"),
+                      record_get("r", "Segment").alias("c_mktsegment"),
+                      record_get("r", "Balance").cast("decimal(18,2)").alias("c_acctbal"))
+
+
+def html_table_by_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC8: first table with attribute cols="16" of each page, its rows as records."""
+    t = parse_tables(H.part_pages(spark, sf_dir), table_attrs={"cols": "16"}, first_only=True)
+    hdr = compact_cells(nested_row("rows", 2)["cells"])
+    body = explode_body(t, ["page_id"], 3, extra={"brand": nested_row("rows", 1)["cells"][0], "hdr": hdr})
+    rec = body.select("brand", zip_record("hdr", compact_cells("cells")).alias("r"))
+    return rec.select(F.col("brand").alias("p_brand"),
+                      record_get("r", "Key").cast("bigint").alias("p_partkey"),
+                      record_get("r", "Name").alias("p_name"),
+                      record_get("r", "Type").alias("p_type"),
+                      record_get("r", "Size").cast("int").alias("p_size"),
+                      record_get("r", "Price").cast("decimal(18,2)").alias("p_retailprice"))
+
+
+def _report_rows(spark, sf_dir):
+    """SRC9 + FLT7 + FLT8: rows of the depth-5 report table, classified."""
+    t = parse_tables(H.region_report_pages(spark, sf_dir), min_depth=5)
+    rows = explode_body(t, ["page_id"], 0)
+    kind = classify_row(F.col("n_div"), F.col("n_span"))
+    cleaned = (F.when(kind == "header", compact_cells("cells", ("", NBSP)))
+               .otherwise(compact_cells("cells", ("",))))
+    return rows.select("page_id", "row_no", kind.alias("row_kind"), cleaned.alias("cells")) \
+        .filter(F.col("row_kind").isNotNull())
+
+
+def html_classify_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT6-8: header rows (divs, no span) lose '' and NBSP cells, body rows
+    (divs and a span) lose '' cells, other rows are dropped."""
+    r = _report_rows(spark, sf_dir)
+    return r.select("page_id", "row_no", "row_kind", F.size("cells").alias("n_cells"),
+                    F.get(F.col("cells"), 0).alias("first_cell"))
+
+
+REPORT_COLUMNS = ["Place Country", "Place Region"] + [f"{s} {m}" for s in I.SEGMENTS for m in ("Cases", "Deaths")]
+
+
+def html_report_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ14-16 + WIN1: two header rows flattened by the running marker count,
+    body rows turned into records under the flat names, NBSP cells blanked."""
+    t = parse_tables(H.region_report_pages(spark, sf_dir), min_depth=5)
+    kind = lambda r: classify_row(r["n_div"], r["n_span"])
+    heads = F.filter("rows", lambda r: kind(r) == "header")
+    bodies = F.filter("rows", lambda r: kind(r) == "body")
+    clean_h = lambda i: compact_cells(F.get(heads, i)["cells"], ("", NBSP))
+    flat = flatten_two_level(clean_h(0), clean_h(1))
+    rec = t.select(flat.alias("flat"), F.explode(bodies).alias("b")).select(
+        zip_record("flat", blank_cells(compact_cells(F.col("b")["cells"]))).alias("r"))
+    return rec.select(*[record_get("r", k).alias(k) for k in REPORT_COLUMNS])
+
+
+def page_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7 on the given pages: text of every <li> (tags stripped, entities decoded)."""
+    return parse_elements(table(spark, sf_dir, "pages"), "li")
+
+
+def form_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC10: each expected hidden field per page with its count; the value only
+    when it occurs exactly once, else status 'missing' / 'duplicate'."""
+    inp = parse_inputs(H.form_pages(spark, sf_dir))
+
+    def field(name):
+        hits = F.filter("inputs", lambda m: m["id"] == F.lit(name))
+        n = F.size(hits)
+        return F.struct(F.lit(name).alias("field"), n.alias("n"),
+                        F.when(n == 1, F.get(hits, 0)["value"]).alias("value"),
+                        F.when(n == 1, F.lit("ok")).when(n == 0, F.lit("missing")).otherwise(F.lit("duplicate"))
+                        .alias("status"))
+
+    return inp.select("page_id", F.inline(F.array(*[field(f) for f in H.HIDDEN_FIELDS])))
+
+
+QUERIES.update({
+    "html_records": html_records,
+    "html_table_by_attr": html_table_by_attr,
+    "html_classify_rows": html_classify_rows,
+    "html_report_matrix": html_report_matrix,
+    "page_list_items": page_list_items,
+    "form_fields": form_fields,
+})
