@@ -199,3 +199,15 @@ SELECT page_id, '__EVENTVALIDATION',
        CASE WHEN url LIKE 'https:%' THEN NULL ELSE 'ev-' || page_id END,
        CASE WHEN url LIKE 'https:%' THEN 'duplicate' ELSE 'ok' END FROM pages
 """
+
+ORACLE["xlsx_roundtrip"] = "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"
+
+ORACLE["path_columns"] = "SELECT 'MX' AS country, '1996' AS start_year, p_partkey, p_name FROM part"
+
+ORACLE["csv_roundtrip"] = """
+SELECT p_partkey, p_name, p_type, p_size, p_retailprice,
+       CASE WHEN p_size < 10 THEN NULL WHEN p_size > 45 THEN 'say "hi" | bye' ELSE p_type END AS note, p_brand
+FROM part
+"""
+
+ORACLE["stream_unpivot"] = ORACLE["unpivot_measures"]

@@ -301,3 +301,96 @@ QUERIES.update({
     "page_list_items": page_list_items,
     "form_fields": form_fields,
 })
+
+
+# ---- files: workbooks, delimited text, paths, streams ----------------------------------------
+
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType  # noqa: E402
+
+from skein.operators.rows import with_header  # noqa: E402
+from skein.session import scratch_path  # noqa: E402
+from skein.sources.delimited import read_pipe_csv, write_pipe_csv  # noqa: E402
+from skein.sources.files import parent_dir, start_year  # noqa: E402
+from skein.sources.xlsx import read_xlsx, write_xlsx  # noqa: E402
+from skein.streaming.unpivot_stream import start_unpivot_stream, stream_files  # noqa: E402
+
+PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+def _run_writes(files: DataFrame) -> None:
+    files.agg(F.sum("n_rows")).collect()
+
+
+def _part_records(rows: DataFrame, header_row: int) -> DataFrame:
+    j = with_header(rows, ["source"], header_row=header_row)
+    r = j.select("source", zip_record("hdr", "cells").alias("r"))
+    return r.select("source", record_get("r", "p_partkey").cast("bigint").alias("p_partkey"),
+                    record_get("r", "p_name").alias("p_name"), record_get("r", "p_brand").alias("p_brand"),
+                    record_get("r", "p_type").alias("p_type"), record_get("r", "p_size").cast("int").alias("p_size"),
+                    record_get("r", "p_retailprice").cast("double").alias("p_retailprice"))
+
+
+def xlsx_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1 + SRC2: part written as workbooks (cover sheet first; data sheet
+    'Data' with 3 title rows, an ignored row, header on the 5th row), read
+    back by sheet name, header matched per file."""
+    root = scratch_path(spark, "xlsx_roundtrip")
+    part = table(spark, sf_dir, "part").select(*PART_COLS)
+    _run_writes(write_xlsx(part, root, sheet="Data", cover_sheet="Cover", rows_per_file=500,
+                           lead_rows=[["Parts list"], ["all brands"], [], ["(not read)"]]))
+    rows = read_xlsx(spark, root, sheet="Data")
+    return _part_records(rows, header_row=4).drop("source")
+
+
+def path_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3-6: a provider folder MX holding workbooks named
+    ``panel_<part>_w_k_19960101-x.xlsx``, an already converted ``*_pivoted*``
+    workbook (skipped by name) and a sub folder (not read); country from the
+    parent folder, start year from the 5th ``_`` token of the name."""
+    root = scratch_path(spark, "path_columns")
+    part = table(spark, sf_dir, "part").select(*PART_COLS)
+    _run_writes(write_xlsx(part, f"{root}/MX", name_pattern="panel_{part:05d}{file:03d}_w_k_19960101-x.xlsx",
+                           rows_per_file=500))
+    _run_writes(write_xlsx(part, f"{root}/MX", name_pattern="panel_{part:05d}{file:03d}_pivoted.xlsx",
+                           rows_per_file=500))
+    _run_writes(write_xlsx(part, f"{root}/MX/sub", rows_per_file=500))
+    rows = read_xlsx(spark, f"{root}/MX", exclude="pivoted")
+    recs = _part_records(rows, header_row=0)
+    return recs.select(parent_dir("source").alias("country"), start_year("source").alias("start_year"),
+                       "p_partkey", "p_name")
+
+
+CSV_SCHEMA = StructType([StructField("p_partkey", LongType()), StructField("p_name", StringType()),
+                         StructField("p_type", StringType()), StructField("p_size", IntegerType()),
+                         StructField("p_retailprice", DoubleType()), StructField("note", StringType())])
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1-3: part (plus a note with quotes, and '' for small parts) written as
+    pipe CSV partitioned by brand, read back with the same options."""
+    root = scratch_path(spark, "csv_roundtrip")
+    p = table(spark, sf_dir, "part")
+    note = (F.when(F.col("p_size") < 10, F.lit("")).when(F.col("p_size") > 45, F.lit('say "hi" | bye'))
+            .otherwise(F.col("p_type")))
+    write_pipe_csv(p.select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice", note.alias("note"), "p_brand"),
+                   root, partition_by=["p_brand"])
+    return read_pipe_csv(spark, root, CSV_SCHEMA)
+
+
+def stream_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1: lineitem files streamed (availableNow) through the unpivot into a
+    parquet sink with a checkpoint; the sink is read back."""
+    root = scratch_path(spark, "stream_unpivot")
+    schema = table(spark, sf_dir, "lineitem").schema
+    s = stream_files(spark, sf_dir, schema, glob="lineitem.parquet")
+    q = start_unpivot_stream(s, LINEITEM_IDS, LINEITEM_MEASURES, "measure", "value", f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+QUERIES.update({
+    "xlsx_roundtrip": xlsx_roundtrip,
+    "path_columns": path_columns,
+    "csv_roundtrip": csv_roundtrip,
+    "stream_unpivot": stream_unpivot,
+})
