@@ -22,7 +22,10 @@ NBSP = "\u00a0"
 
 
 def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+    """PySpark convention: a str names a column; other Python values are literals."""
+    if isinstance(x, Column):
+        return x
+    return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
 # ---- week label "YYYY_WW" from "Un SEM - WW/YYYY" -------------------------------------------
@@ -120,12 +123,13 @@ def blank_nbsp(x, as_null: bool = False) -> Column:
 
 
 def kv_entries(text, line_sep: str = "\n", kv_sep: str = ": ") -> Column:
-    """``Key: value`` lines to ARRAY<STRUCT<key, value>>; blank lines skipped.
+    """``Key: value`` lines of a text column to ARRAY<STRUCT<key, value>>; blank lines skipped.
 
     The value is everything after the first separator. A line without the
     separator gives a NULL value (the reference raises there).
     """
-    lines = F.filter(F.split(_c(text), _regex_quote(line_sep)), lambda ln: ln != F.lit(""))
+    src = F.col(text) if isinstance(text, str) else text
+    lines = F.filter(F.split(src, _regex_quote(line_sep)), lambda ln: ln != F.lit(""))
 
     def entry(ln):
         pos = F.locate(kv_sep, ln)

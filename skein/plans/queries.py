@@ -82,8 +82,16 @@ def pair_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pivot_back_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UNP5: the melted measures pivoted back per line (round trip)."""
-    return pivot_back(unpivot_measures(spark, sf_dir), LINEITEM_IDS, "measure", "value", LINEITEM_MEASURES)
+    """UNP5: the melted measures pivoted back per line (round trip).
+
+    The line keys are not unique in every table, so each scanned row gets a
+    row id straight after the scan (before any shuffle, hence stable across
+    task retries) and the pivot groups by keys + row id."""
+    li = (table(spark, sf_dir, "lineitem").select(*LINEITEM_IDS, *LINEITEM_MEASURES)
+          .withColumn("_rid", F.monotonically_increasing_id()))
+    ids = LINEITEM_IDS + ["_rid"]
+    long = unpivot_wide(li, ids, LINEITEM_MEASURES, "measure", "value")
+    return pivot_back(long, ids, "measure", "value", LINEITEM_MEASURES).drop("_rid")
 
 
 def _events_text(spark, sf_dir):

@@ -14,7 +14,9 @@ Parsing rules (lenient HTML):
   with character references decoded (``&nbsp;`` -> U+00A0);
 * ``row_pos`` is the 1-based position of a row among its siblings
   (``tr:nth-of-type``); ``depth`` counts enclosing tables (outermost = 1);
-* ``div``/``span`` starts are counted per row and per cell, at any depth.
+* ``div``/``span`` starts are counted per row and per cell, at any depth;
+* text inside ``script``/``style`` is not element text; ``</ul>``/``</ol>``
+  closes an open ``li``.
 """
 
 from __future__ import annotations
@@ -56,6 +58,7 @@ class PageParser(HTMLParser):
         self.tables: list[dict] = []
         self.elements: list[tuple[str, str]] = []
         self.inputs: list[dict] = []
+        self.in_raw = 0  # inside <script>/<style>: their text is not element text
 
     # -- helpers -------------------------------------------------------------------------------
     def _innermost(self, kinds, stop_at_table=True):
@@ -87,6 +90,9 @@ class PageParser(HTMLParser):
 
     # -- callbacks -----------------------------------------------------------------------------
     def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style"):
+            self.in_raw += 1
+            return
         if tag == "input" and self.want_inputs:
             self.inputs.append({k: (v if v is not None else "") for k, v in attrs})
         if tag in ("div", "span"):
@@ -148,6 +154,11 @@ class PageParser(HTMLParser):
             self.inputs.append({k: (v if v is not None else "") for k, v in attrs})
 
     def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.in_raw = max(0, self.in_raw - 1)
+            return
+        if tag in ("ul", "ol") and self.stack and self.stack[-1].kind == "elem" and self.stack[-1].tag == "li":
+            self._pop()
         if self.want_tables and (tag == "table" or tag in _SECTIONS or tag == "tr" or tag in _CELLS):
             kind = {"table": "table", "tr": "tr"}.get(tag, "section" if tag in _SECTIONS else "cell")
             i = self._innermost({kind}, stop_at_table=(kind != "table"))
@@ -161,6 +172,8 @@ class PageParser(HTMLParser):
                     break
 
     def handle_data(self, data):
+        if self.in_raw:
+            return
         for f in self.stack:
             if f.texts is not None:
                 f.texts.append(data)
