@@ -189,3 +189,87 @@ def _region_block(rows: DataFrame, spec: PanelSpec, keys: list[str]) -> DataFram
         # Range-partitioned global sort: a table holding most rows still spreads over tasks.
         out = out.orderBy(*keys, spec.date_col, spec.label_col)
     return out
+
+
+# ---- the same layouts over ragged rows: many files with different headers in one job -------
+
+def unpivot_panel_rows(rows: DataFrame, spec: PanelSpec, keys: Sequence[str] = ("source",),
+                       id_labels: Sequence[str] | None = None, header_row: int = 0,
+                       value_types: dict | None = None) -> DataFrame:
+    """Run a ``paired`` / ``month_labels`` / ``week_sequence`` layout over the
+    ragged-row relation (``keys..., row_no, cells``), each table with its own
+    header. Header rules are array expressions on the header row; the header
+    reaches its body rows by an equi-join on ``keys`` (broadcast when AQE
+    measures it small), and the melt is one Generate per body row.
+
+    Output: ``keys..., row_no, <id_labels>..., label, value(s)``. Without
+    ``id_labels`` the non-value cells come as ``ids ARRAY<STRUCT<label, value>>``.
+    """
+    if spec.kind == "region_block":
+        return _region_block(rows, spec, list(keys))
+    keys = list(keys)
+    value_types = value_types or {}
+    hdr = rows.filter(F.col("row_no") == header_row).select(*keys, F.col("cells").alias("_hdr"))
+    cells = F.transform("_hdr", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+
+    def has(tok):
+        return lambda p: F.coalesce(p["h"].contains(tok), F.lit(False))
+
+    if spec.kind == "paired":
+        firsts = F.filter(cells, has(spec.first_token))
+        seconds = F.filter(cells, lambda p: ~has(spec.first_token)(p) & has(spec.second_token)(p))
+        key = L.week_label
+        if spec.pair_by == "position":
+            entries = F.transform(F.slice(firsts, 1, F.least(F.size(firsts), F.size(seconds))),
+                                  lambda f, k: F.struct(key(f["h"]).alias("label"), f["i"].alias("a"),
+                                                        F.get(seconds, k)["i"].alias("b")))
+        else:
+            def partner(f):
+                return F.element_at(F.filter(seconds, lambda s: key(s["h"]) == key(f["h"])), -1)["i"]
+
+            fe = F.transform(firsts, lambda f: F.struct(key(f["h"]).alias("label"), f["i"].alias("a"),
+                                                        partner(f).alias("b")))
+            lone = F.filter(seconds, lambda s: ~F.exists(firsts, lambda f: key(f["h"]) == key(s["h"])))
+            se = F.transform(lone, lambda s: F.struct(key(s["h"]).alias("label"), F.lit(None).cast("int").alias("a"),
+                                                      s["i"].alias("b")))
+            entries = F.concat(fe, se)
+        used = F.transform(F.concat(firsts, seconds), lambda p: p["i"])
+        outs = [(spec.first_col, "a"), (spec.value_col, "b")]
+    elif spec.kind in ("month_labels", "week_sequence"):
+        dates = F.filter(cells, has(spec.date_token))
+        if spec.kind == "month_labels":
+            entries = F.transform(dates, lambda d: F.struct(L.month_label(d["h"]).alias("label"), d["i"].alias("a")))
+        else:
+            if len(keys) != 1:
+                raise ValueError(f"{spec.name}: the file name key must be the single table key")
+            year = L.file_year(F.col(keys[0]))
+            first = F.get(dates, 0)["h"]
+            entries = F.transform(dates, lambda d, k: F.struct(L.week_sequence(year, first, k).alias("label"),
+                                                               d["i"].alias("a")))
+        used = F.transform(dates, lambda p: p["i"])
+        outs = [(spec.value_col, "a")]
+    else:
+        raise ValueError(f"unknown panel kind {spec.kind}")
+
+    info = hdr.select(*keys, "_hdr", entries.alias("_ent"), used.alias("_used"))
+    j = rows.filter(F.col("row_no") > header_row).join(info, keys)
+    if id_labels is not None:
+        _check_names(id_labels, spec.label_col, *[o for o, _ in outs])
+        id_cols = [F.get(F.col("cells"), F.array_position("_hdr", F.lit(x)).cast("int") - 1).alias(x)
+                   for x in id_labels]
+    else:
+        others = F.filter(F.transform("_hdr", lambda h, i: F.struct(h.alias("label"), F.get(F.col("cells"), i)
+                                                                    .alias("value"), i.alias("i"))),
+                          lambda p: ~F.array_contains(F.col("_used"), p["i"]))
+        id_cols = [F.transform(others, lambda p: F.struct(p["label"], p["value"])).alias("ids")]
+
+    def val(e, field, name):
+        v = F.get(F.col("cells"), e[field])
+        return (v.try_cast(value_types[name]) if name in value_types else v).alias(name)
+
+    melted = F.transform("_ent", lambda e: F.struct(e["label"].alias(spec.label_col),
+                                                    *[val(e, f, n) for n, f in outs]))
+    out = j.select(*keys, "row_no", *id_cols, F.inline(melted))
+    if spec.placeholder is not None:
+        out = drop_placeholder(out, spec.value_col, spec.placeholder)
+    return out

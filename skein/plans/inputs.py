@@ -68,6 +68,12 @@ def month_list(first_year: int = MONTH_FIRST, years: int = MONTH_YEARS) -> list[
 def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide panel (JP layout): priority x status rows, ``YYYY/M-`` month columns
     holding the order value; empty cells NULL."""
+    return monthly_panel_by_status(spark, sf_dir)
+
+
+def monthly_panel_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``o_orderpriority, o_orderstatus, <YYYY/M->...``: status is an id column,
+    so one folder file per status is a filter on it."""
     months = month_list()
     lo = dt.date(MONTH_FIRST, 1, 1)
     hi = dt.date(MONTH_FIRST + MONTH_YEARS, 1, 1)

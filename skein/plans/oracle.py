@@ -211,3 +211,31 @@ FROM part
 """
 
 ORACLE["stream_unpivot"] = ORACLE["unpivot_measures"]
+
+ORACLE["unpivot_panel_files"] = f"""
+WITH j AS (SELECT n_name, c_mktsegment, o_totalprice, isoyear(o_orderdate) AS yr, week(o_orderdate) AS wk
+           FROM {_PLACED} WHERE isoyear(o_orderdate) BETWEEN 1996 AND 1998),
+g AS (SELECT DISTINCT yr, n_name, c_mktsegment FROM j),
+w AS (SELECT y.yr, r.range AS wk FROM (VALUES (1996, 52), (1997, 52), (1998, 53)) y(yr, nw), range(1, 54) r
+      WHERE r.range <= y.nw),
+a AS (SELECT yr, n_name, c_mktsegment, wk, count(*) AS u,
+             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v FROM j GROUP BY ALL)
+SELECT g.n_name, g.c_mktsegment, CAST(g.yr AS VARCHAR) || '_' || lpad(CAST(w.wk AS VARCHAR), 2, '0') AS WeekOfYear,
+       a.u AS Unit, a.v AS Value
+FROM g JOIN w ON w.yr = g.yr
+LEFT JOIN a ON a.yr = g.yr AND a.n_name = g.n_name AND a.c_mktsegment = g.c_mktsegment AND a.wk = w.wk
+"""
+
+ORACLE["convert_folder"] = """
+WITH o AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2002-01-01'),
+g AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM o),
+m AS (SELECT range AS k FROM range(0, 84)),
+a AS (SELECT o_orderpriority, o_orderstatus, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k,
+             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v
+      FROM o GROUP BY ALL)
+SELECT g.o_orderstatus, g.o_orderpriority,
+       CAST(1995 + m.k // 12 AS VARCHAR) || '/' || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS YearMonth,
+       a.v AS Value
+FROM g CROSS JOIN m
+LEFT JOIN a ON a.o_orderpriority = g.o_orderpriority AND a.o_orderstatus = g.o_orderstatus AND a.k = m.k
+"""

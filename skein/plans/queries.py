@@ -402,3 +402,50 @@ QUERIES.update({
     "csv_roundtrip": csv_roundtrip,
     "stream_unpivot": stream_unpivot,
 })
+
+
+# ---- folders of provider workbooks with different headers ------------------------------------
+
+from skein.operators.convert import convert_folder  # noqa: E402
+from skein.operators.panel import unpivot_panel_rows  # noqa: E402
+
+PANEL_YEARS = (1996, 1997, 1998)
+
+
+def unpivot_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MX layout over a folder of workbooks whose headers differ (ISO years
+    1996-1998, 52/52/53 week columns): one job, each file with its own header."""
+    root = scratch_path(spark, "panel_files")
+    for y in PANEL_YEARS:
+        _run_writes(write_xlsx(I.weekly_paired_panel(spark, sf_dir, y), f"{root}/MX",
+                               name_pattern=f"weekly_{y}_{{part:05d}}{{file:03d}}.xlsx"))
+    rows = read_xlsx(spark, f"{root}/MX")
+    long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
+                              value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
+    return long.drop("source", "row_no")
+
+
+ORDER_STATUSES = ("F", "O", "P")
+
+
+def convert_folder_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end (SRC3-5, UNP4, SNK1): a JP folder with one monthly workbook
+    per order status and an already converted file; layout picked from the
+    folder name, all files in one job, pipe CSV per file, read back."""
+    root = scratch_path(spark, "convert_folder")
+    panel = I.monthly_panel_by_status(spark, sf_dir)
+    for s in ORDER_STATUSES:
+        part = panel.filter(F.col("o_orderstatus") == s).drop("o_orderstatus")
+        _run_writes(write_xlsx(part, f"{root}/JP", name_pattern=f"orders_{s}_{{part:05d}}{{file:03d}}.xlsx"))
+    _run_writes(write_xlsx(panel.drop("o_orderstatus"), f"{root}/JP",
+                           name_pattern="orders_all_{part:05d}{file:03d}_pivoted.xlsx"))
+    convert_folder(spark, f"{root}/JP", out_dir=f"{root}/out", id_labels=["o_orderpriority"],
+                   value_types={"Value": "decimal(18,2)"})
+    back = read_pipe_csv(spark, f"{root}/out", "o_orderpriority string, YearMonth string, Value decimal(18,2)")
+    return back.select(F.get(F.split("file", "_"), 1).alias("o_orderstatus"), "o_orderpriority", "YearMonth", "Value")
+
+
+QUERIES.update({
+    "unpivot_panel_files": unpivot_panel_files,
+    "convert_folder": convert_folder_monthly,
+})

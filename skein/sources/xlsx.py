@@ -24,6 +24,7 @@ import os
 import re
 import uuid
 import zipfile
+from decimal import Decimal
 from collections.abc import Sequence
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
@@ -186,7 +187,7 @@ def _cell_xml(ref: str, v, strings: dict) -> str:
         return ""
     if isinstance(v, bool):
         return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
-    if isinstance(v, (int, float)):
+    if isinstance(v, (int, float, Decimal)):
         return f'<c r="{ref}"><v>{repr(v) if isinstance(v, float) else v}</v></c>'
     s = str(v)
     idx = strings.setdefault(s, len(strings))

@@ -132,3 +132,42 @@ def test_cn_exact_occurrence(spark):
 def test_unknown_country():
     with pytest.raises(ValueError):
         spec_for("FR")
+
+
+# ---- ragged-row mode equals the wide mode -----------------------------------------------------
+
+from skein.operators.panel import unpivot_panel_rows  # noqa: E402
+
+
+def to_rows(df, source):
+    hdr = [(source, 0, list(df.columns))]
+    body = [(source, i + 1, [None if v is None else str(v) for v in r]) for i, r in enumerate(df.collect())]
+    return df.sparkSession.createDataFrame(hdr + body, "source string, row_no int, cells array<string>")
+
+
+def _strs(rs):
+    return sorted(tuple(None if v is None else str(v) for v in r) for r in rs)
+
+
+def test_rows_mode_equals_wide_mode(spark):
+    cases = [(mx_frame(spark), MX, ["product"], None),
+             (mx_frame(spark, lc_order=("Lc SEM - 02/2019", "Lc SEM - 01/2019")), MX, ["product"], None),
+             (mx_frame(spark, drop_lc="Lc SEM - 02/2019"), MX.replace(pair_by="position"), ["product"], None),
+             (spark.createDataFrame([("A", "m1", 1.0, 2.0), ("B", "m2", None, 4.0)],
+                                    "product string, maker string, `2019/1-` double, `2019/10-` double"),
+              JP, ["product", "maker"], None),
+             (jp2_frame(spark), JP2, ["shop"], "a_b_c_d_20181231-x.xlsx")]
+    for df, spec, ids, src in cases:
+        wide = unpivot_panel(df, spec, source=src)
+        long = unpivot_panel_rows(to_rows(df, src or "f.xlsx"), spec, id_labels=ids).drop("source", "row_no")
+        assert _strs(wide.collect()) == _strs(long.collect()), spec.name
+
+
+def test_rows_mode_two_files_two_headers(spark):
+    a = to_rows(spark.createDataFrame([("A", 1.0)], "p string, `2019/1-` double"), "a.xlsx")
+    b = to_rows(spark.createDataFrame([(2.0, "B", 3.0)], "`2020/12-` double, p string, `2021/1-` double"), "b.xlsx")
+    out = unpivot_panel_rows(a.unionByName(b), JP, id_labels=["p"], value_types={"Value": "double"})
+    assert rows(out, "source", "p", "YearMonth", "Value") == [
+        ("a.xlsx", "A", "2019/01", 1.0), ("b.xlsx", "B", "2020/12", 2.0), ("b.xlsx", "B", "2021/01", 3.0)]
+    free = unpivot_panel_rows(a.unionByName(b), JP)
+    assert {tuple(x) for r in free.collect() for x in r["ids"]} == {("p", "A"), ("p", "B")}
