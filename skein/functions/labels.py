@@ -145,7 +145,7 @@ def entry_value(entries, key: str) -> Column:
     """Value of ``key`` in an entries array; the last occurrence wins (dict semantics)."""
     arr = F.col(entries) if isinstance(entries, str) else entries
     hits = F.filter(arr, lambda e: e["key"] == F.lit(key))
-    return F.when(F.size(hits) > 0, F.element_at(hits, -1)["value"])
+    return F.try_element_at(hits, F.lit(-1))["value"]
 
 
 def _regex_quote(s: str) -> str:

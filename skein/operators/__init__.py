@@ -1,5 +1,6 @@
 from skein.operators.unpivot import (
     concat_by_position,
+    concat_by_rank,
     pair_groups,
     pivot_back,
     qcol,
@@ -9,6 +10,7 @@ from skein.operators.unpivot import (
 
 __all__ = [
     "concat_by_position",
+    "concat_by_rank",
     "pair_groups",
     "pivot_back",
     "qcol",

@@ -24,8 +24,8 @@ def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None,
     ``exclude`` skipped). Columns: ``file``, ids, label, value(s). With
     ``out_dir`` the result is also written as pipe CSV, one folder per file."""
     spec = spec or spec_for(folder.rstrip("/").split("/")[-1])
-    rows = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude)
     header_row = spec.header_row if spec.kind == "region_block" else 0
+    rows = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude, header_row=header_row)
     long = unpivot_panel_rows(rows, spec, keys=["source"], id_labels=id_labels, header_row=header_row,
                               value_types=value_types)
     long = long.withColumn("file", F.element_at(F.split(F.col("source"), "/"), -1)).drop("source", "row_no")

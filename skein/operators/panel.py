@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from skein.functions import labels as L
 from skein.operators.filters import drop_placeholder
-from skein.operators.headers import contains_rule, group_columns, pick_occurrence
+from skein.operators.headers import contains_rule, group_columns
+from skein.operators.rows import table_context, with_header
 from skein.operators.unpivot import pair_groups, unpivot_paired, unpivot_wide
 
 
@@ -150,20 +151,14 @@ def _week_sequence(df: DataFrame, spec: PanelSpec, source) -> DataFrame:
 
 
 def _region_block(rows: DataFrame, spec: PanelSpec, keys: list[str]) -> DataFrame:
-    # One pass over the rows gives every per-table scalar (header, first/last
-    # body row, first date cell): a map-side partial aggregate, skew-safe.
-    is_body = F.col("row_no") > spec.header_row
-    body_no = F.when(is_body, F.col("row_no"))
-    info = rows.groupBy(*keys).agg(
-        F.first(F.when(F.col("row_no") == spec.header_row, F.col("cells")), ignorenulls=True).alias("_hdr"),
-        F.min(body_no).alias("_r0"), F.max(body_no).alias("_r1"),
-        F.min_by(F.get(F.col("cells"), spec.date_pos), body_no).alias("_d0"))
-    info = info.select(*keys, pick_occurrence("_hdr", spec.occurrence).alias("_blk"), "_r0", "_r1",
-                       L.parse_year_month(F.col("_d0")).alias("_m0"))
+    # Per-table context (header, first / last body row): attached by the reader
+    # when it parsed the file, else one partial aggregate + join (skew-safe).
+    j = table_context(rows, keys, spec.header_row)
+    j = j.select("*", F.col("first_row_no").alias("_r0"), F.col("last_row_no").alias("_r1"),
+                 L.parse_year_month(F.get(F.col("first_cells"), spec.date_pos)).alias("_m0"))
     if spec.cutoff is not None:
         cut = F.to_date(F.lit(spec.cutoff), "yyyyMM")
-        info = info.withColumn("_kcut", F.months_between(cut, F.col("_m0")).cast("int"))
-    j = rows.filter(is_body).join(info, keys)
+        j = j.withColumn("_kcut", F.months_between(cut, F.col("_m0")).cast("int"))
     k = F.col("row_no") - F.col("_r0")
     if spec.cutoff is not None:
         present = (F.col("_kcut") >= 0) & (F.col("_kcut") <= F.col("_r1") - F.col("_r0"))
@@ -172,13 +167,15 @@ def _region_block(rows: DataFrame, spec: PanelSpec, keys: list[str]) -> DataFram
                                                    F.concat_ws("/", *[F.col(x).cast("string") for x in keys])))
                    .cast("boolean")}[spec.on_missing]
         j = j.filter(F.when(present, k <= F.col("_kcut")).otherwise(missing))
-    entries = []
-    def has_label(name):
-        return lambda b: b["label"] == F.lit(name)
+    # Column of the n-th occurrence of each value name: O(width) per row, NULL when absent.
+    pairs = F.transform("hdr", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+
+    def position(name):
+        return F.try_element_at(F.filter(pairs, lambda p: p["h"] == F.lit(name)), F.lit(spec.occurrence))["i"]
 
+    entries = []
     for n in spec.value_names:
-        pos = F.element_at(F.filter(F.col("_blk"), has_label(n)), 1)["col_no"]
-        v = F.get(F.col("cells"), pos)
+        v = F.get(F.col("cells"), position(n))
         if spec.value_type:
             v = v.try_cast(spec.value_type)
         entries.append(F.struct(F.lit(n).alias(spec.label_col), v.alias(spec.value_col)))
@@ -209,7 +206,6 @@ def unpivot_panel_rows(rows: DataFrame, spec: PanelSpec, keys: Sequence[str] = (
         return _region_block(rows, spec, list(keys))
     keys = list(keys)
     value_types = value_types or {}
-    hdr = rows.filter(F.col("row_no") == header_row).select(*keys, F.col("cells").alias("_hdr"))
     cells = F.transform("_hdr", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
 
     def has(tok):
@@ -225,7 +221,7 @@ def unpivot_panel_rows(rows: DataFrame, spec: PanelSpec, keys: Sequence[str] = (
                                                         F.get(seconds, k)["i"].alias("b")))
         else:
             def partner(f):
-                return F.element_at(F.filter(seconds, lambda s: key(s["h"]) == key(f["h"])), -1)["i"]
+                return F.try_element_at(F.filter(seconds, lambda s: key(s["h"]) == key(f["h"])), F.lit(-1))["i"]
 
             fe = F.transform(firsts, lambda f: F.struct(key(f["h"]).alias("label"), f["i"].alias("a"),
                                                         partner(f).alias("b")))
@@ -251,8 +247,9 @@ def unpivot_panel_rows(rows: DataFrame, spec: PanelSpec, keys: Sequence[str] = (
     else:
         raise ValueError(f"unknown panel kind {spec.kind}")
 
-    info = hdr.select(*keys, "_hdr", entries.alias("_ent"), used.alias("_used"))
-    j = rows.filter(F.col("row_no") > header_row).join(info, keys)
+    j = with_header(rows, keys, header_row, hdr="_hdr") if "hdr" not in rows.columns else \
+        rows.filter(F.col("row_no") > header_row).withColumnRenamed("hdr", "_hdr")
+    j = j.select("*", entries.alias("_ent"), used.alias("_used"))
     if id_labels is not None:
         _check_names(id_labels, spec.label_col, *[o for o, _ in outs])
         id_cols = [F.get(F.col("cells"), F.array_position("_hdr", F.lit(x)).cast("int") - 1).alias(x)

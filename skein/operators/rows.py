@@ -41,10 +41,41 @@ def attach_header(body: DataFrame, header: DataFrame, keys: Sequence[str]) -> Da
 
 def with_header(rows: DataFrame, keys: Sequence[str], header_row: int = 0, cells: str = "cells",
                 hdr: str = "hdr") -> DataFrame:
+    """Body rows with their table's header as ``hdr``.
+
+    When the source already attached it (``read_xlsx(header_row=...)`` does,
+    inside the task that parsed the file) this is a plain filter; otherwise
+    the header rows are joined to the body rows on the table keys.
+    """
+    if hdr in rows.columns:
+        return rows.filter(F.col("row_no") > header_row)
     header, body = split_header(rows, keys, header_row, cells, hdr)
     return attach_header(body, header, keys)
 
 
+CONTEXT_COLS = ("hdr", "first_row_no", "first_cells", "last_row_no")
+
+
+def table_context(rows: DataFrame, keys: Sequence[str], header_row: int = 0, cells: str = "cells") -> DataFrame:
+    """Body rows with per-table context: ``hdr`` (header cells), ``first_row_no``
+    / ``first_cells`` (first body row) and ``last_row_no``.
+
+    Sources that read a whole table in one task attach these columns
+    themselves (no shuffle). Otherwise they come from one ``groupBy`` over the
+    rows (map-side partial aggregate: a table holding a third of all rows is
+    still combined on every mapper) joined back on the keys.
+    """
+    if all(c in rows.columns for c in CONTEXT_COLS):
+        return rows.filter(F.col("row_no") > header_row)
+    body_no = F.when(F.col("row_no") > header_row, F.col("row_no"))
+    info = rows.groupBy(*keys).agg(
+        F.first(F.when(F.col("row_no") == header_row, F.col(cells)), ignorenulls=True).alias("hdr"),
+        F.min(body_no).alias("first_row_no"),
+        F.min_by(F.col(cells), body_no).alias("first_cells"),
+        F.max(body_no).alias("last_row_no"))
+    return rows.filter(F.col("row_no") > header_row).join(info, list(keys))
+
+
 # ---- UNP1 over ragged rows -------------------------------------------------------------------
 
 def unpivot_rows(rows: DataFrame, keys: Sequence[str], id_labels: Sequence[str], header_row: int = 0,
@@ -57,7 +88,7 @@ def unpivot_rows(rows: DataFrame, keys: Sequence[str], id_labels: Sequence[str],
     ``keys..., row_no, <id_labels>..., label, value`` with nulls kept. A body row
     shorter than its header gives NULL values (``get`` never raises).
     """
-    joined = with_header(rows, keys, header_row, cells, "_hdr")
+    joined = with_header(rows, keys, header_row, cells, "hdr").withColumnRenamed("hdr", "_hdr")
     ids = F.array(*[F.lit(x) for x in id_labels])
     id_cols = [F.get(F.col(cells), F.array_position(F.col("_hdr"), F.lit(x)).cast("int") - 1).alias(x)
                for x in id_labels]
@@ -94,7 +125,7 @@ def zip_record(hdr, cells) -> Column:
 def record_get(record, key: str) -> Column:
     """Value for ``key``; with repeated keys the last wins (dict semantics)."""
     hits = F.filter(_c(record), lambda e: e["key"] == F.lit(key))
-    return F.when(F.size(hits) > 0, F.element_at(hits, -1)["value"])
+    return F.try_element_at(hits, F.lit(-1))["value"]
 
 
 def select_record(df: DataFrame, record: str, keys: Sequence[str], names: Sequence[str] | None = None,

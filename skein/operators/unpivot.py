@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -139,3 +139,36 @@ def concat_by_position(left: DataFrame, right: DataFrame, on: Sequence[str], pos
     the tail of the longer side like a positional inner concat.
     """
     return left.join(right, list(on) + [pos_col], how)
+
+
+def concat_by_rank(left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   left_cols: Sequence[str], right_cols: Sequence[str], pos_col: str = "pos",
+                   how: str = "inner") -> DataFrame:
+    """JON1 when positions must first be computed: the n-th row of ``left``
+    beside the n-th row of ``right`` within each key, rows ranked by ``order``.
+
+    One shuffle: both sides are tagged, unioned and hash-partitioned on the
+    keys once; ranking (a window per key and side) and pairing (an aggregate
+    per key and position) both reuse that partitioning. Meant for bounded
+    groups (the rows of one order, one table); ``inner`` drops the tail of the
+    longer side, ``outer`` keeps it with NULLs.
+    """
+    keys, order = list(keys), list(order)
+
+    lv = F.struct(*[F.col(c) for c in left_cols])
+    rv = F.struct(*[F.col(c) for c in right_cols])
+    l_type = left.select(lv.alias("v")).schema["v"].dataType.simpleString()
+    r_type = right.select(rv.alias("v")).schema["v"].dataType.simpleString()
+    lt = left.select(*keys, *order, F.lit(0).alias("_side"), lv.alias("_l"), F.lit(None).cast(r_type).alias("_r"))
+    rt = right.select(*keys, *order, F.lit(1).alias("_side"), F.lit(None).cast(l_type).alias("_l"), rv.alias("_r"))
+    both = lt.unionByName(rt).repartition(*keys)
+    w = Window.partitionBy(*keys, "_side").orderBy(*order)
+    ranked = both.select(*keys, "_l", "_r", F.row_number().over(w).cast("int").alias(pos_col))
+    paired = ranked.groupBy(*keys, pos_col).agg(F.first("_l", ignorenulls=True).alias("_l"),
+                                                F.first("_r", ignorenulls=True).alias("_r"))
+    if how == "inner":
+        paired = paired.filter(F.col("_l").isNotNull() & F.col("_r").isNotNull())
+    elif how != "outer":
+        raise ValueError("how must be inner or outer")
+    return paired.select(*keys, pos_col, *[F.col("_l")[c].alias(c) for c in left_cols],
+                         *[F.col("_r")[c].alias(c) for c in right_cols])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from skein.operators.filters import iso_week_range
 from skein.plans.tables import table
+from skein.session import shared_dir
 
 # Fixed domain values of the TPC-H tables used as header labels.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -26,6 +27,14 @@ PANEL_YEAR = 1996                  # weekly panels cover ISO year 1996 (Monday 1
 MONTH_FIRST, MONTH_YEARS = 1995, 7  # monthly panels cover 1995-01 .. 2001-12
 
 
+def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Write a small derived aggregate once (reliable checkpoint in the shared
+    folder) so the several branches that read it do not recompute the joins
+    and aggregation under it."""
+    shared_dir(spark)
+    return df.checkpoint(eager=True)
+
+
 def price(col: str = "o_totalprice"):
     return F.col(col).cast("decimal(18,2)")
 
@@ -120,7 +129,7 @@ def region_block_rows(spark: SparkSession, sf_dir: str, regions: int = 3,
     k = ((F.year("o_orderdate") - MONTH_FIRST) * 12 + F.month("o_orderdate") - 1).cast("int")
     j = j.withColumn("k", k).filter((F.col("k") >= 0) & (F.col("k") < len(months)))
     key = F.concat(F.col("n_regionkey").cast("string"), F.lit("|"), F.col("c_mktsegment"))
-    seg = j.groupBy("k", "n_regionkey", "c_mktsegment").count().withColumn("key", key)
+    seg = cut_lineage(spark, j.groupBy("k", "n_regionkey", "c_mktsegment").count()).withColumn("key", key)
     tot = (seg.groupBy("k", "n_regionkey").agg(F.sum("count").alias("count"))
            .withColumn("key", F.concat(F.col("n_regionkey").cast("string"), F.lit("|Total"))))
     cells_by_k = (seg.select("k", "key", "count").unionByName(tot.select("k", "key", "count"))
@@ -157,7 +166,7 @@ def ragged_nation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     priorities in a nation-specific order (rotated by nation key); one body row
     per segment with order counts as text (NULL when none)."""
     j = orders_placed(spark, sf_dir)
-    cnt = j.groupBy("n_name", "n_regionkey", "c_mktsegment", "o_orderpriority").count()
+    cnt = cut_lineage(spark, j.groupBy("n_name", "n_regionkey", "c_mktsegment", "o_orderpriority").count())
     nat = table(spark, sf_dir, "nation").select("n_name", "n_nationkey")
     pr = F.array(*[F.lit(p) for p in PRIORITIES])
     rot = F.transform(pr, lambda p, i: F.element_at(pr, ((i + F.col("n_nationkey")) % 5 + 1).cast("int")))

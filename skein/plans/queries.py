@@ -8,11 +8,11 @@ columns match the oracle SQL in ``skein.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions.labels import entry_value, kv_entries
-from skein.operators import concat_by_position, pivot_back, unpivot_wide
+from skein.operators import concat_by_rank, pivot_back, unpivot_wide
 from skein.operators.filters import drop_placeholder as _drop_placeholder
 from skein.operators.filters import report_filter as _report_filter
 from skein.operators.filters import truncate_after_first as _truncate_after_first
@@ -67,18 +67,19 @@ def unpivot_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pair_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JON1: n-th returned ('R') line of an order beside its n-th accepted ('A')
-    line; the longer side's tail is dropped (positional inner concat)."""
+    line; the longer side's tail is dropped (positional inner concat).
+    Position = rank inside one order (a bounded group); one shuffle."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                  "l_quantity", "l_returnflag")
-    # Position inside an order: a window over one order's lines (bounded group).
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
 
     def side(flag, tag):
-        s = li.filter(F.col("l_returnflag") == flag)
-        return s.select("l_orderkey", F.row_number().over(w).cast("int").alias("pos"),
-                        F.col("l_linenumber").alias(f"{tag}_linenumber"), F.col("l_quantity").alias(f"{tag}_quantity"))
+        return li.filter(F.col("l_returnflag") == flag).select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            F.col("l_linenumber").alias(f"{tag}_linenumber"), F.col("l_quantity").alias(f"{tag}_quantity"))
 
-    return concat_by_position(side("R", "left"), side("A", "right"), ["l_orderkey"], "pos")
+    return concat_by_rank(side("R", "left"), side("A", "right"), ["l_orderkey"],
+                          ["l_linenumber", "l_partkey", "l_suppkey"],
+                          ["left_linenumber", "left_quantity"], ["right_linenumber", "right_quantity"])
 
 
 def pivot_back_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,7 +347,7 @@ def xlsx_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(*PART_COLS)
     _run_writes(write_xlsx(part, root, sheet="Data", cover_sheet="Cover", rows_per_file=500,
                            lead_rows=[["Parts list"], ["all brands"], [], ["(not read)"]]))
-    rows = read_xlsx(spark, root, sheet="Data")
+    rows = read_xlsx(spark, root, sheet="Data", header_row=4)
     return _part_records(rows, header_row=4).drop("source")
 
 
@@ -362,7 +363,7 @@ def path_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     _run_writes(write_xlsx(part, f"{root}/MX", name_pattern="panel_{part:05d}{file:03d}_pivoted.xlsx",
                            rows_per_file=500))
     _run_writes(write_xlsx(part, f"{root}/MX/sub", rows_per_file=500))
-    rows = read_xlsx(spark, f"{root}/MX", exclude="pivoted")
+    rows = read_xlsx(spark, f"{root}/MX", exclude="pivoted", header_row=0)
     recs = _part_records(rows, header_row=0)
     return recs.select(parent_dir("source").alias("country"), start_year("source").alias("start_year"),
                        "p_partkey", "p_name")
@@ -419,7 +420,7 @@ def unpivot_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     for y in PANEL_YEARS:
         _run_writes(write_xlsx(I.weekly_paired_panel(spark, sf_dir, y), f"{root}/MX",
                                name_pattern=f"weekly_{y}_{{part:05d}}{{file:03d}}.xlsx"))
-    rows = read_xlsx(spark, f"{root}/MX")
+    rows = read_xlsx(spark, f"{root}/MX", header_row=0)
     long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
                               value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
     return long.drop("source", "row_no")

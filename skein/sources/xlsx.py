@@ -149,15 +149,30 @@ def list_files(spark: SparkSession, path: str, exclude: str | None = None, glob:
 
 
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, exclude: str | None = None,
-              glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """Ragged rows of one sheet of every workbook under ``path`` (SRC1/SRC2/SRC3)."""
+              glob: str | None = None, recursive: bool = False, header_row: int | None = None) -> DataFrame:
+    """Ragged rows of one sheet of every workbook under ``path`` (SRC1/SRC2/SRC3).
+
+    With ``header_row`` (0-based physical row) only the rows below it are
+    emitted, each carrying its file's context, computed in the task that parsed
+    the file: ``hdr`` (header cells), ``first_row_no`` / ``first_cells`` (first
+    body row) and ``last_row_no``. Operators then need no header join and the
+    file is parsed once.
+    """
     files = list_files(spark, path, exclude=exclude, glob=glob, recursive=recursive)
-    return read_xlsx_files(files, sheet)
+    return read_xlsx_files(files, sheet, header_row=header_row)
+
+
+CONTEXT_SCHEMA = "hdr array<string>, first_row_no int, first_cells array<string>, last_row_no int"
 
 
-def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int = 8192) -> DataFrame:
-    schema = pa.schema([("source", pa.string()), ("file_name", pa.string()), ("sheet", pa.string()),
-                        ("row_no", pa.int32()), ("cells", pa.list_(pa.string()))])
+def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int = 8192,
+                    header_row: int | None = None) -> DataFrame:
+    fields = [("source", pa.string()), ("file_name", pa.string()), ("sheet", pa.string()),
+              ("row_no", pa.int32()), ("cells", pa.list_(pa.string()))]
+    if header_row is not None:
+        fields += [("hdr", pa.list_(pa.string())), ("first_row_no", pa.int32()),
+                   ("first_cells", pa.list_(pa.string())), ("last_row_no", pa.int32())]
+    schema = pa.schema(fields)
 
     def run(batches):
         out = {k: [] for k in schema.names}
@@ -165,19 +180,33 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
             for p, fn, content in zip(b.column("path").to_pylist(), b.column("file_name").to_pylist(),
                                       b.column("content").to_pylist()):
                 name, rows = read_sheet(content, sheet)
+                ctx = None
+                if header_row is not None:
+                    hdr = next((c for r, c in rows if r == header_row), None)
+                    body = [(r, c) for r, c in rows if r > header_row]
+                    if hdr is None or not body:
+                        continue
+                    ctx = (hdr, body[0][0], body[0][1], body[-1][0])
+                    rows = body
                 for r_no, cells in rows:
                     out["source"].append(p)
                     out["file_name"].append(fn)
                     out["sheet"].append(name)
                     out["row_no"].append(r_no)
                     out["cells"].append(cells)
+                    if ctx is not None:
+                        out["hdr"].append(ctx[0])
+                        out["first_row_no"].append(ctx[1])
+                        out["first_cells"].append(ctx[2])
+                        out["last_row_no"].append(ctx[3])
                     if len(out["source"]) >= batch_rows:
                         yield pa.RecordBatch.from_pydict(out, schema=schema)
                         out = {k: [] for k in schema.names}
         if out["source"]:
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
-    return files.select("path", "file_name", "content").mapInArrow(run, ROWS_SCHEMA)
+    ddl = ROWS_SCHEMA + (", " + CONTEXT_SCHEMA if header_row is not None else "")
+    return files.select("path", "file_name", "content").mapInArrow(run, ddl)
 
 
 # ---- writer ----------------------------------------------------------------------------------

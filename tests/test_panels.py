@@ -153,6 +153,7 @@ def test_rows_mode_equals_wide_mode(spark):
     cases = [(mx_frame(spark), MX, ["product"], None),
              (mx_frame(spark, lc_order=("Lc SEM - 02/2019", "Lc SEM - 01/2019")), MX, ["product"], None),
              (mx_frame(spark, drop_lc="Lc SEM - 02/2019"), MX.replace(pair_by="position"), ["product"], None),
+             (mx_frame(spark, drop_lc="Lc SEM - 02/2019"), MX, ["product"], None),
              (spark.createDataFrame([("A", "m1", 1.0, 2.0), ("B", "m2", None, 4.0)],
                                     "product string, maker string, `2019/1-` double, `2019/10-` double"),
               JP, ["product", "maker"], None),

@@ -45,3 +45,16 @@ def test_filter_on_id_reaches_the_scan(spark):
     out = unpivot_wide(li, IDS, VALS, "m", "v").filter(F.col("l_orderkey") < 10)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_orderkey), LessThan(l_orderkey,10)]" in plan
+
+
+def test_concat_by_rank_inner_and_outer(spark):
+    from skein.operators import concat_by_rank
+
+    left = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "c"), (2, 1, "d")], "k int, o int, lv string")
+    right = spark.createDataFrame([(1, 5, "x"), (1, 9, "y"), (3, 1, "z")], "k int, o int, rv string")
+    inner = concat_by_rank(left, right, ["k"], ["o"], ["lv"], ["rv"])
+    plan = inner._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(inner) == [(1, 1, "a", "x"), (1, 2, "b", "y")]
+    outer = concat_by_rank(left, right, ["k"], ["o"], ["lv"], ["rv"], how="outer")
+    assert len(outer.collect()) == 5
