@@ -174,3 +174,10 @@ def explode_body(tables: DataFrame, keep: Sequence[str], body_from: int, rows: s
     body = F.filter(_c(rows), lambda r: r["row_no"] >= body_from)
     return tables.select(*keep, *[v.alias(k) for k, v in extra.items()], F.explode(body).alias("_row")) \
         .select(*keep, *extra.keys(), "_row.*")
+
+
+def drop_keys(record, keys: Sequence[str]) -> Column:
+    """PRJ10 on records: remove entries whose key is one of ``keys`` (e.g. the
+    column with an empty name)."""
+    bad = F.array(*[F.lit(k) for k in keys])
+    return F.filter(_c(record), lambda e: ~F.array_contains(bad, e["key"]))

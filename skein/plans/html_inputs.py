@@ -147,3 +147,50 @@ def form_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     form = F.concat(raw("<form method=\"post\">"), vs, gen, ev, ev2, raw("</form>"))
     html = F.replace(F.col("html"), raw("<body>"), F.concat(raw("<body>"), form))
     return pg.select("page_id", html.alias("html"))
+
+
+def supplier_browser_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report-2 browser pages: every row has divs and no span, so all rows are
+    'header' rows; row 1 holds the column names (the first one empty), rows 2+
+    are data; a negative balance is shown as NBSP."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = s.join(n, s.s_nationkey == n.n_nationkey).withColumn("blk", F.floor(F.col("s_suppkey") / PAGE_KEYS))
+    bal = F.when(F.col("s_acctbal") < 0, raw("&nbsp;")).otherwise(esc(money("s_acctbal")))
+    row = F.concat(raw("<tr>"), _div(raw("&nbsp;")), _div(F.col("s_suppkey").cast("string")),
+                   _div(esc(F.col("s_name"))), _div(bal), raw("</tr>"))
+    g = j.groupBy("n_nationkey", "n_name", "blk").agg(
+        F.array_sort(F.collect_list(F.struct("s_suppkey", row.alias("row")))).alias("rs"))
+    head = F.concat(raw("<tr>"), _div(raw("Report")), _div(esc(F.col("n_name"))), raw("</tr>"),
+                    raw("<tr>"), _div(raw("")), _div(raw("Supplier")), _div(raw("Name")), _div(raw("Balance")),
+                    raw("</tr>"))
+    inner = F.concat(raw("<table>"), head, F.array_join(F.transform("rs", lambda x: x["row"]), ""), raw("</table>"))
+    html = F.concat(raw("<html><body><div id=\"VisibleReportContentctl_ReportViewer_ctl09\"><div>"),
+                    _wrap(inner, 4, 0), raw("</div></div></body></html>"))
+    return g.select((F.col("blk") * 100 + F.col("n_nationkey")).cast("long").alias("page_id"), html.alias("html"))
+
+
+def order_browser_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report-12 browser pages, one per region: a title header row, a column
+    header row starting with an empty cell, a first body row 'Data from : All
+    sites', then one body row per nation and year (orders, urgent orders; NBSP
+    when zero), each starting with an empty cell."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    agg = j.groupBy("n_regionkey", "n_nationkey", "n_name", F.year("o_orderdate").alias("yr")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
+    row = F.concat(raw("<tr>"), _div(raw("")), _div(esc(F.col("n_name")), span=True),
+                   _div(F.col("yr").cast("string")), _div(F.col("cnt").cast("string")),
+                   _div(_count_cell(F.col("urgent"))), raw("</tr>"))
+    g = agg.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "yr", row.alias("row"))))
+                                       .alias("rs"))
+    head = ("<tr><td><div>Flu report</div></td><td><div>by country</div></td></tr>"
+            "<tr><td><div></div></td><td><div>Country</div></td><td><div>Year</div></td>"
+            "<td><div>Orders</div></td><td><div>Urgent</div></td></tr>"
+            "<tr><td><div><span>Data from : All sites</span></div></td><td><div></div></td></tr>")
+    inner = F.concat(raw("<table>" + head), F.array_join(F.transform("rs", lambda x: x["row"]), ""), raw("</table>"))
+    html = F.concat(raw("<html><body><div id=\"VisibleReportContentctl_ReportViewer_ctl09\"><div>"),
+                    _wrap(inner, 4, 0), raw("</div></div></body></html>"))
+    return g.select(F.col("n_regionkey").cast("long").alias("page_id"), html.alias("html"))

@@ -239,3 +239,16 @@ SELECT g.o_orderstatus, g.o_orderpriority,
 FROM g CROSS JOIN m
 LEFT JOIN a ON a.o_orderpriority = g.o_orderpriority AND a.o_orderstatus = g.o_orderstatus AND a.k = m.k
 """
+
+ORACLE["html_header_rows_as_body"] = """
+SELECT n_name, s_suppkey, s_name,
+       CASE WHEN s_acctbal < 0 THEN '' ELSE CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS balance
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+"""
+
+ORACLE["html_skip_first_body_row"] = f"""
+SELECT n_name AS "Country", CAST(year(o_orderdate) AS VARCHAR) AS "Year", CAST(count(*) AS VARCHAR) AS "Orders",
+       CASE WHEN count(*) FILTER (WHERE o_orderpriority = '1-URGENT') = 0 THEN ''
+            ELSE CAST(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS VARCHAR) END AS "Urgent"
+FROM {_PLACED} GROUP BY n_name, year(o_orderdate)
+"""

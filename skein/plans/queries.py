@@ -450,3 +450,46 @@ QUERIES.update({
     "unpivot_panel_files": unpivot_panel_files,
     "convert_folder": convert_folder_monthly,
 })
+
+
+# ---- browser variants of the reports ---------------------------------------------------------
+
+from skein.operators.headers import drop_first_empty as _drop_first_empty  # noqa: E402
+from skein.operators.rows import drop_keys  # noqa: E402
+
+
+def _kinds(rows_col: str, kind: str):
+    return F.filter(rows_col, lambda r: classify_row(r["n_div"], r["n_span"]) == kind)
+
+
+def html_header_rows_as_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report-2 browser variant (row kinds as a parameter, PRJ10, PRJ14, PRJ16):
+    all rows classify as 'header'; header row 1 names the columns, header rows
+    2+ are the data, transposed by index; the empty-named column is dropped and
+    NBSP cells blanked."""
+    t = parse_tables(H.supplier_browser_pages(spark, sf_dir), min_depth=5)
+    heads = _kinds("rows", "header")
+    body = t.select(F.get(heads, 0)["cells"][1].alias("n_name"), F.get(heads, 1)["cells"].alias("cols"),
+                    F.explode(F.slice(heads, 3, 1 << 30)).alias("b"))
+    rec = body.select("n_name", drop_keys(zip_record("cols", blank_cells(F.col("b")["cells"])), [""]).alias("r"))
+    return rec.select("n_name", record_get("r", "Supplier").cast("bigint").alias("s_suppkey"),
+                      record_get("r", "Name").alias("s_name"), record_get("r", "Balance").alias("balance"))
+
+
+def html_skip_first_body_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report-12 browser variant (PRJ11, FLT3, FLT5, PRJ14, PRJ16): the first
+    empty header cell is removed, the first body row ('Data from : All sites')
+    is dropped, empty body cells are removed, cells are matched to the header
+    by index and NBSP cells blanked."""
+    t = parse_tables(H.order_browser_pages(spark, sf_dir), min_depth=5)
+    heads, bodies = _kinds("rows", "header"), _kinds("rows", "body")
+    body = t.select(_drop_first_empty(F.get(heads, 1)["cells"]).alias("cols"),
+                    F.explode(F.slice(bodies, 2, 1 << 30)).alias("b"))
+    rec = body.select(zip_record("cols", blank_cells(compact_cells(F.col("b")["cells"]))).alias("r"))
+    return rec.select(*[record_get("r", k).alias(k) for k in ("Country", "Year", "Orders", "Urgent")])
+
+
+QUERIES.update({
+    "html_header_rows_as_body": html_header_rows_as_body,
+    "html_skip_first_body_row": html_skip_first_body_row,
+})
