@@ -252,3 +252,5 @@ SELECT n_name AS "Country", CAST(year(o_orderdate) AS VARCHAR) AS "Year", CAST(c
             ELSE CAST(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS VARCHAR) END AS "Urgent"
 FROM {_PLACED} GROUP BY n_name, year(o_orderdate)
 """
+
+ORACLE["stream_panel_files"] = ORACLE["unpivot_panel_files"]

@@ -493,3 +493,25 @@ QUERIES.update({
     "html_header_rows_as_body": html_header_rows_as_body,
     "html_skip_first_body_row": html_skip_first_body_row,
 })
+
+
+from skein.streaming.unpivot_stream import start_sink, stream_workbooks  # noqa: E402
+
+
+def stream_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1 over workbooks: the MX folder of unpivot_panel_files consumed as a
+    file stream (availableNow; the checkpoint remembers processed files), each workbook parsed
+    once with its header attached, melted without joins, appended to parquet."""
+    root = scratch_path(spark, "stream_panel_files")
+    for y in PANEL_YEARS:
+        _run_writes(write_xlsx(I.weekly_paired_panel(spark, sf_dir, y), f"{root}/MX",
+                               name_pattern=f"weekly_{y}_{{part:05d}}{{file:03d}}.xlsx"))
+    rows = stream_workbooks(spark, f"{root}/MX", header_row=0)
+    long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
+                              value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
+    q = start_sink(long.drop("source", "row_no"), f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+QUERIES["stream_panel_files"] = stream_panel_files

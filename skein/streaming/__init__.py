@@ -1,3 +1,9 @@
-from skein.streaming.unpivot_stream import start_batch_stream, start_unpivot_stream, stream_files
+from skein.streaming.unpivot_stream import (
+    start_batch_stream,
+    start_sink,
+    start_unpivot_stream,
+    stream_files,
+    stream_workbooks,
+)
 
-__all__ = ["start_batch_stream", "start_unpivot_stream", "stream_files"]
+__all__ = ["start_batch_stream", "start_sink", "start_unpivot_stream", "stream_files", "stream_workbooks"]

@@ -44,3 +44,30 @@ def start_batch_stream(stream: DataFrame, fn: Callable[[DataFrame, int], None],
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def stream_workbooks(spark: SparkSession, folder: str, sheet: str | None = None, header_row: int = 0,
+                     exclude: str | None = "pivoted", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Workbooks arriving in ``folder`` as a stream of ragged rows with their
+    file's header context (see ``read_xlsx``): ``binaryFile`` file stream +
+    the same Arrow parse. Each file is parsed once, in one task, so every
+    layout but the sorted region block runs on it without state or joins."""
+    from pyspark.sql import functions as F
+
+    from skein.sources.xlsx import read_xlsx_files
+
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    r = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.xlsx")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    files = r.load(folder).withColumn("file_name", F.element_at(F.split(F.col("path"), "/"), -1))
+    if exclude:
+        files = files.filter(~F.col("file_name").contains(exclude))
+    return read_xlsx_files(files, sheet, header_row=header_row)
+
+
+def start_sink(long: DataFrame, sink_dir: str, checkpoint_dir: str, available_now: bool = True,
+               fmt: str = "parquet") -> StreamingQuery:
+    w = long.writeStream.format(fmt).option("checkpointLocation", checkpoint_dir).outputMode("append")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start(sink_dir)
