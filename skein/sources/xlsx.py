@@ -138,9 +138,11 @@ def list_files(spark: SparkSession, path: str, exclude: str | None = None, glob:
         df = reader.load(path)
     else:
         df = reader.option("recursiveFileLookup", "true").load(path)
+        # Files directly in the folder; a path naming one file keeps that file (SRC4).
         base = path.rstrip("/")
+        tail = base.split(":", 1)[-1] if "://" not in base else base
         parent = F.regexp_replace(F.col("path"), "/[^/]*$", "")
-        df = df.filter(parent.endswith(base.split(":", 1)[-1]) if "://" not in base else parent == base)
+        df = df.filter(parent.endswith(tail) | F.col("path").endswith(tail))
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     df = df.withColumn("file_name", name)
     if exclude:

@@ -66,3 +66,11 @@ def test_pipe_csv_round_trip_with_quotes_and_empties(spark):
     assert [(r["a"], r["b"], r["p"]) for r in back] == [(1, 'say "hi" | x', "k"), (2, None, "k"), (3, None, "m")]
     text = "".join(open(os.path.join(dp, f)).read() for dp, _, fs in os.walk(out) for f in fs if f.endswith(".csv"))
     assert '"say ""hi"" | x"' in text
+
+
+def test_single_file_path(spark):
+    root = tempfile.mkdtemp(prefix="skein-one-")
+    with open(f"{root}/x_pivoted.xlsx", "wb") as f:
+        f.write(build_workbook([("S", [["id"], ["a"]])]))
+    # a file named on purpose is read even if its name holds the skip text (no exclusion given)
+    assert read_xlsx(spark, f"{root}/x_pivoted.xlsx").count() == 2
