@@ -118,14 +118,15 @@ def weekly_text_panel(spark: SparkSession, sf_dir: str, year: int = PANEL_YEAR)
 WEEKLY_TEXT_SOURCE = f"orders_status_priority_weekly_{PANEL_YEAR}0101-x.xlsx"
 
 
-def region_block_rows(spark: SparkSession, sf_dir: str, regions: int = 3,
+def region_block_rows(spark: SparkSession, sf_dir: str, regions=(0, 1, 2),
                       source: str = "asia_visitors.xlsx") -> DataFrame:
     """Ragged rows (CN layout) of one sheet: 4 title rows, a header row
     ``No, Period`` + (``Total`` + segments) per region block, one body row per
     month (every calendar month, with or without orders) and a summary row.
     Cells hold order counts as text, '' when zero."""
     months = month_list()
-    j = orders_placed(spark, sf_dir).filter(F.col("n_regionkey") < regions)
+    regions = tuple(regions)
+    j = orders_placed(spark, sf_dir).filter(F.col("n_regionkey").isin(*regions))
     k = ((F.year("o_orderdate") - MONTH_FIRST) * 12 + F.month("o_orderdate") - 1).cast("int")
     j = j.withColumn("k", k).filter((F.col("k") >= 0) & (F.col("k") < len(months)))
     key = F.concat(F.col("n_regionkey").cast("string"), F.lit("|"), F.col("c_mktsegment"))
@@ -134,7 +135,7 @@ def region_block_rows(spark: SparkSession, sf_dir: str, regions: int = 3,
            .withColumn("key", F.concat(F.col("n_regionkey").cast("string"), F.lit("|Total"))))
     cells_by_k = (seg.select("k", "key", "count").unionByName(tot.select("k", "key", "count"))
                   .groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("key", "count"))).alias("m")))
-    names = [f"{r}|{x}" for r in range(regions) for x in ("Total",) + SEGMENTS]
+    names = [f"{r}|{x}" for r in regions for x in ("Total",) + SEGMENTS]
 
     def cell(m, nm):
         return F.coalesce(m[nm].cast("string"), F.lit(""))
@@ -153,7 +154,7 @@ def region_block_rows(spark: SparkSession, sf_dir: str, regions: int = 3,
                .agg(F.map_from_entries(F.collect_list(F.struct("key", "count"))).alias("m"))
                .select(F.lit(5 + len(months)).alias("row_no"),
                        F.array(F.lit(""), F.lit("Total"), *[cell(F.col("m"), nm) for nm in names]).alias("cells")))
-    header = ["No", "Period"] + [x for _ in range(regions) for x in ("Total",) + SEGMENTS]
+    header = ["No", "Period"] + [x for _ in regions for x in ("Total",) + SEGMENTS]
     top = spark.createDataFrame(
         [(0, ["Visitor arrivals"]), (1, ["by region and purpose"]), (2, [""]), (3, ["(persons)"]),
          (4, header)], "row_no int, cells array<string>")

@@ -254,3 +254,16 @@ FROM {_PLACED} GROUP BY n_name, year(o_orderdate)
 """
 
 ORACLE["stream_panel_files"] = ORACLE["unpivot_panel_files"]
+
+ORACLE["convert_folder_blocks"] = f"""
+WITH a AS (SELECT n_regionkey, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k, c_mktsegment AS seg,
+                  count(*) AS n
+           FROM {_PLACED} WHERE n_regionkey IN (2, 4) GROUP BY ALL),
+f AS (SELECT * FROM (VALUES ('visitors_a.xlsx', 2), ('visitors_b.xlsx', 4)) f(file, reg)),
+m AS (SELECT range AS k FROM range(0, 72))
+SELECT 'ASIA' AS Country,
+       CAST(1995 + m.k // 12 AS VARCHAR) || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS Date,
+       s.seg AS Visit_Purpose, a.n AS Visitors, f.file
+FROM f CROSS JOIN m CROSS JOIN {_SEGMENTS}
+LEFT JOIN a ON a.n_regionkey = f.reg AND a.k = m.k AND a.seg = s.seg
+"""

@@ -515,3 +515,26 @@ def stream_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["stream_panel_files"] = stream_panel_files
+
+
+from skein.sources.xlsx import write_xlsx_rows  # noqa: E402
+
+CN_FILES = {"visitors_a.xlsx": (0, 1, 2), "visitors_b.xlsx": (2, 3, 4)}
+
+
+def convert_folder_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CN end to end (SRC2 + the region block layout through files): a CN folder
+    of two workbooks (cover sheet first, data on sheet 'Asia' below three title
+    rows and an ignored row), third header block of each melted in one job,
+    written as pipe CSV per file and read back."""
+    root = scratch_path(spark, "convert_blocks")
+    rows = None
+    for name, regions in CN_FILES.items():
+        r = I.region_block_rows(spark, sf_dir, regions=regions, source=name)
+        rows = r if rows is None else rows.unionByName(r)
+    _run_writes(write_xlsx_rows(rows, f"{root}/CN", sheet="Asia", cover_sheet="Notes"))
+    convert_folder(spark, f"{root}/CN", out_dir=f"{root}/out", spec=REGION_BLOCK_SPEC)
+    return read_pipe_csv(spark, f"{root}/out", "Country string, Date string, Visit_Purpose string, Visitors bigint")
+
+
+QUERIES["convert_folder_blocks"] = convert_folder_blocks

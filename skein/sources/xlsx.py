@@ -323,3 +323,41 @@ def write_xlsx(df: DataFrame, directory: str, name_pattern: str = "part_{part:05
             yield last
 
     return df.mapInArrow(run, "path string, n_rows long")
+
+
+def write_xlsx_rows(rows: DataFrame, directory: str, file_col: str = "source", sheet: str = "Sheet1",
+                    cover_sheet: str | None = None) -> DataFrame:
+    """Ragged rows (``file_col, row_no, cells``) to one workbook per file, each
+    row at its ``row_no``. A file's rows are brought to one task (a workbook
+    has one writer) and sorted there. Returns the lazy list of written files."""
+    local_dir = directory.replace("file:", "", 1)
+    r = rows.select(F.col(file_col).alias("_f"), "row_no", "cells").repartition("_f") \
+        .sortWithinPartitions("_f", "row_no")
+    out_schema = pa.schema([("path", pa.string()), ("n_rows", pa.int64())])
+
+    def run(batches):
+        cur, body = None, []
+
+        def flush():
+            sheets = ([(cover_sheet, [["cover"]])] if cover_sheet else []) + [(sheet, body)]
+            os.makedirs(local_dir, exist_ok=True)
+            path = os.path.join(local_dir, os.path.basename(cur))
+            with open(path + ".tmp", "wb") as f:
+                f.write(build_workbook(sheets))
+            os.replace(path + ".tmp", path)
+            return pa.RecordBatch.from_pydict({"path": [path], "n_rows": [len(body)]}, schema=out_schema)
+
+        for b in batches:
+            d = b.to_pydict()
+            for f, n, cells in zip(d["_f"], d["row_no"], d["cells"]):
+                if f != cur:
+                    if cur is not None:
+                        yield flush()
+                    cur, body = f, []
+                while len(body) < n:
+                    body.append([])
+                body.append(list(cells or []))
+        if cur is not None:
+            yield flush()
+
+    return r.mapInArrow(run, "path string, n_rows long")
