@@ -30,6 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SECTIONS = {"thead", "tbody", "tfoot"}
+# Output Arrow batches are cut at these sizes so a task never holds all of its output.
+OUT_TABLES = 256
+OUT_ITEMS = 8192
 _CELLS = {"td", "th"}
 
 
@@ -217,11 +220,14 @@ def parse_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     attrs = dict(table_attrs or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = {k: [] for k in _TABLE_ARROW.names}
         for b in batches:
             ids = b.column(id_col).to_pylist()
             docs = b.column(html_col).to_pylist()
-            out = {k: [] for k in _TABLE_ARROW.names}
             for pid, doc in zip(ids, docs):
+                if len(out["page_id"]) >= OUT_TABLES:
+                    yield pa.RecordBatch.from_pydict(out, schema=_TABLE_ARROW)
+                    out = {k: [] for k in _TABLE_ARROW.names}
                 if doc is None:
                     continue
                 p = PageParser()
@@ -240,6 +246,7 @@ def parse_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
                     out["rows"].append(t["rows"])
                     if first_only:
                         break
+        if out["page_id"]:
             yield pa.RecordBatch.from_pydict(out, schema=_TABLE_ARROW)
 
     return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(
@@ -251,9 +258,12 @@ def parse_elements(pages: DataFrame, tag: str = "li", id_col: str = "page_id", h
     schema = pa.schema([(id_col, pa.int64()), ("item_no", pa.int32()), ("text", pa.string())])
 
     def run(batches):
+        out = {id_col: [], "item_no": [], "text": []}
         for b in batches:
-            out = {id_col: [], "item_no": [], "text": []}
             for pid, doc in zip(b.column(id_col).to_pylist(), b.column(html_col).to_pylist()):
+                if len(out[id_col]) >= OUT_ITEMS:
+                    yield pa.RecordBatch.from_pydict(out, schema=schema)
+                    out = {id_col: [], "item_no": [], "text": []}
                 if doc is None:
                     continue
                 p = PageParser(element_tags=(tag,), want_tables=False)
@@ -263,6 +273,7 @@ def parse_elements(pages: DataFrame, tag: str = "li", id_col: str = "page_id", h
                     out[id_col].append(pid)
                     out["item_no"].append(i)
                     out["text"].append(text)
+        if out[id_col]:
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(

@@ -20,6 +20,7 @@ Writing: each task writes its partition as one workbook into a shared folder
 from __future__ import annotations
 
 import io
+import itertools
 import os
 import re
 import uuid
@@ -81,8 +82,7 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     return out
 
 
-def read_sheet(content: bytes, sheet: str | None = None) -> tuple[str, list[tuple[int, list]]]:
-    """``(sheet_name, [(row_no, cells)])`` of one workbook (first sheet by default)."""
+def _open_sheet(content: bytes, sheet: str | None):
     z = zipfile.ZipFile(io.BytesIO(content))
     sheets = _sheet_paths(z)
     if sheet is None:
@@ -92,34 +92,74 @@ def read_sheet(content: bytes, sheet: str | None = None) -> tuple[str, list[tupl
         if not match:
             raise ValueError(f"sheet {sheet!r} not found; sheets: {[s[0] for s in sheets]}")
         name, path = match[0]
+    return z, name, path
+
+
+def _cell_value(c, shared):
+    t = c.get("t", "n")
+    v = c.find(_M + "v")
+    if t == "s":
+        return shared[int(v.text)] if v is not None else None
+    if t == "inlineStr":
+        return "".join(x.text or "" for x in c.iter(_M + "t"))
+    if t == "b":
+        return None if v is None else ("TRUE" if v.text == "1" else "FALSE")
+    return v.text if v is not None else None
+
+
+def iter_sheet(content: bytes, sheet: str | None = None):
+    """``(sheet_name, iterator of (row_no, cells))``: rows streamed from the
+    compressed sheet in order; empty rows between the first and last stored
+    row come as ``[]``. Memory holds one row at a time."""
+    z, name, path = _open_sheet(content, sheet)
     shared = _shared_strings(z)
-    rows: dict[int, list] = {}
-    for _, el in ET.iterparse(io.BytesIO(z.read(path))):
-        if el.tag != _M + "row":
-            continue
-        r_no = int(el.get("r")) - 1
-        cells: dict[int, str | None] = {}
-        for pos, c in enumerate(el.findall(_M + "c")):
-            ref = c.get("r")
-            ci = col_index(_REF.match(ref).group(1)) if ref else pos
-            t = c.get("t", "n")
-            v = c.find(_M + "v")
-            if t == "s":
-                val = shared[int(v.text)] if v is not None else None
-            elif t == "inlineStr":
-                val = "".join(x.text or "" for x in c.iter(_M + "t"))
-            elif t == "b":
-                val = None if v is None else ("TRUE" if v.text == "1" else "FALSE")
-            else:
-                val = v.text if v is not None else None
-            cells[ci] = val
-        width = max(cells) + 1 if cells else 0
-        rows[r_no] = [cells.get(i) for i in range(width)]
-        el.clear()
-    if not rows:
-        return name, []
-    lo, hi = min(rows), max(rows)
-    return name, [(i, rows.get(i, [])) for i in range(lo, hi + 1)]
+
+    def rows():
+        prev = None
+        with z.open(path) as fh:
+            for _, el in ET.iterparse(fh):
+                if el.tag != _M + "row":
+                    continue
+                r_no = int(el.get("r")) - 1
+                cells: dict[int, str | None] = {}
+                for pos, c in enumerate(el.findall(_M + "c")):
+                    ref = c.get("r")
+                    cells[col_index(_REF.match(ref).group(1)) if ref else pos] = _cell_value(c, shared)
+                el.clear()
+                if prev is not None:
+                    for gap in range(prev + 1, r_no):
+                        yield gap, []
+                prev = r_no
+                width = max(cells) + 1 if cells else 0
+                yield r_no, [cells.get(i) for i in range(width)]
+
+    return name, rows()
+
+
+def last_row(content: bytes, sheet: str | None = None) -> int | None:
+    """0-based last stored row: from the sheet's ``dimension`` element when
+    present (read from the first bytes of the sheet), else by a scan."""
+    z, _, path = _open_sheet(content, sheet)
+    with z.open(path) as fh:
+        for ev, el in ET.iterparse(fh, events=("start",)):
+            if el.tag == _M + "dimension":
+                m = re.search(r"(\d+)$", el.get("ref", ""))
+                if m:
+                    return int(m.group(1)) - 1
+            if el.tag == _M + "sheetData":
+                break
+    last = None
+    with z.open(path) as fh:
+        for ev, el in ET.iterparse(fh, events=("start",)):
+            if el.tag == _M + "row":
+                last = int(el.get("r")) - 1
+    return last
+
+
+def read_sheet(content: bytes, sheet: str | None = None) -> tuple[str, list[tuple[int, list]]]:
+    """``(sheet_name, [(row_no, cells)])`` of one workbook (first sheet by default)."""
+    name, rows = iter_sheet(content, sheet)
+    return name, list(rows)
 
 
 def list_files(spark: SparkSession, path: str, exclude: str | None = None, glob: str | None = None,
@@ -181,15 +221,20 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
         for b in batches:
             for p, fn, content in zip(b.column("path").to_pylist(), b.column("file_name").to_pylist(),
                                       b.column("content").to_pylist()):
-                name, rows = read_sheet(content, sheet)
+                name, rows = iter_sheet(content, sheet)
                 ctx = None
                 if header_row is not None:
-                    hdr = next((c for r, c in rows if r == header_row), None)
-                    body = [(r, c) for r, c in rows if r > header_row]
-                    if hdr is None or not body:
+                    hdr, first = None, None
+                    for r_no, cells in rows:  # advance to the first body row
+                        if r_no == header_row:
+                            hdr = cells
+                        elif r_no > header_row:
+                            first = (r_no, cells)
+                            break
+                    if hdr is None or first is None:
                         continue
-                    ctx = (hdr, body[0][0], body[0][1], body[-1][0])
-                    rows = body
+                    ctx = (hdr, first[0], first[1], last_row(content, sheet))
+                    rows = itertools.chain([first], rows)
                 for r_no, cells in rows:
                     out["source"].append(p)
                     out["file_name"].append(fn)
@@ -235,8 +280,10 @@ def build_workbook(sheets: Sequence[tuple[str, Sequence[Sequence]]]) -> bytes:
         for i, row in enumerate(rows):
             cells = "".join(_cell_xml(f"{col_letters(j)}{i + 1}", v, strings) for j, v in enumerate(row))
             parts.append(f'<row r="{i + 1}">{cells}</row>')
+        width = max((len(r) for r in rows), default=1) or 1
+        dim = f'<dimension ref="A1:{col_letters(width - 1)}{max(len(rows), 1)}"/>'
         sheet_xml.append('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-                         f'<worksheet xmlns="{_NS["m"]}"><sheetData>{"".join(parts)}</sheetData></worksheet>')
+                         f'<worksheet xmlns="{_NS["m"]}">{dim}<sheetData>{"".join(parts)}</sheetData></worksheet>')
     sst = "".join(f"<si><t xml:space=\"preserve\">{escape(s)}</t></si>" for s in strings)
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
