@@ -4,6 +4,7 @@ from skein.operators.unpivot import (
     pair_groups,
     pivot_back,
     qcol,
+    rank_within,
     unpivot_paired,
     unpivot_wide,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "pair_groups",
     "pivot_back",
     "qcol",
+    "rank_within",
     "unpivot_paired",
     "unpivot_wide",
 ]

@@ -141,29 +141,87 @@ def concat_by_position(left: DataFrame, right: DataFrame, on: Sequence[str], pos
     return left.join(right, list(on) + [pos_col], how)
 
 
+SAMPLE_PER_BOUND = 20  # sample rows per range bound: the driver sees at most ~20 x partitions rows
+
+
+def _range_bounds(df: DataFrame, cols: Sequence[str], n: int, seed: int = 17) -> list:
+    """``n - 1`` boundary rows of ``cols`` from a bounded sample, ordered by
+    Spark itself (so the bounds follow Spark's ordering of the values)."""
+    total = df.count()
+    if total == 0 or n <= 1:
+        return []
+    frac = min(1.0, SAMPLE_PER_BOUND * n / total)
+    sample = df.select(*cols).sample(False, frac, seed).orderBy(*cols).collect()
+    if not sample:
+        return []
+    step = len(sample) / n
+    bounds = []
+    for i in range(1, n):
+        b = tuple(sample[min(len(sample) - 1, int(i * step))])
+        if not bounds or b != bounds[-1]:
+            bounds.append(b)
+    return bounds
+
+
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos_col: str = "pos",
+                partitions: int | None = None) -> DataFrame:
+    """1-based position of each row inside its key group, by ``order``
+    (make ``order`` unique within a key for a deterministic result).
+
+    Skew-safe: rows go to range buckets of ``(keys, order)`` (bounds from a
+    bounded sample, fixed before the job, so every branch sees the same
+    buckets), which splits a key holding a third of all rows over many tasks.
+    Rows are numbered per (bucket, key) and shifted by the row count of the
+    same key in earlier buckets. Only the first key of a bucket can continue
+    an earlier bucket, so the non-zero shifts are at most ``partitions`` rows:
+    a proven bound, broadcast to the numbered rows without moving them.
+    """
+    keys, order = list(keys), list(order)
+    cols = [*keys, *order]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _range_bounds(df, cols, n)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    row = F.struct(*[F.col(c) for c in cols])
+    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
+
+    def bucket(lo: int, hi: int) -> Column:
+        # number of bounds below the row, as a balanced decision tree: log2(n) comparisons per row
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(row > lits[mid - 1], bucket(mid, hi)).otherwise(bucket(lo, mid - 1))
+
+    ranged = df.withColumn("_pid", bucket(0, len(lits)).cast("int")).repartition(n, "_pid")
+    local = ranged.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
+    counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (counts.select("_pid", *keys, F.sum("_n").over(before).alias("_off"))
+              .filter(F.col("_off") > 0))
+    return (local.join(F.broadcast(shifts), ["_pid", *keys], "left")
+            .withColumn(pos_col, (F.col("_lr") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
+            .drop("_pid", "_lr", "_off"))
+
+
 def concat_by_rank(left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[str],
                    left_cols: Sequence[str], right_cols: Sequence[str], pos_col: str = "pos",
                    how: str = "inner") -> DataFrame:
     """JON1 when positions must first be computed: the n-th row of ``left``
     beside the n-th row of ``right`` within each key, rows ranked by ``order``.
 
-    One shuffle: both sides are tagged, unioned and hash-partitioned on the
-    keys once; ranking (a window per key and side) and pairing (an aggregate
-    per key and position) both reuse that partitioning. Meant for bounded
-    groups (the rows of one order, one table); ``inner`` drops the tail of the
-    longer side, ``outer`` keeps it with NULLs.
+    Both sides are tagged and unioned, ranked per (key, side) with the
+    skew-safe ``rank_within``, then paired by an aggregate on (key, position):
+    every (key, position) group holds at most two rows, so a hot key is spread
+    over all tasks. ``inner`` drops the tail of the longer side, ``outer``
+    keeps it with NULLs.
     """
     keys, order = list(keys), list(order)
-
     lv = F.struct(*[F.col(c) for c in left_cols])
     rv = F.struct(*[F.col(c) for c in right_cols])
     l_type = left.select(lv.alias("v")).schema["v"].dataType.simpleString()
     r_type = right.select(rv.alias("v")).schema["v"].dataType.simpleString()
     lt = left.select(*keys, *order, F.lit(0).alias("_side"), lv.alias("_l"), F.lit(None).cast(r_type).alias("_r"))
     rt = right.select(*keys, *order, F.lit(1).alias("_side"), F.lit(None).cast(l_type).alias("_l"), rv.alias("_r"))
-    both = lt.unionByName(rt).repartition(*keys)
-    w = Window.partitionBy(*keys, "_side").orderBy(*order)
-    ranked = both.select(*keys, "_l", "_r", F.row_number().over(w).cast("int").alias(pos_col))
+    ranked = rank_within(lt.unionByName(rt), [*keys, "_side"], order, pos_col)
     paired = ranked.groupBy(*keys, pos_col).agg(F.first("_l", ignorenulls=True).alias("_l"),
                                                 F.first("_r", ignorenulls=True).alias("_r"))
     if how == "inner":
