@@ -10,17 +10,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from skein.functions.labels import entry_value, kv_entries
+from skein.functions.labels import NBSP, entry_value, kv_entries
 from skein.operators import concat_by_rank, pivot_back, unpivot_wide
+from skein.operators.convert import convert_folder
 from skein.operators.filters import drop_placeholder as _drop_placeholder
 from skein.operators.filters import report_filter as _report_filter
 from skein.operators.filters import truncate_after_first as _truncate_after_first
-from skein.operators.headers import drop_first_empty, flatten_two_level, occurrences
-from skein.operators.panel import CN, JP, JP2, MX, unpivot_panel
-from skein.operators.rows import ragged_reason, unpivot_rows
+from skein.operators.headers import classify_row, drop_first_empty, flatten_two_level, occurrences
+from skein.operators.panel import CN, JP, JP2, MX, unpivot_panel, unpivot_panel_rows
+from skein.operators.rows import (
+    blank_cells,
+    compact_cells,
+    drop_keys,
+    explode_body,
+    nested_row,
+    ragged_reason,
+    record_get,
+    unpivot_rows,
+    with_header,
+    zip_record,
+)
+from skein.plans import html_inputs as H
 from skein.plans import inputs as I
 from skein.plans.tables import table
+from skein.session import scratch_path
+from skein.sources.delimited import read_pipe_csv, write_pipe_csv
+from skein.sources.files import parent_dir, start_year
+from skein.sources.html import parse_elements, parse_inputs, parse_tables
+from skein.sources.xlsx import read_xlsx, write_xlsx, write_xlsx_rows
+from skein.streaming.unpivot_stream import start_sink, start_unpivot_stream, stream_files, stream_workbooks
 
 LINEITEM_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LINEITEM_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -208,13 +228,6 @@ QUERIES = {
 
 # ---- HTML ------------------------------------------------------------------------------------
 
-from skein.functions.labels import NBSP  # noqa: E402
-from skein.operators.headers import classify_row  # noqa: E402
-from skein.operators.rows import blank_cells, compact_cells, explode_body, nested_row, zip_record  # noqa: E402
-from skein.operators.rows import record_get  # noqa: E402
-from skein.plans import html_inputs as H  # noqa: E402
-from skein.sources.html import parse_elements, parse_inputs, parse_tables  # noqa: E402
-
 
 def html_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC7 + FLT3-5 + PRJ12/13: the inner table (5th row of a table nested four
@@ -314,14 +327,6 @@ QUERIES.update({
 
 # ---- files: workbooks, delimited text, paths, streams ----------------------------------------
 
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType  # noqa: E402
-
-from skein.operators.rows import with_header  # noqa: E402
-from skein.session import scratch_path  # noqa: E402
-from skein.sources.delimited import read_pipe_csv, write_pipe_csv  # noqa: E402
-from skein.sources.files import parent_dir, start_year  # noqa: E402
-from skein.sources.xlsx import read_xlsx, write_xlsx  # noqa: E402
-from skein.streaming.unpivot_stream import start_unpivot_stream, stream_files  # noqa: E402
 
 PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 
@@ -407,8 +412,6 @@ QUERIES.update({
 
 # ---- folders of provider workbooks with different headers ------------------------------------
 
-from skein.operators.convert import convert_folder  # noqa: E402
-from skein.operators.panel import unpivot_panel_rows  # noqa: E402
 
 PANEL_YEARS = (1996, 1997, 1998)
 
@@ -454,9 +457,6 @@ QUERIES.update({
 
 # ---- browser variants of the reports ---------------------------------------------------------
 
-from skein.operators.headers import drop_first_empty as _drop_first_empty  # noqa: E402
-from skein.operators.rows import drop_keys  # noqa: E402
-
 
 def _kinds(rows_col: str, kind: str):
     return F.filter(rows_col, lambda r: classify_row(r["n_div"], r["n_span"]) == kind)
@@ -483,7 +483,7 @@ def html_skip_first_body_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     by index and NBSP cells blanked."""
     t = parse_tables(H.order_browser_pages(spark, sf_dir), min_depth=5)
     heads, bodies = _kinds("rows", "header"), _kinds("rows", "body")
-    body = t.select(_drop_first_empty(F.get(heads, 1)["cells"]).alias("cols"),
+    body = t.select(drop_first_empty(F.get(heads, 1)["cells"]).alias("cols"),
                     F.explode(F.slice(bodies, 2, 1 << 30)).alias("b"))
     rec = body.select(zip_record("cols", blank_cells(compact_cells(F.col("b")["cells"]))).alias("r"))
     return rec.select(*[record_get("r", k).alias(k) for k in ("Country", "Year", "Orders", "Urgent")])
@@ -495,9 +495,6 @@ QUERIES.update({
 })
 
 
-from skein.streaming.unpivot_stream import start_sink, stream_workbooks  # noqa: E402
-
-
 def stream_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR1 over workbooks: the MX folder of unpivot_panel_files consumed as a
     file stream (availableNow; the checkpoint remembers processed files), each workbook parsed
@@ -517,8 +514,6 @@ def stream_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["stream_panel_files"] = stream_panel_files
 
 
-from skein.sources.xlsx import write_xlsx_rows  # noqa: E402
-
 CN_FILES = {"visitors_a.xlsx": (0, 1, 2), "visitors_b.xlsx": (2, 3, 4)}
 
 

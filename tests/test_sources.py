@@ -5,7 +5,6 @@ import tempfile
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from skein.sources.delimited import read_pipe_csv, write_pipe_csv
 from skein.sources.files import parent_dir, start_year
