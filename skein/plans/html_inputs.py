@@ -122,7 +122,7 @@ def region_report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "<td><div>Cases</div></td><td><div>Deaths</div></td>" for _ in SEGMENTS) + "</tr>"
     inner = F.concat(raw("<table>" + banner + h0 + h1), F.array_join(F.transform("rs", lambda x: x["row"]), ""),
                      raw("</table>"))
-    html = F.concat(raw("<html><body><div id=\"VisibleReportContentctl_ReportViewer_ctl09\"><div>"),
+    html = F.concat(raw("<html><body><div id=\"report-content\"><div>"),
                     _wrap(inner, 4, 0), raw("</div></div></body></html>"))
     return pages.select(F.col("r_regionkey").cast("long").alias("page_id"), html.alias("html"))
 
@@ -165,7 +165,7 @@ def supplier_browser_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     raw("<tr>"), _div(raw("")), _div(raw("Supplier")), _div(raw("Name")), _div(raw("Balance")),
                     raw("</tr>"))
     inner = F.concat(raw("<table>"), head, F.array_join(F.transform("rs", lambda x: x["row"]), ""), raw("</table>"))
-    html = F.concat(raw("<html><body><div id=\"VisibleReportContentctl_ReportViewer_ctl09\"><div>"),
+    html = F.concat(raw("<html><body><div id=\"report-content\"><div>"),
                     _wrap(inner, 4, 0), raw("</div></div></body></html>"))
     return g.select((F.col("blk") * 100 + F.col("n_nationkey")).cast("long").alias("page_id"), html.alias("html"))
 
@@ -189,8 +189,8 @@ def order_browser_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = ("<tr><td><div>Flu report</div></td><td><div>by country</div></td></tr>"
             "<tr><td><div></div></td><td><div>Country</div></td><td><div>Year</div></td>"
             "<td><div>Orders</div></td><td><div>Urgent</div></td></tr>"
-            "<tr><td><div><span>Data from : All sites</span></div></td><td><div></div></td></tr>")
+            "<tr><td><div><span>Data from : all sources</span></div></td><td><div></div></td></tr>")
     inner = F.concat(raw("<table>" + head), F.array_join(F.transform("rs", lambda x: x["row"]), ""), raw("</table>"))
-    html = F.concat(raw("<html><body><div id=\"VisibleReportContentctl_ReportViewer_ctl09\"><div>"),
+    html = F.concat(raw("<html><body><div id=\"report-content\"><div>"),
                     _wrap(inner, 4, 0), raw("</div></div></body></html>"))
     return g.select(F.col("n_regionkey").cast("long").alias("page_id"), html.alias("html"))

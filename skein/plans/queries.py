@@ -478,7 +478,7 @@ def html_header_rows_as_body(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def html_skip_first_body_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report-12 browser variant (PRJ11, FLT3, FLT5, PRJ14, PRJ16): the first
-    empty header cell is removed, the first body row ('Data from : All sites')
+    empty header cell is removed, the first body row ('Data from : all sources')
     is dropped, empty body cells are removed, cells are matched to the header
     by index and NBSP cells blanked."""
     t = parse_tables(H.order_browser_pages(spark, sf_dir), min_depth=5)
