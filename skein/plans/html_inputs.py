@@ -15,6 +15,13 @@ from skein.plans.tables import table
 PAGE_KEYS = 1000
 
 
+def spread(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """Pages built by an aggregation are few and small, so AQE would coalesce
+    them into one task; an explicit round-robin spread keeps the Python parse
+    on every core. (Pages read from files are already split by the scan.)"""
+    return pages.repartition(spark.sparkContext.defaultParallelism)
+
+
 def esc(c) -> Column:
     c = c if isinstance(c, Column) else F.col(c)
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
@@ -65,7 +72,8 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     inner = F.concat(raw("<table class=\"data\">"), tr(td(F.col("n_name"))), tr(td("Customers"), raw("<td></td>")),
                      tr(td("Key"), td("Name"), raw("<td></td>"), td("Segment"), td("Balance")), body, raw("</table>"))
     html = F.concat(raw("<html><body><div id=\"report\">"), _wrap(inner, 4, 4), raw("<br></div></body></html>"))
-    return g.select((F.col("blk") * 100 + F.col("n_nationkey")).cast("long").alias("page_id"), html.alias("html"))
+    page_id = (F.col("blk") * 100 + F.col("n_nationkey")).cast("long")
+    return spread(spark, g.select(page_id.alias("page_id"), html.alias("html")))
 
 
 def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +92,7 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw("<table cols=\"16\"><tr><td>Other</td></tr><tr><td>x</td></tr><tr><td>K</td></tr><tr><td>1</td></tr></table>"),
         raw("</body></html>"))
     brand_no = F.regexp_extract(F.col("p_brand"), r"(\d+)$", 1).cast("long")
-    return g.select((F.col("blk") * 1000 + brand_no).alias("page_id"), html.alias("html"))
+    return spread(spark, g.select((F.col("blk") * 1000 + brand_no).alias("page_id"), html.alias("html")))
 
 
 def _div(v: Column, span: bool = False) -> Column:
@@ -124,7 +132,7 @@ def region_report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                      raw("</table>"))
     html = F.concat(raw("<html><body><div id=\"report-content\"><div>"),
                     _wrap(inner, 4, 0), raw("</div></div></body></html>"))
-    return pages.select(F.col("r_regionkey").cast("long").alias("page_id"), html.alias("html"))
+    return spread(spark, pages.select(F.col("r_regionkey").cast("long").alias("page_id"), html.alias("html")))
 
 
 # Ids of the hidden form fields a report page must carry exactly once.
@@ -167,7 +175,8 @@ def supplier_browser_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     inner = F.concat(raw("<table>"), head, F.array_join(F.transform("rs", lambda x: x["row"]), ""), raw("</table>"))
     html = F.concat(raw("<html><body><div id=\"report-content\"><div>"),
                     _wrap(inner, 4, 0), raw("</div></div></body></html>"))
-    return g.select((F.col("blk") * 100 + F.col("n_nationkey")).cast("long").alias("page_id"), html.alias("html"))
+    page_id = (F.col("blk") * 100 + F.col("n_nationkey")).cast("long")
+    return spread(spark, g.select(page_id.alias("page_id"), html.alias("html")))
 
 
 def order_browser_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,4 +202,4 @@ def order_browser_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     inner = F.concat(raw("<table>" + head), F.array_join(F.transform("rs", lambda x: x["row"]), ""), raw("</table>"))
     html = F.concat(raw("<html><body><div id=\"report-content\"><div>"),
                     _wrap(inner, 4, 0), raw("</div></div></body></html>"))
-    return g.select(F.col("n_regionkey").cast("long").alias("page_id"), html.alias("html"))
+    return spread(spark, g.select(F.col("n_regionkey").cast("long").alias("page_id"), html.alias("html")))
