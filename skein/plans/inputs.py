@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.operators.filters import iso_week_range
@@ -70,6 +70,51 @@ def weekly_paired_panel(spark: SparkSession, sf_dir: str, year: int = PANEL_YEAR
     return wide.select("n_name", "c_mktsegment", *un, *lc)
 
 
+def weekly_paired_rows(spark: SparkSession, sf_dir: str, years=(1996, 1997, 1998)) -> DataFrame:
+    """The MX panels of several ISO years as ragged rows, one table (file
+    ``weekly_<year>.xlsx``) per year, all from one aggregation: header
+    ``n_name, c_mktsegment, Un SEM - WW/YYYY..., Lc SEM - WW/YYYY...`` with as
+    many weeks as the year has; one body row per nation x segment; empty
+    cells NULL. Rows per year are bounded by the nation x segment domain."""
+    years = tuple(years)
+    spans = {y: _iso_year_bounds(y) for y in years}
+    lo, hi = min(v[0] for v in spans.values()), max(v[1] for v in spans.values())
+    o = (table(spark, sf_dir, "orders")
+         .filter((F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
+                 & (F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))))
+    yr = F.date_part(F.lit("YEAROFWEEK"), F.col("o_orderdate")).cast("int")
+    j = orders_placed(spark, sf_dir, o).select("n_name", "c_mktsegment", yr.alias("yr"),
+                                               F.weekofyear("o_orderdate").alias("wk"), price().alias("p"))
+    agg = (j.filter(F.col("yr").isin(*years)).groupBy("yr", "n_name", "c_mktsegment", "wk")
+           .agg(F.count(F.lit(1)).alias("u"), F.sum("p").cast("decimal(18,2)").alias("v")))
+    per_row = agg.groupBy("yr", "n_name", "c_mktsegment").agg(
+        F.map_from_entries(F.collect_list(F.struct("wk", F.struct("u", "v")))).alias("m"))
+    nweeks = F.lit(52)
+    for y, (_, _, nw) in spans.items():
+        nweeks = F.when(F.col("yr") == y, F.lit(nw)).otherwise(nweeks)
+    weeks = F.sequence(F.lit(1), nweeks)
+    body = per_row.select(
+        "yr", "n_name", "c_mktsegment",
+        F.concat(F.array("n_name", "c_mktsegment"),
+                 F.transform(weeks, lambda w: F.col("m")[w]["u"].cast("string")),
+                 F.transform(weeks, lambda w: F.col("m")[w]["v"].cast("string"))).alias("cells"))
+    # Row order inside one year's table: a window over one year (bounded: nations x segments).
+    body = body.select("yr", (F.row_number().over(Window.partitionBy("yr").orderBy("n_name", "c_mktsegment")))
+                       .cast("int").alias("row_no"), "cells")
+
+    def label(prefix):
+        return lambda w: F.concat(F.lit(prefix), F.lpad(w.cast("string"), 2, "0"), F.lit("/"),
+                                  F.col("yr").cast("string"))
+
+    head = (spark.createDataFrame([(y,) for y in years], "yr int")
+            .select("yr", F.lit(0).alias("row_no"),
+                    F.concat(F.array(F.lit("n_name"), F.lit("c_mktsegment")),
+                             F.transform(weeks, label("Un SEM - ")), F.transform(weeks, label("Lc SEM - ")))
+                    .alias("cells")))
+    return head.unionByName(body).select(
+        F.concat(F.lit("weekly_"), F.col("yr").cast("string"), F.lit(".xlsx")).alias("source"), "row_no", "cells")
+
+
 def month_list(first_year: int = MONTH_FIRST, years: int = MONTH_YEARS) -> list[tuple[int, int]]:
     return [(first_year + i // 12, i % 12 + 1) for i in range(12 * years)]
 

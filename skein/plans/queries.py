@@ -420,9 +420,7 @@ def unpivot_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MX layout over a folder of workbooks whose headers differ (ISO years
     1996-1998, 52/52/53 week columns): one job, each file with its own header."""
     root = scratch_path(spark, "panel_files")
-    for y in PANEL_YEARS:
-        _run_writes(write_xlsx(I.weekly_paired_panel(spark, sf_dir, y), f"{root}/MX",
-                               name_pattern=f"weekly_{y}_{{part:05d}}{{file:03d}}.xlsx"))
+    _run_writes(write_xlsx_rows(I.weekly_paired_rows(spark, sf_dir, PANEL_YEARS), f"{root}/MX"))
     rows = read_xlsx(spark, f"{root}/MX", header_row=0)
     long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
                               value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
@@ -500,9 +498,7 @@ def stream_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     file stream (availableNow; the checkpoint remembers processed files), each workbook parsed
     once with its header attached, melted without joins, appended to parquet."""
     root = scratch_path(spark, "stream_panel_files")
-    for y in PANEL_YEARS:
-        _run_writes(write_xlsx(I.weekly_paired_panel(spark, sf_dir, y), f"{root}/MX",
-                               name_pattern=f"weekly_{y}_{{part:05d}}{{file:03d}}.xlsx"))
+    _run_writes(write_xlsx_rows(I.weekly_paired_rows(spark, sf_dir, PANEL_YEARS), f"{root}/MX"))
     rows = stream_workbooks(spark, f"{root}/MX", header_row=0)
     long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
                               value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
