@@ -73,3 +73,20 @@ def test_single_file_path(spark):
         f.write(build_workbook([("S", [["id"], ["a"]])]))
     # a file named on purpose is read even if its name holds the skip text (no exclusion given)
     assert read_xlsx(spark, f"{root}/x_pivoted.xlsx").count() == 2
+
+
+def test_convert_path_file_and_folder(spark):
+    from skein.operators.convert import convert_path
+
+    root = tempfile.mkdtemp(prefix="skein-conv-") + "/JP"
+    os.makedirs(root)
+    for name, rows in (("a.xlsx", [["product", "2019/1-", "2019/10-"], ["A", 1.0, 2.0]]),
+                       ("b.xlsx", [["product", "2020/2-"], ["B", 3.0]])):
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(build_workbook([("S", rows)]))
+    one = convert_path(spark, f"{root}/a.xlsx", id_labels=["product"])
+    assert sorted((r["YearMonth"], r["Value"]) for r in one.collect()) == [("2019/01", "1.0"), ("2019/10", "2.0")]
+    convert_path(spark, f"{root}/", out_dir=f"{root}/out", id_labels=["product"])
+    back = read_pipe_csv(spark, f"{root}/out", "product string, YearMonth string, Value string").collect()
+    assert sorted((r["file"], r["YearMonth"]) for r in back) == [
+        ("a.xlsx", "2019/01"), ("a.xlsx", "2019/10"), ("b.xlsx", "2020/02")]
