@@ -9,7 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators.panel import PanelSpec, spec_for, unpivot_panel_rows
+from skein.operators.panel import PanelSpec, panel_reject_reason, spec_for, unpivot_panel_rows
+from skein.session import shared_dir
 from skein.sources.delimited import write_pipe_csv
 from skein.sources.xlsx import read_xlsx
 
@@ -19,13 +20,27 @@ CONVERTED_MARK = "pivoted"
 
 def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None, spec: PanelSpec | None = None,
                    id_labels: Sequence[str] | None = None, value_types: dict | None = None,
-                   exclude: str | None = CONVERTED_MARK) -> DataFrame:
+                   exclude: str | None = CONVERTED_MARK, rejects_dir: str | None = None) -> DataFrame:
     """Long table of every workbook in ``folder`` (not recursive; names holding
     ``exclude`` skipped). Columns: ``file``, ids, label, value(s). With
-    ``out_dir`` the result is also written as pipe CSV, one folder per file."""
+    ``out_dir`` the result is also written as pipe CSV, one folder per file.
+
+    With ``rejects_dir`` a file that cannot be read or does not fit the layout
+    (see ``panel_reject_reason``) is listed there as ``file|reason`` and left
+    out, while the other files go on; without it such a file fails the job."""
     spec = spec or spec_for(folder.rstrip("/").split("/")[-1])
     header_row = spec.header_row if spec.kind == "region_block" else 0
-    rows = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude, header_row=header_row)
+    on_error = "reject" if rejects_dir is not None else "fail"
+    rows = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude, header_row=header_row, on_error=on_error)
+    if rejects_dir is not None:
+        tagged = rows.withColumn("_reason", F.coalesce(F.col("error"), panel_reject_reason(spec, ["source"])))
+        # Parsed once: written to the shared checkpoint folder, then read by both the reject list and the output.
+        shared_dir(spark)
+        tagged = tagged.checkpoint(eager=True)
+        rejects = (tagged.filter(F.col("_reason").isNotNull()).select("file_name", "_reason").distinct()
+                   .select(F.col("file_name").alias("file"), F.col("_reason").alias("reason")))
+        write_pipe_csv(rejects, rejects_dir)
+        rows = tagged.filter(F.col("_reason").isNull()).drop("_reason", "error")
     long = unpivot_panel_rows(rows, spec, keys=["source"], id_labels=id_labels, header_row=header_row,
                               value_types=value_types)
     long = long.withColumn("file", F.element_at(F.split(F.col("source"), "/"), -1)).drop("source", "row_no")

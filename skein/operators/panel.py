@@ -270,3 +270,37 @@ def unpivot_panel_rows(rows: DataFrame, spec: PanelSpec, keys: Sequence[str] = (
     if spec.placeholder is not None:
         out = drop_placeholder(out, spec.value_col, spec.placeholder)
     return out
+
+
+def panel_reject_reason(spec: PanelSpec, keys: Sequence[str] = ("source",)) -> Column:
+    """Why a file cannot go through ``spec`` (NULL when it can), from the file
+    context the reader attaches to each row (``hdr``, ``first_cells``,
+    ``first_row_no``, ``last_row_no``): row-local, no join. Reasons:
+    ``no_value_columns``, ``no_start_date`` (week sequence), ``bad_first_date``
+    and ``cutoff_missing`` (region block)."""
+    hdr = F.col("hdr")
+
+    def has(tok):
+        return lambda h: F.coalesce(h.contains(tok), F.lit(False))
+
+    if spec.kind == "paired":
+        ok = F.exists(hdr, lambda h: has(spec.first_token)(h) | has(spec.second_token)(h))
+    elif spec.kind in ("month_labels", "week_sequence"):
+        ok = F.exists(hdr, has(spec.date_token))
+    else:
+        names = F.array(*[F.lit(n) for n in spec.value_names])
+        occ = F.transform(hdr, lambda h, i: F.size(F.filter(F.slice(hdr, F.lit(1), i + 1), lambda x: x == h)))
+        ok = F.exists(F.arrays_zip(hdr.alias("h"), occ.alias("o")),
+                      lambda z: F.array_contains(names, z["h"]) & (z["o"] == spec.occurrence))
+    reason = F.when(~ok, F.lit("no_value_columns"))
+    if spec.kind == "week_sequence":
+        first = F.get(F.filter(hdr, has(spec.date_token)), 0)
+        reason = reason.when(L.week_start(L.file_year(F.col(keys[0])), first).isNull(), F.lit("no_start_date"))
+    if spec.kind == "region_block":
+        m0 = L.parse_year_month(F.get(F.col("first_cells"), spec.date_pos))
+        reason = reason.when(m0.isNull(), F.lit("bad_first_date"))
+        if spec.cutoff is not None:
+            kcut = F.months_between(F.to_date(F.lit(spec.cutoff), "yyyyMM"), m0)
+            present = (kcut >= 0) & (kcut <= F.col("last_row_no") - F.col("first_row_no"))
+            reason = reason.when(~present, F.lit("cutoff_missing"))
+    return reason

@@ -267,3 +267,5 @@ SELECT 'ASIA' AS Country,
 FROM f CROSS JOIN m CROSS JOIN {_SEGMENTS}
 LEFT JOIN a ON a.n_regionkey = f.reg AND a.k = m.k AND a.seg = s.seg
 """
+
+ORACLE["convert_folder_rejects"] = ORACLE["unpivot_week_sequence"]

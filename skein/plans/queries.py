@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from skein.functions.labels import NBSP, entry_value, kv_entries
-from skein.operators import concat_by_rank, pivot_back, unpivot_wide
+from skein.operators import concat_by_rank, pivot_back, qcol, unpivot_wide
 from skein.operators.convert import convert_folder
 from skein.operators.filters import drop_placeholder as _drop_placeholder
 from skein.operators.filters import report_filter as _report_filter
@@ -529,3 +529,31 @@ def convert_folder_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["convert_folder_blocks"] = convert_folder_blocks
+
+
+def convert_folder_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad-input routing: a JP2 folder with one weekly workbook per order status
+    plus a copy whose name has no date token and a file that is not a
+    workbook. The two bad files go to a reject list, the others are converted
+    in the same job (the good rows are returned)."""
+    root = scratch_path(spark, "convert_rejects")
+    panel = I.weekly_text_panel(spark, sf_dir)
+    def status_panel(s):
+        # select, not drop: the week headers hold dots
+        return panel.filter(F.col("o_orderstatus") == s).select(*[qcol(c) for c in panel.columns
+                                                                   if c != "o_orderstatus"])
+
+    for s in ORDER_STATUSES:
+        part = status_panel(s)
+        _run_writes(write_xlsx(part, f"{root}/JP2",
+                               name_pattern=f"orders_{s}_w_{{part:03d}}{{file:03d}}_{I.PANEL_YEAR}0101-x.xlsx"))
+    _run_writes(write_xlsx(status_panel("F"), f"{root}/JP2", name_pattern="orders_F_nodate{part:03d}{file:03d}.xlsx"))
+    local = f"{root}/JP2".replace("file:", "", 1)
+    with open(f"{local}/orders_X_w_000000_{I.PANEL_YEAR}0101-x.xlsx", "wb") as f:
+        f.write(b"this is not a workbook")
+    long = convert_folder(spark, f"{root}/JP2", spec=JP2, id_labels=["o_orderpriority"],
+                          rejects_dir=f"{root}/rejects")
+    return long.select(F.get(F.split("file", "_"), 1).alias("o_orderstatus"), "o_orderpriority", "Date", "Value")
+
+
+QUERIES["convert_folder_rejects"] = convert_folder_rejects

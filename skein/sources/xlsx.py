@@ -191,7 +191,8 @@ def list_files(spark: SparkSession, path: str, exclude: str | None = None, glob:
 
 
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, exclude: str | None = None,
-              glob: str | None = None, recursive: bool = False, header_row: int | None = None) -> DataFrame:
+              glob: str | None = None, recursive: bool = False, header_row: int | None = None,
+              on_error: str = "fail") -> DataFrame:
     """Ragged rows of one sheet of every workbook under ``path`` (SRC1/SRC2/SRC3).
 
     With ``header_row`` (0-based physical row) only the rows below it are
@@ -201,19 +202,47 @@ def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, exclude:
     file is parsed once.
     """
     files = list_files(spark, path, exclude=exclude, glob=glob, recursive=recursive)
-    return read_xlsx_files(files, sheet, header_row=header_row)
+    return read_xlsx_files(files, sheet, header_row=header_row, on_error=on_error)
 
 
 CONTEXT_SCHEMA = "hdr array<string>, first_row_no int, first_cells array<string>, last_row_no int"
 
 
+def check_sheet(content: bytes, sheet: str | None, header_row: int | None) -> str | None:
+    """Reason a workbook cannot be read as asked (None when it can): a full
+    streaming pass over the sheet, without building rows."""
+    try:
+        _, rows = iter_sheet(content, sheet)
+        seen_header = header_row is None
+        body = header_row is None
+        for r_no, _ in rows:
+            if header_row is not None and r_no == header_row:
+                seen_header = True
+            elif header_row is not None and r_no > header_row:
+                body = True
+    except (zipfile.BadZipFile, KeyError, ValueError, ET.ParseError, OSError) as e:
+        return f"unreadable: {type(e).__name__}: {str(e)[:200]}"
+    if not seen_header:
+        return "no_header_row"
+    if not body:
+        return "no_body_rows"
+    return None
+
+
 def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int = 8192,
-                    header_row: int | None = None) -> DataFrame:
+                    header_row: int | None = None, on_error: str = "fail") -> DataFrame:
+    """``on_error="reject"``: a workbook that cannot be read (or lacks the header
+    row / body) gives one row with ``row_no = -1`` and the reason in ``error``
+    instead of failing the job; the other files go on."""
+    if on_error not in ("fail", "reject"):
+        raise ValueError("on_error must be fail or reject")
     fields = [("source", pa.string()), ("file_name", pa.string()), ("sheet", pa.string()),
               ("row_no", pa.int32()), ("cells", pa.list_(pa.string()))]
     if header_row is not None:
         fields += [("hdr", pa.list_(pa.string())), ("first_row_no", pa.int32()),
                    ("first_cells", pa.list_(pa.string())), ("last_row_no", pa.int32())]
+    if on_error == "reject":
+        fields += [("error", pa.string())]
     schema = pa.schema(fields)
 
     def run(batches):
@@ -221,6 +250,14 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
         for b in batches:
             for p, fn, content in zip(b.column("path").to_pylist(), b.column("file_name").to_pylist(),
                                       b.column("content").to_pylist()):
+                if on_error == "reject":
+                    reason = check_sheet(content, sheet, header_row)
+                    if reason is not None:
+                        row = {k: None for k in schema.names}
+                        row.update(source=p, file_name=fn, row_no=-1, cells=[], error=reason)
+                        for k in schema.names:
+                            out[k].append(row[k])
+                        continue
                 name, rows = iter_sheet(content, sheet)
                 ctx = None
                 if header_row is not None:
@@ -241,6 +278,8 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
                     out["sheet"].append(name)
                     out["row_no"].append(r_no)
                     out["cells"].append(cells)
+                    if on_error == "reject":
+                        out["error"].append(None)
                     if ctx is not None:
                         out["hdr"].append(ctx[0])
                         out["first_row_no"].append(ctx[1])
@@ -252,7 +291,8 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
         if out["source"]:
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
-    ddl = ROWS_SCHEMA + (", " + CONTEXT_SCHEMA if header_row is not None else "")
+    ddl = ROWS_SCHEMA + (", " + CONTEXT_SCHEMA if header_row is not None else "") + \
+        (", error string" if on_error == "reject" else "")
     return files.select("path", "file_name", "content").mapInArrow(run, ddl)
 
 
@@ -362,14 +402,17 @@ def write_xlsx(df: DataFrame, directory: str, name_pattern: str = "part_{part:05
         for b in batches:
             data = b.to_pydict()
             for i in range(b.num_rows):
-                state["rows"].append([data[c][i] for c in cols])
+                state["rows"].append([data[f"_c{j}"][i] for j in range(len(cols))])
                 if len(state["rows"]) >= rows_per_file:
                     yield flush()
         last = flush()
         if last is not None:
             yield last
 
-    return df.mapInArrow(run, "path string, n_rows long")
+    # Header labels may hold dots, which column resolution reads as struct fields: hand
+    # positional names to the Arrow function and write the real labels as the header.
+    safe = df.toDF(*[f"_c{i}" for i in range(len(cols))])
+    return safe.mapInArrow(run, "path string, n_rows long")
 
 
 def write_xlsx_rows(rows: DataFrame, directory: str, file_col: str = "source", sheet: str = "Sheet1",

@@ -90,3 +90,29 @@ def test_convert_path_file_and_folder(spark):
     back = read_pipe_csv(spark, f"{root}/out", "product string, YearMonth string, Value string").collect()
     assert sorted((r["file"], r["YearMonth"]) for r in back) == [
         ("a.xlsx", "2019/01"), ("a.xlsx", "2019/10"), ("b.xlsx", "2020/02")]
+
+
+def test_convert_folder_routes_bad_files(spark):
+    from skein.operators.convert import convert_folder
+    from skein.operators.panel import JP2
+
+    root = tempfile.mkdtemp(prefix="skein-rej-") + "/JP2"
+    os.makedirs(root)
+    good = build_workbook([("S", [["shop", "12.31-", "1.7-"], ["s1", "5", "-"], ["s2", "6", "7"]])])
+    files = {"a_b_c_d_20181231-x.xlsx": good,            # fine
+             "short_name.xlsx": good,                    # no year token in the name
+             "a_b_c_d_20190107-y.xlsx": b"not a zip",     # unreadable
+             "a_b_c_d_20190114-z.xlsx": build_workbook([("S", [["shop", "total"], ["s1", "1"]])])}  # no dates
+    for name, data in files.items():
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(data)
+    out = convert_folder(spark, root, spec=JP2, id_labels=["shop"], rejects_dir=f"{root}/rejects")
+    assert sorted((r["file"], r["shop"], r["Date"], r["Value"]) for r in out.collect()) == [
+        ("a_b_c_d_20181231-x.xlsx", "s1", "2018-12-31", "5"), ("a_b_c_d_20181231-x.xlsx", "s2", "2018-12-31", "6"),
+        ("a_b_c_d_20181231-x.xlsx", "s2", "2019-01-07", "7")]
+    rej = {r["file"]: r["reason"] for r in read_pipe_csv(spark, f"{root}/rejects", "file string, reason string")
+           .collect()}
+    assert rej["short_name.xlsx"] == "no_start_date"
+    assert rej["a_b_c_d_20190114-z.xlsx"] == "no_value_columns"
+    assert rej["a_b_c_d_20190107-y.xlsx"].startswith("unreadable")
+    assert len(rej) == 3
