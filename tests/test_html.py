@@ -108,3 +108,23 @@ def test_kv_entries(spark):
     got = e.select(entry_value("e", "A"), entry_value("e", "B"), entry_value("e", "bare"),
                    entry_value("e", "missing")).collect()[0]
     assert tuple(got) == ("2", "x: y", None, None)
+
+
+def test_blank_is_whole_cell_only_and_short_tables_give_no_records(spark):
+    df = spark.createDataFrame([([NBSP, NBSP + "a", ""],)], "c array<string>")
+    assert df.select(blank_cells("c")).collect()[0][0] == ["", NBSP + "a", ""]
+    assert df.select(blank_cells("c", as_null=True)).collect()[0][0] == [None, NBSP + "a", ""]
+    short = "<table><tr><td>Title</td></tr><tr><td>Sub</td></tr></table>"
+    t = parse_tables(pages(spark, nest(short)), min_depth=5, parent_row_pos=5)
+    assert t.count() == 1 and explode_body(t, ["page_id"], 3).count() == 0
+
+
+def test_nested_table_text_and_row_positions():
+    p = PageParser()
+    p.feed("<table><tbody><tr><td>a<table><tr><td>x</td><td>y</td></tr></table></td><td>b</td></tr>"
+           "<tr><td>c</td></tr></tbody></table>")
+    p.finish()
+    outer, inner = p.tables
+    assert [r["cells"] for r in outer["rows"]] == [["axy", "b"], ["c"]]
+    assert [r["row_pos"] for r in outer["rows"]] == [1, 2]
+    assert inner["depth"] == 2 and inner["parent_row_pos"] == 1
