@@ -163,19 +163,31 @@ def weekly_text_panel(spark: SparkSession, sf_dir: str, year: int = PANEL_YEAR)
 WEEKLY_TEXT_SOURCE = f"orders_status_priority_weekly_{PANEL_YEAR}0101-x.xlsx"
 
 
+def region_month_counts(spark: SparkSession, sf_dir: str, regions=None) -> DataFrame:
+    """Orders per calendar month index ``k``, region and segment: the only part
+    of the region-block sheets that grows with the data, aggregated once and
+    written to the shared checkpoint folder."""
+    months = month_list()
+    j = orders_placed(spark, sf_dir)
+    if regions is not None:
+        j = j.filter(F.col("n_regionkey").isin(*tuple(regions)))
+    k = ((F.year("o_orderdate") - MONTH_FIRST) * 12 + F.month("o_orderdate") - 1).cast("int")
+    j = j.withColumn("k", k).filter((F.col("k") >= 0) & (F.col("k") < len(months)))
+    return cut_lineage(spark, j.groupBy("k", "n_regionkey", "c_mktsegment").count())
+
+
 def region_block_rows(spark: SparkSession, sf_dir: str, regions=(0, 1, 2),
-                      source: str = "asia_visitors.xlsx") -> DataFrame:
+                      source: str = "asia_visitors.xlsx", counts: DataFrame | None = None) -> DataFrame:
     """Ragged rows (CN layout) of one sheet: 4 title rows, a header row
     ``No, Period`` + (``Total`` + segments) per region block, one body row per
     month (every calendar month, with or without orders) and a summary row.
-    Cells hold order counts as text, '' when zero."""
+    Cells hold order counts as text, '' when zero. ``counts`` (from
+    ``region_month_counts``) lets several sheets share one aggregation."""
     months = month_list()
     regions = tuple(regions)
-    j = orders_placed(spark, sf_dir).filter(F.col("n_regionkey").isin(*regions))
-    k = ((F.year("o_orderdate") - MONTH_FIRST) * 12 + F.month("o_orderdate") - 1).cast("int")
-    j = j.withColumn("k", k).filter((F.col("k") >= 0) & (F.col("k") < len(months)))
+    counts = counts if counts is not None else region_month_counts(spark, sf_dir, regions)
     key = F.concat(F.col("n_regionkey").cast("string"), F.lit("|"), F.col("c_mktsegment"))
-    seg = cut_lineage(spark, j.groupBy("k", "n_regionkey", "c_mktsegment").count()).withColumn("key", key)
+    seg = counts.filter(F.col("n_regionkey").isin(*regions)).withColumn("key", key)
     tot = (seg.groupBy("k", "n_regionkey").agg(F.sum("count").alias("count"))
            .withColumn("key", F.concat(F.col("n_regionkey").cast("string"), F.lit("|Total"))))
     cells_by_k = (seg.select("k", "key", "count").unionByName(tot.select("k", "key", "count"))

@@ -269,3 +269,5 @@ LEFT JOIN a ON a.n_regionkey = f.reg AND a.k = m.k AND a.seg = s.seg
 """
 
 ORACLE["convert_folder_rejects"] = ORACLE["unpivot_week_sequence"]
+
+ORACLE["stream_region_blocks"] = ORACLE["convert_folder_blocks"]

@@ -40,7 +40,13 @@ from skein.sources.delimited import read_pipe_csv, write_pipe_csv
 from skein.sources.files import parent_dir, start_year
 from skein.sources.html import parse_elements, parse_inputs, parse_tables
 from skein.sources.xlsx import read_xlsx, write_xlsx, write_xlsx_rows
-from skein.streaming.unpivot_stream import start_sink, start_unpivot_stream, stream_files, stream_workbooks
+from skein.streaming.unpivot_stream import (
+    start_batch_stream,
+    start_sink,
+    start_unpivot_stream,
+    stream_files,
+    stream_workbooks,
+)
 
 LINEITEM_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LINEITEM_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -513,16 +519,22 @@ QUERIES["stream_panel_files"] = stream_panel_files
 CN_FILES = {"visitors_a.xlsx": (0, 1, 2), "visitors_b.xlsx": (2, 3, 4)}
 
 
+def _cn_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = I.region_month_counts(spark, sf_dir)  # one aggregation shared by both sheets
+    rows = None
+    for name, regions in CN_FILES.items():
+        r = I.region_block_rows(spark, sf_dir, regions=regions, source=name, counts=counts)
+        rows = r if rows is None else rows.unionByName(r)
+    return rows
+
+
 def convert_folder_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CN end to end (SRC2 + the region block layout through files): a CN folder
     of two workbooks (cover sheet first, data on sheet 'Asia' below three title
     rows and an ignored row), third header block of each melted in one job,
     written as pipe CSV per file and read back."""
     root = scratch_path(spark, "convert_blocks")
-    rows = None
-    for name, regions in CN_FILES.items():
-        r = I.region_block_rows(spark, sf_dir, regions=regions, source=name)
-        rows = r if rows is None else rows.unionByName(r)
+    rows = _cn_sheets(spark, sf_dir)
     _run_writes(write_xlsx_rows(rows, f"{root}/CN", sheet="Asia", cover_sheet="Notes"))
     convert_folder(spark, f"{root}/CN", out_dir=f"{root}/out", spec=REGION_BLOCK_SPEC)
     return read_pipe_csv(spark, f"{root}/out", "Country string, Date string, Visit_Purpose string, Visitors bigint")
@@ -557,3 +569,28 @@ def convert_folder_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["convert_folder_rejects"] = convert_folder_rejects
+
+
+def stream_region_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1 with a whole-file operator: the CN workbooks arrive as a file stream
+    (availableNow); each micro-batch runs the sorted region-block
+    layout through ``foreachBatch`` and appends to parquet. A batch id column
+    makes a replayed batch overwrite, not duplicate, its own output."""
+    root = scratch_path(spark, "stream_blocks")
+    rows = _cn_sheets(spark, sf_dir)
+    _run_writes(write_xlsx_rows(rows, f"{root}/CN", sheet="Asia", cover_sheet="Notes"))
+    spec = REGION_BLOCK_SPEC
+    stream = stream_workbooks(spark, f"{root}/CN", sheet=spec.sheet, header_row=spec.header_row)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        out = unpivot_panel(batch, spec, keys=["source"])
+        (out.withColumn("file", F.element_at(F.split("source", "/"), -1)).drop("source")
+         .withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(f"{root}/out"))
+
+    start_batch_stream(stream, per_batch, f"{root}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+QUERIES["stream_region_blocks"] = stream_region_blocks
