@@ -45,10 +45,17 @@ def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None,
                               value_types=value_types)
     long = long.withColumn("file", F.element_at(F.split(F.col("source"), "/"), -1)).drop("source", "row_no")
     if out_dir is not None:
-        write_pipe_csv(long, out_dir, partition_by=["file"])
+        write_pipe_csv(long, out_dir, partition_by=["file"], sort_within=_file_order(spec))
     return long
 
 
+def _file_order(spec: PanelSpec) -> list[str]:
+    """Row order inside each output file: by date then label for sorted layouts
+    (SRT1). Sorting within partitions on the file prefix means the writer adds
+    no sort of its own, so the order reaches the file."""
+    return ["file", spec.date_col, spec.label_col] if spec.sort else []
+
+
 def convert_path(spark: SparkSession, path: str, out_dir: str | None = None, spec: PanelSpec | None = None,
                  id_labels: Sequence[str] | None = None, value_types: dict | None = None) -> DataFrame:
     """One workbook or a whole folder (a path ending in ``/``). The layout comes
@@ -65,5 +72,5 @@ def convert_path(spark: SparkSession, path: str, out_dir: str | None = None, spe
     long = unpivot_panel_rows(rows, spec, keys=["source"], id_labels=id_labels, header_row=header_row,
                               value_types=value_types)
     long = long.withColumn("file", F.element_at(F.split(F.col("source"), "/"), -1)).drop("source", "row_no")
-    write_pipe_csv(long, out_dir, partition_by=["file"])
+    write_pipe_csv(long, out_dir, partition_by=["file"], sort_within=_file_order(spec))
     return long

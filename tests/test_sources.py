@@ -116,3 +116,21 @@ def test_convert_folder_routes_bad_files(spark):
     assert rej["a_b_c_d_20190114-z.xlsx"] == "no_value_columns"
     assert rej["a_b_c_d_20190107-y.xlsx"].startswith("unreadable")
     assert len(rej) == 3
+
+
+def test_sorted_layout_output_files_are_in_date_order(spark):
+    from skein.operators.convert import convert_folder
+    from skein.operators.panel import CN
+
+    root = tempfile.mkdtemp(prefix="skein-cn-") + "/CN"
+    os.makedirs(root)
+    hdr = ["No", "Period"] + ["Total", "Tourist", "Business", "Others", "Short Excursion"] * 3
+    body = [[str(i + 1), "2021\uff0eDec" if i == 0 else "x"] + ["1"] * 15 for i in range(3)]
+    rows = [["t"], [], [], ["ignored"], hdr] + body
+    with open(f"{root}/asia.xlsx", "wb") as f:
+        f.write(build_workbook([("Cover", [["c"]]), ("Asia", rows)]))
+    convert_folder(spark, root, out_dir=f"{root}/out")
+    files = [os.path.join(dp, x) for dp, _, fs in os.walk(f"{root}/out") for x in fs if x.endswith(".csv")]
+    lines = [ln for p in sorted(files) for ln in open(p).read().splitlines() if ln and not ln.startswith("Country")]
+    dates = [ln.split("|")[1] for ln in lines]
+    assert dates == sorted(dates) and set(dates) == {"202112", "202201"}
