@@ -271,3 +271,9 @@ LEFT JOIN a ON a.n_regionkey = f.reg AND a.k = m.k AND a.seg = s.seg
 ORACLE["convert_folder_rejects"] = ORACLE["unpivot_week_sequence"]
 
 ORACLE["stream_region_blocks"] = ORACLE["convert_folder_blocks"]
+
+ORACLE["html_records_discovered"] = """
+SELECT n_name, CAST(c_custkey AS VARCHAR) AS "Key", c_name AS "Name", c_mktsegment AS "Segment",
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS "Balance"
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""

@@ -28,6 +28,7 @@ from skein.operators.rows import (
     nested_row,
     ragged_reason,
     record_get,
+    select_record,
     unpivot_rows,
     with_header,
     zip_record,
@@ -594,3 +595,20 @@ def stream_region_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["stream_region_blocks"] = stream_region_blocks
+
+
+def html_records_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ13 with discovered columns: the union of header labels of all pages
+    becomes the columns, text as read. The schema must be known before the
+    plan, so the parsed tables are written once (checkpoint in the shared
+    folder) and both the label discovery (header rows only: one row per table,
+    a vocabulary-sized result) and the records read them: one parse."""
+    t = I.cut_lineage(spark, parse_tables(H.customer_pages(spark, sf_dir), min_depth=5, parent_row_pos=5))
+    hdr = compact_cells(nested_row("rows", 2)["cells"])
+    keys = [r["k"] for r in t.select(F.explode(hdr).alias("k")).distinct().orderBy("k").collect()]
+    body = explode_body(t, ["page_id"], 3, extra={"title": nested_row("rows", 0)["cells"][0], "hdr": hdr})
+    rec = body.select(F.col("title").alias("n_name"), zip_record("hdr", compact_cells("cells")).alias("r"))
+    return select_record(rec, "r", keys, keep=["n_name"])
+
+
+QUERIES["html_records_discovered"] = html_records_discovered
