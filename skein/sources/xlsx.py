@@ -379,7 +379,8 @@ def write_xlsx(df: DataFrame, directory: str, name_pattern: str = "part_{part:05
     def run(batches):
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        part, attempt = ctx.partitionId(), ctx.taskAttemptId()
         out_schema = pa.schema([("path", pa.string()), ("n_rows", pa.int64())])
         state = {"file": 0, "rows": []}
 
@@ -391,7 +392,8 @@ def write_xlsx(df: DataFrame, directory: str, name_pattern: str = "part_{part:05
             sheets = ([(cover_sheet, [["cover"]])] if cover_sheet else []) + [(sheet, body)]
             os.makedirs(local_dir, exist_ok=True)
             path = os.path.join(local_dir, name_pattern.format(part=part, file=state["file"], uid=uid))
-            tmp = path + ".tmp"
+            # per attempt (a speculative twin never shares it) and hidden (Spark's file listing skips it)
+            tmp = os.path.join(local_dir, f".{os.path.basename(path)}.{attempt}.tmp")
             with open(tmp, "wb") as f:
                 f.write(build_workbook(sheets))
             os.replace(tmp, path)
@@ -426,15 +428,19 @@ def write_xlsx_rows(rows: DataFrame, directory: str, file_col: str = "source", s
     out_schema = pa.schema([("path", pa.string()), ("n_rows", pa.int64())])
 
     def run(batches):
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().taskAttemptId()
         cur, body = None, []
 
         def flush():
             sheets = ([(cover_sheet, [["cover"]])] if cover_sheet else []) + [(sheet, body)]
             os.makedirs(local_dir, exist_ok=True)
             path = os.path.join(local_dir, os.path.basename(cur))
-            with open(path + ".tmp", "wb") as f:
+            tmp = os.path.join(local_dir, f".{os.path.basename(path)}.{attempt}.tmp")
+            with open(tmp, "wb") as f:
                 f.write(build_workbook(sheets))
-            os.replace(path + ".tmp", path)
+            os.replace(tmp, path)
             return pa.RecordBatch.from_pydict({"path": [path], "n_rows": [len(body)]}, schema=out_schema)
 
         for b in batches:
