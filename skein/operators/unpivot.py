@@ -145,13 +145,15 @@ SAMPLE_PER_BOUND = 20  # sample rows per range bound: the driver sees at most ~2
 
 
 def _range_bounds(df: DataFrame, cols: Sequence[str], n: int, seed: int = 17) -> list:
-    """``n - 1`` boundary rows of ``cols`` from a bounded sample, ordered by
-    Spark itself (so the bounds follow Spark's ordering of the values)."""
-    total = df.count()
-    if total == 0 or n <= 1:
+    """``n - 1`` boundary rows of ``cols`` from a uniform sample of at most
+    ``SAMPLE_PER_BOUND * n`` rows: the rows with the smallest seeded random
+    numbers, picked by a per-task top-k (one job, no count), then ordered by
+    Spark itself so the bounds follow Spark's ordering of the values."""
+    if n <= 1:
         return []
-    frac = min(1.0, SAMPLE_PER_BOUND * n / total)
-    sample = df.select(*cols).sample(False, frac, seed).orderBy(*cols).collect()
+    k = SAMPLE_PER_BOUND * n
+    sample = (df.select(*cols, F.rand(seed).alias("_r")).orderBy("_r").limit(k)
+              .orderBy(*cols).drop("_r").collect())
     if not sample:
         return []
     step = len(sample) / n
