@@ -70,3 +70,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the ``skein`` package importable in the Python workers (executors
+    import it to run the Arrow functions of the workbook and HTML readers).
+
+    Zips the package once per application and registers it with
+    ``addPyFile``, which copies it to every executor; a no-op afterwards.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = shared_dir(spark)
+    local = base.replace("file:", "", 1) if base.startswith("file:") or "://" not in base else None
+    folder = scratch_path(spark, "pyfiles").replace("file:", "", 1) if local else tempfile.mkdtemp(prefix="skein-")
+    target = os.path.join(folder, "skein.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.session import ship_package
+
 _SECTIONS = {"thead", "tbody", "tfoot"}
 # Output Arrow batches are cut at these sizes so a task never holds all of its output.
 OUT_TABLES = 256
@@ -249,6 +251,7 @@ def parse_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
         if out["page_id"]:
             yield pa.RecordBatch.from_pydict(out, schema=_TABLE_ARROW)
 
+    ship_package(pages.sparkSession)
     return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(
         run, TABLE_SCHEMA.replace("page_id", id_col, 1))
 
@@ -276,6 +279,7 @@ def parse_elements(pages: DataFrame, tag: str = "li", id_col: str = "page_id", h
         if out[id_col]:
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
+    ship_package(pages.sparkSession)
     return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(
         run, f"{id_col} long, item_no int, text string")
 
@@ -297,6 +301,7 @@ def parse_inputs(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
                 out["inputs"].append([list(a.items()) for a in p.inputs])
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
+    ship_package(pages.sparkSession)
     return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(
         run, f"{id_col} long, inputs array<map<string,string>>")
 

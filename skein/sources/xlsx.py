@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.session import ship_package
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -293,6 +295,7 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
 
     ddl = ROWS_SCHEMA + (", " + CONTEXT_SCHEMA if header_row is not None else "") + \
         (", error string" if on_error == "reject" else "")
+    ship_package(files.sparkSession)
     return files.select("path", "file_name", "content").mapInArrow(run, ddl)
 
 
@@ -414,6 +417,7 @@ def write_xlsx(df: DataFrame, directory: str, name_pattern: str = "part_{part:05
     # Header labels may hold dots, which column resolution reads as struct fields: hand
     # positional names to the Arrow function and write the real labels as the header.
     safe = df.toDF(*[f"_c{i}" for i in range(len(cols))])
+    ship_package(safe.sparkSession)
     return safe.mapInArrow(run, "path string, n_rows long")
 
 
@@ -456,4 +460,5 @@ def write_xlsx_rows(rows: DataFrame, directory: str, file_col: str = "source", s
         if cur is not None:
             yield flush()
 
+    ship_package(r.sparkSession)
     return r.mapInArrow(run, "path string, n_rows long")
