@@ -26,7 +26,7 @@ a AS (SELECT n_name, c_mktsegment, week(o_orderdate) AS wk, count(*) AS u,
              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v
       FROM j GROUP BY ALL)
 SELECT g.n_name, g.c_mktsegment, '1996_' || lpad(CAST(w.wk AS VARCHAR), 2, '0') AS WeekOfYear,
-       a.u AS Unit, a.v AS Value
+       CAST(a.u AS DOUBLE) AS Unit, CAST(a.v AS DOUBLE) AS Value
 FROM g CROSS JOIN w
 LEFT JOIN a ON a.n_name = g.n_name AND a.c_mktsegment = g.c_mktsegment AND a.wk = w.wk
 """
@@ -40,7 +40,7 @@ a AS (SELECT o_orderpriority, o_orderstatus, (year(o_orderdate) - 1995) * 12 + m
       FROM o GROUP BY ALL)
 SELECT g.o_orderpriority, g.o_orderstatus,
        CAST(1995 + m.k // 12 AS VARCHAR) || '/' || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS YearMonth,
-       a.v AS Value
+       CAST(a.v AS DOUBLE) AS Value
 FROM g CROSS JOIN m
 LEFT JOIN a ON a.o_orderpriority = g.o_orderpriority AND a.o_orderstatus = g.o_orderstatus AND a.k = m.k
 """
@@ -66,7 +66,7 @@ WITH a AS (SELECT (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k,
 m AS (SELECT range AS k FROM range(0, 72))
 SELECT 'ASIA' AS Country,
        CAST(1995 + m.k // 12 AS VARCHAR) || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS Date,
-       s.seg AS Visit_Purpose, a.n AS Visitors
+       s.seg AS Visit_Purpose, CAST(a.n AS DOUBLE) AS Visitors
 FROM m CROSS JOIN {_SEGMENTS}
 LEFT JOIN a ON a.k = m.k AND a.seg = s.seg
 """
@@ -74,7 +74,7 @@ LEFT JOIN a ON a.k = m.k AND a.seg = s.seg
 ORACLE["unpivot_ragged"] = f"""
 WITH a AS (SELECT n_name, c_mktsegment, o_orderpriority, count(*) AS n FROM {_PLACED} GROUP BY ALL),
 g AS (SELECT DISTINCT n_name, c_mktsegment FROM a)
-SELECT g.n_name, g.c_mktsegment, p.pri AS o_orderpriority, a.n AS n_orders
+SELECT g.n_name, g.c_mktsegment, p.pri AS o_orderpriority, CAST(a.n AS DOUBLE) AS n_orders
 FROM g CROSS JOIN {_PRIORITIES}
 LEFT JOIN a ON a.n_name = g.n_name AND a.c_mktsegment = g.c_mktsegment AND a.o_orderpriority = p.pri
 """
@@ -102,7 +102,8 @@ ORACLE["truncate_after_first"] = """
 WITH e AS (SELECT event_id, user_id, ts, event_type,
                   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
 c AS (SELECT *, min(CASE WHEN event_type = 'error' THEN rn END) OVER (PARTITION BY user_id) AS cut FROM e)
-SELECT event_id, user_id, ts, event_type FROM c WHERE cut IS NULL OR rn <= cut
+SELECT event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type FROM c
+WHERE cut IS NULL OR rn <= cut
 """
 
 ORACLE["header_occurrence"] = """
@@ -135,7 +136,7 @@ FROM orders
 """
 
 ORACLE["report_filter"] = f"""
-SELECT o_orderkey, o_orderdate, n_name, c_mktsegment FROM {_PLACED}
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, n_name, c_mktsegment FROM {_PLACED}
 WHERE isoyear(o_orderdate) * 100 + week(o_orderdate) BETWEEN 199610 AND 199720
   AND lower(n_name) = 'nation_7' AND lower(c_mktsegment) = 'building'
 """
@@ -148,12 +149,13 @@ FROM orders
 """
 
 ORACLE["html_records"] = """
-SELECT n_name, c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal
+SELECT n_name, c_custkey, c_name, c_mktsegment, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS c_acctbal
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
 
 ORACLE["html_table_by_attr"] = """
-SELECT p_brand, p_partkey, p_name, p_type, p_size, CAST(p_retailprice AS DECIMAL(18,2)) AS p_retailprice FROM part
+SELECT p_brand, p_partkey, p_name, p_type, p_size, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS p_retailprice
+FROM part
 """
 
 # Row numbers: 0 banner (dropped), 1-2 headers, then nations of the region in key order (3, 4, ...).
@@ -221,7 +223,7 @@ w AS (SELECT y.yr, r.range AS wk FROM (VALUES (1996, 52), (1997, 52), (1998, 53)
 a AS (SELECT yr, n_name, c_mktsegment, wk, count(*) AS u,
              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v FROM j GROUP BY ALL)
 SELECT g.n_name, g.c_mktsegment, CAST(g.yr AS VARCHAR) || '_' || lpad(CAST(w.wk AS VARCHAR), 2, '0') AS WeekOfYear,
-       a.u AS Unit, a.v AS Value
+       CAST(a.u AS DOUBLE) AS Unit, CAST(a.v AS DOUBLE) AS Value
 FROM g JOIN w ON w.yr = g.yr
 LEFT JOIN a ON a.yr = g.yr AND a.n_name = g.n_name AND a.c_mktsegment = g.c_mktsegment AND a.wk = w.wk
 """
@@ -235,7 +237,7 @@ a AS (SELECT o_orderpriority, o_orderstatus, (year(o_orderdate) - 1995) * 12 + m
       FROM o GROUP BY ALL)
 SELECT g.o_orderstatus, g.o_orderpriority,
        CAST(1995 + m.k // 12 AS VARCHAR) || '/' || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS YearMonth,
-       a.v AS Value
+       CAST(a.v AS DOUBLE) AS Value
 FROM g CROSS JOIN m
 LEFT JOIN a ON a.o_orderpriority = g.o_orderpriority AND a.o_orderstatus = g.o_orderstatus AND a.k = m.k
 """
@@ -263,7 +265,7 @@ f AS (SELECT * FROM (VALUES ('visitors_a.xlsx', 2), ('visitors_b.xlsx', 4)) f(fi
 m AS (SELECT range AS k FROM range(0, 72))
 SELECT 'ASIA' AS Country,
        CAST(1995 + m.k // 12 AS VARCHAR) || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS Date,
-       s.seg AS Visit_Purpose, a.n AS Visitors, f.file
+       s.seg AS Visit_Purpose, CAST(a.n AS DOUBLE) AS Visitors, f.file
 FROM f CROSS JOIN m CROSS JOIN {_SEGMENTS}
 LEFT JOIN a ON a.n_regionkey = f.reg AND a.k = m.k AND a.seg = s.seg
 """

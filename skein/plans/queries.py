@@ -50,6 +50,13 @@ from skein.streaming.unpivot_stream import (
 )
 
 LINEITEM_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def as_double(df: DataFrame, *cols: str) -> DataFrame:
+    """Panel cells are handed out as DOUBLE, as a spreadsheet stores numbers:
+    money is summed exactly as DECIMAL(18,2) first (the double is the correctly
+    rounded exact sum), and a nullable count reads the same in every client."""
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
 LINEITEM_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -61,12 +68,12 @@ def unpivot_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unpivot_paired_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MX layout (UNP2, PRJ1, PRJ5, SCA1, SCA4) over a weekly nation x segment panel."""
-    return unpivot_panel(I.weekly_paired_panel(spark, sf_dir), MX)
+    return as_double(unpivot_panel(I.weekly_paired_panel(spark, sf_dir), MX), "Unit", "Value")
 
 
 def unpivot_month_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JP layout (PRJ2, SCA2, SCA3, SCA10, UNP1) over a monthly priority x status panel."""
-    return unpivot_panel(I.monthly_panel(spark, sf_dir), JP)
+    return as_double(unpivot_panel(I.monthly_panel(spark, sf_dir), JP), "Value")
 
 
 def unpivot_week_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +81,7 @@ def unpivot_week_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpivot_panel(I.weekly_text_panel(spark, sf_dir), JP2, source=I.WEEKLY_TEXT_SOURCE)
 
 
-REGION_BLOCK_SPEC = CN.replace(value_names=I.SEGMENTS, cutoff="200012", country="ASIA", value_type="bigint")
+REGION_BLOCK_SPEC = CN.replace(value_names=I.SEGMENTS, cutoff="200012", country="ASIA", value_type="double")
 
 
 def unpivot_region_block(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +96,7 @@ def unpivot_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = I.ragged_nation_rows(spark, sf_dir)
     long = unpivot_rows(rows, ["source"], ["segment"], header_row=0)
     return long.select(F.col("source").alias("n_name"), F.col("segment").alias("c_mktsegment"),
-                       F.col("label").alias("o_orderpriority"), F.col("value").cast("bigint").alias("n_orders"))
+                       F.col("label").alias("o_orderpriority"), F.col("value").cast("double").alias("n_orders"))
 
 
 def pair_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,8 +145,9 @@ def drop_placeholder(spark: SparkSession, sf_dir: str) -> DataFrame:
 def truncate_after_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT2: each user's events up to and including the first error by (ts, event_id)."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
-    return _truncate_after_first(ev, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error",
+    kept = _truncate_after_first(ev, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error",
                                  on_missing="all")
+    return kept.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 def header_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +202,8 @@ def report_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _report_filter(table(spark, sf_dir, "orders"), date_col="o_orderdate", start=REPORT_START, end=REPORT_END)
     j = I.orders_placed(spark, sf_dir, o)
     j = _report_filter(j, options=REPORT_OPTIONS)
-    return j.select("o_orderkey", "o_orderdate", "n_name", "c_mktsegment")
+    return j.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"),
+                    "n_name", "c_mktsegment")
 
 
 ORDER_HEADER = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
@@ -248,7 +257,7 @@ def html_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                       record_get("r", "Key").cast("bigint").alias("c_custkey"),
                       record_get("r", "Name").alias("c_name"),
                       record_get("r", "Segment").alias("c_mktsegment"),
-                      record_get("r", "Balance").cast("decimal(18,2)").alias("c_acctbal"))
+                      record_get("r", "Balance").cast("decimal(18,2)").cast("double").alias("c_acctbal"))
 
 
 def html_table_by_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +271,7 @@ def html_table_by_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
                       record_get("r", "Name").alias("p_name"),
                       record_get("r", "Type").alias("p_type"),
                       record_get("r", "Size").cast("int").alias("p_size"),
-                      record_get("r", "Price").cast("decimal(18,2)").alias("p_retailprice"))
+                      record_get("r", "Price").cast("decimal(18,2)").cast("double").alias("p_retailprice"))
 
 
 def _report_rows(spark, sf_dir):
@@ -431,7 +440,7 @@ def unpivot_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_xlsx(spark, f"{root}/MX", header_row=0)
     long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
                               value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
-    return long.drop("source", "row_no")
+    return as_double(long.drop("source", "row_no"), "Unit", "Value")
 
 
 ORDER_STATUSES = ("F", "O", "P")
@@ -451,7 +460,8 @@ def convert_folder_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     convert_folder(spark, f"{root}/JP", out_dir=f"{root}/out", id_labels=["o_orderpriority"],
                    value_types={"Value": "decimal(18,2)"})
     back = read_pipe_csv(spark, f"{root}/out", "o_orderpriority string, YearMonth string, Value decimal(18,2)")
-    return back.select(F.get(F.split("file", "_"), 1).alias("o_orderstatus"), "o_orderpriority", "YearMonth", "Value")
+    return as_double(back.select(F.get(F.split("file", "_"), 1).alias("o_orderstatus"), "o_orderpriority",
+                                 "YearMonth", "Value"), "Value")
 
 
 QUERIES.update({
@@ -511,7 +521,7 @@ def stream_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                               value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
     q = start_sink(long.drop("source", "row_no"), f"{root}/out", f"{root}/ckpt")
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return as_double(spark.read.parquet(f"{root}/out"), "Unit", "Value")
 
 
 QUERIES["stream_panel_files"] = stream_panel_files
@@ -538,7 +548,7 @@ def convert_folder_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _cn_sheets(spark, sf_dir)
     _run_writes(write_xlsx_rows(rows, f"{root}/CN", sheet="Asia", cover_sheet="Notes"))
     convert_folder(spark, f"{root}/CN", out_dir=f"{root}/out", spec=REGION_BLOCK_SPEC)
-    return read_pipe_csv(spark, f"{root}/out", "Country string, Date string, Visit_Purpose string, Visitors bigint")
+    return read_pipe_csv(spark, f"{root}/out", "Country string, Date string, Visit_Purpose string, Visitors double")
 
 
 QUERIES["convert_folder_blocks"] = convert_folder_blocks
