@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -73,6 +74,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -84,8 +86,14 @@ def ship_package(spark: SparkSession) -> None:
     """
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
-        return
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        _zip_and_add(spark, sc)
+        _SHIPPED.add(app)
+
+
+def _zip_and_add(spark: SparkSession, sc) -> None:
     import zipfile
 
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -100,4 +108,3 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(target)
-    _SHIPPED.add(app)
