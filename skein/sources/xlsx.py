@@ -79,11 +79,19 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     out = []
     for _, el in ET.iterparse(io.BytesIO(z.read("xl/sharedStrings.xml"))):
         if el.tag == _M + "si":
-            out.append("".join(t.text or "" for t in el.iter(_M + "t")))
+            out.append(_rich_text(el))
             el.clear()
     return out
 
 
+def _rich_text(el) -> str:
+    """Text of a string item: its own ``t`` or its runs' ``t``; phonetic
+    guides (``rPh``) are not part of the value."""
+    parts = [t.text or "" for t in el.findall(_M + "t")]
+    parts += [t.text or "" for r in el.findall(_M + "r") for t in r.findall(_M + "t")]
+    return "".join(parts)
+
+
 def _open_sheet(content: bytes, sheet: str | None):
     z = zipfile.ZipFile(io.BytesIO(content))
     sheets = _sheet_paths(z)
@@ -103,7 +111,8 @@ def _cell_value(c, shared):
     if t == "s":
         return shared[int(v.text)] if v is not None else None
     if t == "inlineStr":
-        return "".join(x.text or "" for x in c.iter(_M + "t"))
+        is_ = c.find(_M + "is")
+        return _rich_text(is_) if is_ is not None else None
     if t == "b":
         return None if v is None else ("TRUE" if v.text == "1" else "FALSE")
     return v.text if v is not None else None
@@ -122,7 +131,8 @@ def iter_sheet(content: bytes, sheet: str | None = None):
             for _, el in ET.iterparse(fh):
                 if el.tag != _M + "row":
                     continue
-                r_no = int(el.get("r")) - 1
+                r_attr = el.get("r")  # optional in the format: then the row follows the previous one
+                r_no = int(r_attr) - 1 if r_attr else (0 if prev is None else prev + 1)
                 cells: dict[int, str | None] = {}
                 for pos, c in enumerate(el.findall(_M + "c")):
                     ref = c.get("r")
@@ -154,7 +164,7 @@ def last_row(content: bytes, sheet: str | None = None) -> int | None:
     with z.open(path) as fh:
         for ev, el in ET.iterparse(fh, events=("start",)):
             if el.tag == _M + "row":
-                last = int(el.get("r")) - 1
+                last = int(el.get("r")) - 1 if el.get("r") else (0 if last is None else last + 1)
     return last
 
 

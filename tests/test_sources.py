@@ -134,3 +134,22 @@ def test_sorted_layout_output_files_are_in_date_order(spark):
     lines = [ln for p in sorted(files) for ln in open(p).read().splitlines() if ln and not ln.startswith("Country")]
     dates = [ln.split("|")[1] for ln in lines]
     assert dates == sorted(dates) and set(dates) == {"202112", "202201"}
+
+
+def test_rich_text_phonetics_and_rows_without_numbers():
+    import io as _io
+
+    wb = build_workbook([("S", [["x"]])])
+    src = zipfile.ZipFile(_io.BytesIO(wb))
+    buf = _io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        for n in src.namelist():
+            data = src.read(n)
+            if n == "xl/sharedStrings.xml":
+                data = data.replace(b'<si><t xml:space="preserve">x</t></si>',
+                                    b"<si><r><t>ab</t></r><r><t>c</t></r><rPh><t>PHON</t></rPh></si>")
+            if n == "xl/worksheets/sheet1.xml":
+                data = data.replace(b'<row r="1">', b"<row>") + b""
+                data = data.replace(b"</sheetData>", b'<row><c t="inlineStr"><is><t>next</t></is></c></row></sheetData>')
+            z.writestr(n, data)
+    assert read_sheet(buf.getvalue())[1] == [(0, ["abc"]), (1, ["next"])]
