@@ -85,15 +85,21 @@ def spec_for(country: str) -> PanelSpec:
 
 
 def unpivot_panel(data: DataFrame, spec: PanelSpec, source: str | Column | None = None,
-                  keys: Sequence[str] = ("source",)) -> DataFrame:
+                  keys: Sequence[str] = ("source",), labels: Sequence[str] | None = None) -> DataFrame:
     """Run a layout. ``source`` (file name, or a column holding it) feeds rules
-    that read the name (the start year of ``week_sequence``)."""
+    that read the name (the start year of ``week_sequence``).
+
+    ``labels`` keeps only those output labels (weeks, months). A filter on the
+    generated label would stay above the Expand and still read every value
+    column; here the label rule runs on the column names first, so only the
+    kept columns reach the plan and the scan (``ReadSchema`` shrinks)."""
+    keep = set(labels) if labels is not None else None
     if spec.kind == "paired":
-        return _paired(data, spec)
+        return _paired(data, spec, keep)
     if spec.kind == "month_labels":
-        return _month_labels(data, spec)
+        return _month_labels(data, spec, keep)
     if spec.kind == "week_sequence":
-        return _week_sequence(data, spec, source)
+        return _week_sequence(data, spec, source, keep)
     if spec.kind == "region_block":
         return _region_block(data, spec, list(keys))
     raise ValueError(f"unknown panel kind {spec.kind}")
@@ -105,7 +111,7 @@ def _check_names(ids, *names):
         raise ValueError(f"output names {sorted(clash)} equal id columns")
 
 
-def _paired(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def _paired(df: DataFrame, spec: PanelSpec, keep: set | None = None) -> DataFrame:
     g = group_columns(df.columns, [("first", contains_rule(spec.first_token)),
                                    ("second", contains_rule(spec.second_token))])
     if not g["first"] and not g["second"]:
@@ -113,21 +119,26 @@ def _paired(df: DataFrame, spec: PanelSpec) -> DataFrame:
     ids = g["other"]
     _check_names(ids, spec.label_col, spec.first_col, spec.value_col)
     pairs = pair_groups(g["first"], g["second"], L.week_label_py, by=spec.pair_by)
-    groups = [(label, {spec.first_col: a, spec.value_col: b}) for label, a, b in pairs]
+    groups = [(label, {spec.first_col: a, spec.value_col: b}) for label, a, b in pairs
+              if keep is None or label in keep]
+    if not groups:
+        raise ValueError(f"{spec.name}: no value columns left for the requested labels")
     return unpivot_paired(df, ids, groups, spec.label_col)
 
 
-def _month_labels(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def _month_labels(df: DataFrame, spec: PanelSpec, keep: set | None = None) -> DataFrame:
     g = group_columns(df.columns, [("dates", contains_rule(spec.date_token))])
     if not g["dates"]:
         raise ValueError(f"{spec.name}: no date columns")
     ids = g["other"]
     _check_names(ids, spec.label_col, spec.value_col)
-    labels = {c: L.month_label_py(c) for c in g["dates"]}
-    return unpivot_wide(df, ids, g["dates"], spec.label_col, spec.value_col, labels=labels)
+    labels = {c: L.month_label_py(c) for c in g["dates"] if keep is None or L.month_label_py(c) in keep}
+    if not labels:
+        raise ValueError(f"{spec.name}: no value columns left for the requested labels")
+    return unpivot_wide(df, ids, list(labels), spec.label_col, spec.value_col, labels=labels)
 
 
-def _week_sequence(df: DataFrame, spec: PanelSpec, source) -> DataFrame:
+def _week_sequence(df: DataFrame, spec: PanelSpec, source, keep: set | None = None) -> DataFrame:
     g = group_columns(df.columns, [("dates", contains_rule(spec.date_token))])
     dates = g["dates"]
     if not dates:
@@ -140,11 +151,15 @@ def _week_sequence(df: DataFrame, spec: PanelSpec, source) -> DataFrame:
     # id columns may sit anywhere, so positions never shift onto them.
     if isinstance(source, str):
         seq = L.week_sequence_py(L.file_year_py(source, spec.year_token), dates[0], len(dates))
-        labels = dict(zip(dates, seq))
+        labels = {c: d for c, d in zip(dates, seq) if keep is None or d in keep}
     else:
+        if keep is not None:
+            raise ValueError(f"{spec.name}: labels= needs the file name as a string (labels depend on it)")
         year = L.file_year(source)
         labels = {c: L.week_sequence(year, F.lit(dates[0]), i) for i, c in enumerate(dates)}
-    long = unpivot_wide(df, ids, dates, spec.label_col, spec.value_col, labels=labels)
+    if not labels:
+        raise ValueError(f"{spec.name}: no value columns left for the requested labels")
+    long = unpivot_wide(df, ids, list(labels), spec.label_col, spec.value_col, labels=labels)
     if spec.placeholder is not None:
         long = drop_placeholder(long, spec.value_col, spec.placeholder)
     return long

@@ -73,3 +73,16 @@ def test_rank_within_hot_key_matches_window(spark):
 
     hot_bounds = [b for b in _range_bounds(df, ["k", "o"], 16) if b[0] == 0]
     assert len(hot_bounds) > 5  # the hot key is cut into many buckets
+
+
+def test_label_pruning_reaches_the_scan(spark, tmp_path):
+    from skein.operators.panel import JP, unpivot_panel
+
+    df = spark.createDataFrame([("A", 1.0, 2.0, 3.0)], "p string, `2019/1-` double, `2019/2-` double, `2019/3-` double")
+    path = str(tmp_path / "panel")
+    df.write.parquet(path)
+    wide = spark.read.parquet(path)
+    out = unpivot_panel(wide, JP, labels=["2019/02"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<p:string,2019/2-:double>" in plan
+    assert [tuple(r) for r in out.collect()] == [("A", "2019/02", 2.0)]
