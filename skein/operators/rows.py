@@ -136,7 +136,11 @@ def select_record(df: DataFrame, record: str, keys: Sequence[str], names: Sequen
 
 
 def record_keys(df: DataFrame, record: str) -> list[str]:
-    """Discover the union of record keys (distinct header labels: metadata-sized)."""
+    """Discover the union of record keys (distinct labels: vocabulary-sized).
+
+    This reads every record; when records come from a parsed source, take the
+    labels from the header rows instead (one row per table) and parse once
+    (see the ``html_records_discovered`` query)."""
     ks = (df.select(F.explode(F.col(record)["key"]).alias("k")).distinct()
           .orderBy("k").collect())
     return [r["k"] for r in ks]
