@@ -57,16 +57,18 @@ def _file_order(spec: PanelSpec) -> list[str]:
 
 
 def convert_path(spark: SparkSession, path: str, out_dir: str | None = None, spec: PanelSpec | None = None,
-                 id_labels: Sequence[str] | None = None, value_types: dict | None = None) -> DataFrame:
+                 id_labels: Sequence[str] | None = None, value_types: dict | None = None,
+                 rejects_dir: str | None = None) -> DataFrame:
     """One workbook or a whole folder (a path ending in ``/``). The layout comes
     from the folder name (the country code) unless ``spec`` is given. A single
     named file is read even if its name holds the converted mark. Output
-    defaults to ``<folder>/pivoted`` (a sub folder, so never read back as input)."""
+    defaults to ``<folder>/pivoted`` (a sub folder, so never read back as input).
+    ``rejects_dir`` (folders only) lists files that do not fit instead of failing."""
     folder = path.rstrip("/") if path.endswith("/") else path.rsplit("/", 1)[0]
     spec = spec or spec_for(folder.split("/")[-1])
     out_dir = out_dir if out_dir is not None else f"{folder}/pivoted"
     if path.endswith("/"):
-        return convert_folder(spark, folder, out_dir, spec, id_labels, value_types)
+        return convert_folder(spark, folder, out_dir, spec, id_labels, value_types, rejects_dir=rejects_dir)
     header_row = spec.header_row if spec.kind == "region_block" else 0
     rows = read_xlsx(spark, path, sheet=spec.sheet, header_row=header_row)
     long = unpivot_panel_rows(rows, spec, keys=["source"], id_labels=id_labels, header_row=header_row,
