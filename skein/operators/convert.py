@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators.panel import PanelSpec, panel_reject_reason, spec_for, unpivot_panel_rows
+from skein.operators.panel import PanelSpec, is_value_label, panel_reject_reason, spec_for, unpivot_panel_rows
 from skein.session import shared_dir
 from skein.sources.delimited import write_pipe_csv
 from skein.sources.xlsx import read_xlsx
@@ -30,6 +30,8 @@ def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None,
     out, while the other files go on; without it such a file fails the job."""
     spec = spec or spec_for(folder.rstrip("/").split("/")[-1])
     header_row = spec.header_row if spec.kind == "region_block" else 0
+    if id_labels is None and spec.kind != "region_block":
+        id_labels = discover_id_labels(spark, folder, spec, exclude)
     on_error = "reject" if rejects_dir is not None else "fail"
     rows = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude, header_row=header_row, on_error=on_error)
     if rejects_dir is not None:
@@ -49,6 +51,17 @@ def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None,
     return long
 
 
+def discover_id_labels(spark: SparkSession, folder: str, spec: PanelSpec, exclude: str | None = CONVERTED_MARK
+                       ) -> list[str]:
+    """The id columns of a folder: header cells that are not value columns,
+    over all files. Each file is read only up to its header row; the result is
+    the vocabulary of id labels (a handful), in label order."""
+    heads = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude, header_row=0, headers_only=True)
+    labels = (heads.select(F.explode("cells").alias("h"))
+              .filter(F.col("h").isNotNull() & ~is_value_label(spec, F.col("h"))).distinct().orderBy("h"))
+    return [r["h"] for r in labels.collect()]
+
+
 def _file_order(spec: PanelSpec) -> list[str]:
     """Row order inside each output file: by date then label for sorted layouts
     (SRT1). Sorting within partitions on the file prefix means the writer adds

@@ -319,3 +319,15 @@ def panel_reject_reason(spec: PanelSpec, keys: Sequence[str] = ("source",)) -> C
             present = (kcut >= 0) & (kcut <= F.col("last_row_no") - F.col("first_row_no"))
             reason = reason.when(~present, F.lit("cutoff_missing"))
     return reason
+
+
+def is_value_label(spec: PanelSpec, h: Column) -> Column:
+    """Whether a header cell is a value column of ``spec`` (the others are ids)."""
+    def has(tok):
+        return F.coalesce(h.contains(tok), F.lit(False))
+
+    if spec.kind == "paired":
+        return has(spec.first_token) | has(spec.second_token)
+    if spec.kind in ("month_labels", "week_sequence"):
+        return has(spec.date_token)
+    return F.array_contains(F.array(*[F.lit(n) for n in spec.value_names]), h)

@@ -204,7 +204,7 @@ def list_files(spark: SparkSession, path: str, exclude: str | None = None, glob:
 
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, exclude: str | None = None,
               glob: str | None = None, recursive: bool = False, header_row: int | None = None,
-              on_error: str = "fail") -> DataFrame:
+              on_error: str = "fail", headers_only: bool = False) -> DataFrame:
     """Ragged rows of one sheet of every workbook under ``path`` (SRC1/SRC2/SRC3).
 
     With ``header_row`` (0-based physical row) only the rows below it are
@@ -214,7 +214,7 @@ def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, exclude:
     file is parsed once.
     """
     files = list_files(spark, path, exclude=exclude, glob=glob, recursive=recursive)
-    return read_xlsx_files(files, sheet, header_row=header_row, on_error=on_error)
+    return read_xlsx_files(files, sheet, header_row=header_row, on_error=on_error, headers_only=headers_only)
 
 
 CONTEXT_SCHEMA = "hdr array<string>, first_row_no int, first_cells array<string>, last_row_no int"
@@ -242,7 +242,7 @@ def check_sheet(content: bytes, sheet: str | None, header_row: int | None) -> st
 
 
 def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int = 8192,
-                    header_row: int | None = None, on_error: str = "fail") -> DataFrame:
+                    header_row: int | None = None, on_error: str = "fail", headers_only: bool = False) -> DataFrame:
     """``on_error="reject"``: a workbook that cannot be read (or lacks the header
     row / body) gives one row with ``row_no = -1`` and the reason in ``error``
     instead of failing the job; the other files go on."""
@@ -250,10 +250,10 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
         raise ValueError("on_error must be fail or reject")
     fields = [("source", pa.string()), ("file_name", pa.string()), ("sheet", pa.string()),
               ("row_no", pa.int32()), ("cells", pa.list_(pa.string()))]
-    if header_row is not None:
+    if header_row is not None and not headers_only:
         fields += [("hdr", pa.list_(pa.string())), ("first_row_no", pa.int32()),
                    ("first_cells", pa.list_(pa.string())), ("last_row_no", pa.int32())]
-    if on_error == "reject":
+    if on_error == "reject" and not headers_only:
         fields += [("error", pa.string())]
     schema = pa.schema(fields)
 
@@ -262,6 +262,19 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
         for b in batches:
             for p, fn, content in zip(b.column("path").to_pylist(), b.column("file_name").to_pylist(),
                                       b.column("content").to_pylist()):
+                if headers_only:  # read a file only up to its header row
+                    try:
+                        name, rows = iter_sheet(content, sheet)
+                        hdr = next((c for r_no, c in rows if r_no >= (header_row or 0)), None)
+                    except (zipfile.BadZipFile, KeyError, ValueError, ET.ParseError, OSError):
+                        continue  # an unreadable file has no labels to offer
+                    if hdr is not None:
+                        out["source"].append(p)
+                        out["file_name"].append(fn)
+                        out["sheet"].append(name)
+                        out["row_no"].append(header_row or 0)
+                        out["cells"].append(hdr)
+                    continue
                 if on_error == "reject":
                     reason = check_sheet(content, sheet, header_row)
                     if reason is not None:
@@ -303,8 +316,8 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int
         if out["source"]:
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
-    ddl = ROWS_SCHEMA + (", " + CONTEXT_SCHEMA if header_row is not None else "") + \
-        (", error string" if on_error == "reject" else "")
+    ddl = ROWS_SCHEMA + (", " + CONTEXT_SCHEMA if header_row is not None and not headers_only else "") + \
+        (", error string" if on_error == "reject" and not headers_only else "")
     ship_package(files.sparkSession)
     return files.select("path", "file_name", "content").mapInArrow(run, ddl)
 
