@@ -153,3 +153,18 @@ def test_rich_text_phonetics_and_rows_without_numbers():
                 data = data.replace(b"</sheetData>", b'<row><c t="inlineStr"><is><t>next</t></is></c></row></sheetData>')
             z.writestr(n, data)
     assert read_sheet(buf.getvalue())[1] == [(0, ["abc"]), (1, ["next"])]
+
+
+def test_id_columns_discovered_across_files(spark):
+    from skein.operators.convert import convert_folder
+
+    root = tempfile.mkdtemp(prefix="skein-ids-") + "/JP"
+    os.makedirs(root)
+    with open(f"{root}/a.xlsx", "wb") as f:
+        f.write(build_workbook([("S", [["product", "2019/1-"], ["A", 1.0]])]))
+    with open(f"{root}/b.xlsx", "wb") as f:
+        f.write(build_workbook([("S", [["maker", "product", "2020/2-"], ["m", "B", 3.0]])]))
+    out = convert_folder(spark, root)
+    assert out.columns[:2] == ["maker", "product"]
+    assert sorted((r["maker"], r["product"], r["YearMonth"]) for r in out.collect()) == [
+        (None, "A", "2019/01"), ("m", "B", "2020/02")]
