@@ -166,5 +166,5 @@ def test_id_columns_discovered_across_files(spark):
         f.write(build_workbook([("S", [["maker", "product", "2020/2-"], ["m", "B", 3.0]])]))
     out = convert_folder(spark, root)
     assert out.columns[:2] == ["maker", "product"]
-    assert sorted((r["maker"], r["product"], r["YearMonth"]) for r in out.collect()) == [
-        (None, "A", "2019/01"), ("m", "B", "2020/02")]
+    assert sorted((r["maker"] or "", r["product"], r["YearMonth"]) for r in out.collect()) == [
+        ("", "A", "2019/01"), ("m", "B", "2020/02")]
