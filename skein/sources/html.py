@@ -21,7 +21,6 @@ Parsing rules (lenient HTML):
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
@@ -305,6 +304,3 @@ def parse_inputs(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(
         run, f"{id_col} long, inputs array<map<string,string>>")
 
-
-def attrs_json(d: Mapping[str, str]) -> str:
-    return json.dumps(dict(d), sort_keys=True)

@@ -67,3 +67,17 @@ def test_ragged_rejects(spark):
     good, bad = split_rejects(df, ragged_reason(F.array(F.lit("h1"), F.lit("h2")), F.col("cells")))
     assert good.count() == 1
     assert sorted(r["reject_reason"] for r in bad.collect()) == ["long_row", "short_row"]
+
+
+def test_skip_rows_header_positions_and_record_keys(spark):
+    from skein.operators.filters import skip_rows
+    from skein.operators.headers import header_positions
+    from skein.operators.rows import record_keys, zip_record
+
+    rows = spark.createDataFrame([("f", 0, ["t"]), ("f", 1, ["a", "Un 1", "Lc 1"]), ("f", 2, ["x", "1", "2"])],
+                                 "source string, row_no int, cells array<string>")
+    assert [r["row_no"] for r in skip_rows(rows, 1).collect()] == [1, 2]
+    hp = rows.filter("row_no = 1").select(header_positions("cells", lambda h: h.contains("Un ")).alias("p"))
+    assert [(p["label"], p["col_no"]) for p in hp.collect()[0]["p"]] == [("Un 1", 1)]
+    recs = spark.createDataFrame([(["k1", "k2"], ["1", "2"]), (["k3"], ["3"])], "h array<string>, c array<string>")
+    assert record_keys(recs.select(zip_record("h", "c").alias("r")), "r") == ["k1", "k2", "k3"]
