@@ -188,15 +188,18 @@ def region_block_rows(spark: SparkSession, sf_dir: str, regions=(0, 1, 2),
     counts = counts if counts is not None else region_month_counts(spark, sf_dir, regions)
     key = F.concat(F.col("n_regionkey").cast("string"), F.lit("|"), F.col("c_mktsegment"))
     seg = counts.filter(F.col("n_regionkey").isin(*regions)).withColumn("key", key)
-    tot = (seg.groupBy("k", "n_regionkey").agg(F.sum("count").alias("count"))
-           .withColumn("key", F.concat(F.col("n_regionkey").cast("string"), F.lit("|Total"))))
-    cells_by_k = (seg.select("k", "key", "count").unionByName(tot.select("k", "key", "count"))
-                  .groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("key", "count"))).alias("m")))
-    names = [f"{r}|{x}" for r in regions for x in ("Total",) + SEGMENTS]
-
-    def cell(m, nm):
-        return F.coalesce(m[nm].cast("string"), F.lit(""))
-
+    # Segment counts per month in one bounded map (3 regions x 5 segments); the
+    # region totals are sums inside that map, so no second aggregation is needed.
+    cells_by_k = seg.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("key", "count"))).alias("m"))
+
+    def cell(m, r, x):
+        if x == "Total":
+            total = sum((F.coalesce(m[f"{r}|{g}"], F.lit(0)) for g in SEGMENTS[1:]),
+                        F.coalesce(m[f"{r}|{SEGMENTS[0]}"], F.lit(0)))
+            return F.when(total > 0, total.cast("string")).otherwise(F.lit(""))
+        return F.coalesce(m[f"{r}|{x}"].cast("string"), F.lit(""))
+
+    cells = [(r, x) for r in regions for x in ("Total",) + SEGMENTS]
     cal = spark.range(len(months)).select(F.col("id").cast("int").alias("k"))
     body = cal.join(cells_by_k, "k", "left")
     first_cells = [F.lit(f"{months[0][0]} \u3000\uff0e{MONTH_NAMES[months[0][1] - 1]}")]
@@ -205,12 +208,11 @@ def region_block_rows(spark: SparkSession, sf_dir: str, regions=(0, 1, 2),
                  (F.col("k") % 12 + 1).cast("string")))
     body_rows = body.select(
         (F.col("k") + 5).alias("row_no"),
-        F.array((F.col("k") + 1).cast("string"), period, *[cell(F.col("m"), nm) for nm in names]).alias("cells"))
-    summary = (seg.select("key", "count").unionByName(tot.select("key", "count"))
-               .groupBy("key").agg(F.sum("count").alias("count"))
+        F.array((F.col("k") + 1).cast("string"), period, *[cell(F.col("m"), r, x) for r, x in cells]).alias("cells"))
+    summary = (seg.groupBy("key").agg(F.sum("count").alias("count"))
                .agg(F.map_from_entries(F.collect_list(F.struct("key", "count"))).alias("m"))
                .select(F.lit(5 + len(months)).alias("row_no"),
-                       F.array(F.lit(""), F.lit("Total"), *[cell(F.col("m"), nm) for nm in names]).alias("cells")))
+                       F.array(F.lit(""), F.lit("Total"), *[cell(F.col("m"), r, x) for r, x in cells]).alias("cells")))
     header = ["No", "Period"] + [x for _ in regions for x in ("Total",) + SEGMENTS]
     top = spark.createDataFrame(
         [(0, ["Visitor arrivals"]), (1, ["by region and purpose"]), (2, [""]), (3, ["(persons)"]),
