@@ -8,6 +8,7 @@ files a query writes. Before timing, every query runs once on the smallest
 tables (``$BENCH_WARMUP_DIR``, default /root/testdata/sf0.001) so JIT and
 generated-code caches are warm and the numbers are steady-state. Each query
 is then timed ``$BENCH_REPEAT`` times (default 2) and the best time is kept.
+``$BENCH_EVENT_LOG`` (a folder) turns on Spark's event log for stage and task times.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = set(sys.argv[1:])
-    spark = get_spark(f"local[{cpus}]", app="skein-bench", shuffle_partitions=max(8, cpus),
-                      extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for later reading, in a folder you choose
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = get_spark(f"local[{cpus}]", app="skein-bench", shuffle_partitions=max(8, cpus), extra=extra)
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     names = [n for n in QUERIES if not only or n in only]
     if os.path.isdir(warm_dir):
