@@ -86,3 +86,11 @@ def test_label_pruning_reaches_the_scan(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<p:string,2019/2-:double>" in plan
     assert [tuple(r) for r in out.collect()] == [("A", "2019/02", 2.0)]
+
+
+def test_mixed_type_panels_melt_after_a_declared_cast(spark):
+    df = spark.createDataFrame([(1, 5, "-", 2.5)], "k int, a int, b string, c double")
+    out = unpivot_wide(df, ["k"], ["a", "b", "c"], "l", "v", value_type="string")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", "5"), (1, "b", "-"), (1, "c", "2.5")]
+    widened = unpivot_wide(df.select("k", "a", "c"), ["k"], ["a", "c"], "l", "v")
+    assert dict(widened.dtypes)["v"] == "double"
