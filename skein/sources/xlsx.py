@@ -336,6 +336,14 @@ def _cell_xml(ref: str, v, strings: dict) -> str:
     return f'<c r="{ref}" t="s"><v>{idx}</v></c>'
 
 
+def _local_folder(directory: str) -> str:
+    """Workbooks are written by Python in the tasks, so the folder must be a
+    path every executor has mounted (``file:`` or a plain path)."""
+    if "://" in directory and not directory.startswith("file:"):
+        raise ValueError(f"write_xlsx needs a mounted shared folder, not {directory!r}")
+    return directory.replace("file:", "", 1)
+
+
 def build_workbook(sheets: Sequence[tuple[str, Sequence[Sequence]]]) -> bytes:
     """A minimal .xlsx (shared strings, numeric and boolean cells) from
     ``[(sheet_name, rows)]``; a row is a list of values (None = no cell)."""
@@ -399,7 +407,7 @@ def write_xlsx(df: DataFrame, directory: str, name_pattern: str = "part_{part:05
     (``path, n_rows``); an action on it writes them.
     """
     cols = df.columns
-    local_dir = directory.replace("file:", "", 1)
+    local_dir = _local_folder(directory)
     uid = uuid.uuid4().hex[:8]
 
     def run(batches):
@@ -449,7 +457,7 @@ def write_xlsx_rows(rows: DataFrame, directory: str, file_col: str = "source", s
     """Ragged rows (``file_col, row_no, cells``) to one workbook per file, each
     row at its ``row_no``. A file's rows are brought to one task (a workbook
     has one writer) and sorted there. Returns the lazy list of written files."""
-    local_dir = directory.replace("file:", "", 1)
+    local_dir = _local_folder(directory)
     r = rows.select(F.col(file_col).alias("_f"), "row_no", "cells").repartition("_f") \
         .sortWithinPartitions("_f", "row_no")
     out_schema = pa.schema([("path", pa.string()), ("n_rows", pa.int64())])
