@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import is_held_out, prepare
-from .words import FIRST, LOWER, Texts, doc_index, mix, text_slices, texts_of
+from .words import FIRST, LOWER, Texts, distinct, doc_index, text_slices, texts_of
 
 SLOTS = 1 << 17
 NEVER = -1e4
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 #: UTF-8 lead bytes of the Unicode blocks of each script.
 SCRIPTS = {
     "latin": [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCA)], "greek": range(0xCD, 0xD0), "cyrillic": range(0xD0, 0xD4),
@@ -40,52 +42,60 @@ class LanguageModel:
     prior: np.ndarray
 
 
+SLICE = 4 << 20  # bytes of text looked at together; words repeat, and each distinct one is scored once
+
+
 @dataclass
-class WordFeatures:
+class DistinctWords:
+    """The words of a slice, and what is needed of each distinct one (A-Z lower-cased)."""
+
     offsets: np.ndarray  # words of each document
-    script: np.ndarray  # of each word
-    letters: np.ndarray  # code points in each word
-    slots: np.ndarray  # of each feature
-    bounds: np.ndarray  # features of each word
+    which: np.ndarray  # distinct word of each word
+    script: np.ndarray  # of each distinct word
+    letters: np.ndarray  # code points in it
+    slots: np.ndarray  # its features
+    bounds: np.ndarray  # limits of its features
 
 
-def features(texts: Texts) -> WordFeatures:
-    """Per word: letter trigrams over its bytes with an edge on both sides, and the whole word."""
+def distinct_words(texts: Texts) -> DistinctWords:
+    """Features of a word: letter trigrams over its bytes with an edge on both sides, and the whole word."""
     data = LOWER[texts.data]
     starts, ends, offs = texts.words()
-    letter = SCRIPT_OF[data]
-    script = np.maximum.reduceat(letter, starts) if len(starts) else np.zeros(0, np.int8)
-    # the byte beyond a word is white space, or the next text's first byte, which an edge mark replaces
+    hashes = FIRST.segments(data, starts, ends)
+    hashes, one, which = distinct(hashes)
+    starts, ends = starts[one], ends[one]
     lengths = ends - starts
     first = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum())) + np.repeat(starts - first, lengths)
-    mid = data[place].astype(np.uint32)
-    before = np.where(place == np.repeat(starts, lengths), 0x20, data[np.maximum(place - 1, 0)]).astype(np.uint32)
-    after = np.where(place == np.repeat(ends - 1, lengths), 0x20, data[np.minimum(place + 1, max(len(data) - 1, 0))]).astype(np.uint32)
-    grams = (before << np.uint32(16)) | (mid << np.uint32(8)) | after
-    grams = (grams * np.uint32(0x9E3779B1)) >> np.uint32(32 - 17)
-    whole = (FIRST.segments(data, starts, ends) >> np.uint64(64 - 17)).astype(np.uint32)
+    inside = data[place]
+    mid = inside.astype(np.uint32)
+    before, after = np.empty_like(mid), np.empty_like(mid)
+    before[1:], after[:-1] = mid[:-1], mid[1:]
+    before[first] = after[first + lengths - 1] = 0x20
+    grams = (((before << np.uint32(16)) | (mid << np.uint32(8)) | after) * np.uint32(0x9E3779B1)) >> np.uint32(32 - 17)
     bounds = np.concatenate([[0], np.cumsum(lengths + 1)])
     slots = np.empty(bounds[-1], np.uint32)
-    at = np.arange(len(grams)) + np.repeat(np.arange(len(starts)), lengths)
-    slots[at] = grams
-    slots[bounds[1:] - 1] = whole
-    points = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)])
-    return WordFeatures(offs, script, points[ends] - points[starts], slots, bounds)
+    slots[np.arange(len(grams)) + np.repeat(np.arange(len(starts)), lengths)] = grams
+    slots[bounds[1:] - 1] = hashes >> np.uint64(64 - 17)
+    script = np.maximum.reduceat(SCRIPT_OF[inside], first) if len(first) else np.zeros(0, np.int8)
+    points = np.add.reduceat(((inside & 0xC0) != 0x80).astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    return DistinctWords(offs, which, script, points, slots, bounds)
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Feature counts (slot), and letters by script (slot = -1 - script), of each language."""
     total: dict[str, np.ndarray] = {}
-    for batch in text_slices(batches):
-        f = features(texts_of(batch.column("text")))
+    for batch in text_slices(batches, max_bytes=SLICE):
+        f = distinct_words(texts_of(batch.column("text")))
         langs = batch.column("lang").to_pylist()
-        per_word = doc_index(f.offsets)
-        for lang in set(langs):
-            mine = np.isin(per_word, [i for i, x in enumerate(langs) if x == lang]) & (f.script > 0)
+        number = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
+        of_word = np.repeat(np.array([number[x] for x in langs]), np.diff(f.offsets))
+        lettered = f.script > 0
+        for lang, i in number.items():
+            times = np.bincount(f.which[of_word == i], minlength=len(f.script)) * lettered
             counts = total.setdefault(lang, np.zeros(SLOTS + len(SCRIPTS) + 1, np.int64))
-            counts[:SLOTS] += np.bincount(f.slots[np.repeat(mine, np.diff(f.bounds))], minlength=SLOTS)
-            counts[SLOTS:] += np.bincount(f.script[mine], f.letters[mine], len(SCRIPTS) + 1).astype(np.int64)
+            counts[:SLOTS] += np.bincount(f.slots, np.repeat(times, np.diff(f.bounds)), SLOTS).astype(np.int64)
+            counts[SLOTS:] += np.bincount(f.script, f.letters * times, len(SCRIPTS) + 1).astype(np.int64)
     for lang, counts in total.items():
         at = np.flatnonzero(counts)
         slot = np.where(at < SLOTS, at, SLOTS - 1 - at)
@@ -151,40 +161,75 @@ def viterbi(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> np.ndarr
     return out
 
 
-def word_labels(f: WordFeatures, model: LanguageModel, penalty: float, temper: float) -> np.ndarray:
-    summed = np.empty((len(f.script), len(model.languages)), np.float32)
-    for at in range(0, len(f.script), 1 << 16):  # the features of so many words at a time
+def word_scores(f: DistinctWords, model: LanguageModel, temper: float) -> np.ndarray:
+    """Score of each distinct word in each language, 0 for the best one."""
+    out = np.empty((len(f.script), len(model.languages)), np.float32)
+    for at in range(0, len(out), 1 << 16):  # the features of so many words at a time
         part = f.bounds[at : at + (1 << 16) + 1]
-        summed[at : at + len(part) - 1] = np.add.reduceat(model.table[f.slots[part[0] : part[-1]]], part[:-1] - part[0], axis=0)
-    summed *= temper
-    summed -= summed.max(1, keepdims=True)
-    summed[~model.candidates[f.script]] = NEVER
-    summed[f.script == 0] = 0
-    return viterbi(summed, f.offsets, penalty)
+        slots, begin = f.slots[part[0] : part[-1]], part[:-1] - part[0]
+        for k in range(out.shape[1]):
+            out[at : at + len(begin), k] = np.add.reduceat(model.table[:, k][slots], begin)
+    out *= temper
+    out[~model.candidates[f.script]] = NEVER
+    out -= out.max(1, keepdims=True)
+    out[f.script == 0] = 0
+    return out
+
+
+def word_labels(f: DistinctWords, model: LanguageModel, penalty: float, temper: float) -> np.ndarray:
+    """Language number of every word.
+
+    Staying in the language with the largest sum is a best path wherever no
+    stretch of words gains more than one penalty in any other language, since
+    every stretch elsewhere pays at least one switch. That holds for most
+    documents and is seen from running sums; only the others are searched.
+    """
+    scores = word_scores(f, model, temper)
+    offs, docs = f.offsets, len(f.offsets) - 1
+    running = [np.concatenate([[0.0], np.cumsum(scores[:, k][f.which], dtype=np.float64)]) for k in range(scores.shape[1])]
+    sums = np.stack([r[offs[1:]] - r[offs[:-1]] for r in running], 1)
+    best = sums.argmax(1)
+    counts = np.diff(offs)
+    label = np.repeat(best, counts)
+    doc = doc_index(offs)
+    own = np.zeros(len(f.which) + 1)
+    own[1:] = np.cumsum(scores[f.which, label], dtype=np.float64)
+    mixed = np.zeros(docs, bool)
+    for r in running:
+        gain = r - own
+        # the largest gain of a stretch: running sum minus its lowest value before, each document below the one before it
+        low_step = 4 * (np.abs(gain).max() + 1) * doc
+        lowest = np.minimum.accumulate(gain[:-1] - low_step) + low_step
+        stretch = gain[1:] - lowest
+        mixed |= np.bincount(doc[stretch > penalty], minlength=docs) > 0
+    some = np.flatnonzero(mixed)
+    if len(some):
+        chosen = np.repeat(mixed, counts)
+        label[chosen] = viterbi(scores[f.which[chosen]], np.concatenate([[0], np.cumsum(counts[some])]), penalty)
+    return label
 
 
 def _predicted(model, penalty: float, temper: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: LanguageModel = model.value
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, max_bytes=SLICE):
             column = batch.column("text")
             texts = texts_of(column)
-            f = features(texts)
+            f = distinct_words(texts)
             size = len(known.languages)
             spans = np.zeros(texts.size, np.int64)
             held = np.zeros((texts.size, max(size, 1)))
-            if size and len(f.script):
+            if size and len(f.which):
                 label = word_labels(f, known, penalty, temper)
                 doc = doc_index(f.offsets)
-                weight = np.where(f.script > 0, f.letters, 0)
+                weight = np.where(f.script > 0, f.letters, 0)[f.which]
                 held = np.bincount(doc * size + label, weight, texts.size * size).reshape(texts.size, size)
                 change = np.ones(len(label), bool)
                 change[1:] = (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])
                 spans = np.bincount(doc[change], minlength=texts.size)
             best = held.argmax(1)
             whole = held.sum(1)
-            ascii_letter = np.isin(LOWER[texts.data], np.arange(ord("a"), ord("z") + 1))
-            letters = np.concatenate([[0], np.cumsum(ascii_letter)])
+            letters = np.concatenate([[0], np.cumsum(ASCII_LETTER[texts.data])])
             has = letters[texts.offsets[1:]] > letters[texts.offsets[:-1]]
             for i in np.flatnonzero(~has):  # rare: ask Unicode
                 has[i] = any(c.isalpha() for c in column[i].as_py() or "")

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .store import is_held_out, prepare
 from .words import FIRST, Texts, mix, text_slices, texts_of
@@ -37,8 +38,11 @@ def _is(chars: bytes) -> np.ndarray:
     return out
 
 
-KINDS = {"upper": _is(bytes(range(65, 91))), "digits": _is(b"0123456789"), "stops": _is(b".,;:?"), "shouts": _is(b"!"),
-         "pipes": _is(b"|"), "signs": _is(b"#*$%&<>@^~=+\\/_{}[]"), "other": _is(bytes(range(128, 256)))}
+_KINDS = {"upper": _is(bytes(range(65, 91))), "digits": _is(b"0123456789"), "stops": _is(b".,;:?"), "shouts": _is(b"!"),
+          "pipes": _is(b"|"), "signs": _is(b"#*$%&<>@^~=+\\/_{}[]"), "other": _is(bytes(range(128, 256)))}
+KIND_OF = np.zeros(256, np.int64)  # 0: none of them
+for _number, _table in enumerate(_KINDS.values(), 1):
+    KIND_OF[_table] = _number
 
 
 def line_ranges(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,9 +56,12 @@ def line_ranges(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letters = np.concatenate([[0], np.cumsum(ends - starts)])
     in_words = letters[last] - letters[first]
     columns = {"bytes": size, "words": words, "word_bytes": in_words / np.maximum(words, 1)}
-    for kind, table in KINDS.items():
-        total = np.concatenate([[0], np.cumsum(table[texts.data])])
-        columns[kind] = (total[end] - total[begin]) / np.maximum(in_words, 1)
+    # newlines between lines are of no kind, so each byte up to the next line's begin may count
+    held = np.diff(np.append(begin, len(texts.data)))
+    many = len(_KINDS) + 1
+    per_kind = np.bincount(np.repeat(np.arange(len(begin)) * many, held) + KIND_OF[texts.data], minlength=len(begin) * many).reshape(-1, many)
+    for number, kind in enumerate(_KINDS, 1):
+        columns[kind] = per_kind[:, number] / np.maximum(in_words, 1)
     line_of = np.repeat(np.arange(len(begin)), words)
     key = np.sort(mix(FIRST.segments(texts.data, starts, ends) + mix(line_of.astype(np.uint64))) >> np.uint64(24) | (line_of.astype(np.uint64) << np.uint64(40)))
     fresh = np.ones(len(key), bool)
@@ -206,12 +213,12 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
     return fit(ranges, np.concatenate(sizes), offs, np.array([float(r["quality"] > 0) for r in rows]))
 
 
-def _scored(model, with_lines: bool):
+def _scored(model, with_lines: bool, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf: Crf = model.value
         for batch in text_slices(batches):
             ranges, size, offs = line_ranges(texts_of(batch.column("text")))
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "text" or with_lines}
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "text" or with_text}
             columns["score"] = pa.array(document_scores(crf, ranges, size, offs))
             if with_lines:
                 marginal, _, _ = forward_backward(emissions(crf, ranges, offs), offs, crf.chain)
@@ -222,14 +229,17 @@ def _scored(model, with_lines: bool):
 
 
 def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, fold: int = 4, held_out: int = 2,
-                  threshold: float = 0.7, sample: int = 4000, with_lines: bool = False) -> DataFrame:
+                  threshold: float = 0.7, sample: int = 4000, with_lines: bool = False,
+                  carry: list[str] | None = None) -> DataFrame:
     """Quality of every document, learnt from labelled rows outside the held-out fold.
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and quality (1 good, 0
     bad). Returns doc_id, held_out (crc32 of the id as text modulo ``fold`` is
     ``held_out``), score, predicted (1 if score >= ``threshold``); with
-    ``with_lines`` also text and line_scores, the marginal of "good" of each
-    line. The score depends on the text alone. The fit uses at most ``sample``
+    ``with_lines`` also line_scores, the marginal of "good" of each line; and
+    the input columns named in ``carry`` (where a name clashes with the
+    operator's own, the input's is carried). The score depends on the text
+    alone. The fit uses at most ``sample``
     labelled documents; scores cover every whole text.
 
     Defined cases: null and empty texts are one empty line and scored so; a
@@ -238,12 +248,18 @@ def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, fold:
     the same for all (0.5 without any). Extra columns are ignored.
     """
     prepare(spark)
+    carry = [c for c in carry or [] if c != "doc_id"]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     known = labels.select("doc_id", "quality").where(~is_held_out("doc_id", fold, held_out))
     model = spark.sparkContext.broadcast(train(spark, rows, known, sample))
-    extra = ", text string" if with_lines else ""
-    tail = ", score double, line_scores array<double>" if with_lines else ", score double"
-    order = rows.select("doc_id", "text") if with_lines else rows
-    scored = order.mapInArrow(_scored(model, with_lines), f"doc_id long{extra}{tail}")
-    return scored.withColumn("held_out", is_held_out("doc_id", fold, held_out)).withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int")).select("doc_id", "held_out", "score", "predicted", *(["text", "line_scores"] if with_lines else []))
+    source = docs.select("doc_id", F.col("text").cast("string").alias("text"), *(F.col(f"`{c}`").alias(f"in_{c}") for c in carry if c != "text"))
+    kept = source if "text" in carry else source.drop("text")
+    schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
+    if with_lines:
+        schema.add("line_scores", "array<double>")
+    scored = source.mapInArrow(_scored(model, with_lines, "text" in carry), schema)
+    own = {"held_out": is_held_out("doc_id", fold, held_out), "score": F.col("score"), "predicted": (F.col("score") >= threshold).cast("int")}
+    if with_lines:
+        own["line_scores"] = F.col("line_scores")
+    return scored.select("doc_id", *(v.alias(k) for k, v in own.items() if k not in carry),
+                         *((F.col("text") if c == "text" else F.col(f"`in_{c}`")).alias(c) for c in carry))

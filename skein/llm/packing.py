@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import prepare
+from .words import FIRST, Texts, distinct, text_slices, texts_of
 
 GROUP_DOCS, TOLERANCE = 1024, 8
 FLUSH_TOKENS = 1 << 22  # a group is packed in parts beyond so many tokens
@@ -28,59 +30,90 @@ FLUSH_TOKENS = 1 << 22  # a group is packed in parts beyond so many tokens
 class TokenIds:
     """Ids of whole texts, one vocabulary look-up a distinct word.
 
-    White space always ends a token of this vocabulary, so texts are encoded
-    word by word and remembered. Words of ASCII and Latin-1 letters are cut by
-    the tokenizer's own pattern and handed to its BPE model; any other word
-    goes through the whole tokenizer. Memory is bounded by forgetting.
+    White space always ends a token of this vocabulary, so a slice's texts are
+    cut into words, each distinct word is looked up (and remembered by its
+    64-bit hash), and the ids are gathered. Words of ASCII and Latin-1 letters
+    are cut by the tokenizer's own pattern and handed to its BPE model; any
+    other word goes through the whole tokenizer. Memory is bounded by
+    forgetting.
     """
 
-    LIMIT = 200_000
+    LIMIT = 500_000
+    PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
     SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     # Fixed value: the split pattern of the vocabulary, for the simple alphabet.
     PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-    ODD_SPACE = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         # byte-level alphabet: printable Latin-1 characters stand for themselves, the other bytes follow from 256 on
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in shown]
         self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if self.ODD_SPACE.search(text):  # Python calls these white space, the vocabulary doesn't
-            return self._whole(text)
-        get, out = self.words.get, []
-        for word in text.split():
-            ids = get(word)
-            out.append(self._word(word) if ids is None else ids)
-        return b"".join(out)
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[int, int] = {}  # hash of a word -> its number
+        self.ids = np.empty(1 << 16, np.uint32)  # of all known words, one after the other
+        self.first = np.zeros(self.LIMIT + 1, np.int64)  # limits of each word's ids
+
+    def encode(self, texts: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): every text's ids and then ``end_id``; text i has ids[bounds[i]:bounds[i + 1]]."""
+        starts, ends, offs = texts.words()
+        hashes, one, which = distinct(FIRST.segments(texts.data, starts, ends))
+        if len(self.place) + len(hashes) > self.LIMIT:
+            self._forget()
+            if len(hashes) > self.LIMIT:  # one very long text
+                self.first = np.zeros(len(hashes) + 1, np.int64)
+        place, keys = self.place, hashes.tolist()
+        number = np.array([place.get(k, -1) for k in keys], np.int64)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            raw, known = texts.data.tobytes(), len(place)
+            new = [self._word(raw[a:b].decode()) for a, b in zip(starts[one[missing]].tolist(), ends[one[missing]].tolist(), strict=True)]
+            number[missing] = np.arange(known, known + len(new))
+            place.update(zip([keys[i] for i in missing.tolist()], range(known, known + len(new)), strict=True))
+            lengths = np.array([len(x) for x in new], np.int64)
+            flat = np.fromiter(chain.from_iterable(new), np.uint32, int(lengths.sum()))
+            used = int(self.first[known])
+            self.first[known + 1 : known + len(new) + 1] = used + np.cumsum(lengths)
+            while used + len(flat) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+            self.ids[used : used + len(flat)] = flat
+        word = number[which]
+        lengths = self.first[word + 1] - self.first[word]
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self.ids[np.arange(total[-1]) + np.repeat(self.first[word] - total[:-1], lengths)]
+        bounds = total[offs] + np.arange(texts.size + 1)  # each text before has one id more
+        out = np.full(len(ids) + texts.size, end_id, "<u4")
+        inner = np.ones(len(out), bool)
+        inner[bounds[1:] - 1] = False
+        out[inner] = ids
+        return out, bounds
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        plain = self.PLAIN.match(word)
+        rest = len(word) - plain.end() if plain else -1
+        if rest == 0:
+            return self._known(word.lower())
+        if rest == 1 and word[-1] in ".,;:!?":  # most words: letters, and perhaps one mark
+            return self._known(word[:-1].lower()) + self._known(word[-1])
         if self.SIMPLE.fullmatch(word) and "<|" not in word:
-            ids = b"".join([self.pieces.get(p) or self._piece(p) for p in self.PIECE.findall(word.lower())])
-        else:
-            ids = self._whole(word)
-        if len(self.words) >= self.LIMIT:
-            self.words.clear()
-        self.words[word] = ids
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        shown = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
-        ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        if len(self.pieces) >= 2 * self.LIMIT:
-            self.pieces.clear()
-        self.pieces[piece] = ids
+            return tuple(chain.from_iterable([self._known(p) for p in self.PIECE.findall(word.lower())]))
+        return tuple(self.full.encode(word, add_special_tokens=False).ids)
+
+    def _known(self, piece: str) -> tuple[int, ...]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            shown = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
+            ids = tuple([t.id for t in self.model.tokenize(shown)])
+            if len(self.pieces) >= self.LIMIT:
+                self.pieces.clear()
+            self.pieces[piece] = ids
         return ids
 
 
@@ -163,19 +196,20 @@ _ENCODERS: dict[str, TokenIds] = {}  # one a worker process: the words it has me
 
 
 def _packed(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder = _ENCODERS.setdefault(vocabulary, None) or _ENCODERS.__setitem__(vocabulary, TokenIds(vocabulary)) or _ENCODERS[vocabulary]
-    end = np.array([end_id], "<u4").tobytes()
-    held: list[tuple[int | None, bytes]] = []
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = TokenIds(vocabulary)
+    encoder = _ENCODERS[vocabulary]
+    held: list[tuple[int | None, np.ndarray]] = []
     group, tokens, next_id = None, 0, 0
 
     def flush() -> pa.RecordBatch:
         nonlocal next_id, tokens, held
         rows: list[tuple] = []
-        for sequence in pack_group([len(ids) // 4 for _, ids in held], capacity):
+        for sequence in pack_group([len(ids) for _, ids in held], capacity):
             offset = 0
             for doc, start, length in sequence:
                 doc_id, ids = held[doc]
-                rows.append((doc_id, start, length, zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)]), len(ids) // 4, next_id, offset))
+                rows.append((doc_id, start, length, zlib.crc32(ids[start : start + length]), len(ids), next_id, offset))
                 offset += length
             next_id += 1
         held, tokens = [], 0
@@ -183,16 +217,17 @@ def _packed(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int, e
         columns = zip(*rows, strict=True) if rows else [()] * 7
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    for batch in batches:
-        groups, ids = batch.column("group").to_pylist(), batch.column("doc_id").to_pylist()
-        for g, doc_id, text in zip(groups, ids, batch.column("text"), strict=True):
+    for batch in text_slices(batches):
+        groups, doc_ids = batch.column("group").to_pylist(), batch.column("doc_id").to_pylist()
+        ids, bounds = encoder.encode(texts_of(batch.column("text")), end_id)
+        for i, (g, doc_id) in enumerate(zip(groups, doc_ids, strict=True)):
             if held and (g != group or tokens >= FLUSH_TOKENS or len(held) >= 8 * GROUP_DOCS):
                 yield flush()
             if g != group:
                 group, next_id = g, g << 31
-            coded = encoder.encode(text.as_py() or "") + end
-            tokens += len(coded) // 4
-            held.append((doc_id, coded))
+            own = ids[bounds[i] : bounds[i + 1]]
+            tokens += len(own)
+            held.append((doc_id, own))
     if held:
         yield flush()
 

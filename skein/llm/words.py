@@ -61,16 +61,20 @@ class Hasher:
         eight = np.ndarray((len(data) + 1,), np.uint64, padded, strides=(1,))
         lengths = ends - starts
         out = mix(lengths.astype(np.uint64) * _GOLDEN + np.uint64(self.seed))
-        todo, done = np.arange(len(starts)), 0
+        out = self._absorb(out, eight[starts] & _FIRST_BYTES[np.minimum(lengths, 8)])
+        todo, done = np.flatnonzero(lengths > 8), 8
         while len(todo):
             left = lengths[todo] - done
-            part = eight[starts[todo] + done] & _FIRST_BYTES[np.clip(left, 0, 8)]
-            state = (out[todo] ^ (part * _GOLDEN)) * np.uint64(0xD1342543DE82EF95)
-            out[todo] = state ^ (state >> np.uint64(31))
+            out[todo] = self._absorb(out[todo], eight[starts[todo] + done] & _FIRST_BYTES[np.minimum(left, 8)])
             done += 8
             todo = todo[left > 8]
         return mix(out)
 
+    @staticmethod
+    def _absorb(state: np.ndarray, part: np.ndarray) -> np.ndarray:
+        state = (state ^ (part * _GOLDEN)) * np.uint64(0xD1342543DE82EF95)
+        return state ^ (state >> np.uint64(31))
+
 
 FIRST, SECOND = Hasher(11), Hasher(29)
 
@@ -143,6 +147,17 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_byt
             at = end
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct values, a place of each, which one each place has)."""
+    order = np.argsort(values)
+    ranked = values[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(fresh) - 1
+    return ranked[fresh], order[fresh], which
+
+
 def windows(hashes: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
     """Hash of every ``width`` consecutive items (shorter input: none)."""
     n = len(hashes) - width + 1
