@@ -16,6 +16,7 @@ allowed one, can still add a link; those are compared in a second round.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,10 @@ from .store import prepare, saved
 from .words import FIRST, LOWER, Texts, doc_index, mix, text_slices, texts_of, window_starts, windows
 
 WIDTH, PERMUTATIONS, BANDS, PER_CENT = 5, 48, 24, 75
-#: of the 2 * PERMUTATIONS signature bits, so many agree at least for any pair at the threshold
-#: (expected (1 + 0.75) / 2 of 96 = 84, standard deviation 3.2; this is 5.5 of them lower)
-SAME_BITS = 66
+#: Four bits of each signature value are kept, in bit planes. Of the 96 values so many agree at least for any
+#: pair at the threshold (expected 0.75 + 0.25 / 16, so 73.5, standard deviation 4.1; this is 5.2 of them lower).
+PLANES, SAME_VALUES = 4, 52
+BITS = [f"bits{plane}{side}" for plane in range(PLANES) for side in "ab"]
 STAR = 256  # members compared with one copy of a star's centre
 _ELEMENT = np.uint64((1 << 52) - 1)
 
@@ -97,9 +99,11 @@ def _signed(batches: Iterator[pa.RecordBatch], permutations: int, bands: int) ->
         for r in range(rows):
             band = mix(band * np.uint64(31) + values[:, r::rows][:, :bands])
         band = mix(band + np.arange(bands, dtype=np.uint64))
-        bits = ((mix(values) >> np.uint64(20)) & np.uint64(1)).astype(np.uint64)
-        half = permutations
-        packed = [(bits[:, i * half : (i + 1) * half] << np.arange(half, dtype=np.uint64)).sum(1, dtype=np.uint64) for i in (0, 1)]
+        mixed, half = mix(values), permutations
+        packed = []
+        for plane in range(PLANES):
+            bits = (mixed >> np.uint64(20 + plane)) & np.uint64(1)
+            packed += [(bits[:, i * half : (i + 1) * half] << np.arange(half, dtype=np.uint64)).sum(1, dtype=np.uint64) for i in (0, 1)]
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * bands)]), pa.int32()),
                                          pa.array(band.ravel().view(np.int64)))
         ids = set_ids(elements, offsets)
@@ -109,7 +113,7 @@ def _signed(batches: Iterator[pa.RecordBatch], permutations: int, bands: int) ->
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(ids.view(np.int64), mask=~some), lists,
              *(pa.array(x.view(np.int64)) for x in spread)],
-            ["doc_id", "n_shingles", "cls", "bands", "bits1", "bits2"])
+            ["doc_id", "n_shingles", "cls", "bands", *BITS])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +167,7 @@ def _verified(spark: SparkSession, docs: DataFrame, ids: DataFrame, pairs: DataF
              .groupBy("did", F.floor(F.col("salt") / 64).alias("part"))
              .agg(F.collect_list(F.struct("lead", "salt", "role", "cls")).alias("roles")).select("did", "roles"))
     roles = saved(spark, roles, name)
-    sets = docs.join(roles, "did").select("text", "roles").mapInArrow(_sets, "lead long, salt int, role int, cls long, elements binary")
+    sets = docs.join(roles.hint("merge"), "did").select("text", "roles").mapInArrow(_sets, "lead long, salt int, role int, cls long, elements binary")
     compared = (sets.repartition("lead", "salt").sortWithinPartitions("lead", "salt", "role")
                 .mapInArrow(_compare, "lead long, cls long, both long, n_lead long, n_cls long"))
     union = F.col("n_lead") + F.col("n_cls") - F.col("both")
@@ -188,10 +192,10 @@ def minmax_dedup(spark: SparkSession, docs: DataFrame, permutations: int = PERMU
     prepare(spark)
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = saved(spark, base.mapInArrow(lambda it: _signed(it, permutations, bands),
-                                        "doc_id long, n_shingles long, cls long, bands array<long>, bits1 long, bits2 long"), "signatures")
+                                        "doc_id long, n_shingles long, cls long, bands array<long>, " + ", ".join(f"{c} long" for c in BITS)), "signatures")
     nowhere = F.lit(-(2**63)).cast("long")
     classes = rows.where("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("lo"), F.first("n_shingles").alias("n"), F.first("bits1").alias("bits1"), F.first("bits2").alias("bits2"))
+        F.min("doc_id").alias("lo"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in BITS))
     ids = classes.select("cls", F.coalesce("lo", nowhere).alias("did"))
     known = base.select(F.coalesce("doc_id", nowhere).alias("did"), "text")
 
@@ -211,16 +215,17 @@ def minmax_dedup(spark: SparkSession, docs: DataFrame, permutations: int = PERMU
     apart = judged.where("cls_in <> lead_in").select("lead", "cls")
     left_over = stars.join(apart, ["lead", "cls"], "left_semi")
     near = (judged.select("lead", "cls", "cls_in", "far")
-            .join(classes.select("cls", "n", "bits1", "bits2"), "cls"))
+            .join(classes.select("cls", "n", *BITS), "cls"))
     mine = left_over.join(near, ["lead", "cls"])
     others = (stars.join(left_over.select("band").distinct(), "band", "left_semi").join(near, ["lead", "cls"])
-              .select("band", *(F.col(c).alias(f"o_{c}") for c in ("cls", "cls_in", "far", "n", "bits1", "bits2"))))
-    unlike = F.bit_count(F.col("bits1").bitwiseXOR(F.col("o_bits1"))) + F.bit_count(F.col("bits2").bitwiseXOR(F.col("o_bits2")))
+              .select("band", *(F.col(c).alias(f"o_{c}") for c in ("cls", "cls_in", "far", "n", *BITS))))
+    differ = {side: reduce(lambda x, y: x.bitwiseOR(y), [F.col(c).bitwiseXOR(F.col(f"o_{c}")) for c in BITS if c.endswith(side)]) for side in "ab"}
+    unlike = F.bit_count(differ["a"]) + F.bit_count(differ["b"])
     within = (100 - PER_CENT) / 100 + 1e-9
     again = (mine.join(others, "band")
              .where((F.col("cls_in") != F.col("o_cls_in")) & (F.abs(F.col("far") - F.col("o_far")) <= within)
                     & (100 * F.least("n", "o_n") >= PER_CENT * F.greatest("n", "o_n"))
-                    & (unlike <= 2 * permutations - SAME_BITS))
+                    & (unlike <= 2 * permutations - SAME_VALUES))
              .select(F.least("cls", "o_cls").alias("lead"), F.greatest("cls", "o_cls").alias("cls")).distinct())
     again = saved(spark, again, "again")
     if again.head(1):
