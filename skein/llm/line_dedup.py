@@ -123,7 +123,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, one_in: int = 4) -> DataFra
     found = thin.mapInArrow(_chunk_rows(one_in, False), "doc_id long, tkey long, hash long, number int, again boolean").join(repeated, "hash")
     flags = (found.where("again or coalesce(doc_id > lo, false)").groupBy("doc_id", "tkey")
              .agg(F.collect_set("number").alias("numbers")))
-    flags = saved(spark, flags, "repeated-chunks").select(F.col("doc_id").alias("f_id"), F.col("tkey").alias("f_key"), "numbers")
+    flags = saved(spark, flags, "repeated-chunks").select(F.col("doc_id").alias("f_id"), F.col("tkey").alias("f_key"), "numbers").hint("merge")
     joined = base.join(flags, F.col("doc_id").eqNullSafe(F.col("f_id")) & F.col("tkey").eqNullSafe(F.col("f_key")), "left").drop("f_id", "f_key", "tkey")
     schema = joined.drop("numbers").schema.add("n_lines", "long").add("n_removed", "long")
     return joined.mapInArrow(_rewritten(one_in), schema)
