@@ -34,14 +34,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id."""
-    kept = minmax_dedup(spark, docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = minmax_dedup(spark, docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct().hint("merge")
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it (0, 1 or 2 times)."""
     chosen = (mix_sources(spark, docs).where("copies > 0")
-              .select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "copies").distinct())
+              .select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "copies").distinct().hint("merge"))
     same = F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("size") == F.col("m_size"))
     return (docs.withColumn("size", words_in("text")).join(chosen, same)
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns))
