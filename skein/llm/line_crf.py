@@ -256,7 +256,7 @@ def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, fold:
     kept = source if "text" in carry else source.drop("text")
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
     if with_lines:
-        schema.add("line_scores", "array<double>")
+        schema.add("line_scores", T.ArrayType(T.DoubleType()))
     scored = source.mapInArrow(_scored(model, with_lines, "text" in carry), schema)
     own = {"held_out": is_held_out("doc_id", fold, held_out), "score": F.col("score"), "predicted": (F.col("score") >= threshold).cast("int")}
     if with_lines:
