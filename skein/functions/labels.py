@@ -31,33 +31,37 @@ def _c(x) -> Column:
 # ---- week label "YYYY_WW" from "Un SEM - WW/YYYY" -------------------------------------------
 
 def week_label_py(name: str) -> str:
-    a, b = WEEK_LABEL_WEEK
-    return str(name)[WEEK_LABEL_YEAR_FROM:] + "_" + str(name)[a:b]
+    text = f"{name}"
+    spans = slice(WEEK_LABEL_YEAR_FROM, None), slice(*WEEK_LABEL_WEEK)
+    return "_".join(text[span] for span in spans)
 
 
 def week_label(name) -> Column:
     a, b = WEEK_LABEL_WEEK
     x = _c(name)
-    return F.concat(F.substring(x, WEEK_LABEL_YEAR_FROM + 1, 1 << 20), F.lit("_"), F.substring(x, a + 1, b - a))
+    return F.concat(F.substr(x, F.lit(WEEK_LABEL_YEAR_FROM + 1)), F.lit("_"), F.substring(x, a + 1, b - a))
 
 
 # ---- month label "YYYY/MM" from "YYYY/M-" ----------------------------------------------------
 
 def month_label_py(name: str) -> str:
-    s = str(name).replace("-", "")
-    return s[0:5] + "0" + s[5:] if len(s) == 6 else s
+    text = "".join(f"{name}".split("-"))
+    year, month = text[:5], text[5:]
+    return year + (month.zfill(2) if len(month) == 1 else month)
 
 
 def month_label(name) -> Column:
     s = F.replace(_c(name), F.lit("-"), F.lit(""))
-    return F.when(F.length(s) == 6, F.concat(F.substring(s, 1, 5), F.lit("0"), F.substring(s, 6, 1 << 20))) \
+    return F.when(F.length(s) == 6, F.concat(F.substring(s, 1, 5), F.lit("0"), F.substr(s, F.lit(6)))) \
         .otherwise(s)
 
 
 # ---- week sequence: "M.d-" header + year from the file name, +7 days by position ----------
 
 def file_year_py(source: str, token: int = 4) -> str:
-    return source.split("/")[-1].split("_")[token][:4]
+    *_, name = source.split("/")
+    tokens = dict(enumerate(name.split("_")))
+    return tokens[token][:4]
 
 
 def file_year(source) -> Column:
@@ -67,8 +71,8 @@ def file_year(source) -> Column:
 
 
 def week_start_py(year: str, first_header: str) -> _dt.date:
-    md = first_header.replace("-", "").replace(".", "-")
-    return _dt.datetime.strptime(f"{year}-{md}", "%Y-%m-%d").date()
+    month, day = (int(part) for part in first_header.replace("-", "").split("."))
+    return _dt.date(int(year), month, day)
 
 
 def week_sequence_py(year: str, first_header: str, n: int) -> list[str]:
@@ -135,7 +139,7 @@ def kv_entries(text, line_sep: str = "\n", kv_sep: str = ": ") -> Column:
         pos = F.locate(kv_sep, ln)
         return F.struct(
             F.when(pos > 0, F.substring(ln, F.lit(1), pos - 1)).otherwise(ln).alias("key"),
-            F.when(pos > 0, F.substring(ln, pos + len(kv_sep), F.lit(1 << 30))).alias("value"),
+            F.when(pos > 0, F.substr(ln, pos + len(kv_sep))).alias("value"),
         )
 
     return F.transform(lines, entry)

@@ -83,6 +83,8 @@ def convert_path(spark: SparkSession, path: str, out_dir: str | None = None, spe
     if path.endswith("/"):
         return convert_folder(spark, folder, out_dir, spec, id_labels, value_types, rejects_dir=rejects_dir)
     header_row = spec.header_row if spec.kind == "region_block" else 0
+    if id_labels is None and spec.kind != "region_block":
+        id_labels = discover_id_labels(spark, path, spec, exclude=None)
     rows = read_xlsx(spark, path, sheet=spec.sheet, header_row=header_row)
     long = unpivot_panel_rows(rows, spec, keys=["source"], id_labels=id_labels, header_row=header_row,
                               value_types=value_types)

@@ -44,7 +44,11 @@ def truncate_after_first(df: DataFrame, keys: Sequence[str], order: Sequence[str
     pos = F.struct(*[_c(o) for o in order])
     cut = (df.filter(predicate).groupBy(*keys).agg(F.min(pos).alias("_cut")))
     how = "inner" if on_missing == "none" else "left"
-    joined = df.join(cut, list(keys), how)
+    cut = cut.select(*[_c(k).alias(f"_cut_{k}") for k in keys], "_cut")
+    same = F.lit(True)
+    for k in keys:  # a NULL key is a table of its own
+        same = same & df[k].eqNullSafe(cut[f"_cut_{k}"])
+    joined = df.join(cut, same, how).drop(*[f"_cut_{k}" for k in keys])
     cond = pos <= F.col("_cut")
     if on_missing == "all":
         cond = F.col("_cut").isNull() | cond
@@ -84,23 +88,26 @@ def report_filter(df: DataFrame, date_col: str | None = None, start: tuple[int,
                   year_col: str | None = None, week_col: str | None = None) -> DataFrame:
     """Report parameters as a filter.
 
-    Period: ISO (year, week) from ``start`` to ``end`` inclusive. With a date
+    Period: ISO (year, week) from ``start`` to ``end`` inclusive; either may be
+    missing, which leaves that side open. With a date
     column the bounds become a plain date range, which reaches the parquet scan
     as pushed filters; with (year, week) columns it compares ``year*100+week``.
     Options: column equals value ignoring case and outer white space.
     """
     out = df
-    if start is not None and end is not None:
+    if (start is not None or end is not None) and date_col is None and (year_col is None or week_col is None):
+        raise ValueError("report_filter: give date_col or year_col and week_col")
+    for week, is_start in ((start, True), (end, False)):
+        if week is None:
+            continue
         if date_col is not None:
-            lo, hi = iso_week_range(start, end)
-            c = _c(date_col)
-            out = out.filter((c >= F.lit(lo).cast(df.schema[date_col].dataType.simpleString()))
-                             & (c < F.lit(hi).cast(df.schema[date_col].dataType.simpleString())))
-        elif year_col is not None and week_col is not None:
-            yw = _c(year_col) * 100 + _c(week_col)
-            out = out.filter(yw.between(start[0] * 100 + start[1], end[0] * 100 + end[1]))
+            first, beyond = iso_week_range(week, week)
+            c, kind = _c(date_col), df.schema[date_col].dataType.simpleString()
+            out = out.filter(c >= F.lit(first).cast(kind) if is_start else c < F.lit(beyond).cast(kind))
         else:
-            raise ValueError("report_filter: give date_col or year_col and week_col")
+            number = _c(year_col) * 100 + _c(week_col)
+            bound = week[0] * 100 + week[1]
+            out = out.filter(number >= bound if is_start else number <= bound)
     for col, value in (options or {}).items():
         out = out.filter(option_key(_c(col)) == option_key(F.lit(value)))
     return out

@@ -7,6 +7,7 @@ shuffle, no per-row Python. Only ``pivot_back`` aggregates.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,8 +91,8 @@ def pair_groups(first: Sequence[str], second: Sequence[str], key_first, key_seco
                 by: str = "label") -> list[tuple[str, str | None, str | None]]:
     """Pair two header groups for ``unpivot_paired`` (driver side, on names).
 
-    ``by="label"`` pairs members whose derived key is equal (a missing partner
-    gives None). ``by="position"`` pairs the n-th with the n-th and stops at
+    ``by="label"`` pairs members whose derived key is equal: the n-th member of
+    a key with the n-th of the other group (a missing partner gives None). ``by="position"`` pairs the n-th with the n-th and stops at
     the shorter group, the way a positional inner concat does.
     Returns ``(key, first_member, second_member)``.
     """
@@ -100,21 +101,11 @@ def pair_groups(first: Sequence[str], second: Sequence[str], key_first, key_seco
         return [(key_first(a), a, b) for a, b in zip(first, second)]
     if by != "label":
         raise ValueError("pair_groups: by must be 'label' or 'position'")
-    out: dict[str, list] = {}
-    order: list[str] = []
-    for a in first:
-        k = key_first(a)
-        if k not in out:
-            out[k] = [None, None]
-            order.append(k)
-        out[k][0] = a
-    for b in second:
-        k = key_second(b)
-        if k not in out:
-            out[k] = [None, None]
-            order.append(k)
-        out[k][1] = b
-    return [(k, out[k][0], out[k][1]) for k in order]
+    members: dict[str, tuple[list, list]] = {}
+    for side, (group, key) in enumerate(((first, key_first), (second, key_second))):
+        for name in group:
+            members.setdefault(key(name), ([], []))[side].append(name)
+    return [(k, a, b) for k, sides in members.items() for a, b in zip_longest(*sides)]
 
 
 def pivot_back(long_df: DataFrame, ids: Sequence[str], label_col: str, value_col: str,

@@ -42,6 +42,7 @@ _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 _M = "{%s}" % _NS["m"]
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
+WORKBOOK_SUFFIX = ".xlsx"
 ROWS_SCHEMA = "source string, file_name string, sheet string, row_no int, cells array<string>"
 
 
@@ -180,26 +181,21 @@ def list_files(spark: SparkSession, path: str, exclude: str | None = None, glob:
 
     Not recursive by default: only files directly in ``path`` (SRC3). File
     names containing ``exclude`` (case-sensitive substring of the name, not the
-    path) are skipped before their content is read.
+    path) are pruned by their metadata, before their content is read.
     """
     reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    base = path.rstrip("/")
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-        df = reader.load(path)
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob or "*")
+        df = reader.load(base)
+    elif base.lower().endswith(WORKBOOK_SUFFIX):
+        df = reader.load(base)  # one named file (SRC4)
     else:
-        df = reader.option("recursiveFileLookup", "true").load(path)
-        # Files directly in the folder; a path naming one file keeps that file (SRC4).
-        base = path.rstrip("/")
-        tail = base.split(":", 1)[-1] if "://" not in base else base
-        parent = F.regexp_replace(F.col("path"), "/[^/]*$", "")
-        df = df.filter(parent.endswith(tail) | F.col("path").endswith(tail))
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    df = df.withColumn("file_name", name)
+        # only files directly in the folder: sub folders, such as an earlier run's output, are not even listed
+        df = reader.load(f"{base}/{glob or '*' + WORKBOOK_SUFFIX}")
     if exclude:
-        df = df.filter(~F.col("file_name").contains(exclude))
-    return df
+        df = df.filter(~F.col("_metadata.file_name").contains(exclude))
+    return df.withColumn("file_name", F.element_at(F.split(F.col("path"), "/"), -1))
 
 
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, exclude: str | None = None,
@@ -233,7 +229,7 @@ def check_sheet(content: bytes, sheet: str | None, header_row: int | None) -> st
             elif header_row is not None and r_no > header_row:
                 body = True
     except (zipfile.BadZipFile, KeyError, ValueError, ET.ParseError, OSError) as e:
-        return f"unreadable: {type(e).__name__}: {str(e)[:200]}"
+        return f"unreadable: {type(e).__name__}: {e}"
     if not seen_header:
         return "no_header_row"
     if not body:
