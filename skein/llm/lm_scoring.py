@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import prepare
+from .store import prepare, saved
 from .words import FIRST, distinct, per_doc, text_slices, texts_of
 
 OWN_CLASS, SHARED = 960, 63
@@ -122,9 +122,17 @@ def class_model(cells: np.ndarray, words: np.ndarray, cls_of_word: np.ndarray, w
 
 
 def learn(spark: SparkSession, docs: DataFrame, words: int, weight: float) -> tuple[Vocabulary, ClassModel, ClassModel]:
-    """``docs`` has text and is_target. At most ``words`` words and CELLS + words + SHARED sums come to the driver."""
-    top = (docs.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.col("n").desc(), "word").limit(words).select("word").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
+    """``docs`` has text and is_target. The vocabulary is the most frequent words, up to a step of the
+    count scale, so that equal counts stand together. At most ``words`` words and CELLS + words + SHARED sums come to the driver."""
+    counts = saved(spark, docs.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    # the lowest step of the (logarithmic) count scale above which at most `words` words lie; the scale has under 4096 steps
+    step = F.floor(F.log2("n") * 64).cast("int")
+    scale = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
+    above = np.cumsum([r["count"] for r in scale])
+    fits = int(np.searchsorted(above, words, "right"))
+    lowest = scale[fits - 1]["step"] if fits else 1 << 30
+    known = counts.where(step >= lowest).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    top = known["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(top)
     vocabulary = Vocabulary(top[order], order.astype(np.int64), len(top))
     shared = spark.sparkContext.broadcast(vocabulary)  # 16 bytes a word
@@ -176,6 +184,6 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: Data
     prepare(spark)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     chosen = targets.select("doc_id").where("doc_id is not null").distinct().withColumn("is_target", F.lit(True))
-    marked = rows.join(chosen, "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    marked = rows.join(chosen.hint("merge"), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
     model = spark.sparkContext.broadcast(learn(spark, marked, words, weight))
     return rows.mapInArrow(_scored(model), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
