@@ -10,13 +10,15 @@ Groups are never expanded into all pairs. In each band bucket every member is
 compared with the bucket's smallest member (a star, cut into bounded pieces).
 Distance 1 - Jaccard is a metric, so after that only pairs which lie in
 different components, whose distances to the centre differ by at most the
-allowed one, can still add a link; those are compared in a second round.
+allowed one, can still add a link. A second round looks for those bucket by
+bucket, in blocks: signatures tell which members may have a partner, and the
+full sets of these are compared in the block's task. No pair leaves a block,
+only a forest of links does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ WIDTH, PERMUTATIONS, BANDS, PER_CENT = 5, 48, 24, 75
 PLANES, SAME_VALUES = 4, 52
 BITS = [f"bits{plane}{side}" for plane in range(PLANES) for side in "ab"]
 STAR = 256  # members compared with one copy of a star's centre
+BLOCK, BLOCK_ELEMENTS = 256, 1 << 20  # members, and shingles of all of them, of one side of a block in the second round
+COLUMNS = 8192  # shingles counted at a time
 _ELEMENT = np.uint64((1 << 52) - 1)
 
 
@@ -175,6 +179,97 @@ def _verified(spark: SparkSession, docs: DataFrame, ids: DataFrame, pairs: DataF
                                         (1 - F.col("both") / union).alias("far")), f"{name}-compared").distinct()
 
 
+def _hopeful(batches: Iterator[pa.RecordBatch], within: float, most_unlike: int) -> Iterator[pa.RecordBatch]:
+    """Members of a block that may link with another one of a different component, by size, distance to the centre and signature."""
+    for table, bounds in whole_groups(batches, ["band", "left", "right"]):
+        far, size = table.column("far").to_numpy(), table.column("n").to_numpy()
+        inside = table.column("cls_in").to_numpy()
+        bits = {c: table.column(c).to_numpy().view(np.uint64) for c in BITS}
+        keep = np.zeros(table.num_rows, bool)
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if (inside[a:b] == inside[a]).all():
+                continue
+            unlike = np.zeros((b - a, b - a), np.int64)
+            for side in "ab":
+                differ = np.zeros((b - a, b - a), np.uint64)
+                for plane in range(PLANES):
+                    x = bits[f"bits{plane}{side}"][a:b]
+                    differ |= x[:, None] ^ x
+                unlike += np.bitwise_count(differ)
+            n = size[a:b]
+            pair = ((inside[a:b][:, None] != inside[a:b]) & (np.abs(far[a:b][:, None] - far[a:b]) <= within)
+                    & (100 * np.minimum(n[:, None], n) >= PER_CENT * np.maximum(n[:, None], n)) & (unlike <= most_unlike))
+            keep[a:b] = pair.any(1)
+        if keep.any():
+            yield from table.select(["band", "left", "right", "cls"]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of every two sets, exact (memory: the elements, a square and ``COLUMNS`` columns)."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    elements = np.concatenate(sets)
+    order = np.argsort(elements, kind="stable")
+    ranked, owner = elements[order], owner[order]
+    fresh = np.ones(len(ranked), bool)
+    fresh[1:] = ranked[1:] != ranked[:-1]
+    which = np.cumsum(fresh) - 1
+    shared = np.bincount(which)[which] > 1
+    owner, which = owner[shared], np.cumsum(fresh[shared]) - 1
+    out = np.zeros((len(sets), len(sets)))
+    for at in range(0, int(which[-1]) + 1 if len(which) else 0, COLUMNS):
+        a, b = np.searchsorted(which, [at, at + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[a:b], which[a:b] - at] = 1
+        out += has @ has.T
+    return out.astype(np.int64)
+
+
+def _block_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each needed set, once for every block that asks for it (columns text, roles)."""
+    for batch in text_slices(batches):
+        elements, offsets = shingle_sets(texts_of(batch.column("text")))
+        ids = set_ids(elements, offsets).view(np.int64)
+        roles = batch.column("roles")
+        flat = roles.flatten()
+        owner = np.repeat(np.arange(len(roles)), roles.value_lengths().to_numpy(zero_copy_only=False))
+        good = np.flatnonzero(ids[owner] == flat.field("cls").to_numpy(zero_copy_only=False))
+        raw = elements.tobytes()
+        for at in range(0, len(good), 512):
+            part = good[at : at + 512]
+            taken = flat.take(pa.array(part))
+            blobs = [raw[8 * offsets[o] : 8 * offsets[o + 1]] for o in owner[part]]
+            yield pa.RecordBatch.from_arrays([*(taken.field(c) for c in ("band", "left", "right", "cls")), pa.array(blobs, pa.binary())],
+                                             ["band", "left", "right", "cls", "elements"])
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every member of a block that links, with the smallest member it reaches within the block."""
+    for table, bounds in whole_groups(batches, ["band", "left", "right"]):
+        cls, blobs = table.column("cls").to_numpy(), table.column("elements").combine_chunks()
+        out: list[np.ndarray] = []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            members, at = np.unique(cls[a:b], return_index=True)  # ascending: a smaller place is a smaller class
+            if len(members) < 2:
+                continue
+            sets = [np.frombuffer(blobs[int(a + i)].as_buffer(), np.uint64) for i in at]
+            sizes = np.array([len(x) for x in sets])
+            both = common(sets)
+            i, j = np.nonzero(np.triu(100 * both >= PER_CENT * (sizes[:, None] + sizes - both), 1))
+            label = np.arange(len(members))
+            while True:
+                new = label.copy()
+                np.minimum.at(new, i, label[j])
+                np.minimum.at(new, j, label[i])
+                if (new == label).all():
+                    break
+                label = new
+            moved = label != np.arange(len(members))
+            out.append(np.stack([members[moved], members[label[moved]]]))
+        if out:
+            rows = np.concatenate(out, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["a", "b"])
+
+
 def minmax_dedup(spark: SparkSession, docs: DataFrame, permutations: int = PERMUTATIONS, bands: int = BANDS) -> DataFrame:
     """Groups of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more.
 
@@ -216,22 +311,26 @@ def minmax_dedup(spark: SparkSession, docs: DataFrame, permutations: int = PERMU
     left_over = stars.join(apart, ["lead", "cls"], "left_semi")
     near = (judged.select("lead", "cls", "cls_in", "far")
             .join(classes.select("cls", "n", *BITS), "cls"))
-    mine = left_over.join(near, ["lead", "cls"])
-    others = (stars.join(left_over.select("band").distinct(), "band", "left_semi").join(near, ["lead", "cls"])
-              .select("band", *(F.col(c).alias(f"o_{c}") for c in ("cls", "cls_in", "far", "n", *BITS))))
-    differ = {side: reduce(lambda x, y: x.bitwiseOR(y), [F.col(c).bitwiseXOR(F.col(f"o_{c}")) for c in BITS if c.endswith(side)]) for side in "ab"}
-    unlike = F.bit_count(differ["a"]) + F.bit_count(differ["b"])
+    members = (stars.join(left_over.select("band").distinct(), "band", "left_semi").join(near, ["lead", "cls"])
+               .select("band", "cls", "cls_in", "far", "n", *BITS))
+    cut = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_ELEMENTS)).cast("int")
+    blocks = members.groupBy("band").agg(cut.alias("blocks"))
+    own, other = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    place = ["band", "left", "right"]
+    placed = (members.join(blocks, "band").withColumn("own", own).withColumn("other", other)
+              .withColumn("left", F.least("own", "other")).withColumn("right", F.greatest("own", "other")))
     within = (100 - PER_CENT) / 100 + 1e-9
-    again = (mine.join(others, "band")
-             .where((F.col("cls_in") != F.col("o_cls_in")) & (F.abs(F.col("far") - F.col("o_far")) <= within)
-                    & (100 * F.least("n", "o_n") >= PER_CENT * F.greatest("n", "o_n"))
-                    & (unlike <= 2 * permutations - SAME_VALUES))
-             .select(F.least("cls", "o_cls").alias("lead"), F.greatest("cls", "o_cls").alias("cls")).distinct())
-    again = saved(spark, again, "again")
-    if again.head(1):
-        more = _verified(spark, known, ids, again, "roles-again").where("linked")
-        label = components(spark, label.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                           .unionByName(more.select(F.col("lead").alias("a"), F.col("cls").alias("b"))))
+    most_unlike = 2 * permutations - SAME_VALUES
+    hopeful = (placed.select(*place, "cls", "cls_in", "far", "n", *BITS).repartition(*place).sortWithinPartitions(*place)
+               .mapInArrow(lambda it: _hopeful(it, within, most_unlike), "band long, left int, right int, cls long"))
+    asked = (hopeful.join(ids, "cls").groupBy("did", F.floor(F.col("right") / 16).alias("part"), F.floor(F.col("left") / 16).alias("piece"))
+             .agg(F.collect_list(F.struct(*place, "cls")).alias("roles")).select("did", "roles"))
+    asked = saved(spark, asked, "again")
+    if asked.head(1):
+        more = (known.join(asked.hint("merge"), "did").select("text", "roles")
+                .mapInArrow(_block_sets, "band long, left int, right int, cls long, elements binary")
+                .repartition(*place).sortWithinPartitions(*place).mapInArrow(_block_links, "a long, b long"))
+        label = components(spark, label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     placed = labelled(classes.select("cls", "lo"), "cls")
     smallest = placed.groupBy("cls_in").agg(F.min("lo").alias("component_id"))

@@ -17,7 +17,7 @@ from skein.llm.language_id import identify_languages
 from skein.llm.line_crf import score_quality
 from skein.llm.line_dedup import line_dedup
 from skein.llm.lm_scoring import cross_entropy_difference
-from skein.llm.minmax_dedup import minmax_dedup
+from skein.llm.minmax_dedup import common, minmax_dedup
 from skein.llm.mixing import mix_sources
 from skein.llm.packing import first_fit_decreasing, pack, pack_group
 from skein.llm.perplexity import kneser_ney, quality_rules
@@ -118,6 +118,41 @@ def test_minmax_dedup(spark, docs, rows, empty):
     assert minmax_dedup(spark, empty).count() == 0
 
 
+def test_minmax_common_elements():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 30000, n).astype(np.uint64)) for n in (0, 1, 500, 20000, 20000, 3)] + [np.arange(9, dtype=np.uint64)] * 2
+    want = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    assert all(common(sets)[i, j] == want[i][j] for i in range(len(sets)) for j in range(len(sets)) if i != j)
+
+
+def test_minmax_dedup_group_below_the_limit(spark):
+    """Copies of one text, mostly less alike than the limit, in buckets of several blocks: every link counts."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(700):
+        words = list(base)
+        for place in [*random.Random(i % 40).sample(range(4, 296), 6), rng.randint(4, 295)]:
+            words[place] = f"y{i}"
+        texts.append(" ".join(words))
+    sets = [_shingles(t) for t in texts]
+    group = list(range(len(texts)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                x, y = sorted((top(i), top(j)))
+                group[y] = x
+    got = {r.doc_id: r.component_id for r in minmax_dedup(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: top(i) for i in range(len(texts))}
+    assert len(set(got.values())) > 1
+
+
 def test_embedding_dedup(spark):
     rng = np.random.default_rng(3)
     centre = rng.normal(size=(6, 24))
