@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators.panel import PanelSpec, is_value_label, panel_reject_reason, spec_for, unpivot_panel_rows
+from skein.operators.panel import PanelSpec, id_entries, panel_reject_reason, spec_for, unpivot_panel_rows
 from skein.session import shared_dir
 from skein.sources.delimited import write_pipe_csv
 from skein.sources.xlsx import read_xlsx
@@ -33,7 +33,8 @@ def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None,
     if id_labels is None and spec.kind != "region_block":
         id_labels = discover_id_labels(spark, folder, spec, exclude)
     on_error = "reject" if rejects_dir is not None else "fail"
-    rows = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude, header_row=header_row, on_error=on_error)
+    rows = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude, header_row=header_row, on_error=on_error,
+                     nested=True)
     if rejects_dir is not None:
         tagged = rows.withColumn("_reason", F.coalesce(F.col("error"), panel_reject_reason(spec, ["source"])))
         # Parsed once: written to the shared checkpoint folder, then read by both the reject list and the output.
@@ -54,11 +55,12 @@ def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None,
 def discover_id_labels(spark: SparkSession, folder: str, spec: PanelSpec, exclude: str | None = CONVERTED_MARK
                        ) -> list[str]:
     """The id columns of a folder: header cells that are not value columns,
-    over all files. Each file is read only up to its header row; the result is
-    the vocabulary of id labels (a handful), in label order."""
+    over all files, unlabelled and repeated ones under names of their own
+    (``id_entries``), columns beyond the header's last label included. One pass
+    over the files; the result is the vocabulary of id labels (a handful), in
+    label order."""
     heads = read_xlsx(spark, folder, sheet=spec.sheet, exclude=exclude, header_row=0, headers_only=True)
-    labels = (heads.select(F.explode("cells").alias("h"))
-              .filter(F.col("h").isNotNull() & ~is_value_label(spec, F.col("h"))).distinct().orderBy("h"))
+    labels = heads.select(F.explode(id_entries(spec, F.col("cells"))["label"]).alias("h")).distinct().orderBy("h")
     return [r["h"] for r in labels.collect()]
 
 
@@ -85,7 +87,7 @@ def convert_path(spark: SparkSession, path: str, out_dir: str | None = None, spe
     header_row = spec.header_row if spec.kind == "region_block" else 0
     if id_labels is None and spec.kind != "region_block":
         id_labels = discover_id_labels(spark, path, spec, exclude=None)
-    rows = read_xlsx(spark, path, sheet=spec.sheet, header_row=header_row)
+    rows = read_xlsx(spark, path, sheet=spec.sheet, header_row=header_row, nested=True)
     long = unpivot_panel_rows(rows, spec, keys=["source"], id_labels=id_labels, header_row=header_row,
                               value_types=value_types)
     long = long.withColumn("file", F.element_at(F.split(F.col("source"), "/"), -1)).drop("source", "row_no")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from skein.functions import labels as L
 from skein.operators.filters import drop_placeholder
 from skein.operators.headers import contains_rule, group_columns
-from skein.operators.rows import table_context, with_header
+from skein.operators.rows import attach_header, split_header, table_context
 from skein.operators.unpivot import pair_groups, unpivot_paired, unpivot_wide
 
 
@@ -210,75 +210,46 @@ def unpivot_panel_rows(rows: DataFrame, spec: PanelSpec, keys: Sequence[str] = (
                        value_types: dict | None = None) -> DataFrame:
     """Run a ``paired`` / ``month_labels`` / ``week_sequence`` layout over the
     ragged-row relation (``keys..., row_no, cells``), each table with its own
-    header. Header rules are array expressions on the header row; the header
-    reaches its body rows by an equi-join on ``keys`` (broadcast when AQE
-    measures it small), and the melt is one Generate per body row.
+    header. Header rules are array expressions, evaluated once per header (per
+    run of rows when the reader nests them, ``read_xlsx(nested=True)``; else on
+    the header rows, joined to their body rows on ``keys``); a body row only
+    looks its cells up by number, in one Generate.
+
+    Id columns without a label are named ``Unnamed: <column>`` and the n-th
+    repeat of an id label ``<label>.<n>``, so no column is lost.
 
     Output: ``keys..., row_no, <id_labels>..., label, value(s)``. Without
     ``id_labels`` the non-value cells come as ``ids ARRAY<STRUCT<label, value>>``.
     """
     if spec.kind == "region_block":
-        return _region_block(rows, spec, list(keys))
+        return _region_block(flat_rows(rows), spec, list(keys))
     keys = list(keys)
     value_types = value_types or {}
-    cells = F.transform("_hdr", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-
-    def has(tok):
-        return lambda p: F.coalesce(p["h"].contains(tok), F.lit(False))
-
+    outs = [(spec.value_col, "a")]
     if spec.kind == "paired":
-        firsts = F.filter(cells, has(spec.first_token))
-        seconds = F.filter(cells, lambda p: ~has(spec.first_token)(p) & has(spec.second_token)(p))
-        key = L.week_label
-        if spec.pair_by == "position":
-            entries = F.transform(F.slice(firsts, 1, F.least(F.size(firsts), F.size(seconds))),
-                                  lambda f, k: F.struct(key(f["h"]).alias("label"), f["i"].alias("a"),
-                                                        F.get(seconds, k)["i"].alias("b")))
-        else:
-            def partner(f):
-                return F.try_element_at(F.filter(seconds, lambda s: key(s["h"]) == key(f["h"])), F.lit(-1))["i"]
-
-            fe = F.transform(firsts, lambda f: F.struct(key(f["h"]).alias("label"), f["i"].alias("a"),
-                                                        partner(f).alias("b")))
-            lone = F.filter(seconds, lambda s: ~F.exists(firsts, lambda f: key(f["h"]) == key(s["h"])))
-            se = F.transform(lone, lambda s: F.struct(key(s["h"]).alias("label"), F.lit(None).cast("int").alias("a"),
-                                                      s["i"].alias("b")))
-            entries = F.concat(fe, se)
-        used = F.transform(F.concat(firsts, seconds), lambda p: p["i"])
         outs = [(spec.first_col, "a"), (spec.value_col, "b")]
-    elif spec.kind in ("month_labels", "week_sequence"):
-        dates = F.filter(cells, has(spec.date_token))
-        if spec.kind == "month_labels":
-            entries = F.transform(dates, lambda d: F.struct(L.month_label(d["h"]).alias("label"), d["i"].alias("a")))
-        else:
-            if len(keys) != 1:
-                raise ValueError(f"{spec.name}: the file name key must be the single table key")
-            year = L.file_year(F.col(keys[0]))
-            first = F.get(dates, 0)["h"]
-            entries = F.transform(dates, lambda d, k: F.struct(L.week_sequence(year, first, k).alias("label"),
-                                                               d["i"].alias("a")))
-        used = F.transform(dates, lambda p: p["i"])
-        outs = [(spec.value_col, "a")]
-    else:
-        raise ValueError(f"unknown panel kind {spec.kind}")
-
-    j = with_header(rows, keys, header_row, hdr="_hdr") if "hdr" not in rows.columns else \
-        rows.filter(F.col("row_no") > header_row).withColumnRenamed("hdr", "_hdr")
-    j = j.select("*", entries.alias("_ent"), used.alias("_used"))
     if id_labels is not None:
         _check_names(id_labels, spec.label_col, *[o for o, _ in outs])
-        id_cols = [F.get(F.col("cells"), F.array_position("_hdr", F.lit(x)).cast("int") - 1).alias(x)
-                   for x in id_labels]
+
+    if "body" in rows.columns:
+        heads = _header_columns(rows.select(*keys, "hdr", "body"), spec, keys, id_labels, ["body"])
+        j = heads.select(*[c for c in heads.columns if c != "body"], F.inline("body"))
+    elif "hdr" in rows.columns:
+        body = rows.filter(F.col("row_no") > header_row).select(*keys, "hdr", "row_no", "cells")
+        j = _header_columns(body, spec, keys, id_labels, ["row_no", "cells"])
     else:
-        others = F.filter(F.transform("_hdr", lambda h, i: F.struct(h.alias("label"), F.get(F.col("cells"), i)
-                                                                    .alias("value"), i.alias("i"))),
-                          lambda p: ~F.array_contains(F.col("_used"), p["i"]))
-        id_cols = [F.transform(others, lambda p: F.struct(p["label"], p["value"])).alias("ids")]
+        header, body = split_header(rows, keys, header_row)
+        j = attach_header(body, _header_columns(header, spec, keys, id_labels), keys)
 
     def val(e, field, name):
         v = F.get(F.col("cells"), e[field])
         return (v.try_cast(value_types[name]) if name in value_types else v).alias(name)
 
+    if id_labels is not None:
+        id_cols = [F.get(F.col("cells"), F.get("_ids", k)).alias(x) for k, x in enumerate(id_labels)]
+    else:
+        id_cols = [F.transform("_ids", lambda p: F.struct(p["label"], F.get(F.col("cells"), p["i"]).alias("value")))
+                   .alias("ids")]
     melted = F.transform("_ent", lambda e: F.struct(e["label"].alias(spec.label_col),
                                                     *[val(e, f, n) for n, f in outs]))
     out = j.select(*keys, "row_no", *id_cols, F.inline(melted))
@@ -287,6 +258,83 @@ def unpivot_panel_rows(rows: DataFrame, spec: PanelSpec, keys: Sequence[str] = (
     return out
 
 
+def flat_rows(rows: DataFrame) -> DataFrame:
+    """One row per body row of a relation whose rows the reader nested."""
+    return rows.select(*[c for c in rows.columns if c != "body"], F.inline("body")) if "body" in rows.columns else rows
+
+
+def id_entries(spec: PanelSpec, hdr: Column) -> Column:
+    """ARRAY<STRUCT<label, i>> of the id columns of a header: every cell that is
+    not a value label, unlabelled and repeated ones under names of their own."""
+    cells = F.transform(hdr, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    others = F.filter(cells, lambda p: ~is_value_label(spec, p["h"]))
+
+    def label(p):
+        repeat = F.size(F.filter(others, lambda q: (q["h"] == p["h"]) & (q["i"] < p["i"])))
+        return (F.when(F.coalesce(p["h"], F.lit("")) == "", F.concat(F.lit("Unnamed: "), p["i"].cast("string")))
+                .when(repeat > 0, F.concat(p["h"], F.lit("."), repeat.cast("string"))).otherwise(p["h"]))
+
+    return F.transform(others, lambda p: F.struct(label(p).alias("label"), p["i"].alias("i")))
+
+
+def _header_columns(heads: DataFrame, spec: PanelSpec, keys: list[str], id_labels: Sequence[str] | None,
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """``keys..., keep..., _ent, _ids`` from the header ``hdr``: ``_ent`` lists the
+    output labels with the number of their value column(s), ``_ids`` the id
+    columns (their numbers in the order of ``id_labels``, or label and number)."""
+    cells = F.transform("hdr", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+
+    def has(tok):
+        return lambda p: F.coalesce(p["h"].contains(tok), F.lit(False))
+
+    ids = id_entries(spec, F.col("hdr"))
+    base = heads.select(*keys, *keep, "hdr", ids.alias("_all_ids"))
+    if spec.kind == "paired":
+        second = lambda p: ~has(spec.first_token)(p) & has(spec.second_token)(p)
+        groups = [F.transform(F.filter(cells, pred), lambda p: F.struct(L.week_label(p["h"]).alias("label"),
+                                                                        F.lit(side).alias("side"), p["i"].alias("i")))
+                  for side, pred in enumerate((has(spec.first_token), second))]
+        if spec.pair_by == "position":
+            base = base.withColumns({"_f": groups[0], "_s": groups[1]})
+            entries = F.transform(F.slice("_f", F.lit(1), F.least(F.size("_f"), F.size("_s"))),
+                                  lambda f, k: F.struct(f["label"].alias("label"), f["i"].alias("a"),
+                                                        F.get("_s", k)["i"].alias("b")))
+        else:
+            # Sorted by label, so the columns of a label are one run; the n-th first column goes
+            # beside the n-th second column of its run. Each step is its own column: a lambda
+            # would compute an inlined array again for every element.
+            base = base.withColumn("_s", F.array_sort(F.concat(*groups)))
+            starts = F.filter(F.transform("_s", lambda x, k: F.when(
+                (k == 0) | ~F.get("_s", k - 1)["label"].eqNullSafe(x["label"]), k)), lambda k: k.isNotNull())
+            base = base.withColumn("_g", starts)
+
+            def run(start, k):
+                part = F.slice("_s", start + 1, F.coalesce(F.get("_g", k + 1), F.size("_s")) - start)
+                sides = [F.transform(F.filter(part, lambda x: x["side"] == side), lambda x: x["i"])  # noqa: B023
+                         for side in (0, 1)]
+                return F.transform(F.arrays_zip(sides[0].alias("a"), sides[1].alias("b")), lambda z: F.struct(
+                    F.get("_s", start)["label"].alias("label"), z["a"].alias("a"), z["b"].alias("b")))
+
+            entries = F.flatten(F.transform("_g", run))
+    elif spec.kind in ("month_labels", "week_sequence"):
+        base = base.withColumn("_d", F.filter(cells, has(spec.date_token)))
+        if spec.kind == "month_labels":
+            entries = F.transform("_d", lambda d: F.struct(L.month_label(d["h"]).alias("label"), d["i"].alias("a")))
+        else:
+            if len(keys) != 1:
+                raise ValueError(f"{spec.name}: the file name key must be the single table key")
+            year, first = L.file_year(F.col(keys[0])), F.get("_d", 0)["h"]
+            entries = F.transform("_d", lambda d, k: F.struct(L.week_sequence(year, first, k).alias("label"),
+                                                              d["i"].alias("a")))
+    else:
+        raise ValueError(f"unknown panel kind {spec.kind}")
+    id_cols = F.col("_all_ids")
+    if id_labels is not None:
+        id_cols = F.array(*[F.get(F.filter("_all_ids", lambda p: p["label"] == x), 0)["i"] for x in id_labels]) \
+            if id_labels else F.array().cast("array<int>")
+    return base.select(*keys, *keep, entries.alias("_ent"), id_cols.alias("_ids"))
+
+
 def panel_reject_reason(spec: PanelSpec, keys: Sequence[str] = ("source",)) -> Column:
     """Why a file cannot go through ``spec`` (NULL when it can), from the file
     context the reader attaches to each row (``hdr``, ``first_cells``,

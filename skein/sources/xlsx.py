@@ -11,7 +11,10 @@ batch of files unzips each workbook and streams the chosen sheet's XML
 non-empty one is emitted (empty rows as ``[]``) so positions stay exact.
 Cells are text as stored: numbers as written in the file (Excel keeps them
 as doubles), shared and inline strings, booleans ``TRUE``/``FALSE``; a missing
-cell inside a row is NULL. Dates stay serial numbers (no style parsing).
+cell inside a row is NULL, and so is an error cell (``#N/A``, ``#DIV/0!``).
+Numbers with a date style come as ISO text (``yyyy-MM-dd``, with the time of
+day when there is one). Row counts come from the rows, never from the
+``dimension`` element, which writers may leave stale.
 
 Writing: each task writes its partition as one workbook into a shared folder
 (``mapInArrow``), so workbook building is spread over the cluster.
@@ -19,12 +22,13 @@ Writing: each task writes its partition as one workbook into a shared folder
 
 from __future__ import annotations
 
+import datetime as dt
 import io
-import itertools
 import os
 import re
 import uuid
 import zipfile
+import zlib
 from decimal import Decimal
 from collections.abc import Sequence
 from xml.etree import ElementTree as ET
@@ -42,8 +46,14 @@ _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 _M = "{%s}" % _NS["m"]
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
+# Fixed values of the format: built-in number formats that show a date or time.
+DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
+# Parts of a custom number format that are text, colour or locale, not date codes.
+_FORMAT_TEXT = re.compile(r'"[^"]*"|\\.|_.|\[[^\]]*\]')
+
+CHUNK_CELLS = 1 << 18  # cells in one Arrow batch of the reader (about 10 MB of short texts)
+
 WORKBOOK_SUFFIX = ".xlsx"
-ROWS_SCHEMA = "source string, file_name string, sheet string, row_no int, cells array<string>"
 
 
 def col_index(letters: str) -> int:
@@ -106,9 +116,42 @@ def _open_sheet(content: bytes, sheet: str | None):
     return z, name, path
 
 
-def _cell_value(c, shared):
+def _date_styles(z: zipfile.ZipFile) -> tuple[frozenset[str], dt.datetime]:
+    """Style numbers (as in the ``s`` attribute of a cell) that show a date, and day 0 of the workbook."""
+    epoch = dt.datetime(1899, 12, 30)
+    pr = ET.fromstring(z.read("xl/workbook.xml")).find(_M + "workbookPr")
+    if pr is not None and pr.get("date1904", "0") in ("1", "true"):
+        epoch = dt.datetime(1904, 1, 1)
+    if "xl/styles.xml" not in z.namelist():
+        return frozenset(), epoch
+    root = ET.fromstring(z.read("xl/styles.xml"))
+    custom = {int(f.get("numFmtId")): _FORMAT_TEXT.sub("", f.get("formatCode") or "").lower()
+              for f in root.iter(_M + "numFmt")}
+    styles = root.find(_M + "cellXfs")
+    out = set()
+    for i, xf in enumerate(() if styles is None else styles.findall(_M + "xf")):
+        fmt = int(xf.get("numFmtId", "0"))
+        if any(c in "dmyhs" for c in custom[fmt]) if fmt in custom else fmt in DATE_FORMATS:
+            out.add(str(i))
+    return frozenset(out), epoch
+
+
+def _date_text(serial: str, epoch: dt.datetime) -> str:
+    """ISO text of a serial number; a number outside the calendar stays as stored."""
+    try:
+        when = epoch + dt.timedelta(seconds=round(float(serial) * 86400))
+    except (ValueError, OverflowError):
+        return serial
+    return when.strftime("%Y-%m-%d" if when.time() == dt.time() else "%Y-%m-%d %H:%M:%S")
+
+
+def _cell_value(c, shared, dates=(frozenset(), None)):
     t = c.get("t", "n")
     v = c.find(_M + "v")
+    if t == "e":
+        return None
+    if t == "n" and c.get("s") in dates[0] and v is not None and v.text:
+        return _date_text(v.text, dates[1])
     if t == "s":
         return shared[int(v.text)] if v is not None else None
     if t == "inlineStr":
@@ -124,7 +167,7 @@ def iter_sheet(content: bytes, sheet: str | None = None):
     compressed sheet in order; empty rows between the first and last stored
     row come as ``[]``. Memory holds one row at a time."""
     z, name, path = _open_sheet(content, sheet)
-    shared = _shared_strings(z)
+    shared, dates = _shared_strings(z), _date_styles(z)
 
     def rows():
         prev = None
@@ -137,36 +180,33 @@ def iter_sheet(content: bytes, sheet: str | None = None):
                 cells: dict[int, str | None] = {}
                 for pos, c in enumerate(el.findall(_M + "c")):
                     ref = c.get("r")
-                    cells[col_index(_REF.match(ref).group(1)) if ref else pos] = _cell_value(c, shared)
+                    cells[col_index(_REF.match(ref).group(1)) if ref else pos] = _cell_value(c, shared, dates)
                 el.clear()
                 if prev is not None:
                     for gap in range(prev + 1, r_no):
                         yield gap, []
                 prev = r_no
-                width = max(cells) + 1 if cells else 0
+                width = max((i for i, v in cells.items() if v is not None), default=-1) + 1
                 yield r_no, [cells.get(i) for i in range(width)]
 
     return name, rows()
 
 
-def last_row(content: bytes, sheet: str | None = None) -> int | None:
-    """0-based last stored row: from the sheet's ``dimension`` element when
-    present (read from the first bytes of the sheet), else by a scan."""
-    z, _, path = _open_sheet(content, sheet)
-    with z.open(path) as fh:
-        for ev, el in ET.iterparse(fh, events=("start",)):
-            if el.tag == _M + "dimension":
-                m = re.search(r"(\d+)$", el.get("ref", ""))
-                if m:
-                    return int(m.group(1)) - 1
-            if el.tag == _M + "sheetData":
-                break
-    last = None
-    with z.open(path) as fh:
-        for ev, el in ET.iterparse(fh, events=("start",)):
-            if el.tag == _M + "row":
-                last = int(el.get("r")) - 1 if el.get("r") else (0 if last is None else last + 1)
-    return last
+def sheet_summary(content: bytes, sheet: str | None, header_row: int) -> tuple[str | None, int, int]:
+    """``(reason, last row with a value, widest row)`` of one sheet by a
+    streaming pass over its rows. ``reason`` says why the sheet cannot be read
+    as asked (None when it can)."""
+    last, width, seen_header = -1, 0, False
+    try:
+        for r_no, cells in iter_sheet(content, sheet)[1]:
+            seen_header = seen_header or r_no == header_row
+            if r_no >= header_row and cells:
+                last, width = r_no, max(width, len(cells))
+    except (zipfile.BadZipFile, zlib.error, LookupError, ValueError, ET.ParseError, OSError) as e:
+        return f"unreadable: {type(e).__name__}: {e}", last, width
+    if not seen_header:
+        return "no_header_row", last, width
+    return (None if last > header_row else "no_body_rows"), last, width
 
 
 def read_sheet(content: bytes, sheet: str | None = None) -> tuple[str, list[tuple[int, list]]]:
@@ -200,122 +240,119 @@ def list_files(spark: SparkSession, path: str, exclude: str | None = None, glob:
 
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, exclude: str | None = None,
               glob: str | None = None, recursive: bool = False, header_row: int | None = None,
-              on_error: str = "fail", headers_only: bool = False) -> DataFrame:
+              on_error: str = "fail", headers_only: bool = False, nested: bool = False) -> DataFrame:
     """Ragged rows of one sheet of every workbook under ``path`` (SRC1/SRC2/SRC3).
 
     With ``header_row`` (0-based physical row) only the rows below it are
     emitted, each carrying its file's context, computed in the task that parsed
     the file: ``hdr`` (header cells), ``first_row_no`` / ``first_cells`` (first
-    body row) and ``last_row_no``. Operators then need no header join and the
-    file is parsed once.
+    body row) and ``last_row_no`` (last row with a value). ``hdr`` is as long as
+    the widest row. Operators then need no header join. ``nested=True`` keeps
+    the body rows of a file in runs (``body ARRAY<STRUCT<row_no, cells>>``), so
+    header analysis is done once a run, not once a row.
     """
     files = list_files(spark, path, exclude=exclude, glob=glob, recursive=recursive)
-    return read_xlsx_files(files, sheet, header_row=header_row, on_error=on_error, headers_only=headers_only)
+    return read_xlsx_files(files, sheet, header_row=header_row, on_error=on_error, headers_only=headers_only,
+                           nested=nested)
 
 
 CONTEXT_SCHEMA = "hdr array<string>, first_row_no int, first_cells array<string>, last_row_no int"
 
 
-def check_sheet(content: bytes, sheet: str | None, header_row: int | None) -> str | None:
-    """Reason a workbook cannot be read as asked (None when it can): a full
-    streaming pass over the sheet, without building rows."""
-    try:
-        _, rows = iter_sheet(content, sheet)
-        seen_header = header_row is None
-        body = header_row is None
-        for r_no, _ in rows:
-            if header_row is not None and r_no == header_row:
-                seen_header = True
-            elif header_row is not None and r_no > header_row:
-                body = True
-    except (zipfile.BadZipFile, KeyError, ValueError, ET.ParseError, OSError) as e:
-        return f"unreadable: {type(e).__name__}: {e}"
-    if not seen_header:
-        return "no_header_row"
-    if not body:
-        return "no_body_rows"
-    return None
+_ROW = pa.struct([("row_no", pa.int32()), ("cells", pa.list_(pa.string()))])
 
 
-def read_xlsx_files(files: DataFrame, sheet: str | None = None, batch_rows: int = 8192,
-                    header_row: int | None = None, on_error: str = "fail", headers_only: bool = False) -> DataFrame:
+def read_xlsx_files(files: DataFrame, sheet: str | None = None, header_row: int | None = None,
+                    on_error: str = "fail", headers_only: bool = False, nested: bool = False) -> DataFrame:
     """``on_error="reject"``: a workbook that cannot be read (or lacks the header
     row / body) gives one row with ``row_no = -1`` and the reason in ``error``
-    instead of failing the job; the other files go on."""
+    instead of failing the job; the other files go on. ``"fail"`` raises for it.
+
+    Arrow batches are cut by cells (``CHUNK_CELLS``); a file's header travels
+    once a batch and is repeated on its rows by Spark, if at all."""
     if on_error not in ("fail", "reject"):
         raise ValueError("on_error must be fail or reject")
-    fields = [("source", pa.string()), ("file_name", pa.string()), ("sheet", pa.string()),
-              ("row_no", pa.int32()), ("cells", pa.list_(pa.string()))]
-    if header_row is not None and not headers_only:
+    context = header_row is not None and not headers_only
+    if nested and not context:
+        raise ValueError("nested rows need header_row")
+    fields = [("source", pa.string()), ("file_name", pa.string()), ("sheet", pa.string())]
+    ddl = "source string, file_name string, sheet string"
+    if context:
         fields += [("hdr", pa.list_(pa.string())), ("first_row_no", pa.int32()),
                    ("first_cells", pa.list_(pa.string())), ("last_row_no", pa.int32())]
+        ddl += ", " + CONTEXT_SCHEMA
     if on_error == "reject" and not headers_only:
         fields += [("error", pa.string())]
+        ddl += ", error string"
+    fields += [("body", pa.list_(_ROW))]
+    ddl += ", body array<struct<row_no int, cells array<string>>>"
     schema = pa.schema(fields)
 
-    def run(batches):
-        out = {k: [] for k in schema.names}
+    def runs(content):
+        """``(sheet name, context, error, rows)`` of one file, a run of at most CHUNK_CELLS cells at a time."""
+        if headers_only:
+            try:
+                width = sheet_summary(content, sheet, header_row or 0)[2]
+                name, rows = iter_sheet(content, sheet)
+                hdr = next((c + [None] * (width - len(c)) for r_no, c in rows if r_no >= (header_row or 0)), None)
+            except (zipfile.BadZipFile, zlib.error, LookupError, ValueError, ET.ParseError, OSError):
+                return  # an unreadable file has no labels to offer
+            if hdr is not None:
+                yield name, {}, None, [(header_row or 0, hdr)]
+            return
+        last, width = None, 0
+        if context or on_error == "reject":
+            reason, last, width = sheet_summary(content, sheet, header_row or 0)
+            if reason == "no_body_rows" and header_row is None:
+                reason = None  # without a header row the first row is data
+            if reason is not None:
+                if on_error == "fail":
+                    raise ValueError(reason)
+                yield None, {}, reason, [(-1, [])]
+                return
+        name, rows = iter_sheet(content, sheet)
+        ctx, run, size = {}, [], 0
+        for r_no, cells in rows:
+            if context:
+                if r_no == header_row:
+                    ctx["hdr"] = cells + [None] * (width - len(cells))
+                if r_no <= header_row or r_no > last:
+                    continue
+                if "first_row_no" not in ctx:
+                    ctx.update(first_row_no=r_no, first_cells=cells, last_row_no=last)
+            run.append((r_no, cells))
+            size += len(cells) + 1
+            if size >= CHUNK_CELLS:
+                yield name, ctx, None, run
+                run, size = [], 0
+        if run:
+            yield name, ctx, None, run
+
+    def parse(batches):
+        out, size = [], 0
         for b in batches:
             for p, fn, content in zip(b.column("path").to_pylist(), b.column("file_name").to_pylist(),
                                       b.column("content").to_pylist()):
-                if headers_only:  # read a file only up to its header row
-                    try:
-                        name, rows = iter_sheet(content, sheet)
-                        hdr = next((c for r_no, c in rows if r_no >= (header_row or 0)), None)
-                    except (zipfile.BadZipFile, KeyError, ValueError, ET.ParseError, OSError):
-                        continue  # an unreadable file has no labels to offer
-                    if hdr is not None:
-                        out["source"].append(p)
-                        out["file_name"].append(fn)
-                        out["sheet"].append(name)
-                        out["row_no"].append(header_row or 0)
-                        out["cells"].append(hdr)
-                    continue
-                if on_error == "reject":
-                    reason = check_sheet(content, sheet, header_row)
-                    if reason is not None:
-                        row = {k: None for k in schema.names}
-                        row.update(source=p, file_name=fn, row_no=-1, cells=[], error=reason)
-                        for k in schema.names:
-                            out[k].append(row[k])
-                        continue
-                name, rows = iter_sheet(content, sheet)
-                ctx = None
-                if header_row is not None:
-                    hdr, first = None, None
-                    for r_no, cells in rows:  # advance to the first body row
-                        if r_no == header_row:
-                            hdr = cells
-                        elif r_no > header_row:
-                            first = (r_no, cells)
-                            break
-                    if hdr is None or first is None:
-                        continue
-                    ctx = (hdr, first[0], first[1], last_row(content, sheet))
-                    rows = itertools.chain([first], rows)
-                for r_no, cells in rows:
-                    out["source"].append(p)
-                    out["file_name"].append(fn)
-                    out["sheet"].append(name)
-                    out["row_no"].append(r_no)
-                    out["cells"].append(cells)
-                    if on_error == "reject":
-                        out["error"].append(None)
-                    if ctx is not None:
-                        out["hdr"].append(ctx[0])
-                        out["first_row_no"].append(ctx[1])
-                        out["first_cells"].append(ctx[2])
-                        out["last_row_no"].append(ctx[3])
-                    if len(out["source"]) >= batch_rows:
-                        yield pa.RecordBatch.from_pydict(out, schema=schema)
-                        out = {k: [] for k in schema.names}
-        if out["source"]:
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
-
-    ddl = ROWS_SCHEMA + (", " + CONTEXT_SCHEMA if header_row is not None and not headers_only else "") + \
-        (", error string" if on_error == "reject" and not headers_only else "")
+                try:
+                    for name, ctx, error, rows in runs(content):
+                        row = {"source": p, "file_name": fn, "sheet": name, **ctx, "error": error,
+                               "body": [{"row_no": n, "cells": c} for n, c in rows]}
+                        out.append({k: row.get(k) for k in schema.names})
+                        size += sum(len(c) + 1 for _, c in rows)
+                        if size >= CHUNK_CELLS:
+                            yield pa.RecordBatch.from_pylist(out, schema=schema)
+                            out, size = [], 0
+                except (zipfile.BadZipFile, zlib.error, LookupError, ValueError, ET.ParseError) as e:
+                    raise ValueError(f"workbook {p}: {e}") from e
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
     ship_package(files.sparkSession)
-    return files.select("path", "file_name", "content").mapInArrow(run, ddl)
+    read = files.select("path", "file_name", "content").mapInArrow(parse, ddl)
+    if nested:
+        return read
+    return read.select("source", "file_name", "sheet", *[c for c in read.columns[3:] if c != "body"],
+                       F.inline("body"))
 
 
 # ---- writer ----------------------------------------------------------------------------------

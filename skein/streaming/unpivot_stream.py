@@ -47,7 +47,8 @@ def start_batch_stream(stream: DataFrame, fn: Callable[[DataFrame, int], None],
 
 
 def stream_workbooks(spark: SparkSession, folder: str, sheet: str | None = None, header_row: int = 0,
-                     exclude: str | None = "pivoted", max_files_per_trigger: int | None = None) -> DataFrame:
+                     exclude: str | None = "pivoted", max_files_per_trigger: int | None = None,
+                     on_error: str = "fail", nested: bool = False) -> DataFrame:
     """Workbooks arriving in ``folder`` as a stream of ragged rows with their
     file's header context (see ``read_xlsx``): ``binaryFile`` file stream +
     the same Arrow parse. Each file is parsed once, in one task, so every
@@ -63,7 +64,7 @@ def stream_workbooks(spark: SparkSession, folder: str, sheet: str | None = None,
     files = r.load(folder).withColumn("file_name", F.element_at(F.split(F.col("path"), "/"), -1))
     if exclude:
         files = files.filter(~F.col("file_name").contains(exclude))
-    return read_xlsx_files(files, sheet, header_row=header_row)
+    return read_xlsx_files(files, sheet, header_row=header_row, on_error=on_error, nested=nested)
 
 
 def start_sink(long: DataFrame, sink_dir: str, checkpoint_dir: str, available_now: bool = True,
