@@ -1,7 +1,7 @@
 """Wide-to-long reshaping (melt), its paired form and its inverse.
 
 All operators are narrow (one Expand or Generate over the input rows): no
-shuffle, no per-row Python. Only ``pivot_back`` aggregates.
+shuffle, no per-row Python. ``pivot_back`` aggregates, ``rank_within`` moves its rows twice.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from itertools import zip_longest
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.session import scratch_path
+
 
 def qcol(name: str) -> Column:
     """Column by its exact name; header labels often hold dots or spaces."""
@@ -132,67 +134,44 @@ def concat_by_position(left: DataFrame, right: DataFrame, on: Sequence[str], pos
     return left.join(right, list(on) + [pos_col], how)
 
 
-SAMPLE_PER_BOUND = 20  # sample rows per range bound: the driver sees at most ~20 x partitions rows
-
-
-def _range_bounds(df: DataFrame, cols: Sequence[str], n: int, seed: int = 17) -> list:
-    """``n - 1`` boundary rows of ``cols`` from a uniform sample of at most
-    ``SAMPLE_PER_BOUND * n`` rows: the rows with the smallest seeded random
-    numbers, picked by a per-task top-k (one job, no count), then ordered by
-    Spark itself so the bounds follow Spark's ordering of the values."""
-    if n <= 1:
-        return []
-    k = SAMPLE_PER_BOUND * n
-    sample = (df.select(*cols, F.rand(seed).alias("_r")).orderBy("_r").limit(k)
-              .orderBy(*cols).drop("_r").collect())
-    if not sample:
-        return []
-    step = len(sample) / n
-    bounds = []
-    for i in range(1, n):
-        b = tuple(sample[min(len(sample) - 1, int(i * step))])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds
-
-
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos_col: str = "pos",
                 partitions: int | None = None) -> DataFrame:
     """1-based position of each row inside its key group, by ``order``
-    (make ``order`` unique within a key for a deterministic result).
-
-    Skew-safe: rows go to range buckets of ``(keys, order)`` (bounds from a
-    bounded sample, fixed before the job, so every branch sees the same
-    buckets), which splits a key holding a third of all rows over many tasks.
-    Rows are numbered per (bucket, key) and shifted by the row count of the
-    same key in earlier buckets. Only the first key of a bucket can continue
-    an earlier bucket, so the non-zero shifts are at most ``partitions`` rows:
-    a proven bound, broadcast to the numbered rows without moving them.
+    (make ``order`` unique within a key for a deterministic result). NULL keys
+    form a group of their own.
+
+    Skew-safe: one range exchange on ``(keys, order)`` cuts a key holding a
+    third of all rows into many buckets. The ranged rows are written to the
+    shared folder with their bucket number, so a retried task and every branch
+    below see the same buckets. Rows are numbered per (bucket, key) and shifted
+    by the rows of the same key in earlier buckets; only a bucket's first and
+    last key can be shared with another bucket, so at most two counts a bucket
+    are made and the shifts (fewer than ``partitions`` rows) are broadcast.
+    The plan does not grow with the number of buckets.
     """
     keys, order = list(keys), list(order)
-    cols = [*keys, *order]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _range_bounds(df, cols, n)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    row = F.struct(*[F.col(c) for c in cols])
-    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
-
-    def bucket(lo: int, hi: int) -> Column:
-        # number of bounds below the row, as a balanced decision tree: log2(n) comparisons per row
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(row > lits[mid - 1], bucket(mid, hi)).otherwise(bucket(lo, mid - 1))
-
-    ranged = df.withColumn("_pid", bucket(0, len(lits)).cast("int")).repartition(n, "_pid")
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "rank")
+    (df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id())
+     .write.mode("overwrite").parquet(path))
+    ranged = spark.read.parquet(path)
+    key = F.struct(*[F.col(k) for k in keys])
     local = ranged.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
-    counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (counts.select("_pid", *keys, F.sum("_n").over(before).alias("_off"))
+    tagged = ranged.select("_pid", key.alias("_k"))
+    edges = tagged.groupBy("_pid").agg(F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
+    ends = (tagged.join(F.broadcast(edges), "_pid")
+            .filter(F.col("_k").eqNullSafe(F.col("_lo")) | F.col("_k").eqNullSafe(F.col("_hi")))
+            .groupBy("_pid", "_k").agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.partitionBy("_k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (ends.select(F.col("_pid").alias("_spid"), "_k", F.sum("_n").over(before).alias("_off"))
               .filter(F.col("_off") > 0))
-    return (local.join(F.broadcast(shifts), ["_pid", *keys], "left")
+    same = F.col("_pid") == F.col("_spid")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_k")[k])
+    return (local.join(F.broadcast(shifts), same, "left")
             .withColumn(pos_col, (F.col("_lr") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
-            .drop("_pid", "_lr", "_off"))
+            .select(*df.columns, pos_col))
 
 
 def concat_by_rank(left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[str],
