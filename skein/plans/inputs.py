@@ -1,8 +1,9 @@
 """Build the human-made inputs the operators expect (wide panels, ragged
 rows) from the given tables, as Spark jobs whose work grows with the tables.
 
-Label lists (weeks, months, segments) are fixed by a calendar or by the
-TPC-H domain, never discovered with a ``collect``. Every aggregate is a
+Weeks and months run from the first to the last order (two scalars of one
+aggregate); segments, priorities and regions are the fixed TPC-H domains.
+Every aggregate is a
 ``groupBy`` with a map-side partial aggregate; the grouped cells that are
 collected into one row are bounded by the label list (e.g. 5 priorities).
 """
@@ -14,7 +15,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.operators.filters import iso_week_range
 from skein.plans.tables import table
 from skein.session import shared_dir
 
@@ -23,8 +23,25 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
-PANEL_YEAR = 1996                  # weekly panels cover ISO year 1996 (Monday 1996-01-01 ...)
-MONTH_FIRST, MONTH_YEARS = 1995, 7  # monthly panels cover 1995-01 .. 2001-12
+REGIONS = (0, 1, 2, 3, 4)
+
+
+def order_span(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """Days of the first and last order (one row reaches the driver); without orders a single day."""
+    d = F.to_date("o_orderdate")
+    lo, hi = table(spark, sf_dir, "orders").agg(F.min(d), F.max(d)).first()
+    return (lo, hi) if lo is not None else (dt.date(1996, 1, 1), dt.date(1996, 1, 1))
+
+
+def order_weeks(spark: SparkSession, sf_dir: str) -> list[dt.date]:
+    """The Mondays of all weeks with orders between the first and the last."""
+    lo, hi = order_span(spark, sf_dir)
+    first = lo - dt.timedelta(days=lo.weekday())
+    return [first + dt.timedelta(days=7 * i) for i in range((hi - first).days // 7 + 1)]
+
+
+def week_no(first: dt.date):
+    return F.floor(F.datediff(F.to_date("o_orderdate"), F.lit(first)) / 7).cast("int")
 
 
 def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -49,48 +66,38 @@ def orders_placed(spark: SparkSession, sf_dir: str, orders: DataFrame | None = N
             .drop("c_custkey", "c_nationkey", "n_nationkey"))
 
 
-def _iso_year_bounds(year: int):
-    lo, hi = iso_week_range((year, 1), (year, 53))
-    return lo, hi, (hi - lo).days // 7
-
-
-def weekly_paired_panel(spark: SparkSession, sf_dir: str, year: int = PANEL_YEAR) -> DataFrame:
-    """Wide panel (MX layout): one row per nation x segment, a ``Un SEM - WW/YYYY``
-    (orders) and a ``Lc SEM - WW/YYYY`` (value) column per ISO week; empty cells NULL."""
-    lo, hi, n_weeks = _iso_year_bounds(year)
-    o = (table(spark, sf_dir, "orders")
-         .filter((F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
-                 & (F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))))
-    j = orders_placed(spark, sf_dir, o).withColumn("wk", F.lpad(F.weekofyear("o_orderdate").cast("string"), 2, "0"))
-    weeks = [f"{w:02d}" for w in range(1, n_weeks + 1)]
-    wide = (j.groupBy("n_name", "c_mktsegment").pivot("wk", weeks)
+def weekly_paired_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide panel (MX layout): one row per customer with orders, a
+    ``Un SEM - WW/YYYY`` (orders) and a ``Lc SEM - WW/YYYY`` (value) column per
+    ISO week from the first to the last order; empty cells NULL."""
+    mondays = order_weeks(spark, sf_dir)
+    j = orders_placed(spark, sf_dir).withColumn("wk", week_no(mondays[0]))
+    wide = (j.groupBy("o_custkey", "n_name", "c_mktsegment").pivot("wk", list(range(len(mondays))))
             .agg(F.count(F.lit(1)).alias("u"), F.sum(price()).cast("decimal(18,2)").alias("v")))
-    un = [F.col(f"{w}_u").alias(f"Un SEM - {w}/{year}") for w in weeks]
-    lc = [F.col(f"{w}_v").alias(f"Lc SEM - {w}/{year}") for w in weeks]
-    return wide.select("n_name", "c_mktsegment", *un, *lc)
+    labels = ["{1:02d}/{0}".format(*d.isocalendar()) for d in mondays]
+    un = [F.col(f"{i}_u").alias(f"Un SEM - {x}") for i, x in enumerate(labels)]
+    lc = [F.col(f"{i}_v").alias(f"Lc SEM - {x}") for i, x in enumerate(labels)]
+    return wide.select("o_custkey", "n_name", "c_mktsegment", *un, *lc)
 
 
-def weekly_paired_rows(spark: SparkSession, sf_dir: str, years=(1996, 1997, 1998)) -> DataFrame:
-    """The MX panels of several ISO years as ragged rows, one table (file
+def weekly_paired_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MX panels of all ISO years with orders as ragged rows, one table (file
     ``weekly_<year>.xlsx``) per year, all from one aggregation: header
     ``n_name, c_mktsegment, Un SEM - WW/YYYY..., Lc SEM - WW/YYYY...`` with as
     many weeks as the year has; one body row per nation x segment; empty
     cells NULL. Rows per year are bounded by the nation x segment domain."""
-    years = tuple(years)
-    spans = {y: _iso_year_bounds(y) for y in years}
-    lo, hi = min(v[0] for v in spans.values()), max(v[1] for v in spans.values())
-    o = (table(spark, sf_dir, "orders")
-         .filter((F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
-                 & (F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))))
+    first, last = (d.isocalendar()[0] for d in order_span(spark, sf_dir))
+    years = range(first, last + 1)
+    n_weeks = {y: dt.date(y, 12, 28).isocalendar()[1] for y in years}
     yr = F.date_part(F.lit("YEAROFWEEK"), F.col("o_orderdate")).cast("int")
-    j = orders_placed(spark, sf_dir, o).select("n_name", "c_mktsegment", yr.alias("yr"),
-                                               F.weekofyear("o_orderdate").alias("wk"), price().alias("p"))
-    agg = (j.filter(F.col("yr").isin(*years)).groupBy("yr", "n_name", "c_mktsegment", "wk")
+    j = orders_placed(spark, sf_dir).select("n_name", "c_mktsegment", yr.alias("yr"),
+                                            F.weekofyear("o_orderdate").alias("wk"), price().alias("p"))
+    agg = (j.groupBy("yr", "n_name", "c_mktsegment", "wk")
            .agg(F.count(F.lit(1)).alias("u"), F.sum("p").cast("decimal(18,2)").alias("v")))
     per_row = agg.groupBy("yr", "n_name", "c_mktsegment").agg(
         F.map_from_entries(F.collect_list(F.struct("wk", F.struct("u", "v")))).alias("m"))
     nweeks = F.lit(52)
-    for y, (_, _, nw) in spans.items():
+    for y, nw in n_weeks.items():
         nweeks = F.when(F.col("yr") == y, F.lit(nw)).otherwise(nweeks)
     weeks = F.sequence(F.lit(1), nweeks)
     body = per_row.select(
@@ -115,80 +122,66 @@ def weekly_paired_rows(spark: SparkSession, sf_dir: str, years=(1996, 1997, 1998
         F.concat(F.lit("weekly_"), F.col("yr").cast("string"), F.lit(".xlsx")).alias("source"), "row_no", "cells")
 
 
-def month_list(first_year: int = MONTH_FIRST, years: int = MONTH_YEARS) -> list[tuple[int, int]]:
-    return [(first_year + i // 12, i % 12 + 1) for i in range(12 * years)]
+def order_months(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
+    """``(year, month)`` of all months from the first to the last order."""
+    lo, hi = order_span(spark, sf_dir)
+    return [(k // 12, k % 12 + 1) for k in range(lo.year * 12 + lo.month - 1, hi.year * 12 + hi.month)]
 
 
 def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide panel (JP layout): priority x status rows, ``YYYY/M-`` month columns
-    holding the order value; empty cells NULL."""
-    return monthly_panel_by_status(spark, sf_dir)
-
-
-def monthly_panel_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``o_orderpriority, o_orderstatus, <YYYY/M->...``: status is an id column,
-    so one folder file per status is a filter on it."""
-    months = month_list()
-    lo = dt.date(MONTH_FIRST, 1, 1)
-    hi = dt.date(MONTH_FIRST + MONTH_YEARS, 1, 1)
-    o = (table(spark, sf_dir, "orders")
-         .filter((F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
-                 & (F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))))
+    holding the order value; empty cells NULL. Status is an id column, so one
+    folder file per status is a filter on it."""
+    months = order_months(spark, sf_dir)
+    o = table(spark, sf_dir, "orders")
     lbl = F.concat(F.year("o_orderdate").cast("string"), F.lit("/"), F.month("o_orderdate").cast("string"), F.lit("-"))
     labels = [f"{y}/{m}-" for y, m in months]
     return (o.withColumn("m", lbl).groupBy("o_orderpriority", "o_orderstatus")
             .pivot("m", labels).agg(F.sum(price()).cast("decimal(18,2)")))
 
 
-def weekly_text_panel(spark: SparkSession, sf_dir: str, year: int = PANEL_YEAR) -> DataFrame:
-    """Wide text panel (JP2 layout): status x priority rows, ``M.d-`` week columns
-    (no year in the header). Cell: order count as text, ``-`` when the week has
-    no order, NULL (unknown) when it has exactly one."""
-    lo, hi, n_weeks = _iso_year_bounds(year)
-    o = (table(spark, sf_dir, "orders")
-         .filter((F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
-                 & (F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))))
-    wk = F.floor(F.datediff(F.to_date("o_orderdate"), F.lit(lo)) / 7).cast("int")
-    mondays = [lo + dt.timedelta(days=7 * i) for i in range(n_weeks)]
-    labels = list(range(n_weeks))
-    wide = o.withColumn("wk", wk).groupBy("o_orderstatus", "o_orderpriority").pivot("wk", labels).count()
+def weekly_text_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Wide text panel (JP2 layout) and its start year: status x priority rows,
+    ``M.d-`` week columns (no year in the header; a day that comes again in a
+    later year gets ``.1``, ``.2``, as a sheet reader names repeats). Cell: order count as text,
+    ``-`` when the week has no order, NULL (unknown) when it has exactly one."""
+    mondays = order_weeks(spark, sf_dir)
+    wide = (table(spark, sf_dir, "orders").withColumn("wk", week_no(mondays[0]))
+            .groupBy("o_orderstatus", "o_orderpriority").pivot("wk", list(range(len(mondays)))).count())
+    days = [f"{d.month}.{d.day}-" for d in mondays]
+    names = [x if x not in days[:i] else f"{x}.{days[:i].count(x)}" for i, x in enumerate(days)]
     cells = []
-    for i, d in enumerate(mondays):
+    for i, name in enumerate(names):
         c = F.col(str(i))
         cells.append(F.when(c.isNull(), F.lit("-")).when(c == 1, F.lit(None).cast("string"))
-                     .otherwise(c.cast("string")).alias(f"{d.month}.{d.day}-"))
-    return wide.select("o_orderstatus", "o_orderpriority", *cells)
-
+                     .otherwise(c.cast("string")).alias(name))
+    return wide.select("o_orderstatus", "o_orderpriority", *cells), mondays[0].year
 
-WEEKLY_TEXT_SOURCE = f"orders_status_priority_weekly_{PANEL_YEAR}0101-x.xlsx"
 
-
-def region_month_counts(spark: SparkSession, sf_dir: str, regions=None) -> DataFrame:
-    """Orders per calendar month index ``k``, region and segment: the only part
-    of the region-block sheets that grows with the data, aggregated once and
-    written to the shared checkpoint folder."""
-    months = month_list()
-    j = orders_placed(spark, sf_dir)
-    if regions is not None:
-        j = j.filter(F.col("n_regionkey").isin(*tuple(regions)))
-    k = ((F.year("o_orderdate") - MONTH_FIRST) * 12 + F.month("o_orderdate") - 1).cast("int")
-    j = j.withColumn("k", k).filter((F.col("k") >= 0) & (F.col("k") < len(months)))
-    return cut_lineage(spark, j.groupBy("k", "n_regionkey", "c_mktsegment").count())
+def region_month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per month ``k`` (year * 12 + month - 1), region and segment: the only
+    part of the region-block sheets that grows with the data, aggregated once
+    and written to the shared checkpoint folder."""
+    k = (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).cast("int")
+    return cut_lineage(spark, orders_placed(spark, sf_dir).withColumn("k", k)
+                       .groupBy("k", "n_regionkey", "c_mktsegment").count())
 
 
-def region_block_rows(spark: SparkSession, sf_dir: str, regions=(0, 1, 2),
+def region_block_rows(spark: SparkSession, sf_dir: str, regions=REGIONS,
                       source: str = "asia_visitors.xlsx", counts: DataFrame | None = None) -> DataFrame:
     """Ragged rows (CN layout) of one sheet: 4 title rows, a header row
     ``No, Period`` + (``Total`` + segments) per region block, one body row per
-    month (every calendar month, with or without orders) and a summary row.
-    Cells hold order counts as text, '' when zero. ``counts`` (from
+    month (every calendar month from the first to the last order) and a summary
+    row. Cells hold order counts as text, '' when zero. ``counts`` (from
     ``region_month_counts``) lets several sheets share one aggregation."""
-    months = month_list()
+    months = order_months(spark, sf_dir)
+    k0 = months[0][0] * 12 + months[0][1] - 1
     regions = tuple(regions)
-    counts = counts if counts is not None else region_month_counts(spark, sf_dir, regions)
+    counts = (counts if counts is not None else region_month_counts(spark, sf_dir)) \
+        .withColumn("k", F.col("k") - k0)
     key = F.concat(F.col("n_regionkey").cast("string"), F.lit("|"), F.col("c_mktsegment"))
     seg = counts.filter(F.col("n_regionkey").isin(*regions)).withColumn("key", key)
-    # Segment counts per month in one bounded map (3 regions x 5 segments); the
+    # Segment counts per month in one bounded map (regions x 5 segments); the
     # region totals are sums inside that map, so no second aggregation is needed.
     cells_by_k = seg.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("key", "count"))).alias("m"))
 
@@ -204,8 +197,8 @@ def region_block_rows(spark: SparkSession, sf_dir: str, regions=(0, 1, 2),
     body = cal.join(cells_by_k, "k", "left")
     first_cells = [F.lit(f"{months[0][0]} \u3000\uff0e{MONTH_NAMES[months[0][1] - 1]}")]
     period = F.when(F.col("k") == 0, first_cells[0]).otherwise(
-        F.concat(F.lit(""), (F.lit(MONTH_FIRST) + F.floor(F.col("k") / 12)).cast("string"), F.lit("/"),
-                 (F.col("k") % 12 + 1).cast("string")))
+        F.concat(F.lit(""), F.floor((F.col("k") + k0) / 12).cast("string"), F.lit("/"),
+                 ((F.col("k") + k0) % 12 + 1).cast("string")))
     body_rows = body.select(
         (F.col("k") + 5).alias("row_no"),
         F.array((F.col("k") + 1).cast("string"), period, *[cell(F.col("m"), r, x) for r, x in cells]).alias("cells"))
@@ -232,12 +225,12 @@ def ragged_nation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rot = F.transform(pr, lambda p, i: F.element_at(pr, ((i + F.col("n_nationkey")) % 5 + 1).cast("int")))
     hdr = nat.select("n_name", F.concat(F.array(F.lit("segment")), rot).alias("hdr"))
     header_rows = hdr.select(F.col("n_name").alias("source"), F.lit(0).alias("row_no"), F.col("hdr").alias("cells"))
-    seg_arr = F.array(*[F.lit(s) for s in SEGMENTS])
+    by_segment = Window.partitionBy("n_name").orderBy("c_mktsegment")  # bounded: the segments of one nation
     body = (cnt.groupBy("n_name", "c_mktsegment")
             .agg(F.map_from_entries(F.collect_list(F.struct("o_orderpriority", "count"))).alias("m"))
             .join(hdr, "n_name")
             .select(F.col("n_name").alias("source"),
-                    F.array_position(seg_arr, F.col("c_mktsegment")).cast("int").alias("row_no"),
+                    F.row_number().over(by_segment).cast("int").alias("row_no"),
                     F.concat(F.array(F.col("c_mktsegment")),
                              F.transform(F.slice(F.col("hdr"), 2, 5), lambda p: F.col("m")[p].cast("string")))
                     .alias("cells")))

@@ -8,6 +8,11 @@ ORACLE: dict[str, str] = {}
 _SEGMENTS = "(VALUES ('AUTOMOBILE'), ('BUILDING'), ('FURNITURE'), ('HOUSEHOLD'), ('MACHINERY')) s(seg)"
 _PRIORITIES = "(VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW')) p(pri)"
 _PLACED = """orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
+# First and last order day, the months and the Mondays between them.
+_SPAN = "span AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders)"
+_MONTHS = """m AS (SELECT CAST(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi),
+                                 INTERVAL 1 MONTH)) AS DATE) AS mon FROM span)"""
+_WEEKS = """w AS (SELECT CAST(unnest(generate_series(date_trunc('week', lo), hi, INTERVAL 7 DAY)) AS DATE) AS mon FROM span)"""
 
 ORACLE["unpivot_measures"] = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_quantity' AS measure, l_quantity AS value FROM lineitem
@@ -16,59 +21,48 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_discount', l
 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_tax', l_tax FROM lineitem
 """
 
-# ISO year 1996 = [1996-01-01, 1996-12-30), 52 weeks; empty cells are NULL in both columns.
+# One panel row per customer with orders, every ISO week between the first and last order; empty cells NULL.
 ORACLE["unpivot_paired_weeks"] = f"""
-WITH j AS (SELECT n_name, c_mktsegment, o_totalprice, o_orderdate FROM {_PLACED}
-           WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-12-30'),
-g AS (SELECT DISTINCT n_name, c_mktsegment FROM j),
-w AS (SELECT range AS wk FROM range(1, 53)),
-a AS (SELECT n_name, c_mktsegment, week(o_orderdate) AS wk, count(*) AS u,
+WITH {_SPAN}, {_WEEKS},
+j AS (SELECT o_custkey, n_name, c_mktsegment, o_totalprice, CAST(date_trunc('week', o_orderdate) AS DATE) AS mon FROM {_PLACED}),
+g AS (SELECT DISTINCT o_custkey, n_name, c_mktsegment FROM j),
+a AS (SELECT o_custkey, mon, count(*) AS u,
              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v
       FROM j GROUP BY ALL)
-SELECT g.n_name, g.c_mktsegment, '1996_' || lpad(CAST(w.wk AS VARCHAR), 2, '0') AS WeekOfYear,
+SELECT g.o_custkey, g.n_name, g.c_mktsegment,
+       CAST(isoyear(w.mon) AS VARCHAR) || '_' || lpad(CAST(week(w.mon) AS VARCHAR), 2, '0') AS WeekOfYear,
        CAST(a.u AS DOUBLE) AS Unit, CAST(a.v AS DOUBLE) AS Value
 FROM g CROSS JOIN w
-LEFT JOIN a ON a.n_name = g.n_name AND a.c_mktsegment = g.c_mktsegment AND a.wk = w.wk
+LEFT JOIN a ON a.o_custkey = g.o_custkey AND a.mon = w.mon
 """
 
-ORACLE["unpivot_month_labels"] = """
-WITH o AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2002-01-01'),
-g AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM o),
-m AS (SELECT range AS k FROM range(0, 84)),
-a AS (SELECT o_orderpriority, o_orderstatus, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k,
+ORACLE["unpivot_month_labels"] = f"""
+WITH {_SPAN}, {_MONTHS},
+g AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders),
+a AS (SELECT o_orderpriority, o_orderstatus, CAST(date_trunc('month', o_orderdate) AS DATE) AS mon,
              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v
-      FROM o GROUP BY ALL)
-SELECT g.o_orderpriority, g.o_orderstatus,
-       CAST(1995 + m.k // 12 AS VARCHAR) || '/' || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS YearMonth,
-       CAST(a.v AS DOUBLE) AS Value
+      FROM orders GROUP BY ALL)
+SELECT g.o_orderpriority, g.o_orderstatus, strftime(m.mon, '%Y/%m') AS YearMonth, CAST(a.v AS DOUBLE) AS Value
 FROM g CROSS JOIN m
-LEFT JOIN a ON a.o_orderpriority = g.o_orderpriority AND a.o_orderstatus = g.o_orderstatus AND a.k = m.k
+LEFT JOIN a ON a.o_orderpriority = g.o_orderpriority AND a.o_orderstatus = g.o_orderstatus AND a.mon = m.mon
 """
 
+# Weeks without an order are placeholders and go; weeks with exactly one order are unknown (NULL).
 ORACLE["unpivot_week_sequence"] = """
-WITH o AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-12-30'),
-g AS (SELECT DISTINCT o_orderstatus, o_orderpriority FROM o),
-w AS (SELECT range AS k FROM range(0, 52)),
-a AS (SELECT o_orderstatus, o_orderpriority, date_diff('day', DATE '1996-01-01', CAST(o_orderdate AS DATE)) // 7 AS k,
-             count(*) AS n FROM o GROUP BY ALL)
-SELECT g.o_orderstatus, g.o_orderpriority,
-       strftime(DATE '1996-01-01' + CAST(7 * w.k AS INTEGER), '%Y-%m-%d') AS Date,
-       CASE WHEN a.n = 1 THEN NULL ELSE CAST(a.n AS VARCHAR) END AS Value
-FROM g CROSS JOIN w
-LEFT JOIN a ON a.o_orderstatus = g.o_orderstatus AND a.o_orderpriority = g.o_orderpriority AND a.k = w.k
-WHERE a.n IS NOT NULL
+SELECT o_orderstatus, o_orderpriority, strftime(date_trunc('week', o_orderdate), '%Y-%m-%d') AS Date,
+       CASE WHEN count(*) = 1 THEN NULL ELSE CAST(count(*) AS VARCHAR) END AS Value
+FROM orders GROUP BY o_orderstatus, o_orderpriority, date_trunc('week', o_orderdate)
 """
 
-# Third region block = region 2; months 1995-01 .. 2000-12 (cut-off 200012); zero counts are empty cells -> NULL.
+# Third region block = region 2; months from the first order to 2000-12 (cut-off 200012); zero counts are empty -> NULL.
 ORACLE["unpivot_region_block"] = f"""
-WITH a AS (SELECT (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k, c_mktsegment AS seg, count(*) AS n
-           FROM {_PLACED} WHERE n_regionkey = 2 GROUP BY ALL),
-m AS (SELECT range AS k FROM range(0, 72))
-SELECT 'ASIA' AS Country,
-       CAST(1995 + m.k // 12 AS VARCHAR) || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS Date,
-       s.seg AS Visit_Purpose, CAST(a.n AS DOUBLE) AS Visitors
+WITH {_SPAN}, {_MONTHS},
+a AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mon, c_mktsegment AS seg, count(*) AS n
+      FROM {_PLACED} WHERE n_regionkey = 2 GROUP BY ALL)
+SELECT 'ASIA' AS Country, strftime(m.mon, '%Y%m') AS Date, s.seg AS Visit_Purpose, CAST(a.n AS DOUBLE) AS Visitors
 FROM m CROSS JOIN {_SEGMENTS}
-LEFT JOIN a ON a.k = m.k AND a.seg = s.seg
+LEFT JOIN a ON a.mon = m.mon AND a.seg = s.seg
+WHERE m.mon <= DATE '2000-12-01'
 """
 
 ORACLE["unpivot_ragged"] = f"""
@@ -215,12 +209,12 @@ FROM part
 ORACLE["stream_unpivot"] = ORACLE["unpivot_measures"]
 
 ORACLE["unpivot_panel_files"] = f"""
-WITH j AS (SELECT n_name, c_mktsegment, o_totalprice, isoyear(o_orderdate) AS yr, week(o_orderdate) AS wk
-           FROM {_PLACED} WHERE isoyear(o_orderdate) BETWEEN 1996 AND 1998),
+WITH {_SPAN},
+j AS (SELECT n_name, c_mktsegment, o_totalprice, isoyear(o_orderdate) AS yr, week(o_orderdate) AS wk FROM {_PLACED}),
 g AS (SELECT DISTINCT yr, n_name, c_mktsegment FROM j),
-w AS (SELECT y.yr, r.range AS wk FROM (VALUES (1996, 52), (1997, 52), (1998, 53)) y(yr, nw), range(1, 54) r
-      WHERE r.range <= y.nw),
-a AS (SELECT yr, n_name, c_mktsegment, wk, count(*) AS u,
+y AS (SELECT unnest(generate_series(isoyear(lo), isoyear(hi))) AS yr FROM span),
+w AS (SELECT y.yr, r.range AS wk FROM y, range(1, 54) r WHERE r.range <= week(make_date(y.yr, 12, 28))),
+a AS (SELECT n_name, c_mktsegment, yr, wk, count(*) AS u,
              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v FROM j GROUP BY ALL)
 SELECT g.n_name, g.c_mktsegment, CAST(g.yr AS VARCHAR) || '_' || lpad(CAST(w.wk AS VARCHAR), 2, '0') AS WeekOfYear,
        CAST(a.u AS DOUBLE) AS Unit, CAST(a.v AS DOUBLE) AS Value
@@ -228,19 +222,7 @@ FROM g JOIN w ON w.yr = g.yr
 LEFT JOIN a ON a.yr = g.yr AND a.n_name = g.n_name AND a.c_mktsegment = g.c_mktsegment AND a.wk = w.wk
 """
 
-ORACLE["convert_folder"] = """
-WITH o AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2002-01-01'),
-g AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM o),
-m AS (SELECT range AS k FROM range(0, 84)),
-a AS (SELECT o_orderpriority, o_orderstatus, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k,
-             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v
-      FROM o GROUP BY ALL)
-SELECT g.o_orderstatus, g.o_orderpriority,
-       CAST(1995 + m.k // 12 AS VARCHAR) || '/' || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS YearMonth,
-       CAST(a.v AS DOUBLE) AS Value
-FROM g CROSS JOIN m
-LEFT JOIN a ON a.o_orderpriority = g.o_orderpriority AND a.o_orderstatus = g.o_orderstatus AND a.k = m.k
-"""
+ORACLE["convert_folder"] = ORACLE["unpivot_month_labels"]
 
 ORACLE["html_header_rows_as_body"] = """
 SELECT n_name, s_suppkey, s_name,
@@ -258,16 +240,14 @@ FROM {_PLACED} GROUP BY n_name, year(o_orderdate)
 ORACLE["stream_panel_files"] = ORACLE["unpivot_panel_files"]
 
 ORACLE["convert_folder_blocks"] = f"""
-WITH a AS (SELECT n_regionkey, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS k, c_mktsegment AS seg,
-                  count(*) AS n
-           FROM {_PLACED} WHERE n_regionkey IN (2, 4) GROUP BY ALL),
-f AS (SELECT * FROM (VALUES ('visitors_a.xlsx', 2), ('visitors_b.xlsx', 4)) f(file, reg)),
-m AS (SELECT range AS k FROM range(0, 72))
-SELECT 'ASIA' AS Country,
-       CAST(1995 + m.k // 12 AS VARCHAR) || lpad(CAST(m.k % 12 + 1 AS VARCHAR), 2, '0') AS Date,
-       s.seg AS Visit_Purpose, CAST(a.n AS DOUBLE) AS Visitors, f.file
+WITH {_SPAN}, {_MONTHS},
+a AS (SELECT n_regionkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS mon, c_mktsegment AS seg, count(*) AS n
+      FROM {_PLACED} WHERE n_regionkey IN (2, 4) GROUP BY ALL),
+f AS (SELECT * FROM (VALUES ('visitors_a.xlsx', 2), ('visitors_b.xlsx', 4)) f(file, reg))
+SELECT 'ASIA' AS Country, strftime(m.mon, '%Y%m') AS Date, s.seg AS Visit_Purpose, CAST(a.n AS DOUBLE) AS Visitors, f.file
 FROM f CROSS JOIN m CROSS JOIN {_SEGMENTS}
-LEFT JOIN a ON a.n_regionkey = f.reg AND a.k = m.k AND a.seg = s.seg
+LEFT JOIN a ON a.n_regionkey = f.reg AND a.mon = m.mon AND a.seg = s.seg
+WHERE m.mon <= DATE '2000-12-01'
 """
 
 ORACLE["convert_folder_rejects"] = ORACLE["unpivot_week_sequence"]

@@ -67,7 +67,7 @@ def unpivot_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unpivot_paired_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MX layout (UNP2, PRJ1, PRJ5, SCA1, SCA4) over a weekly nation x segment panel."""
+    """MX layout (UNP2, PRJ1, PRJ5, SCA1, SCA4) over a weekly panel with one row per customer."""
     return as_double(unpivot_panel(I.weekly_paired_panel(spark, sf_dir), MX), "Unit", "Value")
 
 
@@ -78,7 +78,8 @@ def unpivot_month_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unpivot_week_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JP2 layout (PRJ3, PRJ6, SCA5, SCA6, SCA9, WIN2, FLT1) over a weekly text panel."""
-    return unpivot_panel(I.weekly_text_panel(spark, sf_dir), JP2, source=I.WEEKLY_TEXT_SOURCE)
+    panel, year = I.weekly_text_panel(spark, sf_dir)
+    return unpivot_panel(panel, JP2, source=f"orders_status_priority_weekly_{year}0101-x.xlsx")
 
 
 REGION_BLOCK_SPEC = CN.replace(value_names=I.SEGMENTS, cutoff="200012", country="ASIA", value_type="double")
@@ -429,15 +430,12 @@ QUERIES.update({
 # ---- folders of provider workbooks with different headers ------------------------------------
 
 
-PANEL_YEARS = (1996, 1997, 1998)
-
-
 def unpivot_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MX layout over a folder of workbooks whose headers differ (ISO years
-    1996-1998, 52/52/53 week columns): one job, each file with its own header."""
+    """MX layout over a folder of workbooks whose headers differ (one per ISO year
+    with orders, 52 or 53 weeks): one job, each file with its own header."""
     root = scratch_path(spark, "panel_files")
-    _run_writes(write_xlsx_rows(I.weekly_paired_rows(spark, sf_dir, PANEL_YEARS), f"{root}/MX"))
-    rows = read_xlsx(spark, f"{root}/MX", header_row=0)
+    _run_writes(write_xlsx_rows(I.weekly_paired_rows(spark, sf_dir), f"{root}/MX"))
+    rows = read_xlsx(spark, f"{root}/MX", header_row=0, nested=True)
     long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
                               value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
     return as_double(long.drop("source", "row_no"), "Unit", "Value")
@@ -451,7 +449,7 @@ def convert_folder_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     per order status and an already converted file; layout picked from the
     folder name, all files in one job, pipe CSV per file, read back."""
     root = scratch_path(spark, "convert_folder")
-    panel = I.monthly_panel_by_status(spark, sf_dir)
+    panel = I.cut_lineage(spark, I.monthly_panel(spark, sf_dir))  # priorities x statuses, written to several files
     for s in ORDER_STATUSES:
         part = panel.filter(F.col("o_orderstatus") == s).drop("o_orderstatus")
         _run_writes(write_xlsx(part, f"{root}/JP", name_pattern=f"orders_{s}_{{part:05d}}{{file:03d}}.xlsx"))
@@ -515,8 +513,8 @@ def stream_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     file stream (availableNow; the checkpoint remembers processed files), each workbook parsed
     once with its header attached, melted without joins, appended to parquet."""
     root = scratch_path(spark, "stream_panel_files")
-    _run_writes(write_xlsx_rows(I.weekly_paired_rows(spark, sf_dir, PANEL_YEARS), f"{root}/MX"))
-    rows = stream_workbooks(spark, f"{root}/MX", header_row=0)
+    _run_writes(write_xlsx_rows(I.weekly_paired_rows(spark, sf_dir), f"{root}/MX"))
+    rows = stream_workbooks(spark, f"{root}/MX", header_row=0, max_files_per_trigger=4, nested=True)
     long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
                               value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
     q = start_sink(long.drop("source", "row_no"), f"{root}/out", f"{root}/ckpt")
@@ -560,7 +558,9 @@ def convert_folder_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     workbook. The two bad files go to a reject list, the others are converted
     in the same job (the good rows are returned)."""
     root = scratch_path(spark, "convert_rejects")
-    panel = I.weekly_text_panel(spark, sf_dir)
+    panel, year = I.weekly_text_panel(spark, sf_dir)
+    panel = I.cut_lineage(spark, panel)  # statuses x priorities, written to several files
+
     def status_panel(s):
         # select, not drop: the week headers hold dots
         return panel.filter(F.col("o_orderstatus") == s).select(*[qcol(c) for c in panel.columns
@@ -569,10 +569,10 @@ def convert_folder_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     for s in ORDER_STATUSES:
         part = status_panel(s)
         _run_writes(write_xlsx(part, f"{root}/JP2",
-                               name_pattern=f"orders_{s}_w_{{part:03d}}{{file:03d}}_{I.PANEL_YEAR}0101-x.xlsx"))
+                               name_pattern=f"orders_{s}_w_{{part:03d}}{{file:03d}}_{year}0101-x.xlsx"))
     _run_writes(write_xlsx(status_panel("F"), f"{root}/JP2", name_pattern="orders_F_nodate{part:03d}{file:03d}.xlsx"))
     local = f"{root}/JP2".replace("file:", "", 1)
-    with open(f"{local}/orders_X_w_000000_{I.PANEL_YEAR}0101-x.xlsx", "wb") as f:
+    with open(f"{local}/orders_X_w_000000_{year}0101-x.xlsx", "wb") as f:
         f.write(b"this is not a workbook")
     long = convert_folder(spark, f"{root}/JP2", spec=JP2, id_labels=["o_orderpriority"],
                           rejects_dir=f"{root}/rejects")
