@@ -20,6 +20,23 @@ def qcol(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def qname(name: str) -> str:
+    """A column's exact name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    """A string literal as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _inline_structs(structs: Sequence[Sequence[tuple[str, str]]]) -> Column:
+    """``inline`` of an array of structs given as SQL text: a panel of hundreds of
+    columns is one expression to parse instead of thousands of calls."""
+    rows = ", ".join("named_struct(" + ", ".join(f"{_text(n)}, {e}" for n, e in fields) + ")" for fields in structs)
+    return F.expr(f"inline(array({rows}))")
+
+
 def _as_col(c) -> Column:
     return c if isinstance(c, Column) else qcol(c)
 
@@ -48,6 +65,10 @@ def unpivot_wide(df: DataFrame, ids: Sequence[str], values: Sequence[str],
     if labels is None and value_type is None:
         return df.unpivot([qcol(i) for i in ids], [qcol(v) for v in values], label_col, value_col)
     labels = labels or {}
+    if all(isinstance(labels.get(v, v), str) for v in values):
+        cast = (lambda e: e) if value_type is None else (lambda e: f"CAST({e} AS {value_type})")
+        return df.select(*[qcol(i) for i in ids], _inline_structs(
+            [[(label_col, _text(labels.get(v, v))), (value_col, cast(qname(v)))] for v in values]))
     entries = []
     for v in values:
         val = qcol(v) if value_type is None else qcol(v).cast(value_type)
@@ -70,12 +91,21 @@ def unpivot_paired(df: DataFrame, ids: Sequence[str],
     names = list(groups[0][1].keys())
     value_types = value_types or {}
     types = {n: value_types.get(n) for n in names}
+    schema = df.schema
     for n in names:
         if types[n] is None:
             for _, members in groups:
                 if members.get(n) is not None:
-                    types[n] = df.schema[members[n]].dataType.simpleString() if isinstance(members[n], str) else None
+                    types[n] = schema[members[n]].dataType.simpleString() if isinstance(members[n], str) else None
                     break
+    if all(isinstance(x, str) or x is None for label, members in groups for x in (label, *members.values())):
+        def sql(m, t):
+            e = "NULL" if m is None else qname(m)
+            return e if t is None else f"CAST({e} AS {t})"
+
+        return df.select(*[qcol(i) for i in ids], _inline_structs(
+            [[(label_col, "NULL" if label is None else _text(label)),
+              *[(n, sql(members.get(n), types[n])) for n in names]] for label, members in groups]))
     entries = []
     for label, members in groups:
         fields = [_as_label(label).alias(label_col)]

@@ -72,12 +72,15 @@ def weekly_paired_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     ISO week from the first to the last order; empty cells NULL."""
     mondays = order_weeks(spark, sf_dir)
     j = orders_placed(spark, sf_dir).withColumn("wk", week_no(mondays[0]))
-    wide = (j.groupBy("o_custkey", "n_name", "c_mktsegment").pivot("wk", list(range(len(mondays))))
-            .agg(F.count(F.lit(1)).alias("u"), F.sum(price()).cast("decimal(18,2)").alias("v")))
+    ids = ["o_custkey", "n_name", "c_mktsegment"]
+    agg = j.groupBy(*ids, "wk").agg(F.count(F.lit(1)).alias("u"), F.sum(price()).cast("decimal(18,2)").alias("v"))
+    per_row = agg.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("wk", F.struct("u", "v")))).alias("m"))
+    weeks = F.sequence(F.lit(0), F.lit(len(mondays) - 1))
+    # Arrays first, columns from them: two short expressions in the plan, not two a week.
+    wide = per_row.select(*ids, *[F.transform(weeks, lambda w: F.col("m")[w][x]).alias(x) for x in ("u", "v")])
     labels = ["{1:02d}/{0}".format(*d.isocalendar()) for d in mondays]
-    un = [F.col(f"{i}_u").alias(f"Un SEM - {x}") for i, x in enumerate(labels)]
-    lc = [F.col(f"{i}_v").alias(f"Lc SEM - {x}") for i, x in enumerate(labels)]
-    return wide.select("o_custkey", "n_name", "c_mktsegment", *un, *lc)
+    return wide.selectExpr(*ids, *[f"get({g}, {i}) AS `{token} SEM - {x}`"
+                                   for g, token in (("u", "Un"), ("v", "Lc")) for i, x in enumerate(labels)])
 
 
 def weekly_paired_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,22 +143,23 @@ def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
             .pivot("m", labels).agg(F.sum(price()).cast("decimal(18,2)")))
 
 
-def weekly_text_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """Wide text panel (JP2 layout) and its start year: status x priority rows,
-    ``M.d-`` week columns (no year in the header; a day that comes again in a
-    later year gets ``.1``, ``.2``, as a sheet reader names repeats). Cell: order count as text,
-    ``-`` when the week has no order, NULL (unknown) when it has exactly one."""
+def weekly_text_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], int]:
+    """A text panel (JP2 layout) as cell arrays, its headers and its start year:
+    status x priority rows, ``M.d-`` week columns (no year in the header; a day
+    that comes again in a later year gets ``.1``, ``.2``, as a sheet reader
+    names repeats). Cell: order count as text, ``-`` when the week has no
+    order, NULL (unknown) when it has exactly one."""
     mondays = order_weeks(spark, sf_dir)
-    wide = (table(spark, sf_dir, "orders").withColumn("wk", week_no(mondays[0]))
-            .groupBy("o_orderstatus", "o_orderpriority").pivot("wk", list(range(len(mondays)))).count())
+    agg = (table(spark, sf_dir, "orders").withColumn("wk", week_no(mondays[0]))
+           .groupBy("o_orderstatus", "o_orderpriority", "wk").count())
+    per_row = agg.groupBy("o_orderstatus", "o_orderpriority").agg(
+        F.map_from_entries(F.collect_list(F.struct("wk", "count"))).alias("m"))
+    n = lambda w: F.col("m")[w]
+    cells = F.transform(F.sequence(F.lit(0), F.lit(len(mondays) - 1)), lambda w: F.when(n(w).isNull(), F.lit("-"))
+                        .when(n(w) != 1, n(w).cast("string")))
     days = [f"{d.month}.{d.day}-" for d in mondays]
     names = [x if x not in days[:i] else f"{x}.{days[:i].count(x)}" for i, x in enumerate(days)]
-    cells = []
-    for i, name in enumerate(names):
-        c = F.col(str(i))
-        cells.append(F.when(c.isNull(), F.lit("-")).when(c == 1, F.lit(None).cast("string"))
-                     .otherwise(c.cast("string")).alias(name))
-    return wide.select("o_orderstatus", "o_orderpriority", *cells), mondays[0].year
+    return per_row.select("o_orderstatus", "o_orderpriority", cells.alias("cells")), names, mondays[0].year
 
 
 def region_month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

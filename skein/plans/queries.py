@@ -8,7 +8,7 @@ columns match the oracle SQL in ``skein.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -78,7 +78,9 @@ def unpivot_month_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unpivot_week_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JP2 layout (PRJ3, PRJ6, SCA5, SCA6, SCA9, WIN2, FLT1) over a weekly text panel."""
-    panel, year = I.weekly_text_panel(spark, sf_dir)
+    cells, names, year = I.weekly_text_cells(spark, sf_dir)
+    panel = cells.selectExpr("o_orderstatus", "o_orderpriority",
+                             *[f"get(cells, {i}) AS `{n}`" for i, n in enumerate(names)])
     return unpivot_panel(panel, JP2, source=f"orders_status_priority_weekly_{year}0101-x.xlsx")
 
 
@@ -558,21 +560,22 @@ def convert_folder_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     workbook. The two bad files go to a reject list, the others are converted
     in the same job (the good rows are returned)."""
     root = scratch_path(spark, "convert_rejects")
-    panel, year = I.weekly_text_panel(spark, sf_dir)
-    panel = I.cut_lineage(spark, panel)  # statuses x priorities, written to several files
-
-    def status_panel(s):
-        # select, not drop: the week headers hold dots
-        return panel.filter(F.col("o_orderstatus") == s).select(*[qcol(c) for c in panel.columns
-                                                                   if c != "o_orderstatus"])
-
-    for s in ORDER_STATUSES:
-        part = status_panel(s)
-        _run_writes(write_xlsx(part, f"{root}/JP2",
-                               name_pattern=f"orders_{s}_w_{{part:03d}}{{file:03d}}_{year}0101-x.xlsx"))
-    _run_writes(write_xlsx(status_panel("F"), f"{root}/JP2", name_pattern="orders_F_nodate{part:03d}{file:03d}.xlsx"))
+    cells, names, year = I.weekly_text_cells(spark, sf_dir)
+    rows = I.cut_lineage(spark, cells)  # statuses x priorities, written to several files
+    date = f"{year}0101-x.xlsx"
+    file = F.concat(F.lit("orders_"), F.col("o_orderstatus"))
+    body = rows.select(F.concat(file, F.lit(f"_w_000_{date}")).alias("source"), "o_orderpriority", "cells").unionByName(
+        rows.filter(F.col("o_orderstatus") == "F").select(F.lit("orders_F_nodate.xlsx").alias("source"),
+                                                          "o_orderpriority", "cells"))
+    by_priority = Window.partitionBy("source").orderBy("o_orderpriority")  # bounded: the priorities of one status
+    sheet = body.select("source", F.row_number().over(by_priority).cast("int").alias("row_no"),
+                        F.concat(F.array("o_orderpriority"), "cells").alias("cells"))
+    head = body.select("source").distinct().select(
+        "source", F.lit(0).alias("row_no"),
+        F.lit(["o_orderpriority", *names]).alias("cells"))
+    _run_writes(write_xlsx_rows(head.unionByName(sheet), f"{root}/JP2"))
     local = f"{root}/JP2".replace("file:", "", 1)
-    with open(f"{local}/orders_X_w_000000_{year}0101-x.xlsx", "wb") as f:
+    with open(f"{local}/orders_X_w_000_{date}", "wb") as f:
         f.write(b"this is not a workbook")
     long = convert_folder(spark, f"{root}/JP2", spec=JP2, id_labels=["o_orderpriority"],
                           rejects_dir=f"{root}/rejects")

@@ -99,3 +99,10 @@ def test_mixed_type_panels_melt_after_a_declared_cast(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a", "5"), (1, "b", "-"), (1, "c", "2.5")]
     widened = unpivot_wide(df.select("k", "a", "c"), ["k"], ["a", "c"], "l", "v")
     assert dict(widened.dtypes)["v"] == "double"
+
+
+def test_labels_and_names_with_quotes(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "k int, `a'b\\` int, `c``d` int".replace("\\\\", "\\"))
+    names = df.columns[1:]
+    out = unpivot_wide(df, ["k"], names, "l'", "v", labels={n: f"<{n}'\\>" for n in names})
+    assert sorted(tuple(r) for r in out.collect()) == sorted((1, f"<{n}'\\>", x) for n, x in zip(names, (2, 3)))
