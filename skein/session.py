@@ -52,13 +52,17 @@ def get_spark(master: str | None = None, app: str = "skein", shuffle_partitions:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered as the checkpoint dir.
+    Read from the session; only when it is unset on a local master (tests) a
+    private folder is created and registered as the checkpoint dir. On a
+    cluster an unset folder is an error: executors could not see a private one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="skein-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

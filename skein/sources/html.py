@@ -144,6 +144,9 @@ class PageParser(HTMLParser):
                 fr.texts = []
                 self.stack.append(fr)
                 return
+        if tag in ("ul", "ol") and "li" in self.element_tags:
+            self.stack.append(_Frame(tag, "list"))
+            return
         if tag in self.element_tags:
             top = self.stack[-1] if self.stack else None
             if top is not None and top.kind == "elem" and top.tag == tag and tag == "li":
@@ -161,8 +164,10 @@ class PageParser(HTMLParser):
         if tag in ("script", "style"):
             self.in_raw = max(0, self.in_raw - 1)
             return
-        if tag in ("ul", "ol") and self.stack and self.stack[-1].kind == "elem" and self.stack[-1].tag == "li":
-            self._pop()
+        if tag in ("ul", "ol"):
+            i = max((i for i, f in enumerate(self.stack) if f.kind == "list"), default=-1)
+            if i >= 0:  # closes its own open items, never the item around the list
+                self._close_to(i)
         if self.want_tables and (tag == "table" or tag in _SECTIONS or tag == "tr" or tag in _CELLS):
             kind = {"table": "table", "tr": "tr"}.get(tag, "section" if tag in _SECTIONS else "cell")
             i = self._innermost({kind}, stop_at_table=(kind != "table"))
@@ -171,6 +176,8 @@ class PageParser(HTMLParser):
             return
         if tag in self.element_tags:
             for i in range(len(self.stack) - 1, -1, -1):
+                if tag == "li" and self.stack[i].kind == "list":
+                    break
                 if self.stack[i].kind == "elem" and self.stack[i].tag == tag:
                     self._close_to(i)
                     break

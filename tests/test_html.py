@@ -128,3 +128,11 @@ def test_nested_table_text_and_row_positions():
     assert [r["cells"] for r in outer["rows"]] == [["axy", "b"], ["c"]]
     assert [r["row_pos"] for r in outer["rows"]] == [1, 2]
     assert inner["depth"] == 2 and inner["parent_row_pos"] == 1
+
+
+def test_nested_lists_keep_the_text_after_the_inner_list(spark):
+    from skein.sources.html import parse_elements
+
+    pages = spark.createDataFrame([(1, "<ul><li>a<ul><li>b<li>d</ul>c</li><li>e</ul><li>f")], "page_id long, html string")
+    got = {r["text"] for r in parse_elements(pages).collect()}
+    assert got == {"abdc", "b", "d", "e", "f"}
