@@ -1,12 +1,15 @@
 """Scoring documents by cross-entropy difference of two n-gram models (operator 7).
 
-Target and background models have one form and one vocabulary. A word's
-probability after the word before is that of its class after the class before,
-times its own within the class: ``P(c | c') P(w | c)``. Frequent words are
-classes of their own; other words share classes by hash, and words beyond the
-vocabulary share one unknown word a class. Both models so have a fixed number
-of parameters, counted by Spark over all texts, and both are proper
-distributions over the same words.
+Target and background models have one form and one vocabulary, every word of
+all texts. A word's probability after the word before is its pair's count, with
+``prior`` further occurrences of the word before followed as words occur in
+general. So both are proper distributions over the same words and the end of a
+text, and pairs count for more as texts grow.
+
+Nothing of the models is held in one place: they grow with the texts. Blocks of
+texts ask for their distinct words and pairs, with their own counts, in hash
+parts; a part adds up what all blocks sent it and answers each block with the
+whole counts in the order it asked. The block then scores its texts.
 """
 
 from __future__ import annotations
@@ -16,164 +19,172 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .groups import whole_groups
 from .store import prepare, saved
-from .words import FIRST, distinct, per_doc, text_slices, texts_of
+from .words import FIRST, Texts, distinct, mix, per_doc, text_slices, texts_of
 
-OWN_CLASS, SHARED = 960, 63
-CLASSES = OWN_CLASS + SHARED + 1  # the last one stands before a text's first word
-START = CLASSES - 1
-CELLS = CLASSES * CLASSES
+BLOCK_BYTES, PART_BYTES, LEAST_PARTS = 16 << 20, 16 << 20, 64  # bytes of text in a block, and behind a part's counts
+START = np.uint64(0x9E3779B97F4A7C15)  # stands before a text's first word
+TEXT = -1  # the part of a block's own row
+BLOCK = "block long, part int, bytes long, ids array<long>, packed binary"
+ASKED = "part int, block long, n_words long, n_pairs long, words binary, pairs binary, n binary, n_target binary"
+ANSWER = "block long, part int, packed binary, n_words long, n_pairs long, n binary, n_target binary, vocabulary long, total long, total_target long"
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word hashes and counts of the task; what has gathered is handed on when it is large."""
-    hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+def squeezed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers, their first bytes together, then their second ones, and so on, compressed."""
+    return pa.compress(numbers.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True) if len(numbers) else b""
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["word", "n"])
 
-    for batch in text_slices(batches, max_bytes=4 << 20):
-        texts = texts_of(batch.column("text"))
-        starts, ends, _ = texts.words()
-        new, _, which = distinct(FIRST.segments(texts.data, starts, ends))
-        both = np.concatenate([hashes, new])
-        weights = np.concatenate([counts, np.bincount(which, minlength=len(new))])
-        hashes, _, place = distinct(both)
-        counts = np.bincount(place, weights, len(hashes)).astype(np.int64)
-        if len(hashes) > 1 << 20:
-            yield out()
-            hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    yield out()
+def unsqueezed(packed: pa.Scalar, size: int) -> np.ndarray:
+    if not size:
+        return np.zeros(0, np.int64)
+    raw = pa.decompress(packed.as_buffer(), 8 * size, "zstd")
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, size).T).view(np.int64).ravel()
+
+
+def squeezed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys, as differences."""
+    return squeezed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unsqueezed_keys(packed: pa.Scalar, size: int) -> np.ndarray:
+    return np.cumsum(unsqueezed(packed, size).view(np.uint64), dtype=np.uint64)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a block: its doc_id and text, compressed."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in text_slices(batches, max_bytes=BLOCK_BYTES, max_rows=1 << 20):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as writer:
+            writer.write_batch(batch)
+        size = int(texts_of(batch.column("text")).offsets[-1])
+        ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([number]), pa.array([TEXT], pa.int32()), pa.array([size]), ids, pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            ["block", "part", "bytes", "ids", "packed"])
+        number += 1
+
+
+def _unpacked(packed: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
 
 
 @dataclass
-class Vocabulary:
-    hashes: np.ndarray  # sorted
-    number: np.ndarray  # of the same words: 0 .. size - 1 by falling count
-    size: int
-
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(word, class): words beyond the vocabulary are ``size`` + their class - OWN_CLASS."""
-        shared = OWN_CLASS + (hashes % np.uint64(SHARED)).astype(np.int64)
-        if not self.size:
-            return shared - OWN_CLASS, shared
-        at = np.minimum(np.searchsorted(self.hashes, hashes), self.size - 1)
-        known = self.hashes[at] == hashes
-        number = np.where(known, self.number[at], 0)
-        cls = np.where(known & (number < OWN_CLASS), number, shared)
-        return np.where(known, number, self.size + shared - OWN_CLASS), cls
-
-
-def _sequences(batch: pa.RecordBatch, known: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, cell, word_offsets): each word's number, and its class after the class before."""
-    texts = texts_of(batch.column("text"))
+class Grams:
+    """Distinct words and pairs of a block, both ascending; START is a word, once for each text with words."""
+
+    words: np.ndarray
+    word: np.ndarray  # of each token, then START of each text with words
+    pairs: np.ndarray
+    pair: np.ndarray  # of each token
+    before: np.ndarray  # which word stands before each token
+    offsets: np.ndarray  # tokens of each text
+
+
+def grams(texts: Texts) -> Grams:
     starts, ends, offs = texts.words()
-    hashes, _, which = distinct(FIRST.segments(texts.data, starts, ends))
-    word, cls = known.look_up(hashes)
-    word, cls = word[which], cls[which]
-    before = np.concatenate([np.zeros(1, np.int64), cls[:-1]]) if len(cls) else cls
     first = offs[:-1][np.diff(offs) > 0]
-    before[first] = START
-    return word, before * CLASSES + cls, offs
+    hashes = np.concatenate([FIRST.segments(texts.data, starts, ends), np.full(len(first), START)])
+    words, _, word = distinct(hashes)
+    before = np.concatenate([word[:1], word[: len(starts)][:-1]])
+    before[first] = word[len(starts) :]
+    pairs, _, pair = distinct(mix(words[before] * np.uint64(31) + hashes[: len(starts)]))
+    return Grams(words, word, pairs, pair, before, offs)
+
 
+def part_limits(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part of the ascending ``keys`` begins, and the end of the last."""
+    limits = np.array([(p << 64) // parts for p in range(parts)], np.uint64)
+    return np.append(np.searchsorted(keys, limits), len(keys))
 
-def _parameters(vocabulary):
-    """Counts of cells (key >= 0) and words (key = -1 - word), in all texts and in target texts."""
 
+def _asked(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Vocabulary = vocabulary.value
-        words = known.size + SHARED
-        cells, singles = np.zeros((2, CELLS), np.int64), np.zeros((2, words), np.int64)
-        for batch in text_slices(batches, max_bytes=4 << 20):
-            word, cell, offs = _sequences(batch, known)
-            target = np.repeat(batch.column("is_target").to_numpy(zero_copy_only=False), np.diff(offs))
-            for k, chosen in ((0, slice(None)), (1, target)):
-                cells[k] += np.bincount(cell[chosen], minlength=CELLS)
-                singles[k] += np.bincount(word[chosen], minlength=words)
-        both = np.concatenate([cells, singles], 1)
-        at = np.flatnonzero(both[0])
-        key = np.where(at < CELLS, at, CELLS - 1 - at)
-        yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(both[0, at]), pa.array(both[1, at])], ["key", "n", "n_target"])
+        for table, bounds in whole_groups(batches, ["block"]):
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                rows = _unpacked(table.column("packed")[a])  # TEXT is the block's first row; places of target texts may follow
+                g = grams(texts_of(rows.column("text")))
+                count = np.diff(g.offsets)
+                chosen = np.zeros(len(count), bool)
+                chosen[np.array([x for places in table.column("places")[a + 1 : b].to_pylist() for x in places], np.int64)] = True
+                target = np.concatenate([np.repeat(chosen, count), chosen[count > 0]])
+                counts = [[np.bincount(x[target[: len(x)]] if k else x, minlength=len(keys)) for x, keys in ((g.word, g.words), (g.pair, g.pairs))] for k in (0, 1)]
+                w, p = part_limits(g.words, parts), part_limits(g.pairs, parts)
+                # every part is asked, even for nothing, as its answer also holds its share of the totals
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(parts, dtype=np.int32)), pa.array(np.full(parts, table.column("block")[a].as_py())),
+                     pa.array(np.diff(w)), pa.array(np.diff(p)),
+                     *(pa.array([squeezed_keys(x[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()) for x, at in ((g.words, w), (g.pairs, p))),
+                     *(pa.array([squeezed(np.concatenate([c[0][w[i] : w[i + 1]], c[1][p[i] : p[i + 1]]])) for i in range(parts)], pa.binary()) for c in counts)],
+                    ["part", "block", "n_words", "n_pairs", "words", "pairs", "n", "n_target"])
 
     return run
 
 
-@dataclass
-class ClassModel:
-    log_class: np.ndarray  # CELLS, log P(class | class before)
-    log_word: np.ndarray  # words and unknowns, log P(word | its class)
-
-
-def class_model(cells: np.ndarray, words: np.ndarray, cls_of_word: np.ndarray, weight: float) -> ClassModel:
-    """Class bigrams mixed with class unigrams (``weight`` for the bigram), both with half a count added."""
-    table = cells.reshape(CLASSES, CLASSES).astype(np.float64)
-    single = table.sum(0)[:START] + 0.5
-    single = single / single.sum()
-    whole = table.sum(1, keepdims=True)
-    mixed = np.where(whole > 0, weight * table[:, :START] / np.maximum(whole, 1) + (1 - weight) * single, single)
-    log_class = np.full((CLASSES, CLASSES), -50.0)
-    log_class[:, :START] = np.log(mixed)
-    smooth = words + 0.5
-    inside = smooth / np.bincount(cls_of_word, smooth, CLASSES)[cls_of_word]
-    return ClassModel(log_class.ravel().astype(np.float32), np.log(inside).astype(np.float32))
-
-
-def learn(spark: SparkSession, docs: DataFrame, words: int, weight: float) -> tuple[Vocabulary, ClassModel, ClassModel]:
-    """``docs`` has text and is_target. The vocabulary is the most frequent words, up to a step of the
-    count scale, so that equal counts stand together. At most ``words`` words and CELLS + words + SHARED sums come to the driver."""
-    counts = saved(spark, docs.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    # the lowest step of the (logarithmic) count scale above which at most `words` words lie; the scale has under 4096 steps
-    step = F.floor(F.log2("n") * 64).cast("int")
-    scale = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
-    above = np.cumsum([r["count"] for r in scale])
-    fits = int(np.searchsorted(above, words, "right"))
-    lowest = scale[fits - 1]["step"] if fits else 1 << 30
-    known = counts.where(step >= lowest).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    top = known["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(top)
-    vocabulary = Vocabulary(top[order], order.astype(np.int64), len(top))
-    shared = spark.sparkContext.broadcast(vocabulary)  # 16 bytes a word
-    counted = (docs.mapInArrow(_parameters(shared), "key int, n long, n_target long").groupBy("key")
-               .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toPandas())
-    key = counted["key"].to_numpy(np.int64)
-    size = vocabulary.size + SHARED
-    cls_of_word = np.empty(size, np.int64)
-    _, cls = vocabulary.look_up(vocabulary.hashes)
-    cls_of_word[vocabulary.number] = cls
-    cls_of_word[vocabulary.size :] = OWN_CLASS + np.arange(SHARED)
-    models = []
-    for column in ("n_target", "n"):
-        n = counted[column].to_numpy(np.int64)
-        cells, single = np.zeros(CELLS, np.int64), np.zeros(size, np.int64)
-        cells[key[key >= 0]] = n[key >= 0]
-        single[-1 - key[key < 0]] = n[key < 0]
-        models.append(class_model(cells, single, cls_of_word, weight))
-    return vocabulary, models[0], models[1]
-
-
-def _scored(model):
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table, bounds in whole_groups(batches, ["part"]):
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            rows = table.slice(a, b - a)
+            n_words, n_pairs = (rows.column(c).to_pylist() for c in ("n_words", "n_pairs"))
+            known, _, word = distinct(np.concatenate([unsqueezed_keys(x, k) for x, k in zip(rows.column("words"), n_words, strict=True)]))
+            some, _, pair = distinct(np.concatenate([unsqueezed_keys(x, k) for x, k in zip(rows.column("pairs"), n_pairs, strict=True)]))
+            w, p = np.cumsum([0, *n_words]), np.cumsum([0, *n_pairs])
+            blobs, totals = [], [int((known != START).sum())]
+            for column in ("n", "n_target"):
+                own = [unsqueezed(x, i + j) for x, i, j in zip(rows.column(column), n_words, n_pairs, strict=True)]
+                # the sums pass through doubles, exact up to 2 ** 53
+                of_words = np.bincount(word, np.concatenate([x[:i] for x, i in zip(own, n_words, strict=True)]), len(known)).astype(np.int64)
+                of_pairs = np.bincount(pair, np.concatenate([x[i:] for x, i in zip(own, n_words, strict=True)]), len(some)).astype(np.int64)
+                totals.append(int(of_words[known != START].sum()))
+                blobs.append([squeezed(np.concatenate([of_words[word[w[i] : w[i + 1]]], of_pairs[pair[p[i] : p[i + 1]]]])) for i in range(b - a)])
+            yield pa.RecordBatch.from_arrays(
+                [*(rows.column(c).combine_chunks() for c in ("block", "part")), pa.nulls(b - a, pa.binary()), pa.array(n_words, pa.int64()), pa.array(n_pairs, pa.int64()),
+                 *(pa.array(x, pa.binary()) for x in blobs), *(pa.array(np.full(b - a, x, np.int64)) for x in totals)],
+                [x.split()[0] for x in ANSWER.split(", ")])
+
+
+def log_probabilities(g: Grams, words: np.ndarray, pairs: np.ndarray, total: int, vocabulary: int, prior: float) -> np.ndarray:
+    """Of each token: its pair's count and ``prior`` times the word's share, where words have half a count added."""
+    single = (words[g.word[: len(g.pair)]] + 0.5) / (total + 0.5 * vocabulary)
+    return np.log((pairs[g.pair] + prior * single) / (words[g.before] + prior))
+
+
+def _scored(prior: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, target, background = model.value
-        for batch in text_slices(batches, max_bytes=4 << 20):
-            word, cell, offs = _sequences(batch, known)
-            count = np.diff(offs)
-            losses = [-per_doc((m.log_class[cell] + m.log_word[word]).astype(np.float64), offs) / np.maximum(count, 1) for m in (target, background)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count.astype(np.int64)), *(pa.array(x) for x in losses), pa.array(losses[1] - losses[0])],
-                                             ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
+        for table, bounds in whole_groups(batches, ["block"]):
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                rows = _unpacked(table.column("packed")[a])  # TEXT is the block's first row
+                answers = table.slice(a + 1, b - a - 1)
+                g = grams(texts_of(rows.column("text")))
+                count = np.diff(g.offsets)
+                n_words, n_pairs = (answers.column(c).to_pylist() for c in ("n_words", "n_pairs"))
+                vocabulary = sum(answers.column("vocabulary").to_pylist())
+                losses = []
+                for name, whole in (("n_target", "total_target"), ("n", "total")):
+                    sums = [unsqueezed(x, i + j) for x, i, j in zip(answers.column(name), n_words, n_pairs, strict=True)]
+                    words, pairs = (np.concatenate(x) for x in zip(*((x[:i], x[i:]) for x, i in zip(sums, n_words, strict=True)), strict=True))
+                    logs = log_probabilities(g, words, pairs, sum(answers.column(whole).to_pylist()), vocabulary, prior)
+                    losses.append(-per_doc(logs, g.offsets) / np.maximum(count, 1))
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(count.astype(np.int64)), *(pa.array(x) for x in losses), pa.array(losses[1] - losses[0])],
+                                                 ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
     return run
 
 
-def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: DataFrame, words: int = 1 << 16, weight: float = 0.9) -> DataFrame:
+def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: DataFrame, prior: float = 10000.0) -> DataFrame:
     """Loss of every document under the background model less its loss under the target model, per token.
 
     ``docs`` needs doc_id and text; ``targets`` holds the doc_id of target
     documents. The background model is counted on all documents, the target
-    model on the target documents' whole texts. Returns doc_id, n_tokens,
-    loss_target, loss_background, score (higher: more like the target).
+    model on the target documents' whole texts, both over every word and pair
+    of words. Returns doc_id, n_tokens, loss_target, loss_background, score
+    (higher: more like the target).
 
     Defined cases: null, empty and wordless texts have 0 tokens and losses
     and score 0; null target ids are ignored and repeated ones count once;
@@ -183,7 +194,15 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: Data
     """
     prepare(spark)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    chosen = targets.select("doc_id").where("doc_id is not null").distinct().withColumn("is_target", F.lit(True))
-    marked = rows.join(chosen.hint("merge"), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    model = spark.sparkContext.broadcast(learn(spark, marked, words, weight))
-    return rows.mapInArrow(_scored(model), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
+    blocks = saved(spark, rows.mapInArrow(_blocks, BLOCK), "text-blocks")
+    size = blocks.agg(F.sum("bytes")).first()[0] or 0
+    parts = max(LEAST_PARTS, -(-size // PART_BYTES))
+    chosen = targets.select("doc_id").where("doc_id is not null").distinct()
+    places = (blocks.select("block", F.posexplode("ids").alias("place", "doc_id")).join(chosen.hint("merge"), "doc_id")
+              .groupBy("block").agg(F.collect_list("place").alias("places")))
+    text = blocks.select("block", "part", "packed")
+    marked = text.unionByName(places.withColumn("part", F.lit(0)), allowMissingColumns=True)
+    answers = (marked.repartition("block").sortWithinPartitions("block", "part").mapInArrow(_asked(parts), ASKED)
+               .repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_answers, ANSWER))
+    return (text.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "part")
+            .mapInArrow(_scored(prior), "doc_id long, n_tokens long, loss_target double, loss_background double, score double"))

@@ -348,3 +348,31 @@ def test_cross_entropy_difference(spark, docs, rows, empty):
     for r in out.values():
         assert r.score == pytest.approx(r.loss_background - r.loss_target)
     assert cross_entropy_difference(spark, empty, targets).count() == 0
+
+
+def test_cross_entropy_difference_counts_every_word_and_pair(spark, docs, rows):
+    """More words than the models once held, most of them seen once, in several blocks: losses as counted by hand."""
+    targets = {1, 3, 35, 2000}
+    many = [(r[0], r[1]) for r in rows] + [(2000 + k, " ".join(f"w{k}x{i % 36000} z{i % 7}" for i in range(36000))) for k in range(2)]
+    words, pairs, before = ([collections.Counter(), collections.Counter()] for _ in range(3))
+    tokens = [(i, WORD.findall(t or "")) for i, t in many]
+    for i, w in tokens:
+        for k in (0, 1) if i in targets else (0,):
+            words[k].update(w)
+            pairs[k].update(zip([None, *w], w, strict=False))
+            before[k].update([None, *w] if w else [])
+    size = len(words[0])
+    assert size > 1 << 16
+
+    def loss(k, w, prior=50.0):
+        whole = sum(words[k].values()) + 0.5 * size
+        p = [(pairs[k][x, y] + prior * (words[k][y] + 0.5) / whole) / (before[k][x] + prior) for x, y in zip([None, *w], w, strict=False)]
+        return -float(np.log(p).sum()) / max(1, len(w))
+
+    chosen = spark.createDataFrame([(i,) for i in targets], "doc_id long")
+    got = cross_entropy_difference(spark, spark.createDataFrame(many, "doc_id long, text string").repartition(5), chosen, prior=50.0).collect()
+    key = lambda x: (str(x[0]), x[1])
+    want = sorted(((i, len(w), loss(1, w), loss(0, w)) for i, w in tokens), key=lambda x: (*key(x), x[3]))
+    got = sorted(((r.doc_id, r.n_tokens, r.loss_target, r.loss_background) for r in got), key=lambda x: (*key(x), x[3]))
+    assert [key(x) for x in got] == [key(x) for x in want]
+    assert np.allclose([x[2:] for x in got], [x[2:] for x in want])
