@@ -33,9 +33,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id."""
-    kept = minmax_dedup(spark, docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct().hint("merge")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of each near-duplicate group, the one with the smallest id.
+
+    Rows are told apart by id and text. A null id counts as larger than any
+    other; of rows with the smallest id one text stays, and of equal ids and
+    texts one row. Rows without a word are in no group and all stay.
+    """
+    row = F.xxhash64("doc_id", F.col("text").cast("string"))
+    found = minmax_dedup(spark, docs.select(row.alias("doc_id"), "text")).select(F.col("doc_id").alias("k_row"), "component_id", "n_shingles").distinct()
+    ids = docs.select(row.alias("k_row"), F.col("doc_id").alias("k_id")).distinct()
+    best = (found.where("n_shingles > 0").join(ids.hint("merge"), "k_row").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("k_id").isNull().alias("none"), "k_id", "k_row")).alias("best")).select("best.k_row", F.lit(True).alias("k_one")))
+    kept = best.unionByName(found.where("n_shingles = 0").select("k_row", F.lit(False).alias("k_one")))
+    rows = docs.withColumn("k_row", row).join(kept.hint("merge"), "k_row")
+    rows = rows.withColumn("k_copy", F.when(F.col("k_one"), F.lit(0)).otherwise(F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["k_row", "k_copy"]).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

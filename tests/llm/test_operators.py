@@ -376,3 +376,16 @@ def test_cross_entropy_difference_counts_every_word_and_pair(spark, docs, rows):
     got = sorted(((r.doc_id, r.n_tokens, r.loss_target, r.loss_background) for r in got), key=lambda x: (*key(x), x[3]))
     assert [key(x) for x in got] == [key(x) for x in want]
     assert np.allclose([x[2:] for x in got], [x[2:] for x in want])
+
+
+def test_near_copies_leave_one_row(spark):
+    """Null ids and repeated rows: one row of each group stays, and every row without a word."""
+    import corpus_pipeline
+
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"}
+    near = {c: text[c].replace(f"{c}59", "changed") for c in "abe"}
+    rows = [(5, text["a"]), (None, near["a"]), (None, text["b"]), (None, text["b"]), (None, near["b"]), (7, text["c"]), (7, text["c"]), (7, text["d"]),
+            (9, text["e"]), (9, near["e"]), (None, text["f"]), (None, ""), (None, ""), (8, None)]
+    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    letter = collections.Counter((r.doc_id, (r.text or "-")[0]) for r in left)
+    assert letter == {(5, "a"): 1, (None, "b"): 1, (7, "c"): 1, (7, "d"): 1, (9, "e"): 1, (None, "f"): 1, (None, "-"): 2, (8, "-"): 1}
