@@ -25,13 +25,24 @@ ASCII_LETTER = np.zeros(256, bool)
 ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 #: UTF-8 lead bytes of the Unicode blocks of each script.
 SCRIPTS = {
-    "latin": [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCA)], "greek": range(0xCD, 0xD0), "cyrillic": range(0xD0, 0xD4),
+    "latin": [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCC)], "greek": range(0xCD, 0xD0), "cyrillic": range(0xD0, 0xD4),
     "armenian": range(0xD4, 0xD6), "hebrew": range(0xD6, 0xD8), "arabic": range(0xD8, 0xDC), "south asian": [0xE0], "east asian": range(0xE3, 0xEA),
-    "hangul": range(0xEA, 0xEE),
+    "hangul": range(0xEA, 0xEE), "other": range(0xDC, 0xE0),
 }
 SCRIPT_OF = np.zeros(256, np.int8)  # 0: no letter
 for _number, _leads in enumerate(SCRIPTS.values(), 1):
     SCRIPT_OF[list(_leads)] = _number
+#: Lead bytes whose blocks hold several scripts, or letters next to punctuation, by the byte after them: the ranges that have letters.
+BY_SECOND = {
+    0xE1: {"other": range(0x80, 0xC0), "hangul": range(0x84, 0x88), "latin": range(0xB8, 0xBC), "greek": range(0xBC, 0xC0)},
+    0xE2: {"other": range(0xB0, 0xB8)},
+    0xEF: {"east asian": [*range(0xA4, 0xAC), *range(0xBC, 0xBF)], "arabic": [*range(0xAC, 0xB8), 0xB9, 0xBA]},
+    0xF0: {"other": [*range(0x90, 0x9D), 0x9E], "east asian": range(0xA0, 0xB4)},
+}
+SCRIPT_OF_TWO = np.repeat(SCRIPT_OF[:, None], 256, 1)
+for _lead, _ranges in BY_SECOND.items():
+    for _name, _seconds in _ranges.items():
+        SCRIPT_OF_TWO[_lead, list(_seconds)] = list(SCRIPTS).index(_name) + 1
 
 
 @dataclass
@@ -77,7 +88,7 @@ def distinct_words(texts: Texts) -> DistinctWords:
     slots = np.empty(bounds[-1], np.uint32)
     slots[np.arange(len(grams)) + np.repeat(np.arange(len(starts)), lengths)] = grams
     slots[bounds[1:] - 1] = hashes >> np.uint64(64 - 17)
-    script = np.maximum.reduceat(SCRIPT_OF[inside], first) if len(first) else np.zeros(0, np.int8)
+    script = np.maximum.reduceat(SCRIPT_OF_TWO[inside, after], first) if len(first) else np.zeros(0, np.int8)
     points = np.add.reduceat(((inside & 0xC0) != 0x80).astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
     return DistinctWords(offs, which, script, points, slots, bounds)
 
@@ -124,6 +135,7 @@ def learn(spark: SparkSession, labelled: DataFrame, most_languages: int = 256) -
     share = script / np.maximum(script.sum(0), 1)
     candidates = share >= 0.01
     candidates[~candidates.any(1)] = True
+    candidates[len(SCRIPTS)] = True  # other letters: many scripts, told apart by their words
     prior = np.log(np.maximum(counts.sum(0), 1) / max(1.0, counts.sum())) if languages else np.zeros(0)
     return LanguageModel(languages, table.astype(np.float32), candidates, prior)
 

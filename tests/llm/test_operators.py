@@ -389,3 +389,13 @@ def test_near_copies_leave_one_row(spark):
     left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
     letter = collections.Counter((r.doc_id, (r.text or "-")[0]) for r in left)
     assert letter == {(5, "a"): 1, (None, "b"): 1, (7, "c"): 1, (7, "d"): 1, (9, "e"): 1, (None, "f"): 1, (None, "-"): 2, (8, "-"): 1}
+
+
+def test_identify_languages_in_other_scripts(spark):
+    rng = random.Random(3)
+    start = {"am": 0x1200, "chr": 0x13A0, "dv": 0x0780, "en": 0x61, "got": 0x10330, "ka": 0x10D0, "km": 0x1780, "my": 0x1000, "nko": 0x07CA, "syr": 0x0712, "zgh": 0x2D30}
+    text = lambda lang: " ".join("".join(chr(start[lang] + rng.randrange(16)) for _ in range(5)) for _ in range(20)) + " \u201cabc\u201d" * (lang == "en")
+    rows = [(i, text(lang), lang) for i, lang in enumerate(list(start) * 12)]
+    out = {r.doc_id: r for r in identify_languages(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert sum(r.held_out for r in out.values()) > 20
+    assert all(out[i].lang_pred == lang and out[i].score == 1 for i, _, lang in rows)
