@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_path, shared_dir, ship_package
 
 
-def saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def saved(spark: SparkSession, df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back (for tables that several steps read)."""
     path = scratch_path(spark, f"llm-{name}") + "/table"
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 
