@@ -76,13 +76,19 @@ class ByteLevelIds:
     """Ids of whole texts by a byte-level BPE tokenizer, one look-up a distinct word.
 
     The tokenizer's pattern never matches across the start of a stretch of
-    white space, so texts are cut there and each distinct piece is encoded
-    once and remembered. A text with white space beyond ASCII, where that does
-    not hold for cuts at ASCII white space, or with a special token's string
-    is encoded whole. Memory is bounded by forgetting.
+    white space, nor from an ASCII letter into an ASCII sign or digit, so texts
+    are cut there and each distinct piece is encoded once and remembered. New
+    pieces that start with white space and end without are encoded in long
+    strings of many, and told apart by their tokens' bytes. A text with white
+    space beyond ASCII, where the first rule does not hold for ASCII white
+    space, or with a special token's string is encoded whole. Memory is
+    bounded by forgetting.
     """
 
-    LIMIT = 400_000
+    LIMIT = 1_000_000
+    TOGETHER = 4096  # pieces a string
+    LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
+    SIGN = np.array([33 <= b < 127 and not chr(b).isalpha() for b in range(256)])
     #: white space and separators beyond the ASCII ones, and what may start a special token
     ODD = re.compile(rb"<\||[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f\xa0]|\xe3\x80\x80|\xef\xbb\xbf")
 
@@ -91,6 +97,9 @@ class ByteLevelIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        known = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max(known.values()) + 1, np.int64)  # a character of the byte-level alphabet stands for a byte
+        self.bytes_of[list(known.values())] = [len(t) for t in known]
         self._forget()
 
     def _forget(self) -> None:
@@ -102,7 +111,7 @@ class ByteLevelIds:
         """(pieces, first piece of each text)."""
         space = SEPARATOR[data]
         cut = np.zeros(len(data) + 1, bool)
-        cut[1:-1] = space[1:] & ~space[:-1]
+        cut[1:-1] = (space[1:] & ~space[:-1]) | (self.SIGN[data[1:]] & self.LETTER[data[:-1]])
         raw = data.tobytes()
         for doc in {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in self.ODD.finditer(raw)}:
             cut[offsets[doc] : offsets[doc + 1]] = False
@@ -125,27 +134,44 @@ class ByteLevelIds:
         missing = np.flatnonzero(number < 0)
         if len(missing):
             known, new = len(self.place), [distinct[i] for i in missing.tolist()]
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            number[missing] = np.arange(known, known + len(new))
+            joined = [p for p in new if p[0] in " \t\n\x0b\x0c\r" and p[-1] not in " \t\n\x0b\x0c\r" and len(p) < 200 and not self.ODD.search(p.encode())]
+            alone = list(set(new).difference(joined))
+            new = joined + alone
+            number[missing] = -1
+            (flat, lengths), (rest, more) = self._joined(joined), self._alone(alone)
+            flat, lengths = np.concatenate([flat, rest]), np.concatenate([lengths, more])
             self.place.update(zip(new, range(known, known + len(new)), strict=True))
-            lengths = np.array([len(x) for x in found], np.int64)
-            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+            number[missing] = [self.place[distinct[i]] for i in missing.tolist()]
             used = int(self.first[known])
             self.first[known + 1 : known + len(new) + 1] = used + np.cumsum(lengths)
-            while used + len(flat) > len(self.ids):
+            while used + len(flat) >= len(self.ids):
                 self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
             self.ids[used : used + len(flat)] = flat
-        piece = number[coded.indices.to_numpy()]
-        lengths = self.first[piece + 1] - self.first[piece]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.ids[np.arange(total[-1]) + np.repeat(self.first[piece] - total[:-1], lengths)]
-        bounds = total[firsts] + np.arange(texts.size + 1)
-        out = np.full(len(ids) + texts.size, end_id, np.uint32)
-        inner = np.ones(len(out), bool)
-        inner[bounds[1:] - 1] = False
-        out[inner] = ids
+        # the known pieces' ids as byte strings, and last the end id's; one string is taken for each piece of the texts
+        known = len(self.place)
+        used = int(self.first[known])
+        self.ids[used] = end_id
+        limits = np.append(self.first[: known + 1], used + 1) * 4
+        strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), known + 1, [None, pa.py_buffer(limits), pa.py_buffer(self.ids[: used + 1])])
+        taken = strings.take(pa.array(np.insert(number[coded.indices.to_numpy()], firsts[1:], known)))
+        _, ends, raw = taken.buffers()
+        out = np.frombuffer(raw, np.uint32)
+        bounds = np.frombuffer(ends, np.int64, len(taken) + 1)[np.concatenate([[0], firsts[1:] + np.arange(1, texts.size + 1)])] // 4
         return out, bounds
 
+    def _alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, number of each)."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        lengths = np.array([len(x) for x in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that may stand one after the other in a text."""
+        ids, _ = self._alone(["".join(pieces[i : i + self.TOGETHER]) for i in range(0, len(pieces), self.TOGETHER)])
+        ends = np.cumsum(np.array([len(p) if p.isascii() else len(p.encode()) for p in pieces], np.int64))
+        last = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+        return ids, np.diff(last, prepend=0)
+
 
 _ENCODERS: dict[str, ByteLevelIds] = {}  # one a worker process: the words it has met stay known
 
@@ -154,7 +180,7 @@ def _tokenised(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int,
     if vocabulary not in _ENCODERS:
         _ENCODERS[vocabulary] = ByteLevelIds(vocabulary)
     width = np.dtype(kind).itemsize
-    for batch in text_slices(batches, max_bytes=1 << 21):
+    for batch in text_slices(batches, max_bytes=1 << 22, max_rows=1 << 13):
         ids, bounds = _ENCODERS[vocabulary].encode(texts_of(batch.column("text")), end_id)
         limits = pa.py_buffer((bounds * width).astype(np.int32) if bounds[-1] * width < 1 << 31 else bounds * width)
         made = pa.BinaryArray if bounds[-1] * width < 1 << 31 else pa.LargeBinaryArray
