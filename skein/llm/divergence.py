@@ -26,6 +26,7 @@ from .words import LOWER, doc_index, text_slices, texts_of
 SCALE = 1_000_000_000
 BLOCK_TERMS = 1 << 13  # terms of a language in one array
 BUNDLE = 8  # groups that travel to a pair task together
+SALTS = 64
 CHUNK = 64  # ids located by one gallop
 
 #: bytes of a term: letters of ASCII, and everything beyond ASCII
@@ -178,7 +179,9 @@ def source_divergence(spark: SparkSession, docs: DataFrame, min_docs: int = 30,
                  .where(F.col("docs") >= min_docs).drop("docs"), "divergence-kept")
     langs = (kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
              .withColumn("blocks", F.ceil(F.col("v") / block_terms).cast("int")))
-    numbered = (kept.join(langs.select("lang", "blocks"), "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks").cast("long")).cast("int"))
+    salt = F.pmod(F.xxhash64("term"), F.lit(SALTS)).alias("salt")  # a language's terms meet its row in many tasks
+    salted = langs.select("lang", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    numbered = (kept.select("*", salt).join(salted, ["lang", "salt"]).withColumn("block", F.pmod(F.xxhash64("term", F.lit(1)), F.col("blocks").cast("long")).cast("int"))
                 .withColumn("id", F.row_number().over(Window.partitionBy("lang", "block").orderBy("term"))))
     sparse = saved(spark, counted.select("lang", "source", "term", "n").join(numbered.select("lang", "term", "lang_n", "block", "id"), ["lang", "term"]), "divergence-sparse")
 
