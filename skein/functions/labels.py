@@ -1,22 +1,20 @@
 """Column functions for header labels, dates read from labels and text cells.
 
-All are built from Spark SQL functions (JVM side, codegen); the ``*_py``
-twins apply the same rule to a header name on the driver when a panel has one
-schema.
+All are built from Spark SQL functions (JVM side, codegen). A rule exists once,
+as a Column function over header cells; names of a schema are labelled by
+``evaluate``, which runs the same function on a one-row local relation.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import re
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the layouts' rules for right results.
-# Week panels ("Un SEM - 01/2019"): week is characters 9-10, year starts at 12 (0-based).
-WEEK_LABEL_WEEK = (9, 11)
-WEEK_LABEL_YEAR_FROM = 12
-# Characters removed from a "year + month name" cell before parsing it.
+# Fixed value: characters removed from a "year + month name" cell before parsing it.
 MONTH_CELL_NOISE = (" ", "\u3000", "\uff0e")
 NBSP = "\u00a0"
 
@@ -28,61 +26,61 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
-# ---- week label "YYYY_WW" from "Un SEM - WW/YYYY" -------------------------------------------
-
-def week_label_py(name: str) -> str:
-    text = f"{name}"
-    spans = slice(WEEK_LABEL_YEAR_FROM, None), slice(*WEEK_LABEL_WEEK)
-    return "_".join(text[span] for span in spans)
-
-
-def week_label(name) -> Column:
-    a, b = WEEK_LABEL_WEEK
-    x = _c(name)
-    return F.concat(F.substr(x, F.lit(WEEK_LABEL_YEAR_FROM + 1)), F.lit("_"), F.substring(x, a + 1, b - a))
-
-
-# ---- month label "YYYY/MM" from "YYYY/M-" ----------------------------------------------------
-
-def month_label_py(name: str) -> str:
-    text = "".join(f"{name}".split("-"))
-    year, month = text[:5], text[5:]
-    return year + (month.zfill(2) if len(month) == 1 else month)
+@dataclass(frozen=True)
+class LabelRule:
+    """How a label is made from a header cell or a file name.
 
+    ``clean`` characters are removed first. A text that ``pattern`` matches
+    becomes its ``parts`` (numbers are groups of the pattern, the rest stands
+    for itself); any other text becomes NULL, or stays as it is with
+    ``keep_others``.
+    """
 
-def month_label(name) -> Column:
-    s = F.replace(_c(name), F.lit("-"), F.lit(""))
-    return F.when(F.length(s) == 6, F.concat(F.substring(s, 1, 5), F.lit("0"), F.substr(s, F.lit(6)))) \
-        .otherwise(s)
+    pattern: str
+    parts: tuple[int | str, ...]
+    clean: str = ""
+    keep_others: bool = False
 
+    def __call__(self, text) -> Column:
+        x = F.translate(_c(text), self.clean, "") if self.clean else _c(text)
+        made = F.concat(*[F.regexp_extract(x, self.pattern, p) if isinstance(p, int) else F.lit(p) for p in self.parts])
+        return F.when(x.rlike(self.pattern), made).otherwise(x if self.keep_others else F.lit(None).cast("string"))
 
-# ---- week sequence: "M.d-" header + year from the file name, +7 days by position ----------
 
-def file_year_py(source: str, token: int = 4) -> str:
-    *_, name = source.split("/")
-    tokens = dict(enumerate(name.split("_")))
-    return tokens[token][:4]
+# Fixed values that must equal the layouts' rules for right results.
+#: "Un SEM - WW/YYYY" -> "YYYY_WW": the week is characters 9 and 10, the year starts at 12 (0-based)
+week_label = LabelRule(r"(?s)^.{9}(.{2}).(.+)$", (2, "_", 1))
+#: "YYYY/M-" -> "YYYY/0M"; "YYYY/MM-" -> "YYYY/MM"
+month_label = LabelRule(r"(?s)^(.{5})(.)$", (1, "0", 2), clean="-", keep_others=True)
+#: first four digits of the fifth ``_`` token of a file name
+file_year = LabelRule(r"(?s)^(?:.*/)?(?:[^_/]*_){4}([0-9]{4})[^/]*$", (1,))
+#: "M.d-" -> "M-d"
+month_day = LabelRule(r"^([0-9]{1,2})\.([0-9]{1,2})$", (1, "-", 2), clean="-")
 
 
-def file_year(source) -> Column:
-    """Start year = first 4 characters of the 5th ``_`` token of the file name (NULL if absent)."""
-    name = F.element_at(F.split(_c(source), "/"), -1)
-    return F.substring(F.get(F.split(name, "_"), F.lit(4)), 1, 4)
+def evaluate(spark: SparkSession, names: Sequence[str], rule: Callable[..., Column]) -> list[str | None]:
+    """Labels of a schema's column names by ``rule`` (name, or name and position, to Column).
 
+    The relation is local, so the optimizer works the labels out and no job runs.
+    """
+    if not names:
+        return []
+    texts = F.array(*[F.lit(str(n)) for n in names])
+    return list(spark.sql("VALUES (0)").select(F.transform(texts, rule).alias("labels")).first()["labels"])
 
-def week_start_py(year: str, first_header: str) -> _dt.date:
-    month, day = (int(part) for part in first_header.replace("-", "").split("."))
-    return _dt.date(int(year), month, day)
 
+def named(spark: SparkSession, names: Sequence[str], rule: Callable[..., Column]) -> dict[str, str]:
+    """``evaluate`` by name; a name without a label is an error that says which."""
+    labels = dict(zip(names, evaluate(spark, names, rule), strict=True))
+    if bad := [n for n, label in labels.items() if label is None]:
+        raise ValueError(f"column names that do not fit their layout: {bad}")
+    return labels
 
-def week_sequence_py(year: str, first_header: str, n: int) -> list[str]:
-    d0 = week_start_py(year, first_header)
-    return [(d0 + _dt.timedelta(days=7 * i)).strftime("%Y-%m-%d") for i in range(n)]
 
+# ---- week sequence: "M.d-" header + year from the file name, +7 days by position ----------
 
 def week_start(year, first_header) -> Column:
-    md = F.replace(F.replace(_c(first_header), F.lit("-"), F.lit("")), F.lit("."), F.lit("-"))
-    return F.try_to_date(F.concat(_c(year), F.lit("-"), md), "y-M-d")
+    return F.try_to_date(F.concat(_c(year), F.lit("-"), month_day(first_header)), "y-M-d")
 
 
 def week_sequence(year, first_header, ordinal) -> Column:
@@ -153,6 +151,4 @@ def entry_value(entries, key: str) -> Column:
 
 
 def _regex_quote(s: str) -> str:
-    import re
-
     return re.escape(s)

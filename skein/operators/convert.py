@@ -23,7 +23,8 @@ def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None,
                    exclude: str | None = CONVERTED_MARK, rejects_dir: str | None = None) -> DataFrame:
     """Long table of every workbook in ``folder`` (not recursive; names holding
     ``exclude`` skipped). Columns: ``file``, ids, label, value(s). With
-    ``out_dir`` the result is also written as pipe CSV, one folder per file.
+    ``out_dir`` the result is also written as pipe CSV, one folder per file;
+    what ``out_dir`` holds of other files stays.
 
     With ``rejects_dir`` a file that cannot be read or does not fit the layout
     (see ``panel_reject_reason``) is listed there as ``file|reason`` and left
@@ -48,7 +49,7 @@ def convert_folder(spark: SparkSession, folder: str, out_dir: str | None = None,
                               value_types=value_types)
     long = long.withColumn("file", F.element_at(F.split(F.col("source"), "/"), -1)).drop("source", "row_no")
     if out_dir is not None:
-        write_pipe_csv(long, out_dir, partition_by=["file"], sort_within=_file_order(spec))
+        write_pipe_csv(long, out_dir, partition_by=["file"], mode="partitions", sort_within=_file_order(spec))
     return long
 
 
@@ -77,7 +78,8 @@ def convert_path(spark: SparkSession, path: str, out_dir: str | None = None, spe
     """One workbook or a whole folder (a path ending in ``/``). The layout comes
     from the folder name (the country code) unless ``spec`` is given. A single
     named file is read even if its name holds the converted mark. Output
-    defaults to ``<folder>/pivoted`` (a sub folder, so never read back as input).
+    defaults to ``<folder>/pivoted`` (a sub folder, so never read back as input);
+    what was converted from other files before stays there.
     ``rejects_dir`` (folders only) lists files that do not fit instead of failing."""
     folder = path.rstrip("/") if path.endswith("/") else path.rsplit("/", 1)[0]
     spec = spec or spec_for(folder.split("/")[-1])
@@ -91,5 +93,5 @@ def convert_path(spark: SparkSession, path: str, out_dir: str | None = None, spe
     long = unpivot_panel_rows(rows, spec, keys=["source"], id_labels=id_labels, header_row=header_row,
                               value_types=value_types)
     long = long.withColumn("file", F.element_at(F.split(F.col("source"), "/"), -1)).drop("source", "row_no")
-    write_pipe_csv(long, out_dir, partition_by=["file"], sort_within=_file_order(spec))
+    write_pipe_csv(long, out_dir, partition_by=["file"], mode="partitions", sort_within=_file_order(spec))
     return long

@@ -43,7 +43,6 @@ class PanelSpec:
     # month_labels / week_sequence
     date_token: str = ""
     placeholder: str | None = None
-    year_token: int = 4
     # region_block
     sheet: str | None = None
     header_row: int = 0
@@ -66,8 +65,7 @@ class PanelSpec:
 MX = PanelSpec("MX", "paired", label_col="WeekOfYear", value_col="Value",
                first_token="Un ", second_token="Lc ", first_col="Unit")
 JP = PanelSpec("JP", "month_labels", label_col="YearMonth", value_col="Value", date_token="/")
-JP2 = PanelSpec("JP2", "week_sequence", label_col="Date", value_col="Value", date_token=".",
-                placeholder="-", year_token=4)
+JP2 = PanelSpec("JP2", "week_sequence", label_col="Date", value_col="Value", date_token=".", placeholder="-")
 CN = PanelSpec("CN", "region_block", label_col="Visit_Purpose", value_col="Visitors", sheet="Asia",
                header_row=4, date_pos=1, occurrence=3,
                value_names=("Tourist", "Business", "Others", "Short Excursion"),
@@ -118,7 +116,8 @@ def _paired(df: DataFrame, spec: PanelSpec, keep: set | None = None) -> DataFram
         raise ValueError(f"{spec.name}: no value columns")
     ids = g["other"]
     _check_names(ids, spec.label_col, spec.first_col, spec.value_col)
-    pairs = pair_groups(g["first"], g["second"], L.week_label_py, by=spec.pair_by)
+    names = L.named(df.sparkSession, [*g["first"], *g["second"]], L.week_label)
+    pairs = pair_groups(g["first"], g["second"], names.__getitem__, by=spec.pair_by)
     groups = [(label, {spec.first_col: a, spec.value_col: b}) for label, a, b in pairs
               if keep is None or label in keep]
     if not groups:
@@ -132,7 +131,7 @@ def _month_labels(df: DataFrame, spec: PanelSpec, keep: set | None = None) -> Da
         raise ValueError(f"{spec.name}: no date columns")
     ids = g["other"]
     _check_names(ids, spec.label_col, spec.value_col)
-    labels = {c: L.month_label_py(c) for c in g["dates"] if keep is None or L.month_label_py(c) in keep}
+    labels = {c: label for c, label in L.named(df.sparkSession, g["dates"], L.month_label).items() if keep is None or label in keep}
     if not labels:
         raise ValueError(f"{spec.name}: no value columns left for the requested labels")
     return unpivot_wide(df, ids, list(labels), spec.label_col, spec.value_col, labels=labels)
@@ -150,8 +149,9 @@ def _week_sequence(df: DataFrame, spec: PanelSpec, source, keep: set | None = No
     # Labels by position among the date columns (later headers are not read);
     # id columns may sit anywhere, so positions never shift onto them.
     if isinstance(source, str):
-        seq = L.week_sequence_py(L.file_year_py(source, spec.year_token), dates[0], len(dates))
-        labels = {c: d for c, d in zip(dates, seq) if keep is None or d in keep}
+        year = L.file_year(F.lit(source))
+        seq = L.named(df.sparkSession, dates, lambda _, i: L.week_sequence(year, F.lit(dates[0]), i))
+        labels = {c: d for c, d in seq.items() if keep is None or d in keep}
     else:
         if keep is not None:
             raise ValueError(f"{spec.name}: labels= needs the file name as a string (labels depend on it)")
