@@ -180,6 +180,26 @@ def explode_body(tables: DataFrame, keep: Sequence[str], body_from: int, rows: s
         .select(*keep, *extra.keys(), "_row.*")
 
 
+def report_rejects(tables: DataFrame, header_row: int, id_col: str = "page_id", rows: str = "rows") -> DataFrame:
+    """FLT11 over nested rows: what a report page cannot give, one line each.
+
+    ``no_table`` (no row at all) and ``short_table`` (no row after the header) are
+    lines of the page, with ``row_no`` NULL; ``short_row`` and ``long_row`` are body
+    rows that differ from the header in length. Columns: ``id_col``, row_no,
+    cells, reason.
+    """
+    r = _c(rows)
+    hdr = nested_row(rows, header_row)["cells"]
+    none = F.lit(None)
+    page = F.struct(none.cast("int").alias("row_no"), none.cast("array<string>").alias("cells"),
+                    F.when(F.coalesce(F.size(r), F.lit(0)) < 1, F.lit("no_table")).otherwise(F.lit("short_table")).alias("reason"))
+    lines = F.transform(F.filter(r, lambda x: x["row_no"] > header_row), lambda x: F.struct(
+        x["row_no"].alias("row_no"), x["cells"].alias("cells"), ragged_reason(hdr, x["cells"]).alias("reason")))
+    whole = F.coalesce(F.size(r), F.lit(0)) > header_row + 1
+    listed = F.when(whole, F.filter(lines, lambda x: x["reason"].isNotNull())).otherwise(F.array(page))
+    return tables.select(id_col, F.inline(listed))
+
+
 def drop_keys(record, keys: Sequence[str]) -> Column:
     """PRJ10 on records: remove entries whose key is one of ``keys`` (e.g. the
     column with an empty name)."""

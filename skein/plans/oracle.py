@@ -147,6 +147,27 @@ SELECT n_name, c_custkey, c_name, c_mktsegment, CAST(CAST(c_acctbal AS DECIMAL(1
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
 
+ORACLE["html_path_records"] = """
+SELECT 'page ' || CAST(c_custkey // 1000 * 100 + n_nationkey AS VARCHAR) AS page_id, 'report' AS container, n_name, c_custkey, c_mktsegment,
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS c_acctbal
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""
+
+# Rows 0 to 2 are title, subtitle and header; customers follow by key.
+ORACLE["html_rejects"] = """
+WITH c AS (SELECT c_custkey // 1000 * 100 + c_nationkey AS page_id, c_nationkey, c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey),
+r AS (SELECT *, CAST(2 + row_number() OVER (PARTITION BY page_id ORDER BY c_custkey) AS INTEGER) AS row_no FROM c)
+SELECT DISTINCT page_id, CAST(NULL AS INTEGER) AS row_no, 'no_table' AS reason, CAST(NULL AS VARCHAR) AS first_cell FROM c WHERE c_nationkey = 3
+UNION ALL SELECT DISTINCT page_id, CAST(NULL AS INTEGER), 'short_table', CAST(NULL AS VARCHAR) FROM c WHERE c_nationkey = 4
+UNION ALL SELECT page_id, row_no, 'short_row', CAST(c_custkey AS VARCHAR) FROM r WHERE c_nationkey NOT IN (3, 4) AND c_custkey % 10 = 7
+"""
+
+ORACLE["report_pages_csv"] = """
+SELECT 'report12' AS report, n_name AS country, c_custkey AS "Key", c_name AS "Name", c_mktsegment AS "Segment",
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS "Balance"
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""
+
 ORACLE["html_table_by_attr"] = """
 SELECT p_brand, p_partkey, p_name, p_type, p_size, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS p_retailprice
 FROM part

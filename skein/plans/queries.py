@@ -27,6 +27,7 @@ from skein.operators.rows import (
     explode_body,
     nested_row,
     ragged_reason,
+    report_rejects,
     record_get,
     select_record,
     unpivot_rows,
@@ -40,6 +41,7 @@ from skein.session import scratch_path
 from skein.sources.delimited import read_pipe_csv, write_pipe_csv
 from skein.sources.files import parent_dir, start_year
 from skein.sources.html import parse_elements, parse_inputs, parse_tables
+from skein.sources.html_paths import select_rows
 from skein.sources.xlsx import read_xlsx, write_xlsx, write_xlsx_rows
 from skein.streaming.unpivot_stream import (
     start_batch_stream,
@@ -263,6 +265,55 @@ def html_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                       record_get("r", "Balance").cast("decimal(18,2)").cast("double").alias("c_acctbal"))
 
 
+def html_path_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC9 + SRC7 by a path: pages with text ids, whose report stands inside the
+    container ``report`` below a decoy container with a report of its own, and
+    whose inner table stands in one more table of the 5th row. The path picks
+    the innermost rows of the right container; browsers' ``tbody`` is implied."""
+    pages = H.customer_pages(spark, sf_dir)
+    decoy = F.concat(F.lit('<div id="other">'), F.regexp_replace("html", "</?(html|body|div)[^>]*>", ""), F.lit("</div>"))
+    inner = F.regexp_replace("html", '<table class="data">(.*?)</table>', '<table><tr><td><table class="data">$1</table></table>')
+    pages = pages.select(F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("page_id"), F.concat(decoy, inner).alias("html"))
+    t = select_rows(pages, "//div[@id='report']//table//table//table//table/tbody/tr[5]//table//table/tbody/tr", imply_tbody=True)
+    hdr = compact_cells(nested_row("rows", 2)["cells"])
+    body = explode_body(t, ["page_id"], 3, extra={"title": nested_row("rows", 0)["cells"][0], "hdr": hdr})
+    rec = body.select("page_id", "container", "title", zip_record("hdr", compact_cells("cells")).alias("r"))
+    return rec.select("page_id", "container", F.col("title").alias("n_name"), record_get("r", "Key").cast("bigint").alias("c_custkey"),
+                      record_get("r", "Segment").alias("c_mktsegment"), record_get("r", "Balance").cast("decimal(18,2)").cast("double").alias("c_acctbal"))
+
+
+def html_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT11 over pages: the reject list itself. Pages of one nation lost their
+    report, another's tables were cut after the title, and customers whose key
+    ends in 7 lost their last cell: no_table, short_table and short_row."""
+    pages = H.customer_pages(spark, sf_dir)
+    nation = F.col("page_id") % 100
+    cut = F.regexp_replace("html", '(<table class="data"><tr>.*?</tr>).*?</table>', "$1</table>")
+    short = F.regexp_replace("html", "(<tr><td>[0-9]*7</td>(?:<td>(?:(?!</td>).)*</td>){2})<td>(?:(?!</td>).)*</td></tr>", "$1</tr>")
+    pages = pages.select("page_id", F.when(nation == 3, F.lit("<html><body>no data</body></html>")).when(nation == 4, cut).otherwise(short).alias("html"))
+    t = select_rows(pages, "//table[@class='data']//tr", direct=True)
+    t = t.withColumn("rows", F.transform("rows", lambda r: r.withField("cells", compact_cells(r["cells"]))))
+    return report_rejects(t, header_row=2).select("page_id", "row_no", "reason", F.get("cells", 0).alias("first_cell"))
+
+
+def report_pages_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2: report pages to records to pipe CSV, one folder for each report and
+    country. The first run writes outdated pages of some countries, the second
+    run the other countries, the third replaces the outdated ones; each run
+    leaves the countries alone that it has no pages of."""
+    pages = H.customer_pages(spark, sf_dir)
+    out, nation = scratch_path(spark, "report_csv") + "/out", F.col("page_id") % 100
+    old = pages.where(nation < 9).withColumn("html", F.regexp_replace("html", "Customer#", "Outdated#"))
+    for run in (old, pages.where(nation >= 9), pages.where(nation < 9)):
+        t = parse_tables(run, min_depth=5, parent_row_pos=5)
+        body = explode_body(t, [], 3, extra={"country": nested_row("rows", 0)["cells"][0], "hdr": compact_cells(nested_row("rows", 2)["cells"])})
+        rec = body.select("country", zip_record("hdr", compact_cells("cells")).alias("r"))
+        flat = rec.select(F.lit("report12").alias("report"), "country", *[record_get("r", k).alias(k) for k in ("Key", "Name", "Segment", "Balance")])
+        write_pipe_csv(flat, out, partition_by=["report", "country"], mode="partitions")
+    back = read_pipe_csv(spark, out, "Key long, Name string, Segment string, Balance string, report string, country string")
+    return back.select("report", "country", "Key", "Name", "Segment", F.col("Balance").cast("decimal(18,2)").cast("double").alias("Balance"))
+
+
 def html_table_by_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC8: first table with attribute cols="16" of each page, its rows as records."""
     t = parse_tables(H.part_pages(spark, sf_dir), table_attrs={"cols": "16"}, first_only=True)
@@ -336,6 +387,9 @@ def form_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES.update({
     "html_records": html_records,
+    "html_path_records": html_path_records,
+    "html_rejects": html_rejects,
+    "report_pages_csv": report_pages_csv,
     "html_table_by_attr": html_table_by_attr,
     "html_classify_rows": html_classify_rows,
     "html_report_matrix": html_report_matrix,

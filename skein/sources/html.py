@@ -26,7 +26,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skein.session import ship_package
 
@@ -74,6 +74,16 @@ class PageParser(HTMLParser):
                 return -1
         return -1
 
+    def _row_path(self):
+        """(depth of its table, position) of every row around the place."""
+        path, depth = [], 0
+        for f in self.stack:
+            if f.kind == "table":
+                depth += 1
+            elif f.kind == "tr":
+                path.append((depth, f.info))
+        return path
+
     def _close_to(self, idx):
         while len(self.stack) > idx:
             self._pop()
@@ -111,7 +121,8 @@ class PageParser(HTMLParser):
                 row_i = self._innermost({"tr"}, stop_at_table=False)
                 t = {"table_no": len(self.tables), "depth": 1 + sum(1 for f in self.stack if f.kind == "table"),
                      "attrs": {k: (v if v is not None else "") for k, v in attrs},
-                     "parent_row_pos": self.stack[row_i].info if row_i >= 0 else None, "rows": []}
+                     "parent_row_pos": self.stack[row_i].info if row_i >= 0 else None,
+                     "row_path": self._row_path(), "rows": []}
                 self.tables.append(t)
                 self.stack.append(_Frame(tag, "table", t))
                 return
@@ -221,21 +232,26 @@ def parse_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
                  parent_row_pos: int | None = None) -> DataFrame:
     """One row per table: ``page_id, table_no, depth, attrs, parent_row_pos, rows``.
 
-    Filters on depth, attributes (exact text match) and the position of the
+    Filters on depth, attributes (exact text match) and the position of an
     enclosing row are applied inside the parse, so unwanted tables are never
     materialised; ``first_only`` keeps the first matching table of a page.
+    ``parent_row_pos`` asks for any row around the table at that position whose
+    own table is nested ``min_depth - 1`` deep or more, so tables inside further
+    tables of that row are found as well. ``id_col`` keeps its type.
     """
     attrs = dict(table_attrs or {})
+    key = pages.schema[id_col].dataType
+    out_schema = pa.schema([pa.field("page_id", to_arrow_type(key)), *list(_TABLE_ARROW)[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = {k: [] for k in _TABLE_ARROW.names}
+        out = {k: [] for k in out_schema.names}
         for b in batches:
             ids = b.column(id_col).to_pylist()
             docs = b.column(html_col).to_pylist()
             for pid, doc in zip(ids, docs):
                 if len(out["page_id"]) >= OUT_TABLES:
-                    yield pa.RecordBatch.from_pydict(out, schema=_TABLE_ARROW)
-                    out = {k: [] for k in _TABLE_ARROW.names}
+                    yield pa.RecordBatch.from_pydict(out, schema=out_schema)
+                    out = {k: [] for k in out_schema.names}
                 if doc is None:
                     continue
                 p = PageParser()
@@ -244,7 +260,7 @@ def parse_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
                 for t in p.tables:
                     if not _table_matches(t, min_depth, attrs):
                         continue
-                    if parent_row_pos is not None and t["parent_row_pos"] != parent_row_pos:
+                    if parent_row_pos is not None and not any(d >= min_depth - 1 and pos == parent_row_pos for d, pos in t["row_path"]):
                         continue
                     out["page_id"].append(pid)
                     out["table_no"].append(t["table_no"])
@@ -255,16 +271,16 @@ def parse_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
                     if first_only:
                         break
         if out["page_id"]:
-            yield pa.RecordBatch.from_pydict(out, schema=_TABLE_ARROW)
+            yield pa.RecordBatch.from_pydict(out, schema=out_schema)
 
     ship_package(pages.sparkSession)
-    return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(
-        run, TABLE_SCHEMA.replace("page_id", id_col, 1))
+    return pages.select(id_col, html_col).mapInArrow(run, TABLE_SCHEMA.replace("page_id long", f"`{id_col}` {key.simpleString()}", 1))
 
 
 def parse_elements(pages: DataFrame, tag: str = "li", id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Text of every ``tag`` element: ``page_id, item_no, text`` (document order)."""
-    schema = pa.schema([(id_col, pa.int64()), ("item_no", pa.int32()), ("text", pa.string())])
+    key = pages.schema[id_col].dataType
+    schema = pa.schema([(id_col, to_arrow_type(key)), ("item_no", pa.int32()), ("text", pa.string())])
 
     def run(batches):
         out = {id_col: [], "item_no": [], "text": []}
@@ -286,14 +302,14 @@ def parse_elements(pages: DataFrame, tag: str = "li", id_col: str = "page_id", h
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     ship_package(pages.sparkSession)
-    return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(
-        run, f"{id_col} long, item_no int, text string")
+    return pages.select(id_col, html_col).mapInArrow(run, f"`{id_col}` {key.simpleString()}, item_no int, text string")
 
 
 def parse_inputs(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Attributes of every ``input`` element of a page, in document order:
     ``page_id, inputs array<map<string,string>>`` (one row per page)."""
-    schema = pa.schema([(id_col, pa.int64()), ("inputs", pa.list_(pa.map_(pa.string(), pa.string())))])
+    key = pages.schema[id_col].dataType
+    schema = pa.schema([(id_col, to_arrow_type(key)), ("inputs", pa.list_(pa.map_(pa.string(), pa.string())))])
 
     def run(batches):
         for b in batches:
@@ -308,6 +324,5 @@ def parse_inputs(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     ship_package(pages.sparkSession)
-    return pages.select(F.col(id_col).cast("long").alias(id_col), html_col).mapInArrow(
-        run, f"{id_col} long, inputs array<map<string,string>>")
+    return pages.select(id_col, html_col).mapInArrow(run, f"`{id_col}` {key.simpleString()}, inputs array<map<string,string>>")
 
