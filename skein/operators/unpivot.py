@@ -30,11 +30,16 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _inline_structs(structs: Sequence[Sequence[tuple[str, str]]]) -> Column:
-    """``inline`` of an array of structs given as SQL text: a panel of hundreds of
-    columns is one expression to parse instead of thousands of calls."""
-    rows = ", ".join("named_struct(" + ", ".join(f"{_text(n)}, {e}" for n, e in fields) + ")" for fields in structs)
-    return F.expr(f"inline(array({rows}))")
+def _inline_arrays(fields: Sequence[tuple[str, Sequence[str]]]) -> Column:
+    """``inline`` of arrays given as SQL text, one an output column, zipped by position.
+
+    A panel of hundreds of columns is one expression to parse instead of
+    thousands of calls, its labels are one literal, and the generated code is a
+    short loop over the zipped arrays: code for a struct a column would outgrow
+    what the JVM compiles.
+    """
+    arrays = ", ".join("array(" + ", ".join(items) + ")" for _, items in fields)
+    return F.expr(f"inline(arrays_zip({arrays}))").alias(*[name for name, _ in fields])
 
 
 def _as_col(c) -> Column:
@@ -67,8 +72,8 @@ def unpivot_wide(df: DataFrame, ids: Sequence[str], values: Sequence[str],
     labels = labels or {}
     if all(isinstance(labels.get(v, v), str) for v in values):
         cast = (lambda e: e) if value_type is None else (lambda e: f"CAST({e} AS {value_type})")
-        return df.select(*[qcol(i) for i in ids], _inline_structs(
-            [[(label_col, _text(labels.get(v, v))), (value_col, cast(qname(v)))] for v in values]))
+        return df.select(*[qcol(i) for i in ids], _inline_arrays(
+            [(label_col, [_text(labels.get(v, v)) for v in values]), (value_col, [cast(qname(v)) for v in values])]))
     entries = []
     for v in values:
         val = qcol(v) if value_type is None else qcol(v).cast(value_type)
@@ -84,7 +89,7 @@ def unpivot_paired(df: DataFrame, ids: Sequence[str],
 
     ``groups`` is a list of ``(label, {output_name: column_or_None})``; a
     missing member (``None``) gives a null, so unequal groups never shift.
-    One Generate, the same plan as SQL ``UNPIVOT ((a, b) FOR l IN (...))``.
+    One Generate over the groups' columns packed into one array an output.
     """
     if not groups:
         raise ValueError("unpivot_paired: no groups")
@@ -103,9 +108,9 @@ def unpivot_paired(df: DataFrame, ids: Sequence[str],
             e = "NULL" if m is None else qname(m)
             return e if t is None else f"CAST({e} AS {t})"
 
-        return df.select(*[qcol(i) for i in ids], _inline_structs(
-            [[(label_col, "NULL" if label is None else _text(label)),
-              *[(n, sql(members.get(n), types[n])) for n in names]] for label, members in groups]))
+        return df.select(*[qcol(i) for i in ids], _inline_arrays(
+            [(label_col, ["NULL" if label is None else _text(label) for label, _ in groups]),
+             *[(n, [sql(members.get(n), types[n]) for _, members in groups]) for n in names]]))
     entries = []
     for label, members in groups:
         fields = [_as_label(label).alias(label_col)]
