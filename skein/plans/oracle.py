@@ -258,7 +258,7 @@ SELECT n_name AS "Country", CAST(year(o_orderdate) AS VARCHAR) AS "Year", CAST(c
 FROM {_PLACED} GROUP BY n_name, year(o_orderdate)
 """
 
-ORACLE["stream_panel_files"] = ORACLE["unpivot_panel_files"]
+ORACLE["stream_panel_files"] = ORACLE["xlsx_source_panel"] = ORACLE["xlsx_source_stream"] = ORACLE["unpivot_panel_files"]
 
 ORACLE["convert_folder_blocks"] = f"""
 WITH {_SPAN}, {_MONTHS},

@@ -43,6 +43,7 @@ from skein.sources.files import parent_dir, start_year
 from skein.sources.html import parse_elements, parse_inputs, parse_tables
 from skein.sources.html_paths import select_rows
 from skein.sources.xlsx import read_xlsx, write_xlsx, write_xlsx_rows
+from skein.sources.xlsx_source import register as register_xlsx
 from skein.streaming.unpivot_stream import (
     start_batch_stream,
     start_sink,
@@ -581,6 +582,37 @@ def stream_panel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["stream_panel_files"] = stream_panel_files
 
 
+def xlsx_source_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1/SRC2 as a data source: the MX folder of unpivot_panel_files read with
+    ``spark.read.format("xlsx")``, the first workbook by a pattern and the others
+    by an exclusion, both applied to the listing."""
+    root = scratch_path(spark, "source_files")
+    _run_writes(write_xlsx_rows(I.weekly_paired_rows(spark, sf_dir), f"{root}/MX"))
+    register_xlsx(spark)
+    read = spark.read.format("xlsx").option("headerRow", "0").option("nested", "true")
+    first = f"weekly_{I.order_span(spark, sf_dir)[0].isocalendar()[0]}.xlsx"
+    both = [unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"], value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
+            for rows in (read.load(f"{root}/MX", files=first), read.load(f"{root}/MX", files="*", exclude=first))]
+    return as_double(both[0].unionByName(both[1]).drop("source", "row_no"), "Unit", "Value")
+
+
+def xlsx_source_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1 by the data source: the same folder with ``readStream.format("xlsx")``,
+    its offsets kept in the checkpoint; a second run finds nothing new."""
+    root = scratch_path(spark, "source_stream")
+    _run_writes(write_xlsx_rows(I.weekly_paired_rows(spark, sf_dir), f"{root}/MX"))
+    register_xlsx(spark)
+    for _ in range(2):
+        rows = spark.readStream.format("xlsx").option("headerRow", "0").option("nested", "true").load(f"{root}/MX")
+        long = unpivot_panel_rows(rows, MX, id_labels=["n_name", "c_mktsegment"],
+                                  value_types={"Unit": "bigint", "Value": "decimal(18,2)"})
+        start_sink(long.drop("source", "row_no"), f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return as_double(spark.read.parquet(f"{root}/out"), "Unit", "Value")
+
+
+QUERIES |= {"xlsx_source_panel": xlsx_source_panel, "xlsx_source_stream": xlsx_source_stream}
+
+
 CN_FILES = {"visitors_a.xlsx": (0, 1, 2), "visitors_b.xlsx": (2, 3, 4)}
 
 

@@ -192,21 +192,95 @@ def iter_sheet(content: bytes, sheet: str | None = None):
     return name, rows()
 
 
-def sheet_summary(content: bytes, sheet: str | None, header_row: int) -> tuple[str | None, int, int]:
-    """``(reason, last row with a value, widest row)`` of one sheet by a
-    streaming pass over its rows. ``reason`` says why the sheet cannot be read
-    as asked (None when it can)."""
-    last, width, seen_header = -1, 0, False
+UNREADABLE = (zipfile.BadZipFile, zlib.error, LookupError, ValueError, ET.ParseError, OSError)
+
+
+def sheet_summary(content: bytes, sheet: str | None, header_row: int, hold: list | None = None
+                  ) -> tuple[str | None, int, int, str | None]:
+    """``(reason, last row with a value, widest row, sheet name)`` of one sheet by
+    a streaming pass over its rows. ``reason`` says why the sheet cannot be read
+    as asked (None when it can). ``hold`` gets the rows of a sheet of at most
+    ``CHUNK_CELLS`` cells, which then need not be parsed again; a larger sheet
+    leaves it empty."""
+    last, width, seen_header, size, name = -1, 0, False, 0, None
     try:
-        for r_no, cells in iter_sheet(content, sheet)[1]:
+        name, rows = iter_sheet(content, sheet)
+        for r_no, cells in rows:
             seen_header = seen_header or r_no == header_row
             if r_no >= header_row and cells:
                 last, width = r_no, max(width, len(cells))
-    except (zipfile.BadZipFile, zlib.error, LookupError, ValueError, ET.ParseError, OSError) as e:
-        return f"unreadable: {type(e).__name__}: {e}", last, width
+            size += len(cells) + 1
+            if hold is not None and size <= CHUNK_CELLS:
+                hold.append((r_no, cells))
+    except UNREADABLE as e:
+        return f"unreadable: {type(e).__name__}: {e}", last, width, name
+    if hold is not None and size > CHUNK_CELLS:
+        hold.clear()
     if not seen_header:
-        return "no_header_row", last, width
-    return (None if last > header_row else "no_body_rows"), last, width
+        return "no_header_row", last, width, name
+    return (None if last > header_row else "no_body_rows"), last, width, name
+
+
+def sheet_runs(content: bytes, sheet: str | None = None, header_row: int | None = None, on_error: str = "fail",
+               headers_only: bool = False):
+    """``(sheet name, context, error, rows)`` of one workbook, a run of at most
+    CHUNK_CELLS cells at a time (see ``read_xlsx``). A workbook is parsed once;
+    one of more than CHUNK_CELLS cells whose context is asked for, twice."""
+    context = header_row is not None and not headers_only
+    if headers_only:
+        hold: list = []
+        reason, _, width, name = sheet_summary(content, sheet, header_row or 0, hold)
+        if reason and reason.startswith("unreadable"):
+            return  # an unreadable file has no labels to offer
+        rows = hold or iter_sheet(content, sheet)[1]
+        hdr = next((c + [None] * (width - len(c)) for r_no, c in rows if r_no >= (header_row or 0)), None)
+        if hdr is not None:
+            yield name, {}, None, [(header_row or 0, hdr)]
+        return
+    last, width, hold = None, 0, []
+    if context or on_error == "reject":
+        reason, last, width, name = sheet_summary(content, sheet, header_row or 0, hold)
+        if reason == "no_body_rows" and header_row is None:
+            reason = None  # without a header row the first row is data
+        if reason is not None:
+            if on_error == "fail":
+                raise ValueError(reason)
+            yield None, {}, reason, [(-1, [])]
+            return
+    rows = hold
+    if not hold:
+        name, rows = iter_sheet(content, sheet)
+    ctx, run, size = {}, [], 0
+    for r_no, cells in rows:
+        if context:
+            if r_no == header_row:
+                ctx["hdr"] = cells + [None] * (width - len(cells))
+            if r_no <= header_row or r_no > last:
+                continue
+            if "first_row_no" not in ctx:
+                ctx.update(first_row_no=r_no, first_cells=cells, last_row_no=last)
+        run.append((r_no, cells))
+        size += len(cells) + 1
+        if size >= CHUNK_CELLS:
+            yield name, ctx, None, run
+            run, size = [], 0
+    if run:
+        yield name, ctx, None, run
+
+
+def workbook_schema(header_row: int | None, on_error: str, headers_only: bool = False) -> tuple[pa.Schema, str]:
+    """Arrow schema and DDL of the reader's nested rows."""
+    fields = [("source", pa.string()), ("file_name", pa.string()), ("sheet", pa.string())]
+    ddl = "source string, file_name string, sheet string"
+    if header_row is not None and not headers_only:
+        fields += [("hdr", pa.list_(pa.string())), ("first_row_no", pa.int32()),
+                   ("first_cells", pa.list_(pa.string())), ("last_row_no", pa.int32())]
+        ddl += ", " + CONTEXT_SCHEMA
+    if on_error == "reject" and not headers_only:
+        fields += [("error", pa.string())]
+        ddl += ", error string"
+    fields += [("body", pa.list_(_ROW))]
+    return pa.schema(fields), ddl + ", body array<struct<row_no int, cells array<string>>>"
 
 
 def read_sheet(content: bytes, sheet: str | None = None) -> tuple[str, list[tuple[int, list]]]:
@@ -272,61 +346,9 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, header_row: int
     once a batch and is repeated on its rows by Spark, if at all."""
     if on_error not in ("fail", "reject"):
         raise ValueError("on_error must be fail or reject")
-    context = header_row is not None and not headers_only
-    if nested and not context:
+    if nested and (header_row is None or headers_only):
         raise ValueError("nested rows need header_row")
-    fields = [("source", pa.string()), ("file_name", pa.string()), ("sheet", pa.string())]
-    ddl = "source string, file_name string, sheet string"
-    if context:
-        fields += [("hdr", pa.list_(pa.string())), ("first_row_no", pa.int32()),
-                   ("first_cells", pa.list_(pa.string())), ("last_row_no", pa.int32())]
-        ddl += ", " + CONTEXT_SCHEMA
-    if on_error == "reject" and not headers_only:
-        fields += [("error", pa.string())]
-        ddl += ", error string"
-    fields += [("body", pa.list_(_ROW))]
-    ddl += ", body array<struct<row_no int, cells array<string>>>"
-    schema = pa.schema(fields)
-
-    def runs(content):
-        """``(sheet name, context, error, rows)`` of one file, a run of at most CHUNK_CELLS cells at a time."""
-        if headers_only:
-            try:
-                width = sheet_summary(content, sheet, header_row or 0)[2]
-                name, rows = iter_sheet(content, sheet)
-                hdr = next((c + [None] * (width - len(c)) for r_no, c in rows if r_no >= (header_row or 0)), None)
-            except (zipfile.BadZipFile, zlib.error, LookupError, ValueError, ET.ParseError, OSError):
-                return  # an unreadable file has no labels to offer
-            if hdr is not None:
-                yield name, {}, None, [(header_row or 0, hdr)]
-            return
-        last, width = None, 0
-        if context or on_error == "reject":
-            reason, last, width = sheet_summary(content, sheet, header_row or 0)
-            if reason == "no_body_rows" and header_row is None:
-                reason = None  # without a header row the first row is data
-            if reason is not None:
-                if on_error == "fail":
-                    raise ValueError(reason)
-                yield None, {}, reason, [(-1, [])]
-                return
-        name, rows = iter_sheet(content, sheet)
-        ctx, run, size = {}, [], 0
-        for r_no, cells in rows:
-            if context:
-                if r_no == header_row:
-                    ctx["hdr"] = cells + [None] * (width - len(cells))
-                if r_no <= header_row or r_no > last:
-                    continue
-                if "first_row_no" not in ctx:
-                    ctx.update(first_row_no=r_no, first_cells=cells, last_row_no=last)
-            run.append((r_no, cells))
-            size += len(cells) + 1
-            if size >= CHUNK_CELLS:
-                yield name, ctx, None, run
-                run, size = [], 0
-        if run:
-            yield name, ctx, None, run
+    schema, ddl = workbook_schema(header_row, on_error, headers_only)
 
     def parse(batches):
         out, size = [], 0
@@ -334,7 +356,7 @@ def read_xlsx_files(files: DataFrame, sheet: str | None = None, header_row: int
             for p, fn, content in zip(b.column("path").to_pylist(), b.column("file_name").to_pylist(),
                                       b.column("content").to_pylist()):
                 try:
-                    for name, ctx, error, rows in runs(content):
+                    for name, ctx, error, rows in sheet_runs(content, sheet, header_row, on_error, headers_only):
                         row = {"source": p, "file_name": fn, "sheet": name, **ctx, "error": error,
                                "body": [{"row_no": n, "cells": c} for n, c in rows]}
                         out.append({k: row.get(k) for k in schema.names})
