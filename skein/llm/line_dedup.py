@@ -1,10 +1,13 @@
 """Line dedup over content-defined chunks of lines (operator 4).
 
-A rolling hash over the hashes of the last two lines chooses chunk ends, so
-inserting or deleting a line moves only the ends next to it. Chunks of two or
-more lines that occur again are removed; the first (smallest doc_id, then
-place) stays. Equal hashes are not trusted: occurrences are counted by a
-grouping on the chunk's bytes.
+A rolling hash is taken over the hashes of every two neighbouring lines that
+have a word (blank lines between them belong to the stretch). It is counted
+over the corpus, and a text is cut where it meets one that has not occurred
+before: chunks are the stretches between such cuts, two lines long or more.
+The cuts depend on the two lines alone, so lines inserted or deleted elsewhere
+move none of them. A chunk's lines go, the first occurrence (smallest doc_id,
+then place) stays. Equal hashes are not trusted: every stretch that one made a
+candidate is compared byte by byte.
 """
 
 from __future__ import annotations
@@ -21,109 +24,128 @@ from .store import prepare, saved
 from .words import SEPARATOR, Texts, mix, text_slices, texts_of
 
 
-def chunks(texts: Texts, one_in: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, lines, doc): byte bounds of every chunk without its last newline, its number of lines, its document.
+def stretches(texts: Texts) -> tuple[np.ndarray, ...]:
+    """(first line, last line, document, start, end, hash) of every two neighbouring lines with a word.
 
-    A chunk ends after a line where the rolling hash of that line and the one
-    before is 0 modulo ``one_in``, once it has two lines.
+    Lines are numbered over the slice; start and end are bytes, without the last newline.
     """
     starts, ends, offs = texts.lines()
+    words = np.concatenate([[0], np.cumsum(~SEPARATOR[texts.data])])
+    full = np.flatnonzero(words[ends] > words[starts])
     raw = texts.data.tobytes()
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts, ends, strict=True)), np.uint64, len(starts))
-    first = np.zeros(len(starts), bool)
-    first[offs[:-1]] = True
-    before = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]])
-    before[first] = 0
-    stop = mix(hashes + before * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(one_in) == 0
-    # of neighbouring ends every second one counts, so that each chunk has two lines; a document's start counts as an end
-    place = np.arange(len(starts))
-    fresh = stop & ~np.concatenate([[False], stop[:-1]])
-    fresh |= stop & first
-    run = np.maximum.accumulate(np.where(fresh, place + (first & stop), 0))
-    stop &= (place >= run) & ((place - run) % 2 == 0)
-    stop[offs[1:] - 1] = True
-    last = np.flatnonzero(stop)
-    begin = np.concatenate([[0], last[:-1] + 1])
-    doc = np.searchsorted(offs, begin, "right") - 1
-    return starts[begin], ends[last], last - begin + 1, doc
-
-
-def _chunk_rows(one_in: int, with_bytes: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            texts = texts_of(batch.column("text"))
-            starts, ends, lines, doc = chunks(texts, one_in)
-            words = np.concatenate([[0], np.cumsum(~SEPARATOR[texts.data])])
-            good = np.flatnonzero((lines > 1) & (words[ends] > words[starts]))
-            raw = texts.data.tobytes()
-            blobs = [raw[starts[i] : ends[i]] for i in good]
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in blobs), np.uint64, len(blobs)).view(np.int64)
-            owner = pa.array(doc[good])
-            if with_bytes:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(owner), pa.array(hashes), pa.array(blobs, pa.binary())],
-                                                 ["doc_id", "hash", "chunk"])
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts[full].tolist(), ends[full].tolist(), strict=True)), np.uint64, len(full))
+    doc = np.searchsorted(offs, full, "right") - 1
+    at = np.flatnonzero(doc[1:] == doc[:-1])
+    gap = np.ones(len(at), np.uint64)  # a newline, or blank lines
+    blank = np.flatnonzero(full[at + 1] > full[at] + 1)
+    gap[blank] = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(ends[full[at[blank]]].tolist(), starts[full[at[blank] + 1]].tolist(), strict=True)), np.uint64, len(blank))
+    rolled = mix(hashes[at] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + 1] + mix(gap))
+    return full[at], full[at + 1], doc[at], starts[full[at]], ends[full[at + 1]], rolled.view(np.int64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Smallest doc_id and number of occurrences of each hash in a slice of texts."""
+    for batch in text_slices(batches, "t", 1 << 22, 1 << 13):
+        *_, doc, _, _, hashes = stretches(texts_of(batch.column("t")))
+        rows = pa.table([pa.array(hashes), batch.column("i").take(pa.array(doc))], ["hash", "lo"])
+        of = rows.group_by("hash").aggregate([("lo", "min"), ("hash", "count")]).rename_columns(["hash", "lo", "n"])
+        yield from of.to_batches()
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every stretch: its text's key, its number in the text, and whether it came before in that text."""
+    for batch in text_slices(batches, "t"):
+        texts = texts_of(batch.column("t"))
+        first, _, doc, _, _, hashes = stretches(texts)
+        number = np.arange(len(doc)) - np.searchsorted(doc, np.arange(texts.size))[doc]
+        order = np.lexsort([number, hashes, doc])
+        again = np.zeros(len(doc), bool)
+        again[order[1:]] = (hashes[order[1:]] == hashes[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
+        owner = pa.array(doc)
+        yield pa.RecordBatch.from_arrays([batch.column("i").take(owner), batch.column("k").take(owner), pa.array(hashes),
+                                          pa.array(number.astype(np.int32)), pa.array(again)], ["i", "k", "hash", "number", "again"])
+
+
+def _picked(batch: pa.RecordBatch, doc: np.ndarray) -> np.ndarray:
+    """Places, among the stretches of a slice, of those whose numbers the rows list."""
+    numbers = batch.column("numbers").fill_null([])
+    counts = numbers.value_lengths().to_numpy(zero_copy_only=False)
+    return np.repeat(np.searchsorted(doc, np.arange(batch.num_rows)), counts) + numbers.flatten().to_numpy(zero_copy_only=False)
+
+
+def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the stretches that the rows list, each once a slice."""
+    for batch in text_slices(batches, "t"):
+        texts = texts_of(batch.column("t"))
+        *_, doc, start, end, hashes = stretches(texts)
+        raw, at = texts.data.tobytes(), _picked(batch, doc)
+        found = {(h, raw[a:b]) for h, a, b in zip(hashes[at].tolist(), start[at].tolist(), end[at].tolist(), strict=True)}
+        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())], ["hash", "chunk"])
+
+
+def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without the lines of the stretches that the rows list."""
+    for batch in text_slices(batches, "t"):
+        texts = texts_of(batch.column("t"))
+        first, last, doc, *_ = stretches(texts)
+        starts, ends, offs = texts.lines()
+        at = _picked(batch, doc)
+        change = np.zeros(len(starts) + 1, np.int64)
+        np.add.at(change, first[at], 1)
+        np.add.at(change, last[at] + 1, -1)
+        stays = np.cumsum(change[:-1]) == 0
+        raw, absent = texts.data.tobytes(), np.asarray(batch.column("t").is_null())
+        cut = np.add.reduceat(~stays, offs[:-1]) if batch.num_rows else np.zeros(0, np.int64)
+        kept = []
+        for doc_no, (a, b) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):
+            if not cut[doc_no]:
+                kept.append(raw[starts[a] : ends[b - 1]].decode())
                 continue
-            number = good - np.searchsorted(doc, np.arange(texts.size))[doc[good]]
-            order = np.lexsort([good, hashes, doc[good]])
-            again = np.zeros(len(good), bool)
-            again[order[1:]] = (hashes[order[1:]] == hashes[order[:-1]]) & (doc[good][order[1:]] == doc[good][order[:-1]])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(owner), batch.column("tkey").take(owner), pa.array(hashes), pa.array(number.astype(np.int32)), pa.array(again)],
-                ["doc_id", "tkey", "hash", "number", "again"])
-
-    return run
-
-
-def _rewritten(one_in: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            texts = texts_of(batch.column("text"))
-            starts, ends, lines, doc = chunks(texts, one_in)
-            first = np.searchsorted(doc, np.arange(texts.size))
-            gone = np.zeros(len(doc), bool)
-            numbers = batch.column("numbers").fill_null([])
-            gone[np.repeat(first, numbers.value_lengths().to_numpy(zero_copy_only=False)) + numbers.flatten().to_numpy(zero_copy_only=False)] = True
-            raw = texts.data.tobytes()
-            bounds = np.append(first, len(doc))
-            kept = [b"\n".join([raw[starts[i] : ends[i]] for i in range(a, b) if not gone[i]]).decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            absent = np.asarray(batch.column("text").is_null())
-            text = pa.array(kept, pa.string(), mask=absent)
-            counts = np.concatenate([[0], np.cumsum(lines * gone)])
-            total = np.diff(np.concatenate([[0], np.cumsum(lines)])[bounds])
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "numbers"} | {
-                "text": text, "n_lines": pa.array(np.where(absent, 0, total)), "n_removed": pa.array(np.diff(counts[bounds]))}
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-    return run
-
-
-def line_dedup(spark: SparkSession, docs: DataFrame, one_in: int = 4) -> DataFrame:
-    """Documents without the multi-line chunks that occur earlier, all columns kept, plus n_lines and n_removed (lines).
-
-    ``docs`` needs ``doc_id`` and ``text``; a column named n_lines, n_removed,
-    tkey or numbers is replaced by the operator's own (the last two do not
-    stay). Chunks end by content about every ``one_in`` lines after the
-    second. Kept chunks are joined by their newline.
+            kept.append(b"\n".join([raw[starts[j] : ends[j]] for j in (a + np.flatnonzero(stays[a:b])).tolist()]).decode())
+        columns = [batch.column("d"), pa.array(kept, pa.string(), mask=absent), pa.array(np.where(absent, 0, np.diff(offs))), pa.array(cut.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["d", "t", "n_lines", "n_removed"])
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Documents without the stretches of two or more lines that occur earlier, all columns kept, plus n_lines and n_removed (lines).
+
+    ``docs`` needs ``doc_id`` and ``text``; other columns come through
+    unchanged, whatever their names, but for n_lines and n_removed, which are
+    replaced. Every line of a run of two or more lines with words that also
+    stands in a document with a smaller id, or earlier in its own, is removed,
+    and with it the blank lines inside the run. The other lines keep their
+    order and their newlines.
 
     Defined cases: a null text stays null, with 0 lines; an empty text is one
-    empty line; a single line or a chunk without a word is never removed; of
-    rows with the same id and chunk, each keeps its first; a chunk of a row
-    with a null id is removed only if it occurs earlier in that row, and does
-    not count as an earlier occurrence for others. Where different chunks
-    share a 64-bit hash, all of them stay.
+    empty line; a line alone is never removed, however often it comes; a null
+    id is no earlier occurrence for others, and its text loses only what came
+    before in that text; of rows with the same id, each keeps its first; an
+    empty table stays empty. Where different stretches share a 64-bit hash,
+    all of them stay.
     """
     prepare(spark)
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed", "tkey", "numbers")]
-    base = docs.select("doc_id", F.col("text").cast("string").alias("text"), *(F.col(f"`{c}`") for c in others)).withColumn("tkey", F.xxhash64("text"))
-    thin = base.select("doc_id", "text", "tkey")
-    exact = (thin.mapInArrow(_chunk_rows(one_in, True), "doc_id long, hash long, chunk binary")
-             .groupBy("hash", "chunk").agg(F.min("doc_id").alias("lo"), F.count("*").alias("n")))
-    repeated = (exact.groupBy("hash").agg(F.count("*").alias("texts"), F.min("lo").alias("lo"), F.sum("n").alias("n"))
-                .where("texts = 1 and n > 1").select("hash", "lo"))
-    found = thin.mapInArrow(_chunk_rows(one_in, False), "doc_id long, tkey long, hash long, number int, again boolean").join(repeated, "hash")
-    flags = (found.where("again or coalesce(doc_id > lo, false)").groupBy("doc_id", "tkey")
-             .agg(F.collect_set("number").alias("numbers")))
-    flags = saved(spark, flags, "repeated-chunks").select(F.col("doc_id").alias("f_id"), F.col("tkey").alias("f_key"), "numbers").hint("merge")
-    joined = base.join(flags, F.col("doc_id").eqNullSafe(F.col("f_id")) & F.col("tkey").eqNullSafe(F.col("f_key")), "left").drop("f_id", "f_key", "tkey")
-    schema = joined.drop("numbers").schema.add("n_lines", "long").add("n_removed", "long")
-    return joined.mapInArrow(_rewritten(one_in), schema)
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    field = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    text = F.col("text").cast("string")
+    others = F.struct(F.lit(0).alias("of"), *[field(c).alias(c) for c in names if c != "text"])  # never empty, one column whatever the names
+    base = docs.select(F.col("doc_id").cast("long").alias("i"), F.xxhash64(text).alias("k"), text.alias("t"), others.alias("d"))
+    thin = base.select("i", "k", "t")
+    counted = thin.mapInArrow(_counted, "hash long, lo long, n long").groupBy("hash").agg(F.min("lo").alias("lo"), F.sum("n").alias("n"))
+    repeated = saved(spark, counted.where("n > 1").select("hash", "lo"), "line-hashes")
+    places = thin.mapInArrow(_placed, "i long, k long, hash long, number int, again boolean").hint("merge")
+    found = saved(spark, places.join(repeated, "hash").where("again or coalesce(i > lo, false) or i = lo")
+                  .select("i", "k", "hash", "number", (F.col("again") | F.coalesce(F.col("i") > F.col("lo"), F.lit(False))).alias("later")), "line-places")
+
+    def listed(of: DataFrame) -> DataFrame:
+        lists = of.groupBy("i", "k").agg(F.collect_set("number").alias("numbers")).select(F.col("i").alias("of_i"), F.col("k").alias("of_k"), "numbers")
+        same = F.col("i").eqNullSafe(F.col("of_i")) & F.col("k").eqNullSafe(F.col("of_k"))
+        return base.join(lists.hint("merge"), same, "left").select("d", "t", "numbers")
+
+    shown = listed(found).where("numbers is not null").select("t", "numbers").mapInArrow(_bytes, "hash long, chunk binary")
+    unlike = shown.groupBy("hash", "chunk").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("*").alias("texts")).where("texts > 1").select("hash")
+    unlike = saved(spark, unlike, "unlike-chunks")
+    late = found.where("later").join(unlike, "hash", "left_anti")
+    schema = base.select("d", "t").schema.add("n_lines", "long").add("n_removed", "long")
+    out = listed(late).mapInArrow(_rewritten, schema)
+    return out.select(*[F.col("t").alias("text") if c == "text" else F.col("d")[c].alias(c) for c in names], "n_lines", "n_removed")
+
