@@ -29,7 +29,7 @@ from .words import FIRST, Texts, distinct, mix, per_doc, text_slices, texts_of
 
 BLOCK_BYTES, PART_BYTES, LEAST_PARTS = 16 << 20, 16 << 20, 64  # bytes of text in a block, and behind a part's counts
 START = np.uint64(0x9E3779B97F4A7C15)  # stands before a text's first word
-TEXT = -1  # the part of a block's own row
+TEXT, PLACES = -2, -1  # the parts of a block's own row and of the row with the places of its target texts
 BLOCK = "block long, part int, bytes long, ids array<long>, packed binary"
 ASKED = "part int, block long, n_words long, n_pairs long, words binary, pairs binary, n binary, n_target binary"
 ANSWER = "block long, part int, packed binary, n_words long, n_pairs long, n binary, n_target binary, vocabulary long, total long, total_target long"
@@ -71,8 +71,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number += 1
 
 
-def _unpacked(packed: pa.Scalar) -> pa.RecordBatch:
-    return pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
+def _opened(block: pa.Table) -> tuple[pa.RecordBatch, np.ndarray, pa.Table]:
+    """(texts, which of them are target texts, the other rows) of a block's rows, its own first."""
+    rows = pa.ipc.open_stream(block.column("packed")[0].as_buffer()).read_next_batch()
+    chosen, rest = np.zeros(rows.num_rows, bool), block.slice(1)
+    if rest.num_rows and rest.column("part")[0].as_py() == PLACES:
+        chosen[np.array(rest.column("places")[0].as_py(), np.int64)] = True
+        rest = rest.slice(1)
+    return rows, chosen, rest
 
 
 @dataclass
@@ -108,11 +114,9 @@ def _asked(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["block"]):
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                rows = _unpacked(table.column("packed")[a])  # TEXT is the block's first row; places of target texts may follow
+                rows, chosen, _ = _opened(table.slice(a, b - a))
                 g = grams(texts_of(rows.column("text")))
                 count = np.diff(g.offsets)
-                chosen = np.zeros(len(count), bool)
-                chosen[np.array([x for places in table.column("places")[a + 1 : b].to_pylist() for x in places], np.int64)] = True
                 target = np.concatenate([np.repeat(chosen, count), chosen[count > 0]])
                 counts = [[np.bincount(x[target[: len(x)]] if k else x, minlength=len(keys)) for x, keys in ((g.word, g.words), (g.pair, g.pairs))] for k in (0, 1)]
                 w, p = part_limits(g.words, parts), part_limits(g.pairs, parts)
@@ -149,35 +153,74 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [x.split()[0] for x in ANSWER.split(", ")])
 
 
-def log_probabilities(g: Grams, words: np.ndarray, pairs: np.ndarray, total: int, vocabulary: int, prior: float) -> np.ndarray:
+def _own(key: np.ndarray, text: np.ndarray, kinds: int) -> np.ndarray:
+    """How often each item's key comes in the item's own text."""
+    _, which, n = np.unique(text * kinds + key, return_inverse=True, return_counts=True)
+    return n[which]
+
+
+@dataclass
+class OwnCounts:
+    """What each token's own text holds: of the token, of the word before, of the pair; and the text's tokens."""
+
+    word: np.ndarray
+    before: np.ndarray
+    pair: np.ndarray
+    tokens: np.ndarray
+
+    @classmethod
+    def of(cls, g: Grams) -> OwnCounts:
+        count, n = np.diff(g.offsets), len(g.pair)
+        text = np.repeat(np.arange(len(count)), count)
+        word = _own(g.word[:n], text, len(g.words)) if n else np.zeros(0, np.int64)
+        before = np.concatenate([word[:1], word[:-1]])
+        before[g.offsets[:-1][count > 0]] = 1  # START
+        return cls(word, before, _own(g.pair, text, len(g.pairs)) if n else word, count[text])
+
+
+@dataclass
+class Counts:
+    """What one model holds of each token of some texts, each text's own counts taken out where the text is part of the model."""
+
+    word: np.ndarray
+    before: np.ndarray
+    pair: np.ndarray
+    total: np.ndarray
+
+    @classmethod
+    def without(cls, own: OwnCounts, counted: np.ndarray | bool, g: Grams, words: np.ndarray, pairs: np.ndarray, total: int) -> Counts:
+        whole = (words[g.word[: len(g.pair)]], words[g.before], pairs[g.pair], np.full(len(g.pair), total))
+        return cls(*(x - np.where(counted, y, 0) for x, y in zip(whole, (own.word, own.before, own.pair, own.tokens), strict=True)))
+
+
+def log_probabilities(model: Counts, vocabulary: int, prior: float) -> np.ndarray:
     """Of each token: its pair's count and ``prior`` times the word's share, where words have half a count added."""
-    single = (words[g.word[: len(g.pair)]] + 0.5) / (total + 0.5 * vocabulary)
-    return np.log((pairs[g.pair] + prior * single) / (words[g.before] + prior))
+    single = (model.word + 0.5) / (model.total + 0.5 * vocabulary)
+    return np.log((model.pair + prior * single) / (model.before + prior))
 
 
 def _scored(prior: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["block"]):
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                rows = _unpacked(table.column("packed")[a])  # TEXT is the block's first row
-                answers = table.slice(a + 1, b - a - 1)
+                rows, chosen, answers = _opened(table.slice(a, b - a))
                 g = grams(texts_of(rows.column("text")))
-                count = np.diff(g.offsets)
+                own, count = OwnCounts.of(g), np.diff(g.offsets)
                 n_words, n_pairs = (answers.column(c).to_pylist() for c in ("n_words", "n_pairs"))
                 vocabulary = sum(answers.column("vocabulary").to_pylist())
                 losses = []
-                for name, whole in (("n_target", "total_target"), ("n", "total")):
+                for name, whole, counted in (("n_target", "total_target", np.repeat(chosen, count)), ("n", "total", True)):
                     sums = [unsqueezed(x, i + j) for x, i, j in zip(answers.column(name), n_words, n_pairs, strict=True)]
                     words, pairs = (np.concatenate(x) for x in zip(*((x[:i], x[i:]) for x, i in zip(sums, n_words, strict=True)), strict=True))
-                    logs = log_probabilities(g, words, pairs, sum(answers.column(whole).to_pylist()), vocabulary, prior)
-                    losses.append(-per_doc(logs, g.offsets) / np.maximum(count, 1))
+                    model = Counts.without(own, counted, g, words, pairs, sum(answers.column(whole).to_pylist()))
+                    losses.append(-per_doc(log_probabilities(model, vocabulary, prior), g.offsets) / np.maximum(count, 1))
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(count.astype(np.int64)), *(pa.array(x) for x in losses), pa.array(losses[1] - losses[0])],
                                                  ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
     return run
 
 
-def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: DataFrame, prior: float = 10000.0) -> DataFrame:
+def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: DataFrame, prior: float = 100000.0) -> DataFrame:
     """Loss of every document under the background model less its loss under the target model, per token.
 
     ``docs`` needs doc_id and text; ``targets`` holds the doc_id of target
@@ -201,8 +244,8 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: Data
     places = (blocks.select("block", F.posexplode("ids").alias("place", "doc_id")).join(chosen.hint("merge"), "doc_id")
               .groupBy("block").agg(F.collect_list("place").alias("places")))
     text = blocks.select("block", "part", "packed")
-    marked = text.unionByName(places.withColumn("part", F.lit(0)), allowMissingColumns=True)
+    marked = text.unionByName(places.withColumn("part", F.lit(PLACES)), allowMissingColumns=True)
     answers = (marked.repartition("block").sortWithinPartitions("block", "part").mapInArrow(_asked(parts), ASKED)
                .repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_answers, ANSWER))
-    return (text.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "part")
+    return (marked.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "part")
             .mapInArrow(_scored(prior), "doc_id long, n_tokens long, loss_target double, loss_background double, score double"))

@@ -364,20 +364,35 @@ def test_cross_entropy_difference_counts_every_word_and_pair(spark, docs, rows):
     size = len(words[0])
     assert size > 1 << 16
 
-    def loss(k, w, prior=50.0):
-        whole = sum(words[k].values()) + 0.5 * size
-        p = [(pairs[k][x, y] + prior * (words[k][y] + 0.5) / whole) / (before[k][x] + prior) for x, y in zip([None, *w], w, strict=False)]
+    totals = [sum(c.values()) for c in words]
+
+    def loss(k, i, w, prior=50.0):
+        """By the counts of model k without the text's own, if it is one of the model's."""
+        mine = w if k == 0 or i in targets else []
+        own, own_pairs, own_before = collections.Counter(mine), collections.Counter(zip([None, *mine], mine, strict=False)), collections.Counter([None, *mine] if mine else [])
+        whole = totals[k] - len(mine) + 0.5 * size
+        p = [(pairs[k][x, y] - own_pairs[x, y] + prior * (words[k][y] - own[y] + 0.5) / whole) / (before[k][x] - own_before[x] + prior) for x, y in zip([None, *w], w, strict=False)]
         return -float(np.log(p).sum()) / max(1, len(w))
 
     chosen = spark.createDataFrame([(i,) for i in targets], "doc_id long")
     got = cross_entropy_difference(spark, spark.createDataFrame(many, "doc_id long, text string").repartition(5), chosen, prior=50.0).collect()
     key = lambda x: (str(x[0]), x[1])
-    want = sorted(((i, len(w), loss(1, w), loss(0, w)) for i, w in tokens), key=lambda x: (*key(x), x[3]))
+    want = sorted(((i, len(w), loss(1, i, w), loss(0, i, w)) for i, w in tokens), key=lambda x: (*key(x), x[3]))
     got = sorted(((r.doc_id, r.n_tokens, r.loss_target, r.loss_background) for r in got), key=lambda x: (*key(x), x[3]))
     assert [key(x) for x in got] == [key(x) for x in want]
     assert np.allclose([x[2:] for x in got], [x[2:] for x in want])
 
 
+def test_being_a_target_gives_a_text_nothing_by_itself(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [(i, " ".join(rng.choices(vocabulary, k=200))) for i in range(200)]
+    targets = spark.createDataFrame([(i,) for i in range(0, 200, 2)], "doc_id long")
+    out = cross_entropy_difference(spark, spark.createDataFrame(texts, "doc_id long, text string"), targets).toPandas()
+    of = [out[out.doc_id % 2 == k].score for k in (0, 1)]
+    assert abs(of[0].median() - of[1].median()) < 0.2 * of[0].std()
+
+
 def test_near_copies_leave_one_row(spark):
     """Null ids and repeated rows: one row of each group stays, and every row without a word."""
     import corpus_pipeline
