@@ -45,11 +45,17 @@ def stretches(texts: Texts) -> tuple[np.ndarray, ...]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Smallest doc_id and number of occurrences of each hash in a slice of texts."""
-    for batch in text_slices(batches, "t", 1 << 22, 1 << 13):
+    none = np.iinfo(np.int64).max
+    for batch in text_slices(batches, "t"):
         *_, doc, _, _, hashes = stretches(texts_of(batch.column("t")))
-        rows = pa.table([pa.array(hashes), batch.column("i").take(pa.array(doc))], ["hash", "lo"])
-        of = rows.group_by("hash").aggregate([("lo", "min"), ("hash", "count")]).rename_columns(["hash", "lo", "n"])
-        yield from of.to_batches()
+        if not len(hashes):
+            continue
+        ids = batch.column("i").fill_null(none).to_numpy()[doc]
+        order = np.argsort(hashes)
+        first = np.flatnonzero(np.diff(hashes[order], prepend=hashes[order[:1]] - 1))
+        low = np.minimum.reduceat(ids[order], first)
+        n = np.diff(np.append(first, len(order)))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[order][first]), pa.array(low, mask=low == none), pa.array(n)], ["hash", "lo", "n"])
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
