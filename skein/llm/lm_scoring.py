@@ -28,6 +28,7 @@ from .store import prepare, saved
 from .words import FIRST, Texts, distinct, mix, per_doc, text_slices, texts_of
 
 BLOCK_BYTES, PART_BYTES, LEAST_PARTS = 16 << 20, 16 << 20, 64  # bytes of text in a block, and behind a part's counts
+TOKENS = 1 << 18  # tokens scored at once
 START = np.uint64(0x9E3779B97F4A7C15)  # stands before a text's first word
 TEXT, PLACES = -2, -1  # the parts of a block's own row and of the row with the places of its target texts
 BLOCK = "block long, part int, bytes long, ids array<long>, packed binary"
@@ -199,21 +200,43 @@ def log_probabilities(model: Counts, vocabulary: int, prior: float) -> np.ndarra
     return np.log((model.pair + prior * single) / (model.before + prior))
 
 
+def _some_texts(g: Grams) -> Iterator[tuple[Grams, int, int]]:
+    """The texts of a block in runs of about TOKENS tokens: (grams of the run, its first text, the text after its last)."""
+    texts, i = len(g.offsets) - 1, 0
+    while i < texts:
+        j = min(max(i + 1, int(np.searchsorted(g.offsets, g.offsets[i] + TOKENS, "right")) - 1), texts)
+        a, b = g.offsets[i], g.offsets[j]
+        yield Grams(g.words, g.word[a:b], g.pairs, g.pair[a:b], g.before[a:b], g.offsets[i : j + 1] - a), i, j
+        i = j
+
+
+def _losses(g: Grams, sums: list[tuple], chosen: np.ndarray, vocabulary: int, prior: float) -> list[np.ndarray]:
+    """Losses of some texts under the target model and the background model."""
+    own, count = OwnCounts.of(g), np.diff(g.offsets)
+    out = []
+    for (words, pairs, total), counted in zip(sums, (np.repeat(chosen, count), True), strict=True):
+        model = Counts.without(own, counted, g, words, pairs, total)
+        out.append(-per_doc(log_probabilities(model, vocabulary, prior), g.offsets) / np.maximum(count, 1))
+    return out
+
+
 def _scored(prior: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["block"]):
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 rows, chosen, answers = _opened(table.slice(a, b - a))
                 g = grams(texts_of(rows.column("text")))
-                own, count = OwnCounts.of(g), np.diff(g.offsets)
+                count = np.diff(g.offsets)
                 n_words, n_pairs = (answers.column(c).to_pylist() for c in ("n_words", "n_pairs"))
                 vocabulary = sum(answers.column("vocabulary").to_pylist())
-                losses = []
-                for name, whole, counted in (("n_target", "total_target", np.repeat(chosen, count)), ("n", "total", True)):
-                    sums = [unsqueezed(x, i + j) for x, i, j in zip(answers.column(name), n_words, n_pairs, strict=True)]
-                    words, pairs = (np.concatenate(x) for x in zip(*((x[:i], x[i:]) for x, i in zip(sums, n_words, strict=True)), strict=True))
-                    model = Counts.without(own, counted, g, words, pairs, sum(answers.column(whole).to_pylist()))
-                    losses.append(-per_doc(log_probabilities(model, vocabulary, prior), g.offsets) / np.maximum(count, 1))
+                sums = []
+                for name, whole in (("n_target", "total_target"), ("n", "total")):
+                    own = [unsqueezed(x, i + j) for x, i, j in zip(answers.column(name), n_words, n_pairs, strict=True)]
+                    words, pairs = (np.concatenate(x) for x in zip(*((x[:i], x[i:]) for x, i in zip(own, n_words, strict=True)), strict=True))
+                    sums.append((words, pairs, sum(answers.column(whole).to_pylist())))
+                del own
+                parts = [_losses(x, sums, chosen[i:j], vocabulary, prior) for x, i, j in _some_texts(g)]
+                losses = [np.concatenate([np.zeros(0), *x]) for x in zip(*parts, strict=True)] if parts else [np.zeros(0)] * 2
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(count.astype(np.int64)), *(pa.array(x) for x in losses), pa.array(losses[1] - losses[0])],
                                                  ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
