@@ -6,7 +6,10 @@ in two documents on one of twice the length, until the whole window is
 compared or no candidate is left. The piece that stands for a window at a
 level is the one with the smallest hash among all pieces of that length inside
 the window, so equal windows always choose equal pieces and few distinct
-pieces (about ``2 / (window - start)`` a word) are shuffled.
+pieces (about ``2 / (window - length)`` a word) are shuffled. Windows travel as
+spans: runs of neighbouring windows with one piece, cut to what the levels
+before left. The runs of all levels come from one pass over the texts, and
+texts move once, for the last level.
 """
 
 from __future__ import annotations
@@ -23,6 +26,10 @@ from .store import prepare, saved
 from .words import FIRST, Texts, doc_index, mix, text_slices, texts_of, window_starts, windows
 
 
+#: a piece's rows are counted and joined in this many parts, by document, as one passage may stand in a third of all documents
+PARTS = 32
+
+
 def levels(window: int, start: int) -> list[int]:
     """Piece lengths: ``start`` doubled while below ``window``, then ``window``."""
     out, length = [], min(start, window)
@@ -69,30 +76,119 @@ def joined_words(texts: Texts, starts: np.ndarray, ends: np.ndarray, word_offset
     return [packed[a:b].rstrip(b" ") for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _first_level(window: int, length: int):
+RUNS = "array<struct<piece: long, a: int, b: int>>"
+
+
+def _first_pass(window: int, lengths: list[int]):
+    """Marks of each text, and for each length the runs ``a <= place < b`` of windows that one piece stands for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             texts = texts_of(batch.column("text"))
             starts, ends, offs = texts.words()
             hashes = FIRST.segments(texts.data, starts, ends)
-            piece, whole = chosen_pieces(hashes, offs, window, length)
-            doc = doc_index(offs)
-            at = np.flatnonzero(whole)
-            change = np.ones(len(at), bool)
-            change[1:] = (piece[at][1:] != piece[at][:-1]) | (doc[at][1:] != doc[at][:-1])
-            at = at[change]
-            list_offsets = np.searchsorted(doc[at], np.arange(texts.size + 1))
             marks = [hashlib.sha256(x).hexdigest() for x in joined_words(texts, starts, ends, offs, np.ones(len(starts), bool))]
             one, two = _sequence(hashes, offs, 3), _sequence(hashes, offs, 4)
-            pieces = pa.ListArray.from_arrays(pa.array(list_offsets, pa.int32()), pa.array(piece[at].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tkey"), pa.array(np.diff(offs)), pa.array(one.view(np.int64)),
-                 pa.array(two.view(np.int64)), pa.array(marks, pa.string()), pieces],
-                ["doc_id", "tkey", "n_words", "seq1", "seq2", "sha", "pieces"])
+                 pa.array(two.view(np.int64)), pa.array(marks, pa.string()), *[_runs(hashes, offs, window, length) for length in lengths]],
+                ["doc_id", "tkey", "n_words", "seq1", "seq2", "sha", *[f"runs{length}" for length in lengths]])
+
+    return run
+
+
+def _runs(hashes: np.ndarray, offs: np.ndarray, window: int, length: int) -> pa.ListArray:
+    piece, whole = chosen_pieces(hashes, offs, window, length)
+    at = np.flatnonzero(whole)
+    doc = doc_index(offs)[at]
+    first = np.ones(len(at), bool)
+    first[1:] = (piece[at][1:] != piece[at][:-1]) | (doc[1:] != doc[:-1])
+    opens = np.flatnonzero(first)
+    last = np.append(opens[1:], len(at)) - 1 if len(opens) else opens
+    base, owner = offs[:-1], doc[opens]
+    fields = {"piece": pa.array(piece[at[opens]].view(np.int64)), "a": pa.array((at[opens] - base[owner]).astype(np.int32)),
+              "b": pa.array((at[last] + 1 - base[owner]).astype(np.int32))}
+    counts = np.searchsorted(owner, np.arange(len(offs)))
+    return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.StructArray.from_arrays(list(fields.values()), list(fields)))
+
+
+def _fields(lists: pa.ListArray, base: np.ndarray) -> tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray]:
+    """(elements, their rows, a, b) of lists of spans, a and b moved by their row's base."""
+    flat = lists.flatten()
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    a, b = (flat.field(n).to_numpy(zero_copy_only=False).astype(np.int64) + base[row] for n in ("a", "b"))
+    return flat, row, a, b
+
+
+def _left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of a level cut to the spans that the level before left (one row each)."""
+    for batch in batches:
+        # each row on its own stretch of one line, a gap after it, so spans of two rows never touch
+        size = batch.column("n_words").to_numpy(zero_copy_only=False) + 1
+        base = np.concatenate([[0], np.cumsum(size)[:-1]])
+        flat, row, ra, rb = _fields(batch.column("runs"), base)
+        _, _, sa, sb = _fields(batch.column("spans"), base)
+        order = np.argsort(sa)
+        sa, sb = sa[order], sb[order]
+        apart = sa[1:] != sb[:-1]
+        sa, sb = sa[np.append(True, apart)[: len(sa)]], sb[np.append(apart, True)[: len(sb)]]
+        if not len(ra) or not len(sa):
+            continue
+        edges = np.unique(np.concatenate([ra, rb, sa, sb]))
+        low, high = edges[:-1], edges[1:]
+        r, s = (np.searchsorted(x, low, "right") - 1 for x in (ra, sa))
+        both = (r >= 0) & (s >= 0) & (low < rb[r]) & (low < sb[s])
+        low, high, r = low[both], high[both], r[both]
+        owner = row[r]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(pa.array(owner)), batch.column("tkey").take(pa.array(owner)), flat.field("piece").take(pa.array(r)),
+             pa.array((low - base[owner]).astype(np.int32)), pa.array((high - base[owner]).astype(np.int32))],
+            ["doc_id", "tkey", "piece", "a", "b"])
+
+
+def _last_level(window: int):
+    """Each document's distinct windows among its spans, with all their places: one row a window, however often the text repeats it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            texts = texts_of(batch.column("text"))
+            starts, ends, offs = texts.words()
+            hashes = FIRST.segments(texts.data, starts, ends)
+            _, _, a, b = _fields(batch.column("spans"), offs[:-1])
+            step = np.zeros(len(starts) + 1, np.int64)
+            np.add.at(step, a, 1)
+            np.add.at(step, b, -1)
+            at = np.flatnonzero(np.cumsum(step[:-1]) > 0)
+            doc = doc_index(offs)[at]
+            piece, check = windows(hashes, window)[at], windows(hashes, window, seed=2)[at] >> np.uint64(33)
+            order = np.lexsort((at, check, piece, doc))
+            at, doc, piece, check = (x[order] for x in (at, doc, piece, check))
+            new = np.ones(len(at), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (piece[1:] != piece[:-1]) | (check[1:] != check[:-1])
+            opens = np.flatnonzero(new)
+            places = pa.ListArray.from_arrays(pa.array(np.append(opens, len(at)), pa.int32()), pa.array((at - offs[:-1][doc]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(doc[opens])), batch.column("tkey").take(pa.array(doc[opens])),
+                 pa.array(piece[opens].view(np.int64)), pa.array(check[opens].astype(np.int32)), places],
+                ["doc_id", "tkey", "piece", "check", "places"])
 
     return run
 
 
+def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` whose keys stand in two documents or more, with the smallest of those ids (``lo``).
+
+    Rows of one key are counted and joined in PARTS parts by document; the
+    second side of the join holds a key once for each part that has it.
+    """
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+    parts = rows.groupBy(*keys, "part").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    mask = F.bit_or(F.expr("shiftleft(1L, part)")).alias("mask")
+    found = parts.groupBy(*keys).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), mask).where("lo < hi")
+    where = F.explode(F.filter(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.getbit("mask", p) == 1)).alias("part")
+    return rows.join(found.select(*keys, "lo", where), [*keys, "part"]).drop("part")
+
+
 def _sequence(hashes: np.ndarray, offs: np.ndarray, seed: int) -> np.ndarray:
     """One hash of each document's whole word sequence."""
     place = np.arange(len(hashes)) - np.repeat(offs[:-1], np.diff(offs))
@@ -126,18 +222,6 @@ def _next_level(window: int, before: int, length: int):
     return run
 
 
-def _member(values: np.ndarray, doc: np.ndarray, lists: pa.Array) -> np.ndarray:
-    """Whether each word's value is in its own document's list."""
-    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-    known = np.sort(mix(flat + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-    if not len(known):
-        return np.zeros(len(values), bool)
-    asked = mix(values + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-    return known[at] == asked
-
-
 def _remove(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -160,7 +244,7 @@ def _remove(window: int):
     return run
 
 
-def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, start: int = 25,
+def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, start: int = 7,
                     with_text: bool = False) -> DataFrame:
     """Remove words covered by a ``window``-word sequence that also starts in a document with a smaller id.
 
@@ -178,42 +262,33 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, star
     candidates, 95 for the final comparison.
     """
     prepare(spark)
-    plan = levels(window, start)
+    lengths = levels(window, start)[:-1] or [window]
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"),
                        F.xxhash64("text").alias("tkey"))
-    head = ("doc_id long, tkey long, n_words long, seq1 long, seq2 long, sha string, pieces array<long>")
-    first = saved(spark, base.mapInArrow(_first_level(window, plan[0]), head), "pieces")
+    head = "doc_id long, tkey long, n_words long, seq1 long, seq2 long, sha string"
+    runs = "".join(f", runs{length} {RUNS}" for length in lengths)
+    first = saved(spark, base.mapInArrow(_first_pass(window, lengths), head + runs), "pieces")
+    marks = first.select("doc_id", "tkey", "n_words", "seq1", "seq2", "sha")
 
     # documents with one word sequence: the smallest id stands for all of them
     key = ["seq1", "seq2", "n_words"]
-    owner = (first.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
+    owner = (marks.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
              .groupBy(*key).agg(F.min("doc_id").alias("owner")))
-    known = first.drop("pieces").join(owner, key, "left")
-    stands = (first.where("doc_id is not null").join(owner, key)
-              .where("doc_id = owner").select("doc_id", "tkey", "pieces"))
-
-    pieces = stands.select("doc_id", "tkey", F.explode("pieces").alias("piece"))
-    outcome = None
-    for before, length in zip(plan[:-1], plan[1:], strict=True):
-        again = (pieces.groupBy("piece").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                 .where("lo < hi").select("piece"))
-        survivors = (pieces.join(again, "piece", "left_semi").groupBy("doc_id", "tkey")
-                     .agg(F.collect_set("piece").alias("survivors")))
-        source = base if outcome is None else outcome.drop("survivors")
-        outcome = saved(spark, source.join(survivors, ["doc_id", "tkey"]).dropDuplicates(["doc_id", "tkey"]), "candidates")
-        pieces = saved(spark, outcome.mapInArrow(_next_level(window, before, length),
-                                                 "doc_id long, tkey long, piece long, check int, place int"), f"pieces{length}")
-    if outcome is None:  # start >= window: every window is compared at once
-        outcome = saved(spark, base.join(stands.select("doc_id", "tkey"), ["doc_id", "tkey"])
-                        .dropDuplicates(["doc_id", "tkey"]).join(
-                            pieces.groupBy("doc_id", "tkey").agg(F.collect_set("piece").alias("survivors")),
-                            ["doc_id", "tkey"]), "candidates")
-        pieces = saved(spark, outcome.mapInArrow(_next_level(window, window, window),
-                                                 "doc_id long, tkey long, piece long, check int, place int"), "pieces")
-
-    earliest = pieces.groupBy("piece", "check").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    covered = (pieces.join(earliest.drop("hi"), ["piece", "check"]).where("lo < doc_id")
-               .groupBy("doc_id", "tkey").agg(F.collect_list("place").alias("places")))
+    known = marks.join(owner, key, "left")
+    stands = (first.where("doc_id is not null").select(*key, "doc_id", "tkey", f"runs{lengths[0]}").join(owner, key)
+              .where("doc_id = owner"))
+
+    rows = stands.select("doc_id", "tkey", F.inline(f"runs{lengths[0]}"))
+    for length in lengths:
+        spans = _repeated(rows, ["piece"]).groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+        if length != lengths[-1]:
+            longer = lengths[lengths.index(length) + 1]
+            level = first.select("doc_id", "tkey", "n_words", F.col(f"runs{longer}").alias("runs")).join(spans, ["doc_id", "tkey"])
+            rows = saved(spark, level.mapInArrow(_left_over, "doc_id long, tkey long, piece long, a int, b int"), f"runs{longer}")
+    outcome = saved(spark, base.join(spans, ["doc_id", "tkey"]).dropDuplicates(["doc_id", "tkey"]), "candidates")
+    last = saved(spark, outcome.mapInArrow(_last_level(window), "doc_id long, tkey long, piece long, check int, places array<int>"), "windows")
+    covered = (_repeated(last, ["piece", "check"]).where("lo < doc_id")
+               .groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("places")).alias("places")))
     cut = (outcome.select("doc_id", "tkey", "text").join(covered, ["doc_id", "tkey"])
            .mapInArrow(_remove(window), "doc_id long, tkey long, n_removed long, sha string, kept_text string"))
     if not with_text:

@@ -67,7 +67,7 @@ def test_levels():
     assert levels(50, 25) == [25, 50] and levels(200, 25) == [25, 50, 100, 200] and levels(60, 25) == [25, 50, 60] and levels(5, 9) == [5]
 
 
-@pytest.mark.parametrize("window,start", [(50, 25), (8, 2), (3, 3)])
+@pytest.mark.parametrize("window,start", [(50, 25), (50, 7), (50, 6), (8, 2), (3, 3)])
 def test_substring_dedup(spark, docs, rows, empty, window, start):
     first = {}
     words = [(r[0], WORD.findall(r[1] or "")) for r in rows]
