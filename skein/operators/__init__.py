@@ -3,6 +3,7 @@ from skein.operators.unpivot import (
     concat_by_rank,
     pair_groups,
     pivot_back,
+    pivot_back_discovered,
     qcol,
     rank_within,
     unpivot_paired,
@@ -14,6 +15,7 @@ __all__ = [
     "concat_by_rank",
     "pair_groups",
     "pivot_back",
+    "pivot_back_discovered",
     "qcol",
     "rank_within",
     "unpivot_paired",

@@ -47,13 +47,36 @@ def header_positions(hdr, pred: Callable[[Column], Column]) -> Column:
 
 # ---- PRJ4 / PRJ11 ----------------------------------------------------------------------------
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once a row; named in a lambda it would be worked out for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _blocks(arr: Column, starts: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """``arr`` cut at the sorted positions ``starts``, each block made an array by ``make(block, number)``, and joined again."""
+    return F.flatten(F.transform(starts, lambda p, k: make(F.slice(arr, p + 1, F.coalesce(F.get(starts, k + 1), F.size(arr)) - p), k)))
+
+
+def _positions(arr: Column, pred: Callable[[Column, Column], Column]) -> Column:
+    """Sorted positions (0-based) of the elements for which ``pred(element, position)`` holds."""
+    return F.filter(F.transform(arr, lambda x, i: F.when(pred(x, i), i)), lambda p: p.isNotNull())
+
+
 def occurrences(hdr) -> Column:
     """ARRAY<STRUCT<label, col_no, occurrence>>: occurrence is 1 for the first
-    cell with a label, 2 for its first repeat, ... (exact label equality)."""
-    h = _c(hdr)
-    return F.transform(h, lambda x, i: F.struct(
-        x.alias("label"), i.alias("col_no"),
-        F.size(F.filter(F.slice(h, F.lit(1), i + 1), lambda y: y.eqNullSafe(x))).alias("occurrence")))
+    cell with a label, 2 for its first repeat, ... (exact label equality).
+
+    The cells are sorted by label and numbered inside each label's block, so a
+    header of n cells takes n log n steps."""
+    by_label = F.array_sort(F.transform(_c(hdr), lambda x, i: F.struct(x.alias("label"), i.alias("col_no"))))
+
+    def numbered(s: Column) -> Column:
+        new = _positions(s, lambda x, i: (i == 0) | ~x["label"].eqNullSafe(F.get(s, i - 1)["label"]))
+        return _once(new, lambda p: _blocks(s, p, lambda block, _: F.transform(
+            block, lambda x, j: F.struct(x["col_no"].alias("col_no"), x["label"].alias("label"), (j + 1).alias("occurrence")))))
+
+    return F.transform(F.array_sort(_once(by_label, numbered)),
+                       lambda x: F.struct(x["label"].alias("label"), x["col_no"].alias("col_no"), x["occurrence"].alias("occurrence")))
 
 
 def pick_occurrence(hdr, n: int) -> Column:
@@ -77,12 +100,19 @@ TWO_LEVEL_MARKERS = ("Cases", "Geospread")
 def flatten_two_level(upper, lower, markers: Sequence[str] = TWO_LEVEL_MARKERS, sep: str = " ") -> Column:
     """Flatten a two-level header: ``upper[k] + sep + lower[i]`` where ``k`` is the
     number of markers met in ``lower[0..i]`` (a running count). Columns before
-    the first marker take ``upper[0]``; more markers than upper cells give NULL."""
-    up, lo = _c(upper), _c(lower)
+    the first marker take ``upper[0]``; more markers than upper cells give NULL.
+
+    Each marker opens a block of ``lower`` with one upper cell, so every cell is
+    looked at once."""
     mk = F.array(*[F.lit(m) for m in markers])
-    return F.transform(lo, lambda x, i: F.concat(
-        F.get(up, F.size(F.filter(F.slice(lo, F.lit(1), i + 1), lambda y: F.array_contains(mk, y)))),
-        F.lit(sep), x))
+    both = F.named_struct(F.lit("up"), _c(upper), F.lit("lo"), _c(lower))
+
+    def flat(h: Column) -> Column:
+        starts = F.concat(F.array(F.lit(0)), _positions(h["lo"], lambda x, _: F.array_contains(mk, x)))
+        return _once(starts, lambda p: _blocks(h["lo"], p, lambda block, k: F.transform(
+            block, lambda x: F.concat(F.get(h["up"], k), F.lit(sep), x))))
+
+    return _once(both, flat)
 
 
 # ---- FLT7 ------------------------------------------------------------------------------------

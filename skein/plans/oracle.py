@@ -280,3 +280,20 @@ SELECT n_name, CAST(c_custkey AS VARCHAR) AS "Key", c_name AS "Name", c_mktsegme
        CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS "Balance"
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
+
+ORACLE["pivot_back_discovered"] = ORACLE["pivot_back"]
+
+ORACLE["stream_rejects"] = """
+SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 3 ELSE 5 END AS n_cells,
+       CASE o_orderpriority WHEN '5-LOW' THEN 'short_row' ELSE 'long_row' END AS reject_reason
+FROM orders WHERE o_orderpriority IN ('5-LOW', '1-URGENT')
+"""
+
+ORACLE["stream_truncate"] = """
+WITH e AS (SELECT event_id, user_id, ts, event_type, min(ts) OVER (PARTITION BY user_id) AS first_ts,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+c AS (SELECT *, min(CASE WHEN event_type = 'error' THEN rn END) OVER (PARTITION BY user_id) AS cut FROM e)
+SELECT event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type,
+       strftime(first_ts, '%Y-%m-%d %H:%M:%S.%f') AS first_ts FROM c
+WHERE cut IS NULL OR rn <= cut
+"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from skein.functions.labels import NBSP, entry_value, kv_entries
-from skein.operators import concat_by_rank, pivot_back, qcol, unpivot_wide
+from skein.operators import concat_by_rank, pivot_back, pivot_back_discovered, qcol, unpivot_wide
 from skein.operators.convert import convert_folder
 from skein.operators.filters import drop_placeholder as _drop_placeholder
 from skein.operators.filters import report_filter as _report_filter
@@ -44,6 +44,7 @@ from skein.sources.html import parse_elements, parse_inputs, parse_tables
 from skein.sources.html_paths import select_rows
 from skein.sources.xlsx import read_xlsx, write_xlsx, write_xlsx_rows
 from skein.sources.xlsx_source import register as register_xlsx
+from skein.streaming.sources_split import start_sequence_stream, start_split_stream
 from skein.streaming.unpivot_stream import (
     start_batch_stream,
     start_sink,
@@ -215,18 +216,22 @@ def report_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER_HEADER = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
 
 
-def ragged_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FLT11: rows whose length differs from the header get a reject reason
-    ('5-LOW' rows lost their last cell, '1-URGENT' rows carry an extra one)."""
+def _ragged_orders(spark, sf_dir):
+    """Orders as rows of cells: '5-LOW' rows lost their last cell, '1-URGENT' rows carry an extra one."""
     o = table(spark, sf_dir, "orders")
     full = F.array(F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority",
                    F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
     cells = (F.when(F.col("o_orderpriority") == "5-LOW", F.slice(full, 1, 3))
              .when(F.col("o_orderpriority") == "1-URGENT", F.concat(full, F.array(F.lit("x"))))
              .otherwise(full))
+    return o.select("o_orderkey", cells.alias("cells"))
+
+
+def ragged_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT11: rows whose length differs from the header get a reject reason."""
     hdr = F.array(*[F.lit(h) for h in ORDER_HEADER])
-    rows = o.select("o_orderkey", cells.alias("cells"))
-    return rows.select("o_orderkey", F.size("cells").alias("n_cells"), ragged_reason(hdr, F.col("cells")).alias("reject_reason"))
+    return _ragged_orders(spark, sf_dir).select(
+        "o_orderkey", F.size("cells").alias("n_cells"), ragged_reason(hdr, F.col("cells")).alias("reject_reason"))
 
 
 QUERIES = {
@@ -711,3 +716,43 @@ def html_records_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["html_records_discovered"] = html_records_discovered
+
+
+def pivot_back_without_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UNP5 with discovered labels: the round trip of ``pivot_back`` without its label list."""
+    li = (table(spark, sf_dir, "lineitem").select(*LINEITEM_IDS, *LINEITEM_MEASURES)
+          .withColumn("_rid", F.monotonically_increasing_id()))
+    ids = LINEITEM_IDS + ["_rid"]
+    return pivot_back_discovered(unpivot_wide(li, ids, LINEITEM_MEASURES, "measure", "value"), ids, "measure", "value").drop("_rid")
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT11 on a stream: ragged order rows arrive as files, good rows and rejects
+    go to a sink each; the reject list is returned, the good rows not among them."""
+    root = scratch_path(spark, "stream_rejects")
+    _ragged_orders(spark, sf_dir).repartition(6).write.parquet(f"{root}/in")
+    rows = stream_files(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema, max_files_per_trigger=2)
+    reason = ragged_reason(F.array(*[F.lit(h) for h in ORDER_HEADER]), F.col("cells"))
+    start_split_stream(rows, reason, f"{root}/good", f"{root}/rejects", f"{root}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{root}/rejects").select("o_orderkey", F.size("cells").alias("n_cells"), "reject_reason")
+
+
+def stream_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT2 and the first row of WIN3 on a stream: each user's events arrive in
+    three runs by time; rows after the user's first error go, whichever run it
+    came in, and every row carries the user's first time."""
+    root = scratch_path(spark, "stream_truncate")
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    low, high = ev.agg(F.min("ts"), F.max("ts")).first()
+    edges = [low + (high - low) * k / 3 for k in (1, 2)] if low is not None else [None, None]
+    part = F.when(F.col("ts") <= F.lit(edges[0]), 0).when(F.col("ts") <= F.lit(edges[1]), 1).otherwise(2)
+    for k in range(3):
+        ev.where(part == k).write.mode("append").parquet(f"{root}/in")
+        rows = stream_files(spark, f"{root}/in", ev.schema)
+        start_sequence_stream(rows, ["user_id"], ["ts", "event_id"], f"{root}/out", f"{root}/state", f"{root}/ckpt",
+                              stop=F.col("event_type") == "error", first=F.col("ts")).awaitTermination()
+    text = lambda c, name: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name)
+    return spark.read.parquet(f"{root}/out").select("event_id", "user_id", text("ts", "ts"), "event_type", text("first_value", "first_ts"))
+
+
+QUERIES |= {"pivot_back_discovered": pivot_back_without_labels, "stream_rejects": stream_rejects, "stream_truncate": stream_truncate}
