@@ -158,27 +158,33 @@ def pivot_back(long_df: DataFrame, ids: Sequence[str], label_col: str, value_col
     return long_df.groupBy(*[qcol(i) for i in ids]).agg(*aggs)
 
 
-def pivot_back_discovered(long_df: DataFrame, ids: Sequence[str], label_col: str, value_col: str) -> DataFrame:
+def pivot_back_discovered(long_df: DataFrame, ids: Sequence[str], label_col: str, value_col: str, aggregated: int = 64) -> DataFrame:
     """UNP5 without a label list: one column a label met, in label order.
 
-    Each id's values become one map, written once to the shared folder; the
-    labels are the union of its keys (as many as the table is wide) and every
-    column is read from the map, so the long rows move once more than in
-    ``pivot_back`` and are not read again. NULL ids are ids like any other. A
+    The labels are read first (the label column alone, one row a label and
+    task is shuffled). Up to ``aggregated`` of them, the rest is ``pivot_back``'s
+    conditional aggregation, so one row an id and task moves, once. A wider
+    table moves the long rows once, by id, makes a map of each id's values,
+    written to the shared folder, and reads every column from it: its rows would be
+    mostly empty before the shuffle. NULL ids are ids like any other. A
     NULL label gives its id a row but no column; of duplicate (ids, label) rows
     the smallest value stays; a label named like an id column is an error.
     """
-    keys = [qcol(i) for i in ids]
-    cells = long_df.groupBy(*keys, qcol(label_col).alias("_label")).agg(F.min(qcol(value_col)).alias("_value"))
+    keys, label, value = [qcol(i) for i in ids], qcol(label_col), qcol(value_col)
+    found = [r["k"] for r in long_df.select(label.alias("k")).where("k is not null").distinct().orderBy("k").collect()]
+    labels = [str(k) for k in found]
+    if clash := sorted(set(labels) & set(ids)):
+        raise ValueError(f"labels named like id columns: {clash}")
+    if not labels:
+        return long_df.select(*keys).distinct()
+    if len(labels) <= aggregated:
+        return long_df.groupBy(*keys).agg(*[F.min(F.when(label == F.lit(k), value)).alias(x) for k, x in zip(found, labels)])
+    cells = long_df.repartition(*keys).groupBy(*keys, label.alias("_label")).agg(F.min(value).alias("_value"))
     entries = F.collect_list(F.when(F.col("_label").isNotNull(), F.struct("_label", "_value")))
     path = f"{scratch_path(long_df.sparkSession, 'pivot')}/cells"
     cells.groupBy(*keys).agg(F.map_from_entries(entries).alias("_cells")).write.parquet(path)
     wide = long_df.sparkSession.read.parquet(path)
-    found = wide.select(F.explode(F.map_keys("_cells")).alias("k")).distinct().orderBy("k")
-    labels = [str(r["k"]) for r in found.collect()]
-    if clash := sorted(set(labels) & set(ids)):
-        raise ValueError(f"labels named like id columns: {clash}")
-    return wide.select(*keys, *[F.try_element_at("_cells", F.lit(x)).alias(x) for x in labels])
+    return wide.select(*keys, *[F.try_element_at("_cells", F.lit(k)).alias(x) for k, x in zip(found, labels)])
 
 
 def concat_by_position(left: DataFrame, right: DataFrame, on: Sequence[str], pos_col: str = "row_no",

@@ -85,3 +85,21 @@ def test_pivot_without_labels(spark):
     assert empty.columns == ["id"] and empty.count() == 0
     with pytest.raises(ValueError, match="id columns"):
         pivot_back_discovered(spark.createDataFrame([(1, "id", 2)], "id long, label string, v long"), ["id"], "label", "v")
+
+
+@pytest.mark.parametrize("aggregated", [64, 1])
+def test_pivot_without_labels_moves_rows_once(spark, aggregated):
+    rows = [(i % 50 or None, f"m{i % 3}" if i % 7 else None, (i * 37) % 101 if i % 5 else None) for i in range(900)]
+    long = spark.createDataFrame(rows, "id long, label string, v long").repartition(4, "v")
+    got = pivot_back_discovered(long, ["id"], "label", "v", aggregated)
+    want = {}
+    for i, label, v in rows:
+        cells = want.setdefault(i, {})
+        if label and v is not None:
+            cells[label] = min(v, cells.get(label, v))
+    assert got.columns == ["id", "m0", "m1", "m2"]
+    assert {r.id: (r.m0, r.m1, r.m2) for r in got.collect()} == {i: tuple(c.get(k) for k in ("m0", "m1", "m2")) for i, c in want.items()}
+    assert got.count() == len(want)
+    if aggregated == 64:  # one exchange by id, after a partial aggregate
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert "Scan parquet" not in plan and plan.count("HashAggregate") == 2
