@@ -26,7 +26,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -87,10 +87,15 @@ class ByteLevelIds:
 
     LIMIT = 1_000_000
     TOGETHER = 4096  # pieces a string
-    LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
-    SIGN = np.array([33 <= b < 127 and not chr(b).isalpha() for b in range(256)])
+    #: bits of each byte: white space, ASCII sign or digit, ASCII letter, start of what ODD finds
+    KIND = bytes(SEPARATOR[b] + 2 * (33 <= b < 127 and not chr(b).isalpha()) + 4 * (b < 128 and chr(b).isalpha())
+                 + 8 * (b in b"<\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3\xef") for b in range(256))
     #: white space and separators beyond the ASCII ones, and what may start a special token
     ODD = re.compile(rb"<\||[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f\xa0]|\xe3\x80\x80|\xef\xbb\xbf")
+    #: whether ODD may match at a byte, by the one after it
+    SECOND = np.zeros((256, 256), bool)
+    SECOND[0x1C:0x20] = True
+    SECOND[[ord("<"), 0xC2, 0xC2, 0xE1, 0xE1, 0xE2, 0xE2, 0xE3, 0xEF], [ord("|"), 0x85, 0xA0, 0x9A, 0xA0, 0x80, 0x81, 0x80, 0xBB]] = True
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker a core
@@ -103,45 +108,55 @@ class ByteLevelIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[bytes, int] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.first = np.zeros(self.LIMIT + 1, np.int64)
 
-    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-        """(pieces, first piece of each text)."""
-        space = SEPARATOR[data]
-        cut = np.zeros(len(data) + 1, bool)
-        cut[1:-1] = (space[1:] & ~space[:-1]) | (self.SIGN[data[1:]] & self.LETTER[data[:-1]])
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(pieces, first piece of each text, texts left whole)."""
         raw = data.tobytes()
-        for doc in {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in self.ODD.finditer(raw)}:
+        kind = np.frombuffer(raw.translate(self.KIND), np.uint8)
+        before, here = kind[:-1], kind[1:]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = (here & ~before & 1) | (here & (before >> 1) & 2)
+        maybe = np.flatnonzero(kind & 8)
+        maybe = maybe[self.SECOND[data[maybe], data[np.minimum(maybe + 1, len(data) - 1)]]]
+        found = np.array([at for at in maybe.tolist() if self.ODD.match(raw, at)], np.int64)
+        whole = np.unique(np.searchsorted(offsets, found, "right") - 1)
+        for doc in whole.tolist():
             cut[offsets[doc] : offsets[doc + 1]] = False
         cut[offsets] = True
         cut[-1] = False
         starts = np.flatnonzero(cut)
         limits = np.append(starts, len(data)).astype(np.int64)
-        return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(limits), pa.py_buffer(raw)), np.searchsorted(starts, offsets)
+        return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(limits), pa.py_buffer(raw)), np.searchsorted(starts, offsets), whole
 
     def encode(self, texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): text i has ids[bounds[i]:bounds[i + 1]], the last of them ``end_id``."""
-        pieces, firsts = self._pieces(texts.data, texts.offsets)
+        pieces, firsts, whole = self._pieces(texts.data, texts.offsets)
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        which = coded.indices.to_numpy()
+        body, at = _flat(coded.dictionary.cast(pa.large_binary()))
+        raw = body.tobytes()
+        distinct = [raw[i:j] for i, j in pairwise(at.tolist())]
         if len(self.place) + len(distinct) > self.LIMIT or len(self.ids) > 1 << 23:
             self._forget()
             if len(distinct) > self.LIMIT:  # one very long text
                 self.first = np.zeros(len(distinct) + 1, np.int64)
-        number = np.array([self.place.get(p, -1) for p in distinct], np.int64)
+        number = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
         missing = np.flatnonzero(number < 0)
         if len(missing):
+            odd = np.zeros(len(distinct), bool)
+            odd[which[firsts[whole]]] = True
+            size = np.diff(at)
+            together = SEPARATOR[body[at[missing]]] & ~SEPARATOR[body[at[missing + 1] - 1]] & (size[missing] < 200) & ~odd[missing]
+            joined, alone = missing[together], missing[~together]
+            missing = np.concatenate([joined, alone])
             known, new = len(self.place), [distinct[i] for i in missing.tolist()]
-            joined = [p for p in new if p[0] in " \t\n\x0b\x0c\r" and p[-1] not in " \t\n\x0b\x0c\r" and len(p) < 200 and not self.ODD.search(p.encode())]
-            alone = list(set(new).difference(joined))
-            new = joined + alone
-            number[missing] = -1
-            (flat, lengths), (rest, more) = self._joined(joined), self._alone(alone)
+            (flat, lengths), (rest, more) = self._joined(new[: len(joined)], size[joined]), self._alone([p.decode() for p in new[len(joined) :]])
             flat, lengths = np.concatenate([flat, rest]), np.concatenate([lengths, more])
+            number[missing] = np.arange(known, known + len(new))
             self.place.update(zip(new, range(known, known + len(new)), strict=True))
-            number[missing] = [self.place[distinct[i]] for i in missing.tolist()]
             used = int(self.first[known])
             self.first[known + 1 : known + len(new) + 1] = used + np.cumsum(lengths)
             while used + len(flat) >= len(self.ids):
@@ -153,7 +168,7 @@ class ByteLevelIds:
         self.ids[used] = end_id
         limits = np.append(self.first[: known + 1], used + 1) * 4
         strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), known + 1, [None, pa.py_buffer(limits), pa.py_buffer(self.ids[: used + 1])])
-        taken = strings.take(pa.array(np.insert(number[coded.indices.to_numpy()], firsts[1:], known)))
+        taken = strings.take(pa.array(np.insert(number[which], firsts[1:], known)))
         _, ends, raw = taken.buffers()
         out = np.frombuffer(raw, np.uint32)
         bounds = np.frombuffer(ends, np.int64, len(taken) + 1)[np.concatenate([[0], firsts[1:] + np.arange(1, texts.size + 1)])] // 4
@@ -165,11 +180,10 @@ class ByteLevelIds:
         lengths = np.array([len(x) for x in found], np.int64)
         return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
 
-    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for pieces that may stand one after the other in a text."""
-        ids, _ = self._alone(["".join(pieces[i : i + self.TOGETHER]) for i in range(0, len(pieces), self.TOGETHER)])
-        ends = np.cumsum(np.array([len(p) if p.isascii() else len(p.encode()) for p in pieces], np.int64))
-        last = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+    def _joined(self, pieces: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces (of ``sizes`` bytes) that may stand one after the other in a text."""
+        ids, _ = self._alone([b"".join(pieces[i : i + self.TOGETHER]).decode() for i in range(0, len(pieces), self.TOGETHER)])
+        last = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes)) + 1
         return ids, np.diff(last, prepend=0)
 
 

@@ -84,3 +84,30 @@ def test_damaged_shard_is_an_error(spark, tmp_path):
     (shard.parent / f".{shard.name}.crc").unlink()
     with pytest.raises(Exception, match="damaged token file"):
         read_token_files(spark, folder).collect()
+
+
+def test_known_pieces_take_no_string_of_their_own(monkeypatch):
+    """A slice is scanned for odd bytes once, and pieces met before are looked up by their bytes: no search for each piece."""
+    import pyarrow as pa
+
+    from skein.llm.words import texts_of
+
+    coder = ByteLevelIds(PATH)
+    texts = ["Plain words, 12 of them <b>.", "odd space and <|endoftext|> “quoted”", "", "　日本", "<", "| \x1c x", "café naïve e—f"]
+    want = [coder.tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+
+    class Once:
+        tried = 0
+
+        def __init__(self, pattern):
+            self.match = lambda raw, at: self._match(pattern, raw, at)
+
+        def _match(self, pattern, raw, at):
+            Once.tried += 1
+            return pattern.match(raw, at)
+
+    monkeypatch.setattr(ByteLevelIds, "ODD", Once(ByteLevelIds.ODD))
+    for _ in range(2):
+        ids, bounds = coder.encode(texts_of(pa.array(texts)), 0)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want
+    assert Once.tried <= 2 * 12 and all(isinstance(p, bytes) for p in coder.place)
