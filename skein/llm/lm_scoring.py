@@ -29,6 +29,7 @@ from .words import FIRST, Texts, distinct, mix, per_doc, text_slices, texts_of
 
 BLOCK_BYTES, PART_BYTES, LEAST_PARTS = 16 << 20, 16 << 20, 64  # bytes of text in a block, and behind a part's counts
 TOKENS = 1 << 18  # tokens scored at once
+HASHED = 1 << 20  # bytes of text hashed at once
 START = np.uint64(0x9E3779B97F4A7C15)  # stands before a text's first word
 TEXT, PLACES = -2, -1  # the parts of a block's own row and of the row with the places of its target texts
 BLOCK = "block long, part int, bytes long, ids array<long>, packed binary"
@@ -94,14 +95,42 @@ class Grams:
     offsets: np.ndarray  # tokens of each text
 
 
+def token_hashes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each token, tokens of each text), about HASHED bytes of text at a time: only the hashes stay."""
+    hashes, offs, i = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
+    while i < texts.size:
+        j = min(max(i + 1, int(np.searchsorted(texts.offsets, texts.offsets[i] + HASHED, "right")) - 1), texts.size)
+        some = Texts(texts.data[texts.offsets[i] : texts.offsets[j]], texts.offsets[i : j + 1] - texts.offsets[i])
+        starts, ends, bounds = some.words()
+        hashes.append(FIRST.segments(some.data, starts, ends))
+        offs.append(bounds[1:] + offs[-1][-1])
+        i = j
+    return np.concatenate(hashes), np.concatenate(offs)
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, ascending; which one each key is), as ``distinct``, with less held at once."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = ranked[1:] != ranked[:-1]
+    known = ranked[fresh]
+    del ranked
+    kind = np.int32 if len(known) < 1 << 31 else np.int64
+    which = np.empty(len(keys), kind)
+    which[order] = np.cumsum(fresh, dtype=kind)
+    which -= 1
+    return known, which
+
+
 def grams(texts: Texts) -> Grams:
-    starts, ends, offs = texts.words()
-    first = offs[:-1][np.diff(offs) > 0]
-    hashes = np.concatenate([FIRST.segments(texts.data, starts, ends), np.full(len(first), START)])
-    words, _, word = distinct(hashes)
-    before = np.concatenate([word[:1], word[: len(starts)][:-1]])
-    before[first] = word[len(starts) :]
-    pairs, _, pair = distinct(mix(words[before] * np.uint64(31) + hashes[: len(starts)]))
+    hashes, offs = token_hashes(texts)
+    first, tokens = offs[:-1][np.diff(offs) > 0], len(hashes)
+    words, word = _numbered(np.concatenate([hashes, np.full(len(first), START)]))
+    before = np.concatenate([word[:1], word[:tokens][:-1]])
+    before[first] = word[tokens:]
+    hashes += words[before] * np.uint64(31)
+    pairs, pair = _numbered(mix(hashes))
     return Grams(words, word, pairs, pair, before, offs)
 
 
@@ -261,14 +290,15 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: Data
     prepare(spark)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     blocks = saved(spark, rows.mapInArrow(_blocks, BLOCK), "text-blocks")
-    size = blocks.agg(F.sum("bytes")).first()[0] or 0
-    parts = max(LEAST_PARTS, -(-size // PART_BYTES))
+    size, n = blocks.agg(F.sum("bytes"), F.count("*")).first()
+    parts = max(LEAST_PARTS, -(-(size or 0) // PART_BYTES))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n)  # a named number of tasks is not coalesced: a task holds few blocks
     chosen = targets.select("doc_id").where("doc_id is not null").distinct()
     places = (blocks.select("block", F.posexplode("ids").alias("place", "doc_id")).join(chosen.hint("merge"), "doc_id")
               .groupBy("block").agg(F.collect_list("place").alias("places")))
     text = blocks.select("block", "part", "packed")
     marked = text.unionByName(places.withColumn("part", F.lit(PLACES)), allowMissingColumns=True)
-    answers = (marked.repartition("block").sortWithinPartitions("block", "part").mapInArrow(_asked(parts), ASKED)
+    answers = (marked.repartition(tasks, "block").sortWithinPartitions("block", "part").mapInArrow(_asked(parts), ASKED)
                .repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_answers, ANSWER))
-    return (marked.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "part")
+    return (marked.unionByName(answers, allowMissingColumns=True).repartition(tasks, "block").sortWithinPartitions("block", "part")
             .mapInArrow(_scored(prior), "doc_id long, n_tokens long, loss_target double, loss_background double, score double"))
