@@ -34,11 +34,14 @@ class TokenIds:
     cut into words, each distinct word is looked up (and remembered by its
     64-bit hash), and the ids are gathered. Words of ASCII and Latin-1 letters
     are cut by the tokenizer's own pattern and handed to its BPE model; any
-    other word goes through the whole tokenizer. Memory is bounded by
-    forgetting.
+    other word goes through the whole tokenizer. Known words are held in
+    arrays, some 30 bytes a word, and forgotten beyond ``LIMIT``; known pieces
+    in two dictionaries of at most ``PIECES``, where those not asked for while
+    the newer one fills are forgotten. The worker process keeps both, so their
+    size stays small for whatever it runs next.
     """
 
-    LIMIT = 500_000
+    LIMIT, PIECES = 500_000, 1 << 15
     PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
     SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     # Fixed value: the split pattern of the vocabulary, for the simple alphabet.
@@ -50,6 +53,7 @@ class TokenIds:
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         # byte-level alphabet: printable Latin-1 characters stand for themselves, the other bytes follow from 256 on
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in shown]
@@ -57,7 +61,8 @@ class TokenIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}  # hash of a word -> its number
+        self.known = np.empty(0, np.uint64)  # hashes of the known words, ascending
+        self.number = np.empty(0, np.int32)  # the number of each
         self.ids = np.empty(1 << 16, np.uint32)  # of all known words, one after the other
         self.first = np.zeros(self.LIMIT + 1, np.int64)  # limits of each word's ids
 
@@ -65,18 +70,23 @@ class TokenIds:
         """(ids, bounds): every text's ids and then ``end_id``; text i has ids[bounds[i]:bounds[i + 1]]."""
         starts, ends, offs = texts.words()
         hashes, one, which = distinct(FIRST.segments(texts.data, starts, ends))
-        if len(self.place) + len(hashes) > self.LIMIT:
+        if len(self.known) + len(hashes) > self.LIMIT:
             self._forget()
             if len(hashes) > self.LIMIT:  # one very long text
                 self.first = np.zeros(len(hashes) + 1, np.int64)
-        place, keys = self.place, hashes.tolist()
-        number = np.array([place.get(k, -1) for k in keys], np.int64)
-        missing = np.flatnonzero(number < 0)
+        at = np.searchsorted(self.known, hashes)
+        met = np.zeros(len(hashes), bool)
+        inside = at < len(self.known)
+        met[inside] = self.known[at[inside]] == hashes[inside]
+        number = np.empty(len(hashes), np.int64)
+        number[met] = self.number[at[met]]
+        missing = np.flatnonzero(~met)
         if len(missing):
-            raw, known = texts.data.tobytes(), len(place)
+            raw, known = texts.data.tobytes(), len(self.known)
             new = [self._word(raw[a:b].decode()) for a, b in zip(starts[one[missing]].tolist(), ends[one[missing]].tolist(), strict=True)]
             number[missing] = np.arange(known, known + len(new))
-            place.update(zip([keys[i] for i in missing.tolist()], range(known, known + len(new)), strict=True))
+            self.known = np.insert(self.known, at[missing], hashes[missing])
+            self.number = np.insert(self.number, at[missing], number[missing])
             lengths = np.array([len(x) for x in new], np.int64)
             flat = np.fromiter(chain.from_iterable(new), np.uint32, int(lengths.sum()))
             used = int(self.first[known])
@@ -109,10 +119,12 @@ class TokenIds:
     def _known(self, piece: str) -> tuple[int, ...]:
         ids = self.pieces.get(piece)
         if ids is None:
-            shown = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
-            ids = tuple([t.id for t in self.model.tokenize(shown)])
-            if len(self.pieces) >= self.LIMIT:
-                self.pieces.clear()
+            ids = self.older.get(piece)
+            if ids is None:
+                shown = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
+                ids = tuple([t.id for t in self.model.tokenize(shown)])
+            if len(self.pieces) >= self.PIECES:
+                self.older, self.pieces = self.pieces, {}
             self.pieces[piece] = ids
         return ids
 
